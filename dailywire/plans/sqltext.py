@@ -89,7 +89,7 @@ def whitespace_token_count(x: str) -> str:
     return f"(CASE WHEN length({s}) = 0 THEN 0 ELSE len(regexp_split_to_array({s}, '\\s+')) END)"
 
 
-def values_table(rows, cols) -> str:
+def values_table(rows, cols, alias: str = "t") -> str:
     def lit(v):
         if isinstance(v, str):
             return q(v)
@@ -100,4 +100,4 @@ def values_table(rows, cols) -> str:
         return repr(v)
 
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({', '.join(cols)})"
+    return f"(VALUES {body}) AS {alias}({', '.join(cols)})"

@@ -1 +1,266 @@
-"""Plans."""
+"""Text cleaning and enrichment queries over ``documents``."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dailywire.functions import lexicons as L
+from dailywire.functions import text as TX
+from dailywire.operators import enrich as N
+from dailywire.operators import text as TO
+from dailywire.plans import sqltext as S
+from dailywire.plans.daily_plans import DRIVER_KEY_TERMS, DRIVER_NEGATIVE_TERMS, DRIVER_POLARITY
+from dailywire.plans.registry import query, rounded
+from dailywire.sources.readers import table
+
+# Lexicon tables for the registered runs (words that occur in the synthetic prose).
+DRIVER_TAG_LEXICON = [
+    # word, tag, pos, lemma, plural
+    ("the", "DT", "DET", "the", None),
+    ("of", "IN", "ADP", "of", None),
+    ("and", "CC", "CCONJ", "and", None),
+    ("it", "PRP", "PRON", "it", None),
+    ("was", "VBD", "AUX", "be", None),
+    ("is", "VBZ", "AUX", "be", None),
+    ("ing", "VBG", "VERB", "in", None),
+    ("thatin", "NN", "NOUN", "thatin", None),
+    ("rewh", "NNS", "NOUN", "rewh", None),
+    ("ononst", "NN", "NOUN", "ononst", "ononsts"),
+    ("orantion", "NN", "NOUN", "orant", None),
+    ("hehely", "RB", "ADV", "hehe", None),
+    ("les", "DT", "DET", "le", None),
+    ("der", "ART", "DET", "der", None),
+    ("que", "CS", "SCONJ", "que", None),
+]
+LEXICON_COLS = ["word", "tag", "pos", "lemma", "plural"]
+DRIVER_VALENCE = {"the": 0.0, "rewh": -1.5, "thatin": 2.0, "orre": 1.2, "hehely": -0.8, "le": 0.5, "der": -2.1, "que": 0.0}
+DRIVER_CATEGORIES = [
+    # word, negative, positive, uncertainty, litigious, constraining
+    ("rewh", True, False, False, False, False),
+    ("orre", True, False, True, False, False),
+    ("thatin", False, True, False, False, False),
+    ("ononst", False, True, False, True, False),
+    ("hehely", False, False, True, False, True),
+    ("inoran", False, False, False, True, False),
+    ("der", True, False, False, False, True),
+    ("que", False, True, False, False, False),
+]
+DRIVER_GAZETTEER = [("rewh", "ORG"), ("thon", "GPE"), ("thth", "DATE"), ("orre", "EVENT"), ("hehely", "PERSON"), ("der", "ORG"), ("que", "GPE")]
+
+
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.preprocess_text("text").alias("p"))
+
+
+_P_SQL = f"p AS (SELECT doc_id, {S.preprocess_text('text')} AS p FROM documents)"
+
+
+def _lexicon_df(spark: SparkSession, rows, cols) -> DataFrame:
+    types = {"word": "string", "tag": "string", "pos": "string", "lemma": "string", "plural": "string", "term": "string",
+             "label": "string", "score": "double"}
+    schema = ", ".join(f"{c} {types.get(c, 'boolean')}" for c in cols)
+    return spark.createDataFrame(rows, schema)
+
+
+@query("E11_clean_html_text", f"SELECT doc_id, {S.clean_html_text('text')} AS cleaned FROM documents")
+def e11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.clean_html_text("text").alias("cleaned"))
+
+
+@query("E6_clean_link", f"SELECT page_id, {S.replace_chain('url', L.LINK_REPLACEMENTS)} AS link FROM pages")
+def e6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", TX.clean_link("url").alias("link"))
+
+
+@query("T1_expand_contractions", f"SELECT doc_id, {S.expand_contractions('text')} AS expanded FROM documents")
+def t1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.expand_contractions("text").alias("expanded"))
+
+
+@query("T2_strip_special", f"SELECT doc_id, {S.strip_special('text')} AS stripped FROM documents")
+def t2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.strip_special("text").alias("stripped"))
+
+
+def _t3_sql(noun_mode: str = "lemma") -> str:
+    lex = S.values_table(DRIVER_TAG_LEXICON, LEXICON_COLS, "lx")
+    shared = ("list_sum(list_transform(list_distinct(list_filter(string_split(lower(word), ''), lambda c: c <> '')), "
+              "lambda c: least(length(lower(word)) - length(replace(lower(word), c, '')), "
+              "length(lower(coalesce(lemma, word))) - length(replace(lower(coalesce(lemma, word)), c, '')))))")
+    noun = "lower(coalesce(lemma, word))" if noun_mode == "lemma" else "CASE WHEN plural IS NULL THEN lower(word) ELSE lower(plural) END"
+    return f"""WITH lex AS (SELECT lower(word) AS word, CASE WHEN tag IN ('NN', 'NE') THEN {noun}
+          WHEN pos IN ('DET', 'ADP', 'CONJ', 'PRON') THEN NULL
+          WHEN {shared} >= length(word) - 1 THEN lower(coalesce(lemma, word)) ELSE lower(word) END AS out FROM {lex}),
+    s AS (SELECT doc_id, {S.strip_special(S.expand_contractions('text'))} AS s FROM documents),
+    tk AS (SELECT doc_id, list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> '') AS tk FROM s),
+    tt AS (SELECT doc_id, lower(unnest(tk)) AS token, generate_subscripts(tk, 1) AS pos FROM tk),
+    r AS (SELECT doc_id, pos, CASE WHEN lex.word IS NULL THEN token ELSE lex.out END AS piece FROM tt LEFT JOIN lex ON tt.token = lex.word),
+    g AS (SELECT doc_id, string_agg(' ' || piece, '' ORDER BY pos) AS normalized FROM r WHERE piece IS NOT NULL GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(g.normalized, '') AS normalized FROM documents d LEFT JOIN g USING (doc_id)"""
+
+
+@query("T3_tokenize_pos_lemma", _t3_sql())
+def t3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = _docs(spark, sf_dir).select("doc_id", TX.strip_special(TX.expand_contractions("text")).alias("s"))
+    lex = _lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
+    return TO.tokenize_pos_lemma(staged, "doc_id", "s", lex).select("doc_id", "normalized")
+
+
+@query("T4_remove_stopwords", f"SELECT doc_id, {S.remove_stopwords('text')} AS cleaned FROM documents")
+def t4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text").alias("cleaned"))
+
+
+@query(
+    "T5_remove_stopwords_cased",
+    f"SELECT doc_id, {S.remove_stopwords('text', L.STOPWORDS_FIRST_100[:50], lower=False)} AS cleaned FROM documents",
+)
+def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text", lower=False, limit=50).alias("cleaned"))
+
+
+def _t6_sql() -> str:
+    t3 = _t3_sql()
+    head, tail = t3.rsplit("SELECT d.doc_id", 1)
+    return f"""{head}, n AS (SELECT d.doc_id, coalesce(g.normalized, '') AS normalized FROM documents d LEFT JOIN g USING (doc_id))
+    SELECT doc_id, {S.remove_stopwords('normalized')} AS processed_text FROM n"""
+
+
+@query("T6_preprocess_text", _t6_sql())
+def t6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lex = _lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
+    return TO.preprocess(_docs(spark, sf_dir), "doc_id", "text", lex).select("doc_id", "processed_text")
+
+
+def _py_contractions(s: str) -> str:
+    for a, b in L.CONTRACTIONS:
+        s = s.replace(a, b)
+    return s
+
+
+@query("T7_map_text_udf", f"SELECT doc_id, {S.expand_contractions('text')} AS mapped FROM documents")
+def t7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user Python function (here contraction expansion) through an Arrow-batched pandas UDF."""
+    return _docs(spark, sf_dir).select("doc_id", TO.map_text("text", _py_contractions).alias("mapped"))
+
+
+@query("N1_keyterm_flag", f"WITH {_P_SQL} SELECT doc_id, {S.keyterm_flag('p', DRIVER_KEY_TERMS)} AS covid_flag FROM p")
+def n1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _processed(spark, sf_dir).select("doc_id", TX.keyterm_flag("p", DRIVER_KEY_TERMS).alias("covid_flag"))
+
+
+def _polarity_sql(out: str = "polarity") -> str:
+    lex = S.values_table(list(DRIVER_POLARITY.items()), ["word", "score"], "lx")
+    return f"""WITH {_P_SQL},
+    t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
+    s AS (SELECT doc_id, avg(score) AS pol FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
+    r AS (SELECT p.doc_id, p.p, coalesce(s.pol, 0.0) AS {out} FROM p LEFT JOIN s USING (doc_id))"""
+
+
+def _polarity_df(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lex = _lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
+    return N.lexicon_polarity(_processed(spark, sf_dir), "doc_id", "p", lex)
+
+
+@query("N2_lexicon_polarity", _polarity_sql() + " SELECT doc_id, round(polarity, 6) AS polarity FROM r")
+def n2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_polarity_df(spark, sf_dir).select("doc_id", "polarity"))
+
+
+@query(
+    "N3_negative_flag",
+    f"WITH {_P_SQL} SELECT doc_id, {S.negative_flag(S.polarity_literal('p', DRIVER_POLARITY), 'p', DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
+)
+def n3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _processed(spark, sf_dir)
+    pol = N.polarity_literal("p", DRIVER_POLARITY)
+    return p.select("doc_id", N.negative_flag_col(pol, "p", DRIVER_NEGATIVE_TERMS).alias("negative_flag"))
+
+
+@query(
+    "N4_polarity_label",
+    _polarity_sql()
+    + " SELECT doc_id, CASE WHEN polarity < 0 THEN 'negative' WHEN polarity = 0 THEN 'neutral' WHEN polarity > 0 THEN 'positive' END AS polarity_textblob FROM r",
+)
+def n4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _polarity_df(spark, sf_dir).select("doc_id", TX.polarity_label("polarity").alias("polarity_textblob"))
+
+
+def _valence_sql() -> str:
+    lex = S.values_table(list(DRIVER_VALENCE.items()), ["word", "score"], "lx")
+    return f"""WITH {_P_SQL},
+    t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
+    s AS (SELECT doc_id, sum(CASE WHEN score > 0 THEN score + 1 END) AS pos_s, sum(CASE WHEN score < 0 THEN abs(score) + 1 END) AS neg_s,
+          count(CASE WHEN score <> 0 THEN 1 END) AS nz FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
+    j AS (SELECT p.doc_id, coalesce(pos_s, 0.0) AS pos_s, coalesce(neg_s, 0.0) AS neg_s,
+          CAST(len(list_filter(string_split(p.p, ' '), lambda w: w <> '')) - coalesce(nz, 0) AS DOUBLE) AS neu_s FROM p LEFT JOIN s USING (doc_id)),
+    k AS (SELECT doc_id, pos_s + neg_s + neu_s AS tot, * FROM j),
+    v AS (SELECT doc_id, CASE WHEN tot > 0 THEN neg_s / tot ELSE 0.0 END AS valence_neg, CASE WHEN tot > 0 THEN neu_s / tot ELSE 0.0 END AS valence_neu,
+          CASE WHEN tot > 0 THEN pos_s / tot ELSE 0.0 END AS valence_pos FROM k)
+    SELECT doc_id, round(valence_neg, 6) AS valence_neg, round(valence_neu, 6) AS valence_neu, round(valence_pos, 6) AS valence_pos,
+      CASE WHEN valence_neg >= valence_neu AND valence_neg >= valence_pos THEN 'negative' WHEN valence_neu >= valence_pos THEN 'neutral' ELSE 'positive' END AS polarity_vader
+    FROM v"""
+
+
+@query("N5_valence_class", _valence_sql())
+def n5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lex = _lexicon_df(spark, list(DRIVER_VALENCE.items()), ["word", "score"])
+    out = N.valence_class(_processed(spark, sf_dir), "doc_id", "p", lex)
+    return rounded(out.select("doc_id", "valence_neg", "valence_neu", "valence_pos", "polarity_vader"))
+
+
+def _categories_sql(jaccard: bool) -> str:
+    cats = L.SENTIMENT_CATEGORIES
+    dic = S.values_table(DRIVER_CATEGORIES, ["word", *cats], "dx")
+    counts = ", ".join(f"count(CASE WHEN {c} THEN 1 END) AS {c}_count" for c in cats)
+    sizes = ", ".join(f"count(CASE WHEN {c} THEN 1 END) AS {c}_size" for c in cats)
+    cols = ", ".join(f"coalesce(s.{c}_count, 0) AS {c}_count" for c in cats)
+    base = f"""WITH {_P_SQL}, dic AS (SELECT * FROM {dic}),
+    t AS (SELECT doc_id, unnest({S.word_tokens('p')}) AS w FROM p),
+    s AS (SELECT doc_id, {counts} FROM t JOIN dic ON t.w = dic.word GROUP BY doc_id),
+    z AS (SELECT {sizes} FROM dic),
+    c AS (SELECT p.doc_id, {S.whitespace_token_count('p.p')} AS ws, {cols} FROM p LEFT JOIN s USING (doc_id))"""
+    if not jaccard:
+        return base + " SELECT doc_id, " + ", ".join(f"{c}_count" for c in cats) + " FROM c"
+    jac = ", ".join(
+        f"round(CASE WHEN ({c}_size + ws - {c}_count) = 0 THEN NULL ELSE {c}_count::DOUBLE / ({c}_size + ws - {c}_count) END, 6) AS {c}_jacsim"
+        for c in cats
+    )
+    return base + f" SELECT doc_id, {jac} FROM c, z"
+
+
+def _categories_df(spark: SparkSession, sf_dir: str, jaccard: bool) -> DataFrame:
+    dic = _lexicon_df(spark, DRIVER_CATEGORIES, ["word", *L.SENTIMENT_CATEGORIES])
+    return N.category_word_counts(_processed(spark, sf_dir), "doc_id", "p", dic, with_jaccard=jaccard)
+
+
+@query("N7_category_word_counts", _categories_sql(False))
+def n7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _categories_df(spark, sf_dir, False).select("doc_id", *[f"{c}_count" for c in L.SENTIMENT_CATEGORIES])
+
+
+@query("N8_category_jaccard", _categories_sql(True))
+def n8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_categories_df(spark, sf_dir, True).select("doc_id", *[f"{c}_jacsim" for c in L.SENTIMENT_CATEGORIES]))
+
+
+def _entity_sql() -> str:
+    gz = S.values_table(DRIVER_GAZETTEER, ["term", "label"], "t2")
+    cols = ", ".join(f"CASE WHEN f.label = '{lab}' THEN f.term END AS {col}" for lab, col in L.ENTITY_COLUMNS)
+    return f"""WITH {_P_SQL},
+    tk AS (SELECT doc_id, string_split(p, ' ') AS tk FROM p),
+    t AS (SELECT doc_id, unnest(tk) AS w, generate_subscripts(tk, 1) AS pos FROM tk),
+    m AS (SELECT doc_id, arg_min(t2.term, pos) AS term, arg_min(t2.label, pos) AS label FROM t JOIN {gz} ON t.w = t2.term GROUP BY doc_id)
+    SELECT p.doc_id, {cols} FROM p LEFT JOIN m f USING (doc_id)"""
+
+
+@query("N9_first_entity", _entity_sql())
+def n9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gz = _lexicon_df(spark, DRIVER_GAZETTEER, ["term", "label"])
+    out = N.first_entity(_processed(spark, sf_dir), "doc_id", "p", gz)
+    return out.select("doc_id", *[c for _, c in L.ENTITY_COLUMNS])
