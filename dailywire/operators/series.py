@@ -63,8 +63,11 @@ def date_spine(df: DataFrame, periods: int, series: str = SERIES, ds: str = "ds"
 
 
 def param_grid(spark: SparkSession, **ranges: Sequence[int]) -> DataFrame:
-    """Cartesian product of small integer ranges (a few dozen rows, built by cross joins)."""
-    frames = [spark.createDataFrame([(v,) for v in vals], f"{name} int") for name, vals in ranges.items()]
+    """Cartesian product of small integer ranges (a few dozen rows, built by cross joins).
+
+    Each dimension is a one-partition frame: a cartesian product multiplies partition counts.
+    """
+    frames = [spark.createDataFrame([(v,) for v in vals], f"{name} int").coalesce(1) for name, vals in ranges.items()]
     return reduce(lambda a, b: a.crossJoin(b), frames)
 
 
