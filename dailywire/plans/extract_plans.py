@@ -1 +1,174 @@
-"""Plans."""
+"""Extraction queries over ``pages``.
+
+DuckDB twins read the same HTML with regexes; html entity decoding is stated for the five
+XML entities, which are the ones the generated pages use.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dailywire.functions import lexicons as L
+from dailywire.operators import extract as E
+from dailywire.plans import sqltext as S
+from dailywire.plans.registry import query, rounded
+from dailywire.sources.readers import table
+
+SECTION_TAG, SECTION_CLASS = "nav", None  # the link section of the generated pages
+
+
+def _unescape(x: str) -> str:
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+        x = f"replace({x}, {S.q(a)}, {S.q(b)})"
+    return x
+
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.parse_pages(table(spark, sf_dir, "pages"))
+
+
+_NAV_LINKS_SQL = f"""nl AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS links FROM pages),
+    nx AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, generate_subscripts(links, 1) - 1 AS pos FROM nl)"""
+
+
+@query("E1_extract_links", f"WITH {_NAV_LINKS_SQL} SELECT page_id, pos, link FROM nx")
+def e1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of the section selector; the keep rule is disabled (``keep_any=()``) so every section href is listed."""
+    p = _parsed(spark, sf_dir)
+    links = E.primary_links(E.section_links("nodes", SECTION_TAG, SECTION_CLASS), keep_any=(), drop_any=L.LINK_DROP_ANY)
+    return p.select("page_id", F.posexplode(links).alias("pos", "link"))
+
+
+_ALL_LINKS_SQL = f"""al AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages),
+    ax AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, generate_subscripts(links, 1) AS pos FROM al)"""
+
+
+@query(
+    "E2_extract_links_fallback",
+    f"""WITH {_ALL_LINKS_SQL} SELECT page_id, lower(link) AS link FROM ax WHERE regexp_matches(lower(link), '[0-9]{{4}}')
+    AND NOT ({' OR '.join(f"contains(lower(link), {S.q(w)})" for w in L.FALLBACK_LINK_DROP_ANY)})""",
+)
+def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir).select("page_id", F.explode(E.fallback_links("nodes")).alias("link"))
+
+
+_DISTINCT_SQL = _ALL_LINKS_SQL + """,
+    fd AS (SELECT page_id, url, link, min(pos) AS first_pos FROM ax GROUP BY page_id, url, link),
+    dl AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id ORDER BY first_pos) - 1 AS pos FROM fd)"""
+
+
+@query("E3_distinct_links", f"WITH {_DISTINCT_SQL} SELECT page_id, pos, link FROM dl")
+def e3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    links = F.array_distinct(E.section_links("nodes", None, None))
+    return _parsed(spark, sf_dir).select("page_id", F.posexplode(links).alias("pos", "link"))
+
+
+_RESOLVED_SQL = _DISTINCT_SQL + """,
+    rs AS (SELECT page_id, pos, CASE WHEN regexp_matches(link, '^https?://') THEN link
+           ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || link END AS url FROM dl)"""
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _parsed(spark, sf_dir)
+    homepage = F.regexp_extract(F.col("url"), r"^(https?://[^/?#]+)", 1)
+    x = p.select("page_id", homepage.alias("homepage"), F.posexplode(F.array_distinct(E.section_links("nodes", None, None))).alias("pos", "link"))
+    return x.select("page_id", "pos", E.resolve_url(F.col("link"), F.col("homepage")).alias("url"))
+
+
+@query("E5_resolve_url", f"WITH {_RESOLVED_SQL} SELECT page_id, pos, url FROM rs")
+def e5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _resolved(spark, sf_dir)
+
+
+@query("E4_new_links", f"WITH {_RESOLVED_SQL} SELECT page_id, pos, url FROM rs WHERE url NOT IN (SELECT url FROM pages WHERE url IS NOT NULL)")
+def e4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved links that are not yet in the store (the store = pages already fetched)."""
+    store = table(spark, sf_dir, "pages").select("url")
+    return E.new_links(_resolved(spark, sf_dir), store, "url").select("page_id", "pos", "url")
+
+
+def _headline_sql(tag: str) -> str:
+    parts = f"regexp_extract_all(html, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1)"
+    piece = S.clean_html_text(_unescape("regexp_replace(h, '<[^>]*>', '', 'g')"))
+    return f"list_reduce(list_prepend('', list_transform({parts}, lambda h: ' ' || {piece})), lambda a, b: a || b)"
+
+
+_HEADLINE_SQL = f"""hd AS (SELECT page_id, url, CASE WHEN len(regexp_extract_all(html, '<h1[ >]')) > 0 THEN {_headline_sql('h1')}
+      WHEN len(regexp_extract_all(html, '<h2[ >]')) > 0 THEN {_headline_sql('h2')} END AS heading FROM pages)"""
+
+
+@query("E7_extract_headline", f"WITH {_HEADLINE_SQL} SELECT page_id, heading FROM hd WHERE heading IS NOT NULL")
+def e7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir).select("page_id", E.headline("nodes").alias("heading")).where(F.col("heading").isNotNull())
+
+
+DROP_WORD = "The"  # a word that occurs in generated headlines (the reference word is "Archive")
+
+
+@query(
+    "E8_drop_archive",
+    f"WITH {_HEADLINE_SQL} SELECT page_id, heading FROM hd WHERE heading IS NOT NULL AND NOT contains(heading, '{DROP_WORD}')",
+)
+def e8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = _parsed(spark, sf_dir).select("page_id", E.headline("nodes").alias("heading"))
+    return h.where(F.col("heading").isNotNull() & E.not_archive(F.col("heading"), DROP_WORD))
+
+
+@query("E9_extract_body")
+def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Body cascade; pages without body text keep a reason in ``error`` (no abort)."""
+    body = _parsed(spark, sf_dir).select("page_id", E.body_text("nodes").alias("text"))
+    return body.withColumn("error", F.when(F.col("text").isNull(), F.lit("no text found")))
+
+
+@query("E10_extract_published")
+def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _parsed(spark, sf_dir).select("page_id", E.published_time("nodes").alias("datetime"))
+
+
+@query("E12_parse_fuzzy_datetime", "SELECT event_id, date_trunc('minute', ts) AS parsed FROM events")
+def e12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading times rendered as free text ('(Published 7 Jan 2024, 4:05PM) local'), parsed back to the minute."""
+    ev = table(spark, sf_dir, "events")
+    txt = F.concat(F.lit("(Published "), F.date_format("ts", "d MMM yyyy, h:mma"), F.lit(") local"))
+    return ev.select("event_id", E.parse_fuzzy_datetime(txt).alias("parsed"))
+
+
+@query(
+    "E13_assemble_articles",
+    f"WITH {_HEADLINE_SQL} SELECT url, arg_max(page_id, page_id) AS page_id, arg_max(heading, page_id) AS heading FROM hd WHERE heading IS NOT NULL GROUP BY url",
+)
+def e13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arts = _parsed(spark, sf_dir).select("page_id", "url", E.headline("nodes").alias("heading")).where(F.col("heading").isNotNull())
+    return E.assemble_articles(arts, "url", "page_id").select("url", "page_id", "heading")
+
+
+def _reading_text() -> F.Column:
+    v = F.col("value").cast("string")
+    k = F.get_json_object("props", "$.k")
+    return F.concat(F.lit("Current condition "), F.col("event_type"), F.lit(" 10:00 HKT Wind: "), v, F.lit(" km/h Humidity: "), k,
+                    F.lit("% Precipitation: "), v, F.lit(" mm Visibility: 10 km UV index: "), k)
+
+
+@query(
+    "E14_extract_weather_fields",
+    """SELECT event_id, metric, round(value, 6) AS value, unit FROM (
+      SELECT event_id, 'Wind' AS metric, value, 'km/h' AS unit FROM events WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, 'Humidity', CAST(json_extract(props, '$.k') AS DOUBLE), '%' FROM events WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, 'Precipitation', value, 'mm' FROM events WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, 'Visibility', 10.0, 'km' FROM events WHERE event_type IN ('view', 'click')
+      UNION ALL SELECT event_id, 'UV index', CAST(json_extract(props, '$.k') AS DOUBLE), '' FROM events WHERE event_type IN ('view', 'click'))""",
+)
+def e14(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather readings rendered as page text, then the five metrics read back with value and unit."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
+    fields = ev.select("event_id", F.explode(E.weather_fields(_reading_text())).alias("f"))
+    return rounded(fields.select("event_id", F.col("f.metric").alias("metric"), F.col("f.value").alias("value"), F.col("f.unit").alias("unit")))
+
+
+@query("E15_extract_index_quote")
+def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last matching name / value text of a page (here: the last ``li`` and the ``h1``)."""
+    p = _parsed(spark, sf_dir)
+    return p.select("page_id", E.last_text("nodes", "h1").alias("index_name"), E.last_text("nodes", "li").alias("index_value"))
