@@ -1 +1,61 @@
-"""Plans."""
+"""Forecast queries over the daily order series (F1-F3, F5-F9). Iterative fits: rows-only checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dailywire.operators import forecast as FC
+from dailywire.operators import series as X
+from dailywire.plans.registry import query, rounded
+from dailywire.plans.series_plans import _regressors, series
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.ordered_split(series(spark, sf_dir), 0.75)
+
+
+@query("F1_forecast_trend_seasonal")
+def f1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(FC.forecast_trend_seasonal(_split(spark, sf_dir), periods=16))
+
+
+@query("F2_forecast_with_regressors")
+def f2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regressor: daily shipped quantity per priority, known into the future, forward filled."""
+    return rounded(FC.forecast_trend_seasonal(_split(spark, sf_dir), periods=16, regressors=_regressors(spark, sf_dir), regressor_cols=["x"]))
+
+
+@query("F3_forecast_components")
+def f3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(FC.forecast_trend_seasonal(_split(spark, sf_dir), periods=16, components=True))
+
+
+@query("F5_adf_statistic")
+def f5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(FC.adf_statistic(series(spark, sf_dir)))
+
+
+@query("F6_arima_order_search")
+def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train = _split(spark, sf_dir).where(F.col("set") == "train").select("series_id", "ds", "y")
+    return rounded(FC.arma_order_search(train))
+
+
+@query("F7_arima_forecast")
+def f7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fc = FC.arima_forecast(_split(spark, sf_dir), steps_extra=2)
+    return rounded(fc.select("series_id", "step", "yhat", "p", "d", "q"))
+
+
+@query("F8_sarimax_grid_search")
+def f8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = _split(spark, sf_dir)
+    train = split.where(F.col("set") == "train").join(_regressors(spark, sf_dir), ["series_id", "ds"], "left").fillna(0.0, ["x"])
+    return rounded(FC.sarimax_grid_search(train, exog=["x"]).select("series_id", "order", "aic"))
+
+
+@query("F9_sarimax_forecast")
+def f9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = _split(spark, sf_dir).join(_regressors(spark, sf_dir), ["series_id", "ds"], "left").fillna(0.0, ["x"])
+    return rounded(FC.sarimax_forecast(split, exog=["x"]))
