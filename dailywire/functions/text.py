@@ -27,6 +27,12 @@ def replace_chain(col: Column | str, pairs: Iterable[tuple[str, str]]) -> Column
     return out
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` (a one-element ``transform``): SQL has no LET,
+    and expressions under higher-order functions are not shared by subexpression elimination."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def py_strip(col: Column | str) -> Column:
     """Strip leading/trailing Unicode blanks (``str.strip()``; Spark ``trim`` removes spaces only)."""
     return F.regexp_replace(_c(col), r"(?U)\A\s+|\s+\z", "")
@@ -89,11 +95,14 @@ def remove_stopwords(
     Empty tokens stay and rejoin as blanks.
     """
     words = _term_list(stopwords[:limit] if limit is not None else stopwords)
-    src = _c(col)
-    base = F.lower(src) if lower else src
-    kept = F.filter(F.split(base, " ", -1), lambda x: ~x.isin(words)) if words else F.split(base, " ", -1)
-    new = F.array_join(kept, " ")
-    return F.when(F.length(new) > min_length, new).otherwise(src)
+
+    def body(src: Column) -> Column:
+        base = F.lower(src) if lower else src
+        kept = F.filter(F.split(base, " ", -1), lambda x: ~x.isin(words)) if words else F.split(base, " ", -1)
+        return let(F.array_join(kept, " "), lambda new: F.when(F.length(new) > min_length, new).otherwise(src))
+
+    # the input and the new text are each bound once (lambdas defeat subexpression elimination)
+    return let(_c(col), body)
 
 
 def preprocess_text(col: Column | str, stopwords: Sequence[str] = L.STOPWORDS_FIRST_100) -> Column:

@@ -29,8 +29,12 @@ def polarity_literal(col: Column | str, lexicon: Mapping[str, float] = L.DEMO_PO
         raise ValueError("lexicon too large for a literal map; use lexicon_polarity with a table")
     m = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(float(v)))])
     scores = F.filter(F.transform(_nonempty_blank_tokens(col), lambda t: F.try_element_at(m, t)), lambda s: s.isNotNull())
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + s)
-    return F.when(F.size(scores) > 0, total / F.size(scores)).otherwise(F.lit(0.0))
+
+    def mean(sc: Column) -> Column:
+        total = F.aggregate(sc, F.lit(0.0), lambda acc, s: acc + s)
+        return F.when(F.size(sc) > 0, total / F.size(sc)).otherwise(F.lit(0.0))
+
+    return TX.let(scores, mean)
 
 
 def negative_flag_col(polarity: Column, processed: Column | str, terms: Sequence[str] = L.NEGATIVE_TERMS,
