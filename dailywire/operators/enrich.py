@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.operators.tokens import by_id, join_back, lookup, token_table
+from dailywire.operators.tokens import per_document
 
 # Literal maps are scanned linearly per token: use them only for tiny lexicons.
 MAX_LITERAL_LEXICON = 256
@@ -46,11 +46,10 @@ def negative_flag_col(polarity: Column, processed: Column | str, terms: Sequence
 
 def lexicon_polarity(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                      out: str = "polarity", word_col: str = "word", score_col: str = "score") -> DataFrame:
-    """N2 over a lexicon table: mean score of listed tokens per document, 0 if none."""
-    d = by_id(docs, id_col)
-    toks = token_table(d, id_col, TX.blank_tokens(text_col))
-    per = lookup(toks, lexicon.select(word_col, score_col), word_col).groupBy(id_col).agg(F.avg(score_col).alias(out))
-    return join_back(d, per, id_col).withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+    """N2 over a lexicon table: (id, polarity) = mean score of the listed tokens, 0 if none is listed."""
+    per = per_document(docs, id_col, TX.blank_tokens(text_col), lexicon.select(word_col, score_col),
+                       [F.avg(score_col).alias(out)], word_col)
+    return per.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
 
 
 def valence_class(docs: DataFrame, id_col: str, text_col: str, valence: DataFrame,
@@ -58,19 +57,18 @@ def valence_class(docs: DataFrame, id_col: str, text_col: str, valence: DataFram
     """negative/neutral/positive shares from a valence lexicon, label by argmax (ties: neg, neu, pos).
 
     pos = sum(v+1) over v>0, neg = sum(|v|+1) over v<0, neu = tokens with v=0 (unlisted tokens count as 0).
+    Output: (id, valence_neg, valence_neu, valence_pos, polarity_vader).
     """
-    d = by_id(docs, id_col)
-    toks = token_table(d, id_col, TX.blank_tokens(text_col))
     v = F.col(score_col)
-    per = lookup(toks, valence.select(word_col, score_col), word_col).groupBy(id_col).agg(
+    j = per_document(docs, id_col, TX.blank_tokens(text_col), valence.select(word_col, score_col), [
         F.sum(F.when(v > 0, v + 1)).alias("_pos"),
         F.sum(F.when(v < 0, F.abs(v) + 1)).alias("_neg"),
         F.count(F.when(v != 0, 1)).alias("_nz"),
-    )
-    j = join_back(d, per, id_col).withColumn("_n", F.size(_nonempty_blank_tokens(text_col)))
+        F.count("token").alias("_n"),
+    ], word_col)
     pos = F.coalesce(F.col("_pos"), F.lit(0.0))
     neg = F.coalesce(F.col("_neg"), F.lit(0.0))
-    neu = (F.col("_n") - F.coalesce(F.col("_nz"), F.lit(0))).cast("double")
+    neu = (F.col("_n") - F.col("_nz")).cast("double")
     total = pos + neg + neu
     share = lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0))
     j = j.withColumns({"valence_neg": share(neg), "valence_neu": share(neu), "valence_pos": share(pos)})
@@ -103,18 +101,17 @@ def category_word_counts(docs: DataFrame, id_col: str, text_col: str, dictionary
                          with_jaccard: bool = True) -> DataFrame:
     """N7 (+ N8): per document and category the count of the category's words (with repeats), and
     ``count / (category vocabulary size + whitespace token count - count)``.
+    Output: (id, <cat>_count..., <cat>_jacsim...).
     """
-    d = by_id(docs, id_col)
-    toks = token_table(d, id_col, TX.word_tokens(text_col))
     dic = dictionary.select(word_col, *[F.col(c).cast("boolean").alias(c) for c in categories])
-    per = lookup(toks, dic, word_col).groupBy(id_col).agg(
-        *[F.count(F.when(F.col(c), 1)).alias(f"{c}_count") for c in categories]
-    )
-    out = join_back(d, per, id_col).fillna(0, subset=[f"{c}_count" for c in categories])
+    carry = {"_ws": TX.whitespace_token_count(text_col)} if with_jaccard else {}
+    out = per_document(docs, id_col, TX.word_tokens(text_col), dic,
+                       [F.count(F.when(F.col(c), 1)).alias(f"{c}_count") for c in categories], word_col, carry)
     if not with_jaccard:
         return out
+    # category vocabulary sizes: one aggregated row, broadcast
     sizes = dic.agg(*[F.count(F.when(F.col(c), 1)).alias(f"_{c}_size") for c in categories])
-    out = out.crossJoin(F.broadcast(sizes)).withColumn("_ws", TX.whitespace_token_count(text_col))
+    out = out.crossJoin(F.broadcast(sizes))
     for c in categories:
         cnt = F.col(f"{c}_count").cast("double")
         out = out.withColumn(f"{c}_jacsim", F.try_divide(cnt, F.col(f"_{c}_size") + F.col("_ws") - cnt))
@@ -126,14 +123,12 @@ def first_entity(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFra
                  term_col: str = "term", label_col: str = "label") -> DataFrame:
     """The document's first entity (by token position); its text fills the column of its label.
 
-    At most one of the output columns is non-null per document.
+    At most one of the output columns is non-null per document. Output: (id, company, country, ...).
     """
-    d = by_id(docs, id_col)
-    toks = token_table(d, id_col, TX.blank_tokens(text_col))
     gz = gazetteer.select(F.col(term_col).alias("word"), F.col(label_col).alias("_label"))
-    first = lookup(toks, gz, "word").groupBy(id_col).agg(
-        F.min_by(F.struct(F.col("token").alias("t"), F.col("_label").alias("l")), F.col("pos")).alias("_first")
-    )
-    out = join_back(d, first, id_col)
-    out = out.withColumns({col: F.when(F.col("_first.l") == lab, F.col("_first.t")) for lab, col in columns})
+    first = per_document(docs, id_col, TX.blank_tokens(text_col), gz, [
+        F.min_by(F.struct(F.col("token").alias("t"), F.col("_label").alias("l")),
+                 F.when(F.col("_label").isNotNull(), F.col("pos"))).alias("_first")
+    ])
+    out = first.withColumns({col: F.when(F.col("_first.l") == lab, F.col("_first.t")) for lab, col in columns})
     return out.drop("_first")

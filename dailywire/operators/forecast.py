@@ -27,7 +27,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailywire.operators import series as X
-from dailywire.session import broadcast_if_small
 
 SERIES = X.SERIES
 Z80 = 1.2815515655446004  # two-sided 80% normal quantile
@@ -132,8 +131,9 @@ def solve(stats: DataFrame, keys: Sequence[str], k: int, subsets: dict[str, Sequ
 
 
 def attach(rows: DataFrame, fits: DataFrame, keys: Sequence[str] = (SERIES,)) -> DataFrame:
-    """Join per-series fit rows onto data rows; broadcast only when the fit table is checked small."""
-    return rows.join(broadcast_if_small(fits), on=list(keys), how="inner")
+    """Join per-series fit rows onto data rows. The fit table is derived (one row per series), so
+    AQE decides at run time: broadcast when its measured size is small, sort-merge otherwise."""
+    return rows.join(fits, on=list(keys), how="inner")
 
 
 # ------------------------------------------------------------------ F1 - F3: trend + seasonality (+ regressors)
@@ -173,8 +173,8 @@ def trend_seasonal_design(split: DataFrame, spine: DataFrame, n_changepoints: in
         F.array_sort(F.collect_list(F.struct("_rn", (F.datediff("ds", "_t0") / span).alias("t")))).alias("_cp"))
     cps = cps.select(SERIES, F.transform("_cp", lambda s: s["t"]).alias("_cps"))
     pad = F.array_repeat(F.lit(1e9), n_changepoints)  # series with fewer cps: far-away hinges stay zero
-    info = info.join(broadcast_if_small(cps), SERIES, "left")
-    rows = joined.join(broadcast_if_small(info), SERIES)
+    info = info.join(cps, SERIES, "left")
+    rows = joined.join(info, SERIES)  # per-series table: AQE broadcasts it when measured small
     t = F.datediff("ds", "_t0") / span
     cpv = F.slice(F.concat(F.coalesce("_cps", F.array().cast("array<double>")), pad), 1, n_changepoints)
     hinges = F.transform(cpv, lambda c: F.greatest(t - c, F.lit(0.0)))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.operators.tokens import by_id, join_back, lookup, token_table
+from dailywire.operators.tokens import lookup, token_table
 
 
 def shared_letters(a: Column, b: Column) -> Column:
@@ -53,24 +53,25 @@ def resolve_lexicon(lexicon: DataFrame, noun_mode: str = "lemma") -> DataFrame:
 
 
 def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out: str = "normalized",
-                       noun_mode: str = "lemma") -> DataFrame:
+                       noun_mode: str = "lemma", carry: Sequence[str] = ()) -> DataFrame:
     """Blank-separated tokens looked up (lower-cased) in a (word, tag, pos, lemma, plural) lexicon.
 
-    Output is ``" " + result`` per kept token, in token order ('' when nothing is kept). Tokens not in
-    the lexicon are kept lower-cased. One shuffle (documents by id); the lexicon join is broadcast
-    behind a size check, and the regrouping reuses the id partitioning.
+    Output (id, *carry, out): ``" " + result`` per kept token in token order ('' when nothing is
+    kept); tokens not in the lexicon are kept lower-cased. The lexicon decision is evaluated once
+    per entry; the lookup is a size-checked broadcast left join; the tokens are regrouped by id
+    (the one shuffle: the document's kept tokens, with map-side list building).
     """
-    d = by_id(docs, id_col)
-    toks = token_table(d, id_col, F.split(F.col(text_col), r"(?U)\s+", -1))
-    # only the lower-cased token is needed: a hit takes the entry's result, a miss keeps the lower token
-    toks = toks.select(id_col, "pos", F.lower("token").alias("token"))
+    pre = docs.select(F.col(id_col), *[F.col(c) for c in carry],
+                      F.transform(F.split(F.col(text_col), r"(?U)\s+", -1), lambda t: F.lower(t)).alias("_toks"))
+    toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
     res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
     piece = F.when(F.col("_hit").isNull(), F.col("token")).otherwise(F.col("_out"))
     per = res.groupBy(id_col).agg(
-        F.collect_list(F.when(piece.isNotNull(), F.struct(F.col("pos"), piece.alias("t")))).alias("_parts")
+        *[F.first(c).alias(c) for c in carry],
+        F.collect_list(F.when(piece.isNotNull(), F.struct(F.col("pos"), piece.alias("t")))).alias("_parts"),
     )
     joined = F.array_join(F.transform(F.array_sort("_parts"), lambda s: F.concat(F.lit(" "), s["t"])), "")
-    return join_back(d, per, id_col).withColumn(out, F.coalesce(joined, F.lit(""))).drop("_parts")
+    return per.withColumn(out, F.coalesce(joined, F.lit(""))).drop("_parts")
 
 
 def preprocess(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
@@ -79,7 +80,8 @@ def preprocess(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame |
     """T1 -> T2 -> T3 -> T4. Without a lexicon T3 is skipped and the plan stays map-only."""
     staged = docs.withColumn(out, TX.strip_special(TX.expand_contractions(text_col)))
     if lexicon is not None:
-        staged = tokenize_pos_lemma(staged, id_col, out, lexicon, out=out, noun_mode=noun_mode)
+        keep = [c for c in docs.columns if c not in (id_col, text_col, out)]
+        staged = tokenize_pos_lemma(staged, id_col, out, lexicon, out=out, noun_mode=noun_mode, carry=keep)
     return staged.withColumn(out, TX.remove_stopwords(out, stopwords))
 
 

@@ -1,16 +1,22 @@
 """Shared token table and per-document lexicon lookups.
 
-Pattern used by every lexicon-driven operator (T3, N2, N5, N7, N9):
+Pattern used by the lexicon-driven operators (N2, N5, N7, N9):
 
-1. hash-partition the documents once by their id (one shuffle of the documents);
-2. ``posexplode`` tokens (narrow) and join the lexicon (broadcast when its size is checked,
-   otherwise a shuffle join with AQE skew splitting);
-3. aggregate per document - the aggregation reuses the id partitioning, so the token rows
-   are never shuffled when the lexicon is broadcast.
+1. ``explode_outer`` the tokens of each document (narrow: a document's tokens stay in the map
+   task that read the document, and a document without tokens keeps one row);
+2. left-join the lexicon - broadcast behind a row-count check, otherwise a shuffle join whose hot
+   tokens AQE splits;
+3. ``groupBy(id)``: partial aggregation collapses every document to one row inside its map task,
+   so the shuffle carries one small row per document - never the text, never the tokens.
+
+Per-document columns that are not aggregated (counts computed from the text, other small
+columns) ride along with ``first``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +28,16 @@ def by_id(df: DataFrame, id_col: str) -> DataFrame:
     return df.repartition(id_col)
 
 
-def token_table(df: DataFrame, id_col: str, tokens: Column, keep_empty: bool = False) -> DataFrame:
-    """(id, pos, token) rows; ``pos`` is the token's index in the document."""
-    t = df.select(F.col(id_col), F.posexplode(tokens).alias("pos", "token"))
-    return t if keep_empty else t.where(F.col("token") != "")
+def token_table(df: DataFrame, id_col: str, tokens: Column, keep_empty: bool = False, outer: bool = False,
+                carry: Sequence[str] = ()) -> DataFrame:
+    """(id, *carry, pos, token) rows; ``pos`` is the token's index in the document.
+
+    ``outer=True`` keeps documents without (non-empty) tokens as one row with NULL pos / token.
+    """
+    if not keep_empty:
+        tokens = F.filter(tokens, lambda x: x != "")
+    gen = F.posexplode_outer(tokens) if outer else F.posexplode(tokens)
+    return df.select(F.col(id_col), *[F.col(c) for c in carry], gen.alias("pos", "token"))
 
 
 def lookup(tokens: DataFrame, lexicon: DataFrame, word_col: str = "word", how: str = "inner",
@@ -35,6 +47,21 @@ def lookup(tokens: DataFrame, lexicon: DataFrame, word_col: str = "word", how: s
     return tokens.join(lex, tokens["token"] == lex[word_col], how).drop(lex[word_col])
 
 
+def per_document(docs: DataFrame, id_col: str, tokens: Column, lexicon: DataFrame, aggs: Sequence[Column],
+                 word_col: str = "word", carry: dict[str, Column] | None = None,
+                 max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """(id, *carry, *aggs) for every document: explode_outer -> lexicon left join -> group by id.
+
+    ``carry`` are per-document expressions evaluated on the document row before the explode
+    (e.g. a token count) and passed through with ``first``.
+    """
+    carry = carry or {}
+    pre = docs.select(F.col(id_col), tokens.alias("_toks"), *[c.alias(n) for n, c in carry.items()])
+    toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
+    hit = lookup(toks, lexicon, word_col, how="left", max_broadcast_rows=max_broadcast_rows)
+    return hit.groupBy(id_col).agg(*[F.first(n).alias(n) for n in carry], *aggs)
+
+
 def join_back(docs: DataFrame, per_doc: DataFrame, id_col: str) -> DataFrame:
-    """Left join of per-document results onto the (already id-partitioned) documents."""
+    """Left join of per-document results onto the documents."""
     return docs.join(per_doc, on=id_col, how="left")
