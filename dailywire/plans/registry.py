@@ -54,6 +54,7 @@ def load_all() -> dict[str, Query]:
         extract_plans,
         forecast_plans,
         series_plans,
+        source_plans,
         stream_plans,
         text_plans,
     )
