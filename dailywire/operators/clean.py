@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,10 +60,20 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct()
 
 
-def drop_duplicates_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row per key under an explicit order (deterministic, unlike dropDuplicates)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+def drop_duplicates_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | tuple[str, bool]]) -> DataFrame:
+    """Keep the first row per key under an explicit order (deterministic, unlike dropDuplicates).
+
+    ``order`` items are column names (ascending) or ``(name, ascending)``; a descending key must be
+    numeric. Written as ``min_by`` over a struct, so a hot key is partially aggregated in every map
+    task instead of being sorted in one task as a window would.
+    """
+    sort_key = []
+    for item in order:
+        name, asc = (item, True) if isinstance(item, str) else item
+        sort_key.append(F.col(name) if asc else -F.col(name))
+    rest = [c for c in df.columns if c not in set(keys)]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.struct(*sort_key)).alias("_first"))
+    return best.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in rest])
 
 
 def any_flag_filter(df: DataFrame, flags: Sequence[str]) -> DataFrame:

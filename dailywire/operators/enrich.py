@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
+from dailywire.operators.clean import drop_duplicates_first
 from dailywire.operators.tokens import per_document
 
 # Literal maps are scanned linearly per token: use them only for tiny lexicons.
@@ -90,10 +91,7 @@ def prepare_sentiment_dictionary(raw: DataFrame, lemmas: DataFrame | None = None
     if lemmas is not None:
         lem = F.broadcast(lemmas.select(F.col("word").alias("_w"), F.col("lemma").alias("_l")))
         d = d.join(lem, d[word_col] == lem["_w"], "left").withColumn(word_col, F.coalesce("_l", word_col)).drop("_w", "_l")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(word_col).orderBy("_order")
-    return d.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_order")
+    return drop_duplicates_first(d, [word_col], ["_order"]).drop("_order")
 
 
 def category_word_counts(docs: DataFrame, id_col: str, text_col: str, dictionary: DataFrame,

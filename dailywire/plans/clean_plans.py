@@ -95,7 +95,7 @@ def c8(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def c9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return C.drop_duplicates_first(docs, ["lang", "source"], [F.desc("n_chars"), F.asc("doc_id")]).drop("n_chars")
+    return C.drop_duplicates_first(docs, ["lang", "source"], [("n_chars", False), "doc_id"]).drop("n_chars")
 
 
 @query(
