@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.operators.tokens import lookup, token_table
+from dailywire.operators.tokens import by_id, lookup, token_table
 
 
 def shared_letters(a: Column, b: Column) -> Column:
@@ -58,10 +58,11 @@ def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
 
     Output (id, *carry, out): ``" " + result`` per kept token in token order ('' when nothing is
     kept); tokens not in the lexicon are kept lower-cased. The lexicon decision is evaluated once
-    per entry; the lookup is a size-checked broadcast left join; the tokens are regrouped by id
-    (the one shuffle: the document's kept tokens, with map-side list building).
+    per entry; the lookup is a size-checked broadcast left join. The documents are hash-partitioned
+    by id first (the one shuffle, of the compact text), so regrouping the tokens needs no exchange;
+    measured faster than shuffling per-document token lists.
     """
-    pre = docs.select(F.col(id_col), *[F.col(c) for c in carry],
+    pre = by_id(docs, id_col).select(F.col(id_col), *[F.col(c) for c in carry],
                       F.transform(F.split(F.col(text_col), r"(?U)\s+", -1), lambda t: F.lower(t)).alias("_toks"))
     toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
     res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
