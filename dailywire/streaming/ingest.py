@@ -77,11 +77,15 @@ def streaming_daily_aggregate(spark: SparkSession, source_dir: str, table_path:
     Tumbling 1-day windows with a watermark; update mode so a day is revised while it is open, and
     rows later than the watermark are dropped.
     """
-    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
-    ts = F.col("ts").cast("timestamp")
-    agg = (stream.withColumn("_ts", ts).withWatermark("_ts", watermark)
-           .groupBy(F.window("_ts", "1 day"), F.col("event_type"))
+    # The readings are wall-clock (timestamp_ntz); watermarks need TIMESTAMP, so the column is read
+    # as TIMESTAMP: its stored micros become UTC instants, independent of the session time zone.
+    stream = (spark.readStream.schema(EVENTS_SCHEMA.replace("ts TIMESTAMP_NTZ", "ts TIMESTAMP"))
+              .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
+    agg = (stream.withWatermark("ts", watermark)
+           .groupBy(F.window("ts", "1 day"), F.col("event_type"))
            .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum")))
-    out = agg.select(F.to_date(F.col("window.start")).alias("datetime"), "event_type", "n", "value_sum")
+    # the window start is UTC midnight of the reading's wall-clock day, whatever the session zone
+    day = F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window.start").cast("timestamp_ntz")))
+    out = agg.select(day.alias("datetime"), "event_type", "n", "value_sum")
     return (out.writeStream.outputMode("update").foreachBatch(upsert_daily(table_path))
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
