@@ -34,8 +34,15 @@ def let(value: Column, fn) -> Column:
 
 
 def py_strip(col: Column | str) -> Column:
-    """Strip leading/trailing Unicode blanks (``str.strip()``; Spark ``trim`` removes spaces only)."""
-    return F.regexp_replace(_c(col), r"(?U)\A\s+|\s+\z", "")
+    """Strip leading/trailing Unicode blanks (``str.strip()``; Spark ``trim`` removes spaces only).
+
+    The regex only runs when the first or last character is blank (two one-character checks).
+    """
+    def strip(c: Column) -> Column:
+        edge = F.substring(c, 1, 1).rlike(r"(?U)\s") | F.substring(c, -1, 1).rlike(r"(?U)\s")
+        return F.when(edge, F.regexp_replace(c, r"(?U)\A\s+|\s+\z", "")).otherwise(c)
+
+    return let(_c(col), strip)
 
 
 def clean_html_text(col: Column | str) -> Column:
@@ -49,9 +56,12 @@ def clean_link(col: Column | str) -> Column:
 
 
 def expand_contractions(col: Column | str, bounded: bool = False) -> Column:
-    """Ordered contraction expansion. ``bounded=True`` only rewrites at word ends."""
+    """Ordered contraction expansion. ``bounded=True`` only rewrites at word ends.
+
+    Every rule contains an apostrophe, so a text without one is passed through unscanned.
+    """
     if not bounded:
-        return replace_chain(col, L.CONTRACTIONS)
+        return let(_c(col), lambda c: F.when(c.contains("'") | c.contains("’"), replace_chain(c, L.CONTRACTIONS)).otherwise(c))
     out = _c(col)
     for search, repl in L.CONTRACTIONS:
         if "'" in search:
