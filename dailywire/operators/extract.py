@@ -27,6 +27,7 @@ VOID_TAGS = frozenset("area base br col embed hr img input link meta param sourc
 RAW_TEXT_TAGS = frozenset(("script", "style"))
 # tags whose text the rules read; other elements keep only tag / attributes / ancestry
 TEXT_TAGS = frozenset("h1 h2 li div p span time a title".split())
+PARSE_SLICE_ROWS = 256  # pages parsed per output batch
 
 
 class _NodeBuilder(HTMLParser):
@@ -104,10 +105,13 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
     node_type = pa.list_(pa.struct(NODE_FIELDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            nodes = [html_nodes(h) for h in b.column(html_col).to_pylist()]
-            cols = [b.column(id_col)] + [b.column(c) for c in keep] + [pa.array(nodes, type=node_type)]
-            yield pa.RecordBatch.from_arrays(cols, names=[id_col, *keep, "nodes"])
+        for whole in batches:
+            # parse and emit in slices so one output batch stays bounded whatever the input batch size
+            for start in range(0, whole.num_rows, PARSE_SLICE_ROWS):
+                b = whole.slice(start, PARSE_SLICE_ROWS)
+                nodes = [html_nodes(h) for h in b.column(html_col).to_pylist()]
+                cols = [b.column(id_col)] + [b.column(c) for c in keep] + [pa.array(nodes, type=node_type)]
+                yield pa.RecordBatch.from_arrays(cols, names=[id_col, *keep, "nodes"])
 
     return src.mapInArrow(run, out_ddl)
 

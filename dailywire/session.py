@@ -30,6 +30,8 @@ def get_spark(master: str | None = None, app: str = "dailywire", shuffle_partiti
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Arrow batches to Python workers: raw pages can be large, keep a batch well under memory
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("DAILYWIRE_DRIVER_MEMORY", "16g"))
         # long texts: keep input splits small so a few huge documents spread out
