@@ -29,7 +29,7 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _NAV_LINKS_SQL = f"""nl AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS links FROM pages),
-    nx AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, generate_subscripts(links, 1) - 1 AS pos FROM nl)"""
+    nx AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos FROM nl)"""
 
 
 @query("E1_extract_links", f"WITH {_NAV_LINKS_SQL} SELECT page_id, pos, link FROM nx")
@@ -55,7 +55,7 @@ def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DISTINCT_SQL = _ALL_LINKS_SQL + """,
     fd AS (SELECT page_id, url, link, min(pos) AS first_pos FROM ax GROUP BY page_id, url, link),
-    dl AS (SELECT page_id, url, link, row_number() OVER (PARTITION BY page_id ORDER BY first_pos) - 1 AS pos FROM fd)"""
+    dl AS (SELECT page_id, url, link, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first_pos) - 1 AS INTEGER) AS pos FROM fd)"""
 
 
 @query("E3_distinct_links", f"WITH {_DISTINCT_SQL} SELECT page_id, pos, link FROM dl")
