@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailywire.operators import series as X
+from dailywire.session import checkpoint
 
 SERIES = X.SERIES
 Z80 = 1.2815515655446004  # two-sided 80% normal quantile
@@ -210,7 +211,8 @@ def forecast_trend_seasonal(split: DataFrame, periods: int = 16, regressors: Dat
         joined = X.join_regressors(spine, regressors.select(SERIES, "ds", *regressor_cols))
         filled = X.forward_fill(joined, regressor_cols)
         spine = filled.join(spine, [SERIES, "ds"], "inner")
-    design = trend_seasonal_design(split, spine, n_changepoints=n_changepoints, regressors=regressor_cols)
+    # the design (series x days, small) feeds both the fit and the scoring: materialise it once
+    design = checkpoint(trend_seasonal_design(split, spine, n_changepoints=n_changepoints, regressors=regressor_cols))
     blocks = trend_seasonal_blocks(n_changepoints, n_regressors=len(regressor_cols))
     k = blocks["extra_regressors"][1]
     pen = [0.0, 0.0] + [changepoint_penalty] * n_changepoints + [seasonal_penalty] * (k - 2 - n_changepoints)
@@ -262,7 +264,7 @@ def _long_ar_residuals(df: DataFrame, m: int) -> DataFrame:
     """Stage 1 of Hannan-Rissanen: AR(m) by least squares per series; adds residual ``_e``."""
     w = X._w()
     feats = F.array(F.lit(1.0), *[F.lag("_w", i).over(w).cast("double") for i in range(1, m + 1)])
-    rows = df.withColumn("_x1", feats)
+    rows = checkpoint(df.withColumn("_x1", feats))  # read by the fit and by the residuals
     fit = solve(gram(rows, [SERIES], "_x1", "_w", m + 1), [SERIES], m + 1).select(SERIES, F.col("coef").alias("_c1"))
     res = attach(rows, fit).withColumn("_e", F.when(~F.exists("_x1", lambda v: v.isNull()), F.col("_w") - dot("_c1", "_x1")))
     return res.drop("_x1", "_c1")
@@ -289,7 +291,7 @@ def arma_order_search(df: DataFrame, max_p: int = 3, max_q: int = 3, d: DataFram
     base = _differenced(df.join(dd, SERIES), F.col("d"))
     base = _long_ar_residuals(base, long_ar)
     ar, ma = list(range(1, max_p + 1)), list(range(1, max_q + 1))
-    design = _arma_design(base, ar, ma)
+    design = checkpoint(_arma_design(base, ar, ma))
     k = 1 + len(ar) + len(ma)
     subsets = {f"{p},{q}": [0] + list(range(1, p + 1)) + list(range(1 + max_p, 1 + max_p + q)) for p in range(max_p + 1) for q in range(max_q + 1)}
     fits = solve(gram(design, [SERIES], "_x2", "_w", k), [SERIES], k, subsets).where("ok")
@@ -359,7 +361,7 @@ def arima_forecast(split: DataFrame, steps_extra: int = 2, orders: DataFrame | N
     n_test = split.where(F.col("set") == "test").groupBy(SERIES).agg(F.count(F.lit(1)).alias("_m"))
     od = orders if orders is not None else arma_order_search(train, long_ar=long_ar)
     max_p = max_q = 3
-    base = _long_ar_residuals(_differenced(train.join(od.select(SERIES, "d"), SERIES), F.col("d")), long_ar)
+    base = checkpoint(_long_ar_residuals(_differenced(train.join(od.select(SERIES, "d"), SERIES), F.col("d")), long_ar))
     ar, ma = list(range(1, max_p + 1)), list(range(1, max_q + 1))
     design = _arma_design(base, ar, ma)
     k = 1 + max_p + max_q
@@ -403,10 +405,11 @@ def _sarimax_design(train: DataFrame, exog: Sequence[str], long_ar: int) -> Data
     return _arma_design(base, SARIMAX_AR, SARIMAX_MA, [f"x{i}" for i in range(len(exog))])
 
 
-def sarimax_grid_search(train: DataFrame, exog: Sequence[str] = (), long_ar: int = 21, min_rows: int = 30) -> DataFrame:
+def sarimax_grid_search(train: DataFrame, exog: Sequence[str] = (), long_ar: int = 21, min_rows: int = 30,
+                        design: DataFrame | None = None) -> DataFrame:
     """F8: all 81 seasonal orders per series on one common sample; singular / short fits skipped;
     the lowest-AIC order per series. Output: series_id, order, aic, coef."""
-    design = _sarimax_design(train, exog, long_ar)
+    design = design if design is not None else checkpoint(_sarimax_design(train, exog, long_ar))
     k = 1 + len(SARIMAX_AR) + len(SARIMAX_MA) + len(exog)
     fits = solve(gram(design, [SERIES], "_x2", "_w", k), [SERIES], k, _sarimax_subsets(len(exog)), min_rows=min_rows).where("ok")
     best = fits.groupBy(SERIES).agg(F.min_by(F.struct("model", "aic", "coef"), F.struct("aic", "model")).alias("_b"))
@@ -418,8 +421,8 @@ def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int =
     (known) exogenous values. Output: series_id, ds, y, yhat, order."""
     train = split.where(F.col("set") == "train")
     test = split.where(F.col("set") == "test")
-    best = sarimax_grid_search(train, exog, long_ar)
-    design = _sarimax_design(train, exog, long_ar)
+    design = checkpoint(_sarimax_design(train, exog, long_ar))
+    best = sarimax_grid_search(train, exog, long_ar, design=design)
     tail = _tail(design, ["y", "_w", "_e"], 15)
     steps = test.groupBy(SERIES).agg(F.count(F.lit(1)).alias("_m"))
     rec = best.join(tail, SERIES).join(steps, SERIES)
