@@ -88,10 +88,6 @@ def strip_special(col: Column | str) -> Column:
     return F.regexp_replace(out, r"(?U)\s+", " ")
 
 
-def _term_list(terms: Iterable[str]) -> list[str]:
-    return [t for t in terms]
-
-
 def remove_stopwords(
     col: Column | str,
     stopwords: Sequence[str] = L.STOPWORDS_FIRST_100,
@@ -104,7 +100,7 @@ def remove_stopwords(
     The membership test becomes a hash ``INSET`` (Catalyst ``OptimizeIn``); no Python worker.
     Empty tokens stay and rejoin as blanks.
     """
-    words = _term_list(stopwords[:limit] if limit is not None else stopwords)
+    words = list(stopwords[:limit] if limit is not None else stopwords)
 
     def body(src: Column) -> Column:
         base = F.lower(src) if lower else src
@@ -127,13 +123,13 @@ def blank_tokens(col: Column | str) -> Column:
 
 def keyterm_flag(col: Column | str, terms: Sequence[str] = L.COVID_TERMS) -> Column:
     """1 if any blank-split token is a key term, else NULL."""
-    terms = _term_list(terms)
+    terms = list(terms)
     return F.when(F.exists(blank_tokens(col), lambda x: x.isin(terms)), F.lit(1))
 
 
 def term_occurrences(col: Column | str, terms: Sequence[str] = L.NEGATIVE_TERMS) -> Column:
     """Number of blank-split tokens (with repeats) that are in ``terms``."""
-    terms = _term_list(terms)
+    terms = list(terms)
     return F.size(F.filter(blank_tokens(col), lambda x: x.isin(terms)))
 
 

@@ -335,9 +335,3 @@ def last_text(nodes: Column | str, tag: str, cls_contains: str | None = None) ->
     """Clean text of the last node matching the selector (NULL when none)."""
     sel = nodes_with_tag(nodes, tag, cls_contains=cls_contains)
     return F.when(F.size(sel) > 0, TX.clean_html_text(F.element_at(sel, -1)["text"]))
-
-
-def sites_from_pages(pages: DataFrame, url_col: str = "url") -> DataFrame:
-    """The site catalogue for driver pages: site = host, homepage = scheme://host (small: one row per host)."""
-    host = F.regexp_extract(F.col(url_col), r"^(https?://[^/?#]+)", 1)
-    return pages.select(F.regexp_extract(F.col(url_col), r"^https?://([^/?#]+)", 1).alias("site"), host.alias("homepage")).distinct()

@@ -60,8 +60,3 @@ def per_document(docs: DataFrame, id_col: str, tokens: Column, lexicon: DataFram
     toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
     hit = lookup(toks, lexicon, word_col, how="left", max_broadcast_rows=max_broadcast_rows)
     return hit.groupBy(id_col).agg(*[F.first(n).alias(n) for n in carry], *aggs)
-
-
-def join_back(docs: DataFrame, per_doc: DataFrame, id_col: str) -> DataFrame:
-    """Left join of per-document results onto the documents."""
-    return docs.join(per_doc, on=id_col, how="left")
