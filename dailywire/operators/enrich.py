@@ -15,6 +15,7 @@ from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
 from dailywire.operators.clean import drop_duplicates_first
 from dailywire.operators.tokens import per_document
+from dailywire.session import broadcast_if_small
 
 # Literal maps are scanned linearly per token: use them only for tiny lexicons.
 MAX_LITERAL_LEXICON = 256
@@ -89,7 +90,7 @@ def prepare_sentiment_dictionary(raw: DataFrame, lemmas: DataFrame | None = None
     d = d.where(F.greatest(*[F.col(c).cast("int") for c in categories]) == 1)
     d = d.withColumn(word_col, F.lower(word_col))
     if lemmas is not None:
-        lem = F.broadcast(lemmas.select(F.col("word").alias("_w"), F.col("lemma").alias("_l")))
+        lem = broadcast_if_small(lemmas.select(F.col("word").alias("_w"), F.col("lemma").alias("_l")))
         d = d.join(lem, d[word_col] == lem["_w"], "left").withColumn(word_col, F.coalesce("_l", word_col)).drop("_w", "_l")
     return drop_duplicates_first(d, [word_col], ["_order"]).drop("_order")
 

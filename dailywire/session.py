@@ -15,17 +15,15 @@ DEFAULT_BROADCAST_ROWS = 200_000
 def get_spark(master: str | None = None, app: str = "dailywire", shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings the operators assume.
 
-    On a cluster the master and most settings come from spark-submit; only
-    defaults that are unset are filled in here.
+    Local runs get a small shuffle width (2 x cores unless given). On a cluster the width comes
+    from the cluster configuration; when it is left at Spark's default, AQE starts from a wide
+    initial partition count sized from the executors' cores and coalesces to ~256 MB partitions.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    cpus = os.environ.get("BENCH_CPUS")
-    parts = shuffle_partitions or (int(cpus) if cpus else 8)
     builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
+        builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -39,6 +37,16 @@ def get_spark(master: str | None = None, app: str = "dailywire", shuffle_partiti
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        cpus = os.environ.get("BENCH_CPUS")
+        parts = shuffle_partitions or (2 * int(cpus) if cpus else 2 * sc.defaultParallelism)
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    elif shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(2000, 4 * sc.defaultParallelism)))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024 * 1024))
     return spark
 
 
