@@ -331,6 +331,15 @@ def weather_fields(col: Column | str, metrics: Sequence[str] = L.WEATHER_METRICS
     return F.array(*items)
 
 
+def weather_columns(long: DataFrame, id_col: str, metrics: Sequence[str] = L.WEATHER_METRICS) -> DataFrame:
+    """E14 wide form: one column per metric named ``"<metric> in <unit>"`` (just ``<metric>`` without a
+    unit). The pivot values are the (small) distinct metric/unit names found, so one extra job
+    lists them; the metric list bounds their number."""
+    named = long.where(F.col("metric").isin(*metrics)).withColumn(
+        "_name", F.when(F.col("unit") != "", F.concat(F.col("metric"), F.lit(" in "), F.col("unit"))).otherwise(F.col("metric")))
+    return named.groupBy(id_col).pivot("_name").agg(F.first("value"))
+
+
 def last_text(nodes: Column | str, tag: str, cls_contains: str | None = None) -> Column:
     """Clean text of the last node matching the selector (NULL when none)."""
     sel = nodes_with_tag(nodes, tag, cls_contains=cls_contains)

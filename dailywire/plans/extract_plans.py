@@ -167,7 +167,16 @@ def e14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(fields.select("event_id", F.col("f.metric").alias("metric"), F.col("f.value").alias("value"), F.col("f.unit").alias("unit")))
 
 
-@query("E15_extract_index_quote")
+def _last_text_sql(tag: str) -> str:
+    parts = f"regexp_extract_all(html, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1)"
+    last = _unescape(f"regexp_replace({parts}[-1], '<[^>]*>', '', 'g')")
+    return f"CASE WHEN len({parts}) > 0 THEN {S.clean_html_text(last)} END"
+
+
+@query(
+    "E15_extract_index_quote",
+    f"SELECT page_id, {_last_text_sql('h1')} AS index_name, {_last_text_sql('li')} AS index_value FROM pages",
+)
 def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last matching name / value text of a page (here: the last ``li`` and the ``h1``)."""
     p = _parsed(spark, sf_dir)

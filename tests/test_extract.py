@@ -76,6 +76,10 @@ def test_weather_fields_and_last_text(spark):
     r = spark.createDataFrame([(t,)], "t string").select(E.weather_fields("t").alias("w")).first()
     assert [(x.metric, x.value, x.unit) for x in r.w] == [
         ("Wind", 18.0, "km/h"), ("Humidity", 80.0, "%"), ("Precipitation", 1.5, "mm"), ("Visibility", 6.44, "km"), ("UV index", 0.0, "")]
+    long = spark.createDataFrame([(1, x.metric, x.value, x.unit) for x in r.w], "id int, metric string, value double, unit string")
+    wide = E.weather_columns(long, "id").first().asDict()
+    assert wide == {"id": 1, "Wind in km/h": 18.0, "Humidity in %": 80.0, "Precipitation in mm": 1.5,
+                    "Visibility in km": 6.44, "UV index": 0.0}
     html = "<span class='priceText__x'>16,900.00</span><span class='priceText__x'>16,914.58</span><div class='companyName__y'>Hang Seng</div>"
     p = E.parse_pages(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))
     q = p.select(E.last_text("nodes", "span", "priceText").alias("v"), E.last_text("nodes", "div", "companyName").alias("n")).first()
