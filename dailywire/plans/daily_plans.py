@@ -10,7 +10,7 @@ from dailywire.operators import daily as D
 from dailywire.operators.enrich import negative_flag_col, polarity_literal
 from dailywire.plans import sqltext as S
 from dailywire.plans.registry import query, rounded
-from dailywire.sources.readers import table
+from dailywire.sources.readers import table, text_table
 from dailywire.sources.views import index_readings, news_from_documents, weather_readings
 
 # Parameters of the registered runs on the driver tables: the synthetic prose has no
@@ -34,7 +34,7 @@ def article_features(news: DataFrame, key_terms=DRIVER_KEY_TERMS, negative_terms
 
 
 def daily_table(spark: SparkSession, sf_dir: str, start: str = START_DATE) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     news = news_from_documents(docs).where(F.col("date") >= F.lit(start).cast("date"))
     counts = D.daily_ratios(D.daily_article_counts(article_features(news)))
     events = table(spark, sf_dir, "events").where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
@@ -71,7 +71,7 @@ query("daily_news_readings", _daily_sql())(daily_table)
 
 @query("A1_daily_article_counts", f"WITH {_features_sql(None)} SELECT * FROM counts")
 def a1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    news = news_from_documents(table(spark, sf_dir, "documents"))
+    news = news_from_documents(text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
     return D.daily_article_counts(article_features(news))
 
 
@@ -82,7 +82,7 @@ def a1(spark: SparkSession, sf_dir: str) -> DataFrame:
     round(total_negative_articles::DOUBLE / total_number_of_articles, 6) AS ratio_negative_articles FROM counts""",
 )
 def a2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    news = news_from_documents(table(spark, sf_dir, "documents"))
+    news = news_from_documents(text_table(spark, sf_dir, "documents", ["doc_id", "text", "source"]))
     r = D.daily_ratios(D.daily_article_counts(article_features(news)))
     return rounded(r.select("datetime", "ratio_articles_about_covid", "ratio_negative_articles"))
 

@@ -13,7 +13,7 @@ from dailywire.functions import lexicons as L
 from dailywire.operators import extract as E
 from dailywire.plans import sqltext as S
 from dailywire.plans.registry import query, rounded
-from dailywire.sources.readers import table
+from dailywire.sources.readers import table, text_table
 
 SECTION_TAG, SECTION_CLASS = "nav", None  # the link section of the generated pages
 
@@ -25,7 +25,7 @@ def _unescape(x: str) -> str:
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return E.parse_pages(table(spark, sf_dir, "pages"))
+    return E.parse_pages(text_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
 _NAV_LINKS_SQL = f"""nl AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS links FROM pages),

@@ -12,7 +12,7 @@ from dailywire.operators import text as TO
 from dailywire.plans import sqltext as S
 from dailywire.plans.daily_plans import DRIVER_KEY_TERMS, DRIVER_NEGATIVE_TERMS, DRIVER_POLARITY
 from dailywire.plans.registry import query, rounded
-from dailywire.sources.readers import table
+from dailywire.sources.readers import table, text_table
 
 # Lexicon tables for the registered runs (words that occur in the synthetic prose).
 DRIVER_TAG_LEXICON = [
@@ -50,7 +50,7 @@ DRIVER_GAZETTEER = [("rewh", "ORG"), ("thon", "GPE"), ("thth", "DATE"), ("orre",
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return text_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,9 +73,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder (never localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a Parquet stage table written under the shared checkpoint folder.
+
+    One job writes the table (``Dataset.checkpoint`` would run the plan twice: once to count and
+    once more to save the unpersisted RDD); the read-back is columnar and survives executor loss.
+    Never ``localCheckpoint``.
+    """
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), f"stage-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def fits(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:

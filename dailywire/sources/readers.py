@@ -49,6 +49,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a CPU-heavy input (text, HTML) over the cores when it arrives in too few splits.
+
+    A large input already has many more splits than cores and is returned unchanged (no shuffle);
+    a small one - e.g. a single-row-group file, which Spark cannot split - is round-robin
+    repartitioned to ``2 x defaultParallelism`` so the per-row work runs on every core.
+    """
+    target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A driver table whose rows carry heavy per-row work, pruned to ``columns`` and spread."""
+    df = table(spark, sf_dir, name)
+    return spread(df.select(*columns) if columns else df)
+
+
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ";", header: bool = True) -> DataFrame:
     """Delimited text with a header row and a declared schema (column names may hold blanks, %, /)."""
     return (
