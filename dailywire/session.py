@@ -52,23 +52,35 @@ def get_spark(master: str | None = None, app: str = "dailywire", shuffle_partiti
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only for local runs.
+    """Return the shared folder for checkpoints and stage tables, setting one only for local runs.
 
-    On a cluster ``spark.checkpoint.dir`` must name a shared folder; a
-    machine-local temporary folder is used only when the master is local.
+    On a cluster ``spark.checkpoint.dir`` must name a shared folder; a machine-local temporary
+    folder is used only when the master is local.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        conf_dir = conf_dir or sc.getConf().get("spark.checkpoint.dir", None)
+        if conf_dir:
+            sc.setCheckpointDir(conf_dir)
+            return sc.getCheckpointDir()
+        master = sc.master
+    else:
+        if conf_dir:
+            return conf_dir
+        master = spark.conf.get("spark.master", "")
+    if master.startswith("local"):
         local = tempfile.mkdtemp(prefix="dailywire-ckpt-")
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir()
+        if sc is not None:
+            sc.setCheckpointDir(local)
+            return sc.getCheckpointDir()
+        return local
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before running on a cluster")
 
 

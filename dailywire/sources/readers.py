@@ -56,8 +56,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     a small one - e.g. a single-row-group file, which Spark cannot split - is round-robin
     repartitioned to ``2 x defaultParallelism`` so the per-row work runs on every core.
     """
-    target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or 2 * df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD API: leave the plan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
