@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,25 +39,39 @@ def daily_ratios(
     return counts.withColumns({dst: F.try_divide(F.col(src).cast("double"), F.col(total_col)) for src, dst in pairs})
 
 
-def daily_mean(readings: DataFrame, ts_col: str, value_cols: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:
+def day_of(ts: Column | str, source_tz: str | None = None, target_tz: str | None = None) -> Column:
+    """Calendar day of a wall-clock timestamp, optionally moved from ``source_tz`` to ``target_tz``
+    first (e.g. UTC news against local-time readings). Without zones: the day as recorded."""
+    c = F.col(ts) if isinstance(ts, str) else ts
+    if source_tz and target_tz:
+        c = F.convert_timezone(F.lit(source_tz), F.lit(target_tz), c.cast("timestamp_ntz"))
+    return F.to_date(c)
+
+
+def daily_mean(readings: DataFrame, ts_col: str, value_cols: Sequence[str], drop: Sequence[str] = (),
+               source_tz: str | None = None, target_tz: str | None = None) -> DataFrame:
     """A3 / A4: mean of each value column per calendar day (NULLs skipped, repeats kept)."""
     keep = [c for c in value_cols if c not in set(drop)]
-    return readings.groupBy(F.to_date(ts_col).alias("datetime")).agg(*[F.avg(c).alias(c) for c in keep])
+    day = day_of(ts_col, source_tz, target_tz)
+    return readings.groupBy(day.alias("datetime")).agg(*[F.avg(c).alias(c) for c in keep])
 
 
-def daily_index_mean(index: DataFrame, ts_col: str = "datetime", value_col: str = "index_value") -> DataFrame:
+def daily_index_mean(index: DataFrame, ts_col: str = "datetime", value_col: str = "index_value",
+                     source_tz: str | None = None, target_tz: str | None = None) -> DataFrame:
     """A3."""
-    return daily_mean(index, ts_col, [value_col])
+    return daily_mean(index, ts_col, [value_col], source_tz=source_tz, target_tz=target_tz)
 
 
 def daily_weather_mean(
     weather: DataFrame,
     ts_col: str = "datetime",
     drop: Sequence[str] = ("humidity_pct", "visibility_km", "uv_index"),
+    source_tz: str | None = None,
+    target_tz: str | None = None,
 ) -> DataFrame:
     """A4: mean of every numeric column, then drop the columns that barely change."""
     numeric = [f.name for f in weather.schema.fields if f.name != ts_col and f.dataType.typeName() in ("double", "float", "integer", "long", "short", "decimal")]
-    return daily_mean(weather, ts_col, numeric, drop)
+    return daily_mean(weather, ts_col, numeric, drop, source_tz=source_tz, target_tz=target_tz)
 
 
 def merge_daily_sources(*daily: DataFrame, key: str = "datetime") -> DataFrame:

@@ -134,3 +134,13 @@ def test_sarimax_grid_and_forecast(spark):
     fc = FC.sarimax_forecast(split, exog=["x"])
     assert fc.count() == split.where("set = 'test'").count()
     assert fc.where(F.col("yhat").isNull() | F.isnan("yhat")).count() == 0
+
+
+def test_day_boundaries_follow_a_time_zone(spark):
+    from dailywire.operators import daily as D
+
+    rows = spark.createDataFrame([(dt.datetime(2022, 11, 2, 20, 0), 1.0), (dt.datetime(2022, 11, 2, 10, 0), 3.0)], "ts timestamp_ntz, v double")
+    plain = {r.datetime: r.v for r in D.daily_mean(rows, "ts", ["v"]).collect()}
+    assert plain == {dt.date(2022, 11, 2): 2.0}
+    shifted = {r.datetime: r.v for r in D.daily_mean(rows, "ts", ["v"], source_tz="UTC", target_tz="Asia/Hong_Kong").collect()}
+    assert shifted == {dt.date(2022, 11, 3): 1.0, dt.date(2022, 11, 2): 3.0}
