@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.operators import enrich as N

@@ -5,11 +5,9 @@ usage: python tools/t5_scaling.py [sf_dir]     (each core count runs in its own
 
 from __future__ import annotations
 
-import json
 import os
 import subprocess
 import sys
-import time
 
 CHILD = r'''
 import json, os, sys, time
