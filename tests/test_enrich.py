@@ -87,3 +87,26 @@ def test_first_entity_only_first_counts(spark):
     assert out[1].company == "acme" and out[1].country is None
     assert all(getattr(out[2], c) is None for _, c in L.ENTITY_COLUMNS)
     assert all(getattr(out[3], c) is None for _, c in L.ENTITY_COLUMNS)
+
+
+def test_score_documents_equals_separate_operators(spark):
+    from dailywire.sources.readers import table
+    from tests.conftest import SF_SMALL
+    from dailywire.functions import text as TX
+    from dailywire.plans import text_plans as P
+
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", TX.preprocess_text("text").alias("p"))
+    pol = spark.createDataFrame(list(P.DRIVER_POLARITY.items()), "word string, score double")
+    val = spark.createDataFrame(list(P.DRIVER_VALENCE.items()), "word string, score double")
+    gz = spark.createDataFrame(P.DRIVER_GAZETTEER, "term string, label string")
+    both = {r.doc_id: r for r in N.score_documents(docs, "doc_id", "p", pol, val, gz, negative_terms=["orre"]).collect()}
+    sep_pol = {r.doc_id: r.polarity for r in N.lexicon_polarity(docs, "doc_id", "p", pol).collect()}
+    sep_val = {r.doc_id: r for r in N.valence_class(docs, "doc_id", "p", val).collect()}
+    sep_ent = {r.doc_id: r for r in N.first_entity(docs, "doc_id", "p", gz).collect()}
+    flags = {r.doc_id: r.f for r in docs.select("doc_id", N.negative_flag_col(
+        N.polarity_literal("p", P.DRIVER_POLARITY), "p", ["orre"]).alias("f")).collect()}
+    assert set(both) == set(sep_pol) == set(sep_val) == set(sep_ent)
+    for k, r in both.items():
+        assert abs(r.polarity - sep_pol[k]) < 1e-12 and r.negative_flag == flags[k]
+        assert r.polarity_vader == sep_val[k].polarity_vader and abs(r.valence_pos - sep_val[k].valence_pos) < 1e-12
+        assert (r.company, r.country, r.date_event, r.event) == (sep_ent[k].company, sep_ent[k].country, sep_ent[k].date_event, sep_ent[k].event)
