@@ -144,3 +144,15 @@ def test_day_boundaries_follow_a_time_zone(spark):
     assert plain == {dt.date(2022, 11, 2): 2.0}
     shifted = {r.datetime: r.v for r in D.daily_mean(rows, "ts", ["v"], source_tz="UTC", target_tz="Asia/Hong_Kong").collect()}
     assert shifted == {dt.date(2022, 11, 3): 1.0, dt.date(2022, 11, 2): 3.0}
+
+
+def test_rescale_and_variable_series(spark):
+    from dailywire.operators import daily as D
+
+    df = spark.createDataFrame([(1, 0.0, 10.0), (2, 5.0, 30.0), (3, 10.0, 20.0)], "d int, x double, y double")
+    out = {r.d: r.scaled for r in D.rescale_to_range(df, "x", "y").collect()}
+    assert out == {1: 10.0, 2: 20.0, 3: 30.0}
+    flat = spark.createDataFrame([(1, 4.0, 10.0), (2, 4.0, 30.0)], "d int, x double, y double")
+    assert {r.scaled for r in D.rescale_to_range(flat, "x", "y").collect()} == {20.0}  # constant -> midpoint
+    long = D.select_variable_series(df, "d", ["x", "y"], variable="y").collect()
+    assert sorted((r.d, r.value) for r in long) == [(1, 10.0), (2, 30.0), (3, 20.0)]

@@ -86,3 +86,10 @@ def test_whitespace_token_count_and_grouped_number(spark):
 def test_topic_tokens_strip_accents(spark):
     r = spark.createDataFrame([("Élan d'été à_b 2024 ab1 x",)], "t string").select(TX.topic_tokens("t").alias("o")).first()
     assert r.o == ["elan", "ete", "a_b", "ab"]
+
+
+def test_bounded_contractions_only_rewrite_word_ends(spark):
+    df = spark.createDataFrame([("can't 'the we're",)], "t string")
+    r = df.select(TX.expand_contractions("t", bounded=True).alias("b"), TX.expand_contractions("t").alias("u")).first()
+    assert r.u == "ca not   not he we are "
+    assert r.b == "ca not  'the we are "
