@@ -413,7 +413,11 @@ def sarimax_grid_search(train: DataFrame, exog: Sequence[str] = (), long_ar: int
     k = 1 + len(SARIMAX_AR) + len(SARIMAX_MA) + len(exog)
     fits = solve(gram(design, [SERIES], "_x2", "_w", k), [SERIES], k, _sarimax_subsets(len(exog)), min_rows=min_rows).where("ok")
     best = fits.groupBy(SERIES).agg(F.min_by(F.struct("model", "aic", "coef"), F.struct("aic", "model")).alias("_b"))
-    return best.select(SERIES, F.col("_b.model").alias("order"), F.col("_b.aic").alias("aic"), F.col("_b.coef").alias("coef"))
+    best = best.select(SERIES, F.col("_b.model").alias("order"), F.col("_b.aic").alias("aic"), F.col("_b.coef").alias("coef"))
+    # every series gets a row: a series too short (or singular) for all 81 orders gets a status instead
+    ids = train.select(SERIES).distinct()
+    return ids.join(best, SERIES, "left").withColumn(
+        "status", F.when(F.col("order").isNotNull(), F.lit("ok")).otherwise(F.lit("no fit: too few rows or singular")))
 
 
 def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int = 21) -> DataFrame:
@@ -425,7 +429,7 @@ def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int =
     best = sarimax_grid_search(train, exog, long_ar, design=design)
     tail = _tail(design, ["y", "_w", "_e"], 15)
     steps = test.groupBy(SERIES).agg(F.count(F.lit(1)).alias("_m"))
-    rec = best.join(tail, SERIES).join(steps, SERIES)
+    rec = best.where(F.col("order").isNotNull()).join(tail, SERIES).join(steps, SERIES)
     if exog:
         wt = Window.partitionBy(SERIES).orderBy("ds")
         full = split.select(SERIES, "ds", *exog).distinct()

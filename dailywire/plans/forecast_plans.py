@@ -52,7 +52,7 @@ def f7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f8(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = _split(spark, sf_dir)
     train = split.where(F.col("set") == "train").join(_regressors(spark, sf_dir), ["series_id", "ds"], "left").fillna(0.0, ["x"])
-    return rounded(FC.sarimax_grid_search(train, exog=["x"]).select("series_id", "order", "aic"))
+    return rounded(FC.sarimax_grid_search(train, exog=["x"]).select("series_id", "order", "aic", "status"))
 
 
 @query("F9_sarimax_forecast")

@@ -84,3 +84,22 @@ def test_weather_fields_and_last_text(spark):
     p = E.parse_pages(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))
     q = p.select(E.last_text("nodes", "span", "priceText").alias("v"), E.last_text("nodes", "div", "companyName").alias("n")).first()
     assert (q.v, q.n) == ("16,914.58", "Hang Seng")
+
+
+def test_news_fixture_typing_dedupe_and_daily_counts(spark):
+    from dailywire.operators import clean as C
+    from dailywire.operators import daily as D
+
+    news = spark.createDataFrame([
+        ("u1", "2022-11-02T23:30:00+08:00", "h", "t", "s1"),   # 15:30 UTC on Nov 2
+        ("u2", "2022-11-02T23:30:00-08:00", "h", "t", "s1"),   # 07:30 UTC on Nov 3
+        ("u3", None, "h", "t", "s2"),                          # dropped by C1
+        ("u1", "2022-11-02T10:00:00+00:00", "h2", "t2", "s1"), # repeated URL, later arrival wins
+    ], "URL string, datetime string, heading string, text string, newssite string").withColumn("arrival", F.monotonically_increasing_id())
+    typed = C.drop_nulls(news).withColumn("datetime", C.to_timestamp("datetime", utc=True))
+    parts = {r.URL: r for r in C.calendar_parts(typed, "datetime").collect()}
+    assert str(parts["u2"].date) == "2022-11-03" and parts["u2"].weekday == 3  # Thursday, Monday = 0
+    latest = E.assemble_articles(typed.withColumnRenamed("URL", "url"), "url", "arrival")
+    assert {r.url: r.heading for r in latest.collect()} == {"u1": "h2", "u2": "h"}
+    counts = D.daily_article_counts(latest.withColumn("date", F.to_date("datetime")), flag_cols=())
+    assert {str(r.datetime): r.total_number_of_articles for r in counts.collect()} == {"2022-11-02": 1, "2022-11-03": 1}

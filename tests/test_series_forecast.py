@@ -156,3 +156,11 @@ def test_rescale_and_variable_series(spark):
     assert {r.scaled for r in D.rescale_to_range(flat, "x", "y").collect()} == {20.0}  # constant -> midpoint
     long = D.select_variable_series(df, "d", ["x", "y"], variable="y").collect()
     assert sorted((r.d, r.value) for r in long) == [(1, 10.0), (2, 30.0), (3, 20.0)]
+
+
+def test_sarimax_short_series_gets_status_row(spark):
+    rows = [("long", d, float(v)) for d, v in zip(_days(120), _ar1(120, 0.5, 2.0, 5))] + [("short", d, 1.0 + i) for i, d in enumerate(_days(5))]
+    s = _series(spark, rows)
+    out = {r.series_id: r for r in FC.sarimax_grid_search(s).collect()}
+    assert out["long"].status == "ok" and out["long"].order is not None
+    assert out["short"].order is None and out["short"].status.startswith("no fit")
