@@ -115,7 +115,23 @@ def e8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.where(F.col("heading").isNotNull() & E.not_archive(F.col("heading"), DROP_WORD))
 
 
-@query("E9_extract_body")
+def _body_sql() -> str:
+    """E9 twin for pages whose paragraphs are closed ``<p>`` or unclosed section headers: a ``<p>``
+    that is never closed holds every later text of its container (here the article), a closed one
+    its own text; the li / div branches of the cascade are stated with lazy regexes."""
+    clean = lambda x: S.clean_html_text(_unescape(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
+    joined = lambda parts: f"list_reduce(list_prepend('', list_transform({parts}, lambda h: ' ' || {clean('h')})), lambda a, b: a || b)"
+    li = "regexp_extract_all(html, '(?s)<li[^>]*class=\"[^\"]*article[^\"]*\"[^>]*>(.*?)</li>', 1)"
+    div = "regexp_extract_all(html, '(?s)<div[^>]*class=\"[^\"]*Text[^\"]*\"[^>]*>(.*?)</div>', 1)"
+    parts = "string_split(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>')"
+    ps = (f"list_transform(generate_series(2, len({parts})), lambda i: CASE WHEN starts_with({parts}[i], '<b>') "
+          f"THEN array_to_string(list_slice({parts}, i, len({parts})), '<p>') ELSE split_part({parts}[i], '</p>', 1) END)")
+    nz = lambda x: f"nullif({x}, '')"
+    return f"""SELECT page_id, text, CASE WHEN text IS NULL THEN 'no text found' END AS error FROM (
+      SELECT page_id, coalesce({nz(joined(li))}, {nz(joined(div))}, {nz(joined(ps))}) AS text FROM pages)"""
+
+
+@query("E9_extract_body", _body_sql())
 def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Body cascade; pages without body text keep a reason in ``error`` (no abort)."""
     body = _parsed(spark, sf_dir).select("page_id", E.body_text("nodes").alias("text"))
