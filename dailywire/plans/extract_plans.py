@@ -19,8 +19,10 @@ SECTION_TAG, SECTION_CLASS = "nav", None  # the link section of the generated pa
 
 
 def _unescape(x: str) -> str:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        x = f"replace({x}, {S.q(a)}, {S.q(b)})"
+    """Decode the XML entities; amp / lt / gt / quot also without ';' (HTML5 legacy rule), amp last."""
+    x = f"replace({x}, '&#39;', {S.q(chr(39))})"
+    for name, ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', {S.q(ch)}, 'g')"
     return x
 
 
