@@ -25,33 +25,54 @@ def _nonempty_blank_tokens(col: Column | str) -> Column:
     return F.filter(TX.blank_tokens(col), lambda x: x != "")
 
 
-def polarity_literal(col: Column | str, lexicon: Mapping[str, float] = L.DEMO_POLARITY) -> Column:
-    """N2 for a small literal lexicon: mean score of the listed tokens, 0 when none is listed. Map-side only."""
+# Scores are summed exactly as decimals: a polarity of exactly 0, a tie between valence shares and
+# the "below zero after penalties" test must not depend on the order in which an engine adds.
+SCORE_DEC = "decimal(18,6)"
+SUM_DEC = "decimal(38,6)"
+
+
+def polarity_parts(col: Column | str, lexicon: Mapping[str, float] = L.DEMO_POLARITY) -> Column:
+    """N2 pieces for a small literal lexicon: struct(s = exact sum of listed scores, n = how many). Map-side only."""
     if len(lexicon) > MAX_LITERAL_LEXICON:
         raise ValueError("lexicon too large for a literal map; use lexicon_polarity with a table")
-    m = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(float(v)))])
+    m = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(str(v)).cast(SCORE_DEC))])
     scores = F.filter(F.transform(_nonempty_blank_tokens(col), lambda t: F.try_element_at(m, t)), lambda s: s.isNotNull())
 
-    def mean(sc: Column) -> Column:
-        total = F.aggregate(sc, F.lit(0.0), lambda acc, s: acc + s)
-        return F.when(F.size(sc) > 0, total / F.size(sc)).otherwise(F.lit(0.0))
+    def parts(sc: Column) -> Column:
+        total = F.aggregate(sc, F.lit(0).cast(SUM_DEC), lambda acc, s: (acc + s).cast(SUM_DEC))
+        return F.struct(total.alias("s"), F.size(sc).alias("n"))
+
+    return TX.let(scores, parts)
+
+
+def polarity_value(parts: Column) -> Column:
+    """Mean score as double (0 when no token is listed); its sign is the sign of the exact sum."""
+    return F.when(parts["n"] > 0, parts["s"].cast("double") / parts["n"]).otherwise(F.lit(0.0))
+
 
-    return TX.let(scores, mean)
+def polarity_literal(col: Column | str, lexicon: Mapping[str, float] = L.DEMO_POLARITY) -> Column:
+    """N2 for a small literal lexicon: mean score of the listed tokens, 0 when none is listed."""
+    return polarity_value(polarity_parts(col, lexicon))
 
 
-def negative_flag_col(polarity: Column, processed: Column | str, terms: Sequence[str] = L.NEGATIVE_TERMS,
+def negative_flag_col(parts: Column, processed: Column | str, terms: Sequence[str] = L.NEGATIVE_TERMS,
                       penalty: float = L.NEGATIVE_TERM_PENALTY) -> Column:
-    """Polarity minus ``penalty`` per negative-term occurrence; 1 if below 0, else NULL."""
-    adjusted = polarity - F.lit(penalty) * TX.term_occurrences(processed, terms)
-    return F.when(adjusted < 0, F.lit(1))
+    """Polarity minus ``penalty`` per negative-term occurrence; 1 if below 0, else NULL.
+
+    Decided exactly on the parts: mean - penalty * k < 0  <=>  sum - penalty * k * n < 0 (n > 0).
+    """
+    k = TX.term_occurrences(processed, terms)
+    below = F.when(parts["n"] > 0, parts["s"] - F.lit(str(penalty)).cast(SCORE_DEC) * k * parts["n"] < 0).otherwise(k > 0)
+    return F.when(below, F.lit(1))
 
 
 def lexicon_polarity(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame,
                      out: str = "polarity", word_col: str = "word", score_col: str = "score") -> DataFrame:
     """N2 over a lexicon table: (id, polarity) = mean score of the listed tokens, 0 if none is listed."""
     per = per_document(docs, id_col, TX.blank_tokens(text_col), lexicon.select(word_col, score_col),
-                       [F.avg(score_col).alias(out)], word_col)
-    return per.withColumn(out, F.coalesce(F.col(out), F.lit(0.0)))
+                       [F.struct(F.sum(F.col(score_col).cast(SCORE_DEC)).alias("s"), F.count(score_col).alias("n")).alias("_p")],
+                       word_col)
+    return per.select(id_col, polarity_value(F.col("_p")).alias(out))
 
 
 def valence_class(docs: DataFrame, id_col: str, text_col: str, valence: DataFrame,
@@ -61,22 +82,31 @@ def valence_class(docs: DataFrame, id_col: str, text_col: str, valence: DataFram
     pos = sum(v+1) over v>0, neg = sum(|v|+1) over v<0, neu = tokens with v=0 (unlisted tokens count as 0).
     Output: (id, valence_neg, valence_neu, valence_pos, polarity_vader).
     """
-    v = F.col(score_col)
-    j = per_document(docs, id_col, TX.blank_tokens(text_col), valence.select(word_col, score_col), [
+    j = per_document(docs, id_col, TX.blank_tokens(text_col), valence.select(word_col, score_col),
+                     _valence_aggs(F.col(score_col)), word_col)
+    return _valence_columns(j).drop("_pos", "_neg", "_nz", "_n")
+
+
+def _valence_aggs(v: Column) -> list[Column]:
+    v = v.cast(SCORE_DEC)
+    return [
         F.sum(F.when(v > 0, v + 1)).alias("_pos"),
         F.sum(F.when(v < 0, F.abs(v) + 1)).alias("_neg"),
         F.count(F.when(v != 0, 1)).alias("_nz"),
         F.count("token").alias("_n"),
-    ], word_col)
-    pos = F.coalesce(F.col("_pos"), F.lit(0.0))
-    neg = F.coalesce(F.col("_neg"), F.lit(0.0))
-    neu = (F.col("_n") - F.col("_nz")).cast("double")
+    ]
+
+
+def _valence_columns(j: DataFrame) -> DataFrame:
+    """Shares as doubles; the label compares the exact decimal sums (same order as the shares)."""
+    pos = F.coalesce(F.col("_pos"), F.lit(0).cast(SUM_DEC))
+    neg = F.coalesce(F.col("_neg"), F.lit(0).cast(SUM_DEC))
+    neu = (F.col("_n") - F.col("_nz")).cast(SUM_DEC)
     total = pos + neg + neu
-    share = lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0))
+    share = lambda x: F.when(total > 0, x.cast("double") / total.cast("double")).otherwise(F.lit(0.0))
     j = j.withColumns({"valence_neg": share(neg), "valence_neu": share(neu), "valence_pos": share(pos)})
-    n, u, p = F.col("valence_neg"), F.col("valence_neu"), F.col("valence_pos")
-    label = F.when((n >= u) & (n >= p), "negative").when(u >= p, "neutral").otherwise("positive")
-    return j.withColumn("polarity_vader", label).drop("_pos", "_neg", "_nz", "_n")
+    label = F.when((neg >= neu) & (neg >= pos), "negative").when(neu >= pos, "neutral").otherwise("positive")
+    return j.withColumn("polarity_vader", label)
 
 
 def prepare_sentiment_dictionary(raw: DataFrame, lemmas: DataFrame | None = None,
@@ -156,29 +186,23 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataF
     for p in parts[1:]:
         lex = lex.join(p, "word", "full")  # small tables keyed by word
     cols = set(lex.columns)
-    aggs = [F.count("token").alias("_n")]
+    aggs = [] if "_val" in cols else [F.count("token").alias("_n")]
     if "_pol" in cols:
-        aggs.append(F.avg("_pol").alias("_avg_pol"))
+        aggs.append(F.struct(F.sum(F.col("_pol").cast(SCORE_DEC)).alias("s"), F.count("_pol").alias("n")).alias("_pp"))
     if "_val" in cols:
-        v = F.col("_val")
-        aggs += [F.sum(F.when(v > 0, v + 1)).alias("_pos"), F.sum(F.when(v < 0, F.abs(v) + 1)).alias("_neg"),
-                 F.count(F.when(v != 0, 1)).alias("_nz")]
+        aggs += _valence_aggs(F.col("_val"))
     if "_lab" in cols:
         aggs.append(F.min_by(F.struct(F.col("token").alias("t"), F.col("_lab").alias("l")),
                              F.when(F.col("_lab").isNotNull(), F.col("pos"))).alias("_first"))
     carry = {"_negterms": TX.term_occurrences(text_col, negative_terms)}
     out = per_document(docs, id_col, TX.blank_tokens(text_col), lex, aggs, "word", carry)
     if "_pol" in cols:
-        out = out.withColumn("polarity", F.coalesce(F.col("_avg_pol"), F.lit(0.0)))
-        out = out.withColumn("negative_flag", F.when(F.col("polarity") - F.lit(penalty) * F.col("_negterms") < 0, F.lit(1)))
+        pp, k = F.col("_pp"), F.col("_negterms")
+        out = out.withColumn("polarity", polarity_value(pp))
+        below = F.when(pp["n"] > 0, pp["s"] - F.lit(str(penalty)).cast(SCORE_DEC) * k * pp["n"] < 0).otherwise(k > 0)
+        out = out.withColumn("negative_flag", F.when(below, F.lit(1)))
     if "_val" in cols:
-        pos, neg = F.coalesce(F.col("_pos"), F.lit(0.0)), F.coalesce(F.col("_neg"), F.lit(0.0))
-        neu = (F.col("_n") - F.col("_nz")).cast("double")
-        total = pos + neg + neu
-        share = lambda x: F.when(total > 0, x / total).otherwise(F.lit(0.0))
-        out = out.withColumns({"valence_neg": share(neg), "valence_neu": share(neu), "valence_pos": share(pos)})
-        n, u, p = F.col("valence_neg"), F.col("valence_neu"), F.col("valence_pos")
-        out = out.withColumn("polarity_vader", F.when((n >= u) & (n >= p), "negative").when(u >= p, "neutral").otherwise("positive"))
+        out = _valence_columns(out)
     if "_lab" in cols:
         out = out.withColumns({col: F.when(F.col("_first.l") == lab, F.col("_first.t")) for lab, col in entity_columns})
     return out.drop(*[c for c in out.columns if c.startswith("_")])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import text as TX
 from dailywire.operators import daily as D
-from dailywire.operators.enrich import negative_flag_col, polarity_literal
+from dailywire.operators.enrich import negative_flag_col, polarity_parts
 from dailywire.plans import sqltext as S
 from dailywire.plans.registry import query, rounded
 from dailywire.sources.readers import table, text_table
@@ -25,7 +25,7 @@ def article_features(news: DataFrame, key_terms=DRIVER_KEY_TERMS, negative_terms
                      polarity=DRIVER_POLARITY) -> DataFrame:
     """T1 -> T2 -> T4 -> N1, N2, N3 as map-side column expressions (no shuffle, no Python worker)."""
     with_text = news.withColumn("processed_text", TX.preprocess_text("text"))
-    pol = polarity_literal("processed_text", polarity)
+    pol = polarity_parts("processed_text", polarity)
     return with_text.select(
         "url", "date",
         TX.keyterm_flag("processed_text", key_terms).alias("covid_flag"),
@@ -49,7 +49,7 @@ def _features_sql(start: str | None = START_DATE) -> str:
     return f"""
 news AS (SELECT doc_id AS url, {S.news_day()} AS date, {S.preprocess_text('text')} AS p FROM documents {where}),
 flags AS (SELECT url, date, {S.keyterm_flag(p, DRIVER_KEY_TERMS)} AS covid_flag,
-          {S.negative_flag(S.polarity_literal(p, DRIVER_POLARITY), p, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM news),
+          {S.negative_flag(p, DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM news),
 counts AS (SELECT date AS datetime, count(url) AS total_number_of_articles, count(covid_flag) AS total_articles_about_covid,
            count(negative_flag) AS total_negative_articles FROM flags GROUP BY 1)"""
 

@@ -66,14 +66,25 @@ def term_occurrences(x: str, terms: Iterable[str] = L.NEGATIVE_TERMS) -> str:
     return f"len(list_filter(string_split({x}, ' '), lambda w: list_contains({str_list(terms)}, w)))"
 
 
-def polarity_literal(x: str, lexicon: Mapping[str, float]) -> str:
-    cases = " ".join(f"WHEN {q(k)} THEN {float(v)!r}" for k, v in lexicon.items())
-    scores = f"list_filter(list_transform(list_filter(string_split({x}, ' '), lambda w: w <> ''), lambda w: CASE w {cases} END), lambda s: s IS NOT NULL)"
-    return f"(CASE WHEN len({scores}) > 0 THEN list_sum({scores}) / len({scores}) ELSE 0.0 END)"
+def _listed_scores(x: str, lexicon: Mapping[str, float]) -> str:
+    cases = " ".join(f"WHEN {q(k)} THEN CAST({q(str(v))} AS DECIMAL(18, 6))" for k, v in lexicon.items())
+    return (f"list_filter(list_transform(list_filter(string_split({x}, ' '), lambda w: w <> ''), "
+            f"lambda w: CASE w {cases} END), lambda s: s IS NOT NULL)")
 
 
-def negative_flag(polarity: str, x: str, terms: Iterable[str] = L.NEGATIVE_TERMS, penalty: float = L.NEGATIVE_TERM_PENALTY) -> str:
-    return f"(CASE WHEN ({polarity}) - {penalty!r} * {term_occurrences(x, terms)} < 0 THEN 1 END)"
+def polarity_literal(x: str, lexicon: Mapping[str, float]) -> str:
+    """Mean listed score as double: exact decimal sum, then divided."""
+    sc = _listed_scores(x, lexicon)
+    return f"(CASE WHEN len({sc}) > 0 THEN CAST(list_sum({sc}) AS DOUBLE) / len({sc}) ELSE 0.0 END)"
+
+
+def negative_flag(x: str, lexicon: Mapping[str, float], terms: Iterable[str] = L.NEGATIVE_TERMS,
+                  penalty: float = L.NEGATIVE_TERM_PENALTY) -> str:
+    """N3 decided on the exact sum: sum - penalty * k * n < 0 (k > 0 when nothing is listed)."""
+    sc = _listed_scores(x, lexicon)
+    k = term_occurrences(x, terms)
+    below = f"(CASE WHEN len({sc}) > 0 THEN list_sum({sc}) - CAST({q(str(penalty))} AS DECIMAL(18, 6)) * {k} * len({sc}) < 0 ELSE {k} > 0 END)"
+    return f"(CASE WHEN {below} THEN 1 END)"
 
 
 def news_day(doc_id: str = "doc_id") -> str:

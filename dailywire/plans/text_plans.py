@@ -157,7 +157,7 @@ def _polarity_sql(out: str = "polarity") -> str:
     lex = S.values_table(list(DRIVER_POLARITY.items()), ["word", "score"], "lx")
     return f"""WITH {_P_SQL},
     t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
-    s AS (SELECT doc_id, avg(score) AS pol FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
+    s AS (SELECT doc_id, CAST(sum(CAST(score AS DECIMAL(18, 6))) AS DOUBLE) / count(score) AS pol FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
     r AS (SELECT p.doc_id, p.p, coalesce(s.pol, 0.0) AS {out} FROM p LEFT JOIN s USING (doc_id))"""
 
 
@@ -173,11 +173,11 @@ def n2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "N3_negative_flag",
-    f"WITH {_P_SQL} SELECT doc_id, {S.negative_flag(S.polarity_literal('p', DRIVER_POLARITY), 'p', DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
+    f"WITH {_P_SQL} SELECT doc_id, {S.negative_flag('p', DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
 )
 def n3(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _processed(spark, sf_dir)
-    pol = N.polarity_literal("p", DRIVER_POLARITY)
+    pol = N.polarity_parts("p", DRIVER_POLARITY)
     return p.select("doc_id", N.negative_flag_col(pol, "p", DRIVER_NEGATIVE_TERMS).alias("negative_flag"))
 
 
@@ -194,15 +194,17 @@ def _valence_sql() -> str:
     lex = S.values_table(list(DRIVER_VALENCE.items()), ["word", "score"], "lx")
     return f"""WITH {_P_SQL},
     t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
-    s AS (SELECT doc_id, sum(CASE WHEN score > 0 THEN score + 1 END) AS pos_s, sum(CASE WHEN score < 0 THEN abs(score) + 1 END) AS neg_s,
-          count(CASE WHEN score <> 0 THEN 1 END) AS nz FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
-    j AS (SELECT p.doc_id, coalesce(pos_s, 0.0) AS pos_s, coalesce(neg_s, 0.0) AS neg_s,
-          CAST(len(list_filter(string_split(p.p, ' '), lambda w: w <> '')) - coalesce(nz, 0) AS DOUBLE) AS neu_s FROM p LEFT JOIN s USING (doc_id)),
+    s AS (SELECT doc_id, sum(CASE WHEN sc > 0 THEN sc + 1 END) AS pos_s, sum(CASE WHEN sc < 0 THEN abs(sc) + 1 END) AS neg_s,
+          count(CASE WHEN sc <> 0 THEN 1 END) AS nz FROM (SELECT t.doc_id, CAST(score AS DECIMAL(18, 6)) AS sc FROM t JOIN {lex} ON t.w = lx.word) GROUP BY doc_id),
+    j AS (SELECT p.doc_id, coalesce(pos_s, 0) AS pos_s, coalesce(neg_s, 0) AS neg_s,
+          CAST(len(list_filter(string_split(p.p, ' '), lambda w: w <> '')) - coalesce(nz, 0) AS DECIMAL(38, 6)) AS neu_s FROM p LEFT JOIN s USING (doc_id)),
     k AS (SELECT doc_id, pos_s + neg_s + neu_s AS tot, * FROM j),
-    v AS (SELECT doc_id, CASE WHEN tot > 0 THEN neg_s / tot ELSE 0.0 END AS valence_neg, CASE WHEN tot > 0 THEN neu_s / tot ELSE 0.0 END AS valence_neu,
-          CASE WHEN tot > 0 THEN pos_s / tot ELSE 0.0 END AS valence_pos FROM k)
+    v AS (SELECT doc_id, pos_s, neg_s, neu_s,
+          CASE WHEN tot > 0 THEN CAST(neg_s AS DOUBLE) / CAST(tot AS DOUBLE) ELSE 0.0 END AS valence_neg,
+          CASE WHEN tot > 0 THEN CAST(neu_s AS DOUBLE) / CAST(tot AS DOUBLE) ELSE 0.0 END AS valence_neu,
+          CASE WHEN tot > 0 THEN CAST(pos_s AS DOUBLE) / CAST(tot AS DOUBLE) ELSE 0.0 END AS valence_pos FROM k)
     SELECT doc_id, round(valence_neg, 6) AS valence_neg, round(valence_neu, 6) AS valence_neu, round(valence_pos, 6) AS valence_pos,
-      CASE WHEN valence_neg >= valence_neu AND valence_neg >= valence_pos THEN 'negative' WHEN valence_neu >= valence_pos THEN 'neutral' ELSE 'positive' END AS polarity_vader
+      CASE WHEN neg_s >= neu_s AND neg_s >= pos_s THEN 'negative' WHEN neu_s >= pos_s THEN 'neutral' ELSE 'positive' END AS polarity_vader
     FROM v"""
 
 

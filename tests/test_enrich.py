@@ -48,7 +48,7 @@ def test_polarity_literal_and_table_agree(spark):
     tab = {r.id: r.polarity for r in N.lexicon_polarity(docs, "id", "p", spark.createDataFrame(list(lex.items()), "word string, score double")).collect()}
     assert abs(lit[1] - 0.7 / 3) < 1e-12 and lit[2] == 0.0 and lit[3] == 0.0
     assert all(abs(lit[k] - tab[k]) < 1e-12 for k in lit)
-    flag = docs.select("id", N.negative_flag_col(N.polarity_literal("p", lex), "p", ["nothing"]).alias("f")).collect()
+    flag = docs.select("id", N.negative_flag_col(N.polarity_parts("p", lex), "p", ["nothing"]).alias("f")).collect()
     assert {r.id: r.f for r in flag} == {1: None, 2: 1, 3: None}
 
 
@@ -104,9 +104,24 @@ def test_score_documents_equals_separate_operators(spark):
     sep_val = {r.doc_id: r for r in N.valence_class(docs, "doc_id", "p", val).collect()}
     sep_ent = {r.doc_id: r for r in N.first_entity(docs, "doc_id", "p", gz).collect()}
     flags = {r.doc_id: r.f for r in docs.select("doc_id", N.negative_flag_col(
-        N.polarity_literal("p", P.DRIVER_POLARITY), "p", ["orre"]).alias("f")).collect()}
+        N.polarity_parts("p", P.DRIVER_POLARITY), "p", ["orre"]).alias("f")).collect()}
     assert set(both) == set(sep_pol) == set(sep_val) == set(sep_ent)
     for k, r in both.items():
         assert abs(r.polarity - sep_pol[k]) < 1e-12 and r.negative_flag == flags[k]
         assert r.polarity_vader == sep_val[k].polarity_vader and abs(r.valence_pos - sep_val[k].valence_pos) < 1e-12
         assert (r.company, r.country, r.date_event, r.event) == (sep_ent[k].company, sep_ent[k].country, sep_ent[k].date_event, sep_ent[k].event)
+
+
+def test_polarity_decisions_are_exact(spark):
+    # 0.1 - 0.05 - 0.05 is not 0.0 in binary floating point summed in this order; the decision must be exact
+    docs = spark.createDataFrame([(1, "a b b"), (2, "a c"), (3, "b b a")], "id int, p string")
+    lex = {"a": 0.1, "b": -0.05, "c": 0.1}
+    out = {r.id: r for r in docs.select("id", N.polarity_literal("p", lex).alias("v"),
+                                         N.negative_flag_col(N.polarity_parts("p", lex), "p", ["c"], penalty=0.1).alias("f")).collect()}
+    assert out[1].v == 0.0 and out[3].v == 0.0
+    assert out[2].f is None  # mean 0.1 - 0.1 * 1 == 0 exactly: not below zero
+    tab = {r.id: r.polarity for r in N.lexicon_polarity(docs, "id", "p", spark.createDataFrame(list(lex.items()), "word string, score double")).collect()}
+    assert tab[1] == 0.0 and tab[3] == 0.0
+    val = spark.createDataFrame([("a", 0.1), ("b", -0.05)], "word string, score double")
+    v = {r.id: r.polarity_vader for r in N.valence_class(spark.createDataFrame([(1, "a b b b b")], "id int, p string"), "id", "p", val).collect()}
+    assert v[1] == "negative"  # neg = 4 * 1.05 = 4.2 > pos 1.1
