@@ -25,13 +25,13 @@ def _folder(spark: SparkSession, name: str) -> str:
 
 @query(
     "S1_read_delimited",
-    """SELECT ts AS "Datetime", 'Hang Seng Index' AS "Index Name", format('{:,.2f}', value) AS "Index Value"
+    """SELECT ts AS "Datetime", 'Daily Index' AS "Index Name", format('{:,.2f}', value) AS "Index Value"
        FROM events WHERE event_type = 'purchase'""",
 )
 def s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index readings written as ';' text with blanks in the column names, read back with a declared schema."""
     ev = R.table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    raw = ev.select(F.col("ts").alias("Datetime"), F.lit("Hang Seng Index").alias("Index Name"),
+    raw = ev.select(F.col("ts").alias("Datetime"), F.lit("Daily Index").alias("Index Name"),
                     F.format_number("value", 2).alias("Index Value"))
     path = _folder(spark, "index")
     raw.write.option("header", True).option("sep", ";").option("timestampNTZFormat", NTZ_TEXT).csv(path)

@@ -80,10 +80,10 @@ def test_weather_fields_and_last_text(spark):
     wide = E.weather_columns(long, "id").first().asDict()
     assert wide == {"id": 1, "Wind in km/h": 18.0, "Humidity in %": 80.0, "Precipitation in mm": 1.5,
                     "Visibility in km": 6.44, "UV index": 0.0}
-    html = "<span class='priceText__x'>16,900.00</span><span class='priceText__x'>16,914.58</span><div class='companyName__y'>Hang Seng</div>"
+    html = "<span class='priceText__x'>16,900.00</span><span class='priceText__x'>16,914.58</span><div class='companyName__y'>Main Index</div>"
     p = E.parse_pages(spark.createDataFrame([(1, "u", html)], "page_id long, url string, html string"))
     q = p.select(E.last_text("nodes", "span", "priceText").alias("v"), E.last_text("nodes", "div", "companyName").alias("n")).first()
-    assert (q.v, q.n) == ("16,914.58", "Hang Seng")
+    assert (q.v, q.n) == ("16,914.58", "Main Index")
 
 
 def test_news_fixture_typing_dedupe_and_daily_counts(spark):

@@ -9,7 +9,7 @@ RAW = [
     "  (Hello) world... 12 3/4 “quoted” … end  ",
     "",
     "ab x\n",
-    "Hong Kong’s police  say | “Explainer” — %E2%80%98ok%E2%80%99 a-b",
+    "Harbour’s police  say | “Explainer” — %E2%80%98ok%E2%80%99 a-b",
     "tiny",
     "abcdef about above",
     "a b c d e f g",
