@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
+from dailywire.session import fits
 
 NODE_FIELDS = [
     ("i", pa.int32()), ("tag", pa.string()), ("cls", pa.string()), ("href", pa.string()),
@@ -313,8 +314,18 @@ def assemble_articles(articles: DataFrame, key: str = "url", order: str = "page_
     return best.select(key, "_r.*")
 
 
-def new_links(links: DataFrame, store: DataFrame, key: str = "url") -> DataFrame:
-    """Links not in the store of known URLs (left anti join; the store side is shuffled or broadcast by size)."""
+def new_links(links: DataFrame, store: DataFrame, key: str = "url", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Links not in the store of known URLs.
+
+    The store grows without bound while a batch of new links is small: when the batch's distinct
+    keys pass a row check they are broadcast and the store is only scanned (semi join, no shuffle of
+    the store); the anti join then runs against that small set of already-known keys. Otherwise a
+    plain anti join (AQE picks the strategy).
+    """
+    keys = links.select(key).distinct()
+    if fits(keys, max_broadcast_rows):
+        known = store.select(key).join(F.broadcast(keys), on=key, how="left_semi").distinct()
+        return links.join(known, on=key, how="left_anti")
     return links.join(store.select(key).distinct(), on=key, how="left_anti")
 
 

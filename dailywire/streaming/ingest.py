@@ -28,13 +28,16 @@ def ingest_batch(store: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         arts = E.extract_articles(E.parse_pages(batch))
-        arts = E.assemble_articles(arts, "url", "page_id")  # one row per URL within the batch
-        prior = _store_so_far(spark, store, batch_id)
-        if prior is not None:
-            arts = E.new_links(arts, prior.select("url"), "url")
-        (arts.withColumn("_batch", F.lit(batch_id))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_batch").parquet(store))
+        # one row per URL within the batch; kept for the call so the page parse runs once
+        arts = E.assemble_articles(arts, "url", "page_id").persist()
+        try:
+            prior = _store_so_far(spark, store, batch_id)
+            new = E.new_links(arts, prior.select("url"), "url") if prior is not None else arts
+            (new.withColumn("_batch", F.lit(batch_id))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy("_batch").parquet(store))
+        finally:
+            arts.unpersist()
 
     return run
 
