@@ -168,7 +168,7 @@ def trend_seasonal_design(split: DataFrame, spine: DataFrame, n_changepoints: in
     span = F.greatest(F.datediff("_t1", "_t0"), F.lit(1)).cast("double")
     # changepoints at evenly spaced row positions within the first cp_range of the training rows
     ranked = train.select(SERIES, "ds", F.row_number().over(w).alias("_rn")).join(info, SERIES)
-    m = F.greatest(F.bround(F.col("_ntr") * F.lit(cp_range), 0), F.lit(1.0))
+    m = F.greatest(F.floor(F.col("_ntr") * F.lit(cp_range)).cast("double"), F.lit(1.0))  # rows in the changepoint range
     cp_pos = F.transform(F.sequence(F.lit(1), F.lit(n_changepoints)), lambda j: F.bround(j * (m - 1) / F.lit(n_changepoints), 0) + 1)
     cps = ranked.where(F.array_contains(cp_pos.cast("array<double>"), F.col("_rn").cast("double"))).groupBy(SERIES).agg(
         F.array_sort(F.collect_list(F.struct("_rn", (F.datediff("ds", "_t0") / span).alias("t")))).alias("_cp"))
