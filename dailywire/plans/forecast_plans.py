@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dailywire.operators import forecast as FC
@@ -59,3 +59,23 @@ def f8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f9(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = _split(spark, sf_dir).join(_regressors(spark, sf_dir), ["series_id", "ds"], "left").fillna(0.0, ["x"])
     return rounded(FC.sarimax_forecast(split, exog=["x"]))
+
+
+@query("F1_forecast_mae")
+def f1_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed score of the trend/seasonal forecast: test rows joined to the forecast on the day
+    (A6), mean absolute error per series (A15)."""
+    split = _split(spark, sf_dir)
+    fc = FC.forecast_trend_seasonal(split, periods=16).select("series_id", "ds", "yhat")
+    test = split.where(F.col("set") == "test").select("series_id", "ds", "y")
+    return rounded(X.mae(X.join_actual_forecast(test, fc)))
+
+
+@query("F7_arima_rmse")
+def f7_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The printed score of the ARIMA forecast: RMSE against the test rows by step number."""
+    split = _split(spark, sf_dir)
+    fc = FC.arima_forecast(split, steps_extra=2).select("series_id", "step", "yhat")
+    test = split.where(F.col("set") == "test").withColumn(
+        "step", F.row_number().over(Window.partitionBy("series_id").orderBy("ds"))).select("series_id", "step", "y")
+    return rounded(X.rmse(test.join(fc, ["series_id", "step"])))
