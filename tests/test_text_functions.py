@@ -12,6 +12,7 @@ RAW = [
     "Harbour’s police  say | “Explainer” — %E2%80%98ok%E2%80%99 a-b",
     "tiny",
     "abcdef about above",
+    "abcde about",
     "a b c d e f g",
     "The covid pandemic, and the ban! Death; arrest? accident.",
     "double  blanks  stay",
@@ -93,3 +94,8 @@ def test_bounded_contractions_only_rewrite_word_ends(spark):
     r = df.select(TX.expand_contractions("t", bounded=True).alias("b"), TX.expand_contractions("t").alias("u")).first()
     assert r.u == "ca not   not he we are "
     assert r.b == "ca not  'the we are "
+
+
+def test_five_character_result_falls_back(spark):
+    r = spark.createDataFrame([("abcde about",), ("abcdef about",)], "t string").select(TX.remove_stopwords("t").alias("o")).collect()
+    assert [x.o for x in r] == ["abcde about", "abcdef"]
