@@ -140,7 +140,26 @@ def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.withColumn("error", F.when(F.col("text").isNull(), F.lit("no text found")))
 
 
-@query("E10_extract_published")
+def _published_sql() -> str:
+    """E10 twin: first time[datetime]; first div.timestamp; last parsable div ~createddate; last
+    parsable span inside a div ~heading (lazy regexes: no nested div inside those divs)."""
+    clean = lambda x: S.clean_html_text(_unescape(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
+    fz = S.fuzzy_datetime
+    q = "[\"'']"
+    t_attrs = "regexp_extract(html, '<time([^>]*)>', 1)"
+    first_time = (f"CASE WHEN regexp_matches(html, '<time[\\s>]') THEN "
+                  f"{fz(_unescape(f'regexp_extract({t_attrs}, {S.q(f"datetime={q}([^{chr(34)}'']*)")}, 1)'))} END")
+    stamp_rx = f"(?s)<div[^>]*class={q}(?:[^{chr(34)}'']*\\s)?timestamp(?:\\s[^{chr(34)}'']*)?{q}[^>]*>(.*?)</div>"
+    first_stamp = f"CASE WHEN regexp_matches(html, {S.q(stamp_rx)}) THEN {fz(clean(f'regexp_extract(html, {S.q(stamp_rx)}, 1)'))} END"
+    created_rx = f"(?s)<div[^>]*class={q}[^{chr(34)}'']*createddate[^{chr(34)}'']*{q}[^>]*>(.*?)</div>"
+    last_of = lambda items: f"list_filter(list_transform({items}, lambda v: {fz(clean('v'))}), lambda d: d IS NOT NULL)[-1]"
+    created = last_of(f"regexp_extract_all(html, {S.q(created_rx)}, 1)")
+    heading_rx = f"(?s)<div[^>]*class={q}[^{chr(34)}'']*heading[^{chr(34)}'']*{q}[^>]*>(.*?)</div>"
+    spans = f"flatten(list_transform(regexp_extract_all(html, {S.q(heading_rx)}, 1), lambda h: regexp_extract_all(h, '(?s)<span[^>]*>(.*?)</span>', 1)))"
+    return f"SELECT page_id, coalesce({first_time}, {first_stamp}, {created}, {last_of(spans)}) AS datetime FROM pages"
+
+
+@query("E10_extract_published", _published_sql())
 def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir).select("page_id", E.published_time("nodes").alias("datetime"))
 

@@ -112,3 +112,41 @@ def values_table(rows, cols, alias: str = "t") -> str:
 
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES {body}) AS {alias}({', '.join(cols)})"
+
+
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_MON = "(" + "|".join(_MONTHS) + ")[a-z]*\\.?"
+
+
+def fuzzy_datetime(x: str) -> str:
+    """The E12 rules in DuckDB: date as yyyy-m-d (any of - / . blank), d Mon yyyy or Mon d, yyyy; the
+    first h:mm (am/pm) after it; an explicit offset is applied; no date -> NULL."""
+    t = f"lower({x})"
+    for w in L.DATE_NOISE:
+        t = f"replace({t}, {q(w)}, '')"
+    iso = "(\\d{4})[-/. ](\\d{1,2})[-/. ](\\d{1,2})"
+    dmy = "(\\d{1,2})(?:st|nd|rd|th)?\\s+" + _MON + ",?\\s+(\\d{4})"
+    mdy = _MON + "\\s+(\\d{1,2})(?:st|nd|rd|th)?,?\\s+(\\d{4})"
+    has = lambda rx: f"regexp_matches({t}, '{rx}')"
+    ex = lambda rx, g: f"regexp_extract({t}, '{rx}', {g})"
+    mon = lambda m: "(CASE " + " ".join(f"WHEN {m} = '{n}' THEN {i}" for i, n in enumerate(_MONTHS, 1)) + " END)"
+    year = f"(CASE WHEN {has(iso)} THEN {ex(iso, 1)} WHEN {has(dmy)} THEN {ex(dmy, 3)} WHEN {has(mdy)} THEN {ex(mdy, 3)} END)"
+    month = (f"(CASE WHEN {has(iso)} THEN TRY_CAST({ex(iso, 2)} AS INTEGER) WHEN {has(dmy)} THEN {mon(ex(dmy, 2))} "
+             f"WHEN {has(mdy)} THEN {mon(ex(mdy, 1))} END)")
+    day = f"(CASE WHEN {has(iso)} THEN {ex(iso, 3)} WHEN {has(dmy)} THEN {ex(dmy, 1)} WHEN {has(mdy)} THEN {ex(mdy, 2)} END)"
+    rest = (f"(CASE WHEN {has(iso)} THEN regexp_replace({t}, '{iso}', ' ', 'g') WHEN {has(dmy)} THEN regexp_replace({t}, '{dmy}', ' ', 'g') "
+            f"ELSE regexp_replace({t}, '{mdy}', ' ', 'g') END)")
+    clk = "(\\d{1,2}):(\\d{2})(?::\\d{2})?\\s*(am|pm|a\\.m\\.|p\\.m\\.)?"
+    h, mi, ap = (f"regexp_extract({rest}, '{clk}', {g})" for g in (1, 2, 3))
+    hour0 = f"(CASE WHEN {h} = '' THEN 0 ELSE TRY_CAST({h} AS INTEGER) END)"
+    hour = (f"(CASE WHEN starts_with({ap}, 'p') AND {hour0} < 12 THEN {hour0} + 12 "
+            f"WHEN starts_with({ap}, 'a') AND {hour0} = 12 THEN 0 ELSE {hour0} END)")
+    minute = f"(CASE WHEN {mi} = '' THEN 0 ELSE TRY_CAST({mi} AS INTEGER) END)"
+    off = f"regexp_extract({rest}, '\\d{{1,2}}:\\d{{2}}(?::\\d{{2}})?(?:\\.\\d+)?\\s*(z|[+-]\\d{{2}}:?\\d{{2}})', 1)"
+    digits = f"regexp_replace({off}, '[^0-9]', '', 'g')"
+    off_min = (f"(CASE WHEN {off} = '' OR {off} = 'z' THEN 0 ELSE (CASE WHEN starts_with({off}, '-') THEN -1 ELSE 1 END) * "
+               f"(TRY_CAST(substr({digits}, 1, 2) AS INTEGER) * 60 + TRY_CAST(substr({digits}, 3, 2) AS INTEGER)) END)")
+    y, m, d = f"TRY_CAST({year} AS INTEGER)", month, f"TRY_CAST({day} AS INTEGER)"
+    valid = f"({m} BETWEEN 1 AND 12 AND {d} BETWEEN 1 AND 31 AND {d} <= day(last_day(make_date({y}, {m}, 1))) AND {hour} BETWEEN 0 AND 23 AND {minute} BETWEEN 0 AND 59)"
+    stamp = f"make_timestamp({y}, {m}, {d}, {hour}, {minute}, 0.0)"
+    return f"(CASE WHEN {year} IS NOT NULL AND {year} <> '' AND {valid} THEN {stamp} - to_minutes(CAST({off_min} AS BIGINT)) END)"

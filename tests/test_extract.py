@@ -103,3 +103,17 @@ def test_news_fixture_typing_dedupe_and_daily_counts(spark):
     assert {r.url: r.heading for r in latest.collect()} == {"u1": "h2", "u2": "h"}
     counts = D.daily_article_counts(latest.withColumn("date", F.to_date("datetime")), flag_cols=())
     assert {str(r.datetime): r.total_number_of_articles for r in counts.collect()} == {"2022-11-02": 1, "2022-11-03": 1}
+
+
+def test_published_time_twin_on_fixture_pages(spark):
+    """The driver pages carry no time markers, so the SQL twin of E10 is also checked here."""
+    import duckdb
+    import pandas as pd
+
+    from dailywire.plans import extract_plans as X
+
+    got = {r.page_id: r.t for r in _parsed(spark).select("page_id", E.published_time("nodes").alias("t")).collect()}
+    con = duckdb.connect()
+    con.register("pages", pd.DataFrame(PAGES, columns=["page_id", "url", "html"]))
+    want = dict(con.execute(X._published_sql()).fetchall())
+    assert got == want and sum(v is not None for v in got.values()) == 4
