@@ -250,27 +250,47 @@ def parse_fuzzy_datetime(col: Column | str) -> Column:
     """Find a date (ISO, ``d Mon yyyy`` or ``Mon d, yyyy``) and a clock time anywhere in the text.
 
     Seconds are zeroed; an explicit UTC offset is applied (result in UTC); failure -> NULL.
+    The normalised text, the kind of date found and the text after removing the date are each
+    bound once (``let``), which keeps the expression small and every regex evaluated once per row.
     """
-    t = normalise_date_text(col)
     # E11 cleaning turns '-' into blanks before the cascade parses, so separators may be - / . or blank
     iso = r"(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})"
     dmy = r"(\d{1,2})(?:st|nd|rd|th)?\s+" + _MON + r",?\s+(\d{4})"
     mdy = _MON + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})"
-    has_iso, has_dmy, has_mdy = t.rlike(iso), t.rlike(dmy), t.rlike(mdy)
-    year = F.when(has_iso, F.regexp_extract(t, iso, 1)).when(has_dmy, F.regexp_extract(t, dmy, 3)).when(has_mdy, F.regexp_extract(t, mdy, 3))
-    month = F.when(has_iso, F.regexp_extract(t, iso, 2).try_cast("int")).when(
-        has_dmy, _month_number(F.regexp_extract(t, dmy, 2))).when(has_mdy, _month_number(F.regexp_extract(t, mdy, 1)))
-    day = F.when(has_iso, F.regexp_extract(t, iso, 3)).when(has_dmy, F.regexp_extract(t, dmy, 1)).when(has_mdy, F.regexp_extract(t, mdy, 2))
-    # the clock is looked for after the date part (an ISO 'T' separator is fine)
-    rest = F.when(has_iso, F.regexp_replace(t, iso, " ")).when(has_dmy, F.regexp_replace(t, dmy, " ")).otherwise(F.regexp_replace(t, mdy, " "))
-    hour, minute = _clock(rest)
-    stamp = F.try_make_timestamp_ntz(year.try_cast("int"), month.try_cast("int"), day.try_cast("int"), hour, minute, F.lit(0))
-    off = F.regexp_extract(rest, r"\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?\s*(z|[+-]\d{2}:?\d{2})", 1)
-    sign = F.when(off.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    digits = F.regexp_replace(off, r"[^0-9]", "")
-    off_min = F.when((off == "") | (off == "z"), F.lit(0)).otherwise(
-        sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")))
-    return F.when(year.isNotNull() & (year != ""), stamp - F.make_dt_interval(F.lit(0), F.lit(0), off_min))
+    patterns = {1: (iso, (1, 2, 3)), 2: (dmy, (3, 2, 1)), 3: (mdy, (3, 1, 2))}  # kind -> (regex, year/month/day groups)
+
+    def pick(kind: Column, fn) -> Column:
+        out = F.lit(None)
+        for k in (3, 2, 1):
+            out = F.when(kind == k, fn(*patterns[k])).otherwise(out)
+        return out
+
+    def on_text(t: Column) -> Column:
+        kind = F.when(t.rlike(iso), 1).when(t.rlike(dmy), 2).when(t.rlike(mdy), 3)
+
+        def on_kind(k: Column) -> Column:
+            year = pick(k, lambda rx, g: F.regexp_extract(t, rx, g[0]).try_cast("int"))
+            month = F.when(k == 1, F.regexp_extract(t, iso, 2).try_cast("int")).when(
+                k == 2, _month_number(F.regexp_extract(t, dmy, 2))).when(k == 3, _month_number(F.regexp_extract(t, mdy, 1)))
+            day = pick(k, lambda rx, g: F.regexp_extract(t, rx, g[2]).try_cast("int"))
+
+            def on_rest(rest: Column) -> Column:
+                hour, minute = _clock(rest)
+                stamp = F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+                off = F.regexp_extract(rest, r"\d{1,2}:\d{2}(?::\d{2})?(?:\.\d+)?\s*(z|[+-]\d{2}:?\d{2})", 1)
+                sign = F.when(off.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
+                digits = F.regexp_replace(off, r"[^0-9]", "")
+                off_min = F.when((off == "") | (off == "z"), F.lit(0)).otherwise(
+                    sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")))
+                return stamp - F.make_dt_interval(F.lit(0), F.lit(0), off_min)
+
+            # the clock is looked for after the date part (an ISO 'T' separator is fine)
+            rest = pick(k, lambda rx, g: F.regexp_replace(t, rx, " "))
+            return F.when(k.isNotNull(), TX.let(rest, on_rest))
+
+        return TX.let(kind, on_kind)
+
+    return TX.let(normalise_date_text(col), on_text)
 
 
 def published_time(nodes: Column | str) -> Column:
