@@ -154,8 +154,7 @@ def word_tokens(col: Column | str, lower: bool = True) -> Column:
 
 def whitespace_token_count(col: Column | str) -> Column:
     """``len(text.split())``: runs of blanks separate, leading/trailing ignored, empty -> 0."""
-    t = py_strip(col)
-    return F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(F.split(t, r"(?U)\s+", -1)))
+    return let(py_strip(col), lambda t: F.when(F.length(t) == 0, F.lit(0)).otherwise(F.size(F.split(t, r"(?U)\s+", -1))))
 
 
 def strip_accents(col: Column | str) -> Column:
