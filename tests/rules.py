@@ -11,20 +11,24 @@ def contractions(s: str) -> str:
     return s
 
 
+# characters that become a blank in the punctuation / digit / slash steps
+_BLANKED = set("()‘’“”…+-{}\\.;!,?'\"/\n")
+
+
 def special(s: str) -> str:
-    # step 1: single-letter words (the match eats both blanks), then strip
+    """T2 as a character translation: after the single-letter rule and a strip, every listed
+    punctuation mark, digit, slash, bracket and newline is a blank, '&' reads ' and ', and blank
+    runs collapse to one blank (a leading / trailing blank may stay)."""
     s = re.sub(r"(?:^| )\w(?:$| )", " ", s).strip()
-    # step 2: each listed punctuation class, one at a time
-    s = re.sub("[()‘’“”…+\\-{}]+", " ", s)
-    for ch in [".", ";", "!", ",", "?", "'", '"']:
-        s = re.sub(re.escape(ch) + "+", " ", s)
-    s = s.replace("\\", " ")
-    # step 3: digits, newlines, slashes and brackets, ampersand, blanks
-    s = re.sub(r"\d+", " ", s)
-    s = s.replace("\n", " ")
-    s = re.sub(r"[\\(/)]", " ", s)
-    s = s.replace("&", " and ")
-    return re.sub(r"\s+", " ", s)
+    out = []
+    for ch in s:
+        if ch in _BLANKED or ch.isdecimal():
+            out.append(" ")
+        elif ch == "&":
+            out.append(" and ")
+        else:
+            out.append(ch)
+    return re.sub(r"\s+", " ", "".join(out))
 
 
 def stopwords(s: str, words, lower=True) -> str:
