@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
 from dailywire.operators.tokens import by_id, lookup, token_table
+from dailywire.session import broadcast_if_small
 
 
 def shared_letters(a: Column, b: Column) -> Column:
@@ -97,3 +98,28 @@ def map_text(col: Column | str, fn: Callable[[str], str], return_type: T.DataTyp
         return s.map(lambda v: None if v is None else fn(v))
 
     return _apply(F.col(col) if isinstance(col, str) else col)
+
+
+def remove_stopwords_table(docs: DataFrame, id_col: str, text_col: str, words: DataFrame, out: str = "cleaned",
+                           lower: bool = True, min_length: int = 5, word_col: str = "word") -> DataFrame:
+    """T4 / T5 for word lists too large for a literal set: the same rule as
+    ``functions.text.remove_stopwords`` (split on one blank, empties kept, short result -> input).
+
+    Tokens are exploded with their positions, removed by a left anti join against the word table
+    (broadcast after a row check, else a shuffle join), and regrouped in order per document; the
+    documents are hash-partitioned by id first, so the regroup needs no second exchange.
+    Output: (id, out).
+    """
+    d = by_id(docs, id_col).select(F.col(id_col), F.col(text_col).alias("_src"))
+    base = F.lower(F.col("_src")) if lower else F.col("_src")
+    toks = d.select(F.col(id_col), F.col("_src"), F.posexplode_outer(F.split(base, " ", -1)).alias("pos", "token"))
+    kept = toks.join(broadcast_if_small(words.select(F.col(word_col).alias("token"))), on="token", how="left_anti")
+    per = kept.groupBy(id_col).agg(
+        F.first("_src").alias("_src"),
+        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token")))).alias("_k"),
+    )
+    new = F.array_join(F.transform("_k", lambda s: s["token"]), " ")
+    # documents whose every token was removed have no row left: they get the empty text, i.e. the input back
+    result = per.select(id_col, F.when(F.length(new) > min_length, new).otherwise(F.col("_src")).alias(out))
+    all_ids = d.select(id_col, "_src")
+    return all_ids.join(result, id_col, "left").select(id_col, F.coalesce(F.col(out), F.col("_src")).alias(out))

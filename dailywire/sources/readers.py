@@ -102,7 +102,7 @@ def wordlist_terms(words: DataFrame, limit: int | None = None, max_terms: int =
         ordered = ordered.limit(limit)
     rows = ordered.select("word").limit(max_terms + 1).collect()
     if len(rows) > max_terms:
-        raise ValueError(f"word list has more than {max_terms} entries; use a join-based filter")
+        raise ValueError(f"word list has more than {max_terms} entries; use operators.text.remove_stopwords_table")
     return [r.word for r in rows]
 
 

@@ -82,3 +82,19 @@ def test_explode_json_records(spark):
     a = spark.createDataFrame([(1, "x")], "id int, t string")
     b = spark.createDataFrame([(2, 3.0)], "id int, v double")
     assert R.append_records([a, b]).columns == ["id", "t", "v"]
+
+
+def test_stopword_table_path_equals_literal_path(spark):
+    from dailywire.functions import text as TX
+    from dailywire.operators import text as TO
+    from tests.conftest import SF_SMALL
+
+    words = R.read_wordlist(spark, f"{REFERENCE_DATA}/stopwords.txt")
+    terms = R.wordlist_terms(words)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(10**9, "about above"), (10**9 + 1, ""), (10**9 + 2, "Alpha  beta about")], "doc_id long, text string")
+    docs = docs.unionByName(extra)
+    lit = {r.doc_id: r.c for r in docs.select("doc_id", TX.remove_stopwords("text", terms).alias("c")).collect()}
+    tab = {r.doc_id: r.cleaned for r in TO.remove_stopwords_table(docs, "doc_id", "text", words).collect()}
+    assert lit == tab
+    assert tab[10**9] == "about above" and tab[10**9 + 1] == "" and tab[10**9 + 2] == "alpha  beta"
