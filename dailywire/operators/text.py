@@ -77,13 +77,19 @@ def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
 
 
 def preprocess(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
-               stopwords: Sequence[str] = L.STOPWORDS_FIRST_100, out: str = "processed_text",
+               stopwords: Sequence[str] | DataFrame = L.STOPWORDS_FIRST_100, out: str = "processed_text",
                noun_mode: str = "lemma") -> DataFrame:
-    """T1 -> T2 -> T3 -> T4. Without a lexicon T3 is skipped and the plan stays map-only."""
+    """T1 -> T2 -> T3 -> T4. Without a lexicon T3 is skipped and the plan stays map-only.
+
+    ``stopwords`` is a list (hash-set literal) or a one-column ``word`` table (join-based path,
+    for lists too large to inline; the output then carries only id and ``out``).
+    """
     staged = docs.withColumn(out, TX.strip_special(TX.expand_contractions(text_col)))
     if lexicon is not None:
         keep = [c for c in docs.columns if c not in (id_col, text_col, out)]
         staged = tokenize_pos_lemma(staged, id_col, out, lexicon, out=out, noun_mode=noun_mode, carry=keep)
+    if isinstance(stopwords, DataFrame):
+        return remove_stopwords_table(staged, id_col, out, stopwords, out=out)
     return staged.withColumn(out, TX.remove_stopwords(out, stopwords))
 
 

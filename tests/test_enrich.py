@@ -125,3 +125,11 @@ def test_polarity_decisions_are_exact(spark):
     val = spark.createDataFrame([("a", 0.1), ("b", -0.05)], "word string, score double")
     v = {r.id: r.polarity_vader for r in N.valence_class(spark.createDataFrame([(1, "a b b b b")], "id int, p string"), "id", "p", val).collect()}
     assert v[1] == "negative"  # neg = 4 * 1.05 = 4.2 > pos 1.1
+
+
+def test_preprocess_with_stopword_table(spark):
+    docs = spark.createDataFrame([(1, "The cats aren't running about, he said!"), (2, "about")], "id int, text string")
+    words = spark.createDataFrame([(w,) for w in L.STOPWORDS_FIRST_100], "word string")
+    lst = {r.id: r.processed_text for r in TO.preprocess(docs, "id", "text").collect()}
+    tab = {r.id: r.processed_text for r in TO.preprocess(docs, "id", "text", stopwords=words).collect()}
+    assert lst == tab
