@@ -10,6 +10,10 @@ from dailywire.sources.readers import DRIVER_TABLES
 from tests.conftest import SF_SMALL
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 5)
@@ -50,10 +54,12 @@ def test_every_query_has_a_unique_name_and_most_have_sql():
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = duck.execute(E.oracle_sql()[name])
-    dcols = [d[0] for d in res.description]
+    rel = duck.sql(E.oracle_sql()[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
     assert sorted(df.columns) == sorted(dcols)
-    assert _rows(df.columns, srows) == _rows(dcols, res.fetchall())
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == dict(zip(dcols, dtypes))
+    assert _rows(df.columns, srows) == _rows(dcols, rel.fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
