@@ -99,12 +99,3 @@ def test_stopword_table_path_equals_literal_path(spark):
     assert lit == tab
     assert tab[10**9] == "about above" and tab[10**9 + 1] == "" and tab[10**9 + 2] == "alpha  beta"
 
-
-def test_spread_only_repartitions_small_inputs(spark):
-    from tests.conftest import SF_SMALL
-
-    few = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
-    target = 2 * spark.sparkContext.defaultParallelism
-    assert R.spread(few).rdd.getNumPartitions() == target
-    many = spark.range(0, 1000, numPartitions=target + 5)
-    assert R.spread(many) is many  # enough splits already: the plan is left alone (no shuffle)
