@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash, substring, suffix
+from . import chat, hnsw, minhash, packing, substring, suffix, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -26,6 +27,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A file of the public tokenizers installed beside the library."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+#: Both sides say the template's own control strings.
+CONTROL_CONVERSATION = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@registered("op1_chat_formatting")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    turns = turns.union(spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string"))
+    return chat.digests(chat.format_conversations(turns, tokenizer_path("byte_bpe_50k.json")))
+
+
+@registered("op2_exact_top_k")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@registered("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 @registered("op5_suffix_array_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("text")
@@ -40,3 +70,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op8_minhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+@registered("op10_nearest_neighbours")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.approximate_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
