@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, hnsw, minhash, packing, substring, suffix, topk
+from dailywire.session import ensure_checkpoint_dir
+
+from . import chat, hnsw, minhash, packing, substring, suffix, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -61,6 +65,35 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("text")
 
 
+@registered(
+    "op6_warc",
+    """
+with x as (
+  select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (
+  select payload_digest, min(page_id) as first from x where payload_bytes >= 100 group by payload_digest
+)
+select x.page_id, x.payload_bytes, x.payload_digest,
+  case when x.page_id > f.first then 'revisit' else 'response' end as record_type,
+  case when x.page_id > f.first then f.first end as refers_to
+from x left join f on x.payload_digest = f.payload_digest and x.payload_bytes >= 100
+""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = os.path.join(ensure_checkpoint_dir(spark), f"warc-{uuid.uuid4().hex}")
+    warc.export_pages(table(spark, sf_dir, "pages"), path)
+    # responses are measured anew on the payload read back, revisits by their headers
+    back = warc.read(spark, path)
+    whole = F.col("record_type") == "response"
+    return back.select(
+        "page_id",
+        F.when(whole, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 @registered("op7_substring_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeated_windows(table(spark, sf_dir, "documents"))
