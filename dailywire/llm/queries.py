@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import ensure_checkpoint_dir
 
-from . import chat, hnsw, minhash, packing, substring, suffix, topk, warc
+from . import chat, hnsw, minhash, mixing, mixing_sql, packing, substring, suffix, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -54,6 +54,21 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+#: Weights of the registered mix, by path; what is not listed has weight 1.
+WEIGHTS = [("domain", "domain0", 4), ("domain", "domain1", 3), ("domain", "domain2", 2), ("lang", "domain0/en", 3), ("lang", "domain1/en", 2), ("lang", "domain1/de", 2), ("source", "domain0/en/src0", 2)]
+EPOCHS = 2
+
+
+def mix(docs: DataFrame, epochs: int = EPOCHS, part: str = "total div 2") -> DataFrame:
+    weights = docs.sparkSession.createDataFrame(WEIGHTS, "level string, path string, weight long")
+    return mixing.mixed(docs, mixing.domain_of(F.col("source")), F.expr(part), weights, epochs)
+
+
+@registered("op3_source_mixing", mixing_sql.mix(WEIGHTS, EPOCHS, "total // 2"))
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 @registered("op4_packing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
@@ -105,6 +120,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+@registered("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @registered("op10_nearest_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.approximate_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
