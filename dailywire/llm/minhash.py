@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     sets = checkpoint(live.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("keys").alias("keys")))
 
     # keys with two members at least; of keys with equal members one is enough
-    member = sets.select("id", F.explode("keys").alias("key")).distinct()
+    member = sets.select("id", F.explode("keys").alias("key"))
     size = member.groupBy("key").agg(F.count("*").alias("count"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.sum(F.xxhash64(F.col("id"), F.lit(1)).cast("decimal(20,0)")).alias("t"))
     size = size.where("count > 1").groupBy("count", "s", "t").agg(F.min("key").alias("key")).select("key", "count")
     member = member.join(size, "key").join(sets.select("id", "n", "registers"), "id")
@@ -269,7 +269,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     inside = inside.join(sets.select("id", "n"), "id")
     total = inside.groupBy("key").agg(F.sum("n").alias("total"))
     inside = inside.join(total, "key").select("id", "key", F.ceil(F.col("total") / block_shingles).alias("size")).distinct()
-    unit = texts.withColumnRenamed("doc_id", "id").join(checkpoint(inside), "id")
+    # the same join at every size: the members grow with the input, so they are never broadcast
+    unit = texts.withColumnRenamed("doc_id", "id").join(checkpoint(inside).hint("merge"), "id")
     unit = _in_blocks(unit, F.col("size")).select("key", "i", "j", "id", "text")
     unit = unit.repartition(width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     linked = components(unit.mapInArrow(_confirmed(shingle, percent), "a long, b long"))
