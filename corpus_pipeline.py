@@ -12,7 +12,11 @@ from dailywire.session import ensure_checkpoint_dir
 
 #: (name, function of (spark, docs, sf_dir)), in order.
 STAGES = [
+    ("toxicity", stages.drop_toxic),
     ("near_dedup", stages.near_dedup),
+    ("suffix_dedup", stages.suffix_dedup),
+    ("mixing", stages.mix_sources),
+    ("packing", stages.pack),
 ]
 
 #: Sketches, suffix sorting and tokenizers have no SQL form; the stages are tested by brute force.

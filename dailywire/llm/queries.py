@@ -60,7 +60,8 @@ EPOCHS = 2
 
 
 def mix(docs: DataFrame, epochs: int = EPOCHS, part: str = "total div 2") -> DataFrame:
-    weights = docs.sparkSession.createDataFrame(WEIGHTS, "level string, path string, weight long")
+    rows = ", ".join(f"('{level}', '{path}', {weight}L)" for level, path, weight in WEIGHTS)
+    weights = docs.sparkSession.sql(f"select * from values {rows} as w(level, path, weight)")
     return mixing.mixed(docs, mixing.domain_of(F.col("source")), F.expr(part), weights, epochs)
 
 

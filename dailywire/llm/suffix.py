@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import common, texthash
 
@@ -327,8 +328,8 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_
             rows += [_row(0, c, _DONE, ranges[at], None) for c, at in _sliced(chunk)]
         return _sent(rows)
 
-    extra = [f"carry {x.schema['carry'].dataType.simpleString()}"] if carry else []
-    result = ", ".join(["doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string", *extra])
+    result = StructType().add("doc_id", "long").add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add("kept_sha256", "string").add("text", "string")
+    result = result.add(x.schema["carry"]) if carry else result
 
     def cut(table: pa.Table, back: pa.Table) -> pa.Table:
         table, _, data, offsets = opened(table) if len(table) else (table, None, np.zeros(0, np.uint8), np.zeros(1, np.int64))

@@ -23,12 +23,13 @@ result. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dailywire.session import checkpoint
 
@@ -42,8 +43,9 @@ PATTERNS = 2000
 BITS = 18
 ROUNDS = 200
 DENSE = 0.01
-#: Standard errors by which log ratios are drawn to 0, for patterns and for the classifier's features.
-PATTERN_ERRORS, FEATURE_ERRORS = 2.0, 3.0
+#: Standard errors by which log ratios are drawn to 0 and the documents added to each side for them, of
+#: the patterns and of the classifier's features.
+PATTERN_ERRORS, FEATURE_ERRORS = (2.0, 0.5), (4.0, 1.0)
 #: Features are log ratios times shares of words; this brings a share of one in a hundred near 1.
 SCALE = 100.0
 
@@ -122,10 +124,11 @@ def _gathered(table: pa.Table):
     return np.array(table["target"], float), np.array(table["words"], float), np.repeat(np.arange(len(sizes)), sizes), join("kinds", np.int8), join("hashes", np.uint64), join("counts", np.int32)
 
 
-def _ratio(hits: np.ndarray, clean: np.ndarray, n: float, m: float, errors: float) -> np.ndarray:
-    """Log ratio of a feature's document rates on the two sides, drawn to 0 by so many standard errors."""
+def _ratio(hits: np.ndarray, clean: np.ndarray, n: float, m: float, errors: float, pseudo: float) -> np.ndarray:
+    """Log ratio of a feature's document rates on the two sides, drawn to 0 by so many standard errors
+    (with ``pseudo`` documents more on each side)."""
     ratio = np.log((hits + 0.5) / (n + 1)) - np.log((clean + 0.5) / (m + 1))
-    error = np.sqrt(1 / (hits + 0.5) + 1 / (clean + 0.5))
+    error = np.sqrt(1 / (hits + pseudo) + 1 / (clean + pseudo))
     return np.sign(ratio) * np.maximum(np.abs(ratio) - errors * error, 0)
 
 
@@ -139,7 +142,7 @@ def _mine(limit: int):
         unique, first, group = np.unique(h, return_index=True, return_inverse=True)
         hits = np.bincount(group, weights=toxic[doc], minlength=len(unique))
         clean = np.bincount(group, minlength=len(unique)) - hits
-        ratio = _ratio(hits, clean, n, m, PATTERN_ERRORS)
+        ratio = _ratio(hits, clean, n, m, *PATTERN_ERRORS)
         good = np.flatnonzero(ratio > np.log(5))
         kept = [good[kind[first[good]] == k] for k in range(len(STARTS) + 1)]
         kept = np.concatenate([g[np.argsort(-hits[g] * ratio[g], kind="stable")][:limit] for g in kept]).astype(np.int64)
@@ -248,7 +251,7 @@ def _train(bits: int, rounds: int = 600):
         d, cell, group = (lambda u, g: (u >> bits, u & ((1 << bits) - 1), g))(*np.unique((doc.astype(np.int64) << bits) | cell, return_inverse=True))
         share = SCALE * np.bincount(group, weights=count, minlength=len(d)) / np.maximum(words[d], 1)
         hits, clean = (np.bincount(cell, weights=t[d], minlength=1 << bits) for t in (y, 1 - y))
-        ratio = _ratio(hits, clean, y.sum(), (1 - y).sum(), FEATURE_ERRORS)
+        ratio = _ratio(hits, clean, y.sum(), (1 - y).sum(), *FEATURE_ERRORS)
         live = ratio[cell] != 0
         d, cell, x = d[live], cell[live], (share * ratio[cell])[live]
         n = max(len(y), 1)
@@ -280,8 +283,9 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, patterns: int = PATTERNS, bits: int = BITS) -> DataFrame:
-    """(doc_id, held_out, score, predicted). ``labels`` has doc_id and toxic (0 or 1)."""
+def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, patterns: int = PATTERNS, bits: int = BITS, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, held_out, score, predicted, *carry). ``labels`` has doc_id and toxic (0 or 1);
+    ``carry`` names columns of ``docs`` to hand through."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def smallest(rows: DataFrame) -> DataFrame:
@@ -305,7 +309,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
     # a row per vote pattern and label: at most 3 * 2 ** voters
     seen = votes.join(marked, "doc_id", "left").groupBy("votes", "target").count().collect()
     if not seen:
-        return texts.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(False).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), *carry)
     posterior, _, _ = label_model(np.array([r[0] for r in seen], np.int64), np.array([r[2] for r in seen], float), np.array([r[1] for r in seen], float), voters.count)
     of_pattern = dict(zip([r[0] for r in seen], posterior.tolist(), strict=True))
 
@@ -318,7 +322,13 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
 
     def score(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score_texts(batch.column("text"), weights, bits))], names=["doc_id", "score"])
-
-    scored = texts.mapInArrow(score, "doc_id long, score double")
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+            scores = pa.array(score_texts(batch.column("text"), weights, bits))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores, *([batch.column("carry")] if carry else [])], names=names)
+
+    extra = [F.struct(*carry).alias("carry")] if carry else []
+    names = ["doc_id", "score"] + ["carry"] * bool(carry)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
+    schema = StructType().add("doc_id", "long").add("score", "double")
+    schema = schema.add(rows.schema["carry"]) if carry else schema
+    scored = rows.mapInArrow(score, schema)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *(["carry.*"] if carry else []))
