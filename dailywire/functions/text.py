@@ -90,7 +90,7 @@ def strip_special(col: Column | str) -> Column:
 
 def remove_stopwords(
     col: Column | str,
-    stopwords: Sequence[str] = L.STOPWORDS_FIRST_100,
+    stopwords: Sequence[str],
     lower: bool = True,
     limit: int | None = None,
     min_length: int = 5,
@@ -111,7 +111,7 @@ def remove_stopwords(
     return let(_c(col), body)
 
 
-def preprocess_text(col: Column | str, stopwords: Sequence[str] = L.STOPWORDS_FIRST_100) -> Column:
+def preprocess_text(col: Column | str, stopwords: Sequence[str]) -> Column:
     """T1 -> T2 -> T4 as one column expression (T3 needs a lexicon join; see operators.text)."""
     return remove_stopwords(strip_special(expand_contractions(col)), stopwords)
 

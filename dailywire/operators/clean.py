@@ -15,12 +15,15 @@ def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 
 def to_timestamp(col: Column | str, fmt: str | None = None, utc: bool = False) -> Column:
-    """Text -> timestamp; unparsable -> NULL. ``utc=True`` honours offsets and returns UTC wall time."""
+    """Text -> timestamp; unparsable -> NULL. ``utc=True`` honours offsets and returns UTC wall time;
+    text without an offset is taken as UTC."""
     c = F.col(col) if isinstance(col, str) else col
     parsed = F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
     if utc:
         # instant -> UTC wall clock, independent of the session time zone
-        return F.convert_timezone(F.current_timezone(), F.lit("UTC"), parsed.cast("timestamp_ntz"))
+        instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), parsed.cast("timestamp_ntz"))
+        offset = c.rlike(r"(?i)(z|utc|gmt|[+-]\d{1,2}(:?\d{2}){0,2})\s*$") & c.contains(":") | c.rlike(r"\[?[A-Za-z]+/[A-Za-z_]+\]?\s*$")
+        return F.when(offset, instant).otherwise(parsed.cast("timestamp_ntz"))
     return parsed.cast("timestamp_ntz")
 
 

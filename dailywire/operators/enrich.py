@@ -14,13 +14,9 @@ from pyspark.sql import functions as F
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
 from dailywire.operators.clean import drop_duplicates_first
-from dailywire.operators.tokens import per_document
+from dailywire.operators.tokens import one_per_word, per_document
 from dailywire.session import broadcast_if_small
 
-# Literal maps are scanned linearly per token: use them only for tiny lexicons.
-MAX_LITERAL_LEXICON = 256
-
-
 def _nonempty_blank_tokens(col: Column | str) -> Column:
     return F.filter(TX.blank_tokens(col), lambda x: x != "")
 
@@ -32,9 +28,8 @@ SUM_DEC = "decimal(38,6)"
 
 
 def polarity_parts(col: Column | str, lexicon: Mapping[str, float] = L.DEMO_POLARITY) -> Column:
-    """N2 pieces for a small literal lexicon: struct(s = exact sum of listed scores, n = how many). Map-side only."""
-    if len(lexicon) > MAX_LITERAL_LEXICON:
-        raise ValueError("lexicon too large for a literal map; use lexicon_polarity with a table")
+    """N2 pieces for a literal lexicon (scanned linearly per token; a table of any size goes through
+    ``lexicon_polarity`` / ``score_documents``): struct(s = exact sum of listed scores, n = how many). Map-side only."""
     m = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(str(v)).cast(SCORE_DEC))])
     scores = F.filter(F.transform(_nonempty_blank_tokens(col), lambda t: F.try_element_at(m, t)), lambda s: s.isNotNull())
 
@@ -110,17 +105,19 @@ def _valence_columns(j: DataFrame) -> DataFrame:
 
 
 def prepare_sentiment_dictionary(raw: DataFrame, lemmas: DataFrame | None = None,
-                                 categories: Sequence[str] = L.SENTIMENT_CATEGORIES, word_col: str = "word") -> DataFrame:
+                                 categories: Sequence[str] = L.SENTIMENT_CATEGORIES, word_col: str = "word",
+                                 order: Column | None = None) -> DataFrame:
     """Lower-case words, verb lemma from a (word, lemma) table, flags to boolean, keep flagged, first per word.
 
-    "First" follows the input order, kept as ``_order`` from the scan.
+    "First" follows ``order``; give ``sources.readers.file_position()`` for a dictionary read from files
+    (Spark reads several files in any order), else the order of the rows in the input.
     """
-    d = raw.withColumn("_order", F.monotonically_increasing_id())
+    d = raw.withColumn("_order", F.monotonically_increasing_id() if order is None else order)
     d = d.withColumns({c: F.col(c).cast("int").cast("boolean") for c in categories})
     d = d.where(F.greatest(*[F.col(c).cast("int") for c in categories]) == 1)
     d = d.withColumn(word_col, F.lower(word_col))
     if lemmas is not None:
-        lem = broadcast_if_small(lemmas.select(F.col("word").alias("_w"), F.col("lemma").alias("_l")))
+        lem = broadcast_if_small(one_per_word(lemmas.select(F.col("word").alias("_w"), F.col("lemma").alias("_l")), "_w"))
         d = d.join(lem, d[word_col] == lem["_w"], "left").withColumn(word_col, F.coalesce("_l", word_col)).drop("_w", "_l")
     return drop_duplicates_first(d, [word_col], ["_order"]).drop("_order")
 
@@ -166,20 +163,21 @@ def first_entity(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFra
 def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataFrame | None = None,
                     valence: DataFrame | None = None, gazetteer: DataFrame | None = None,
                     negative_terms: Sequence[str] = L.NEGATIVE_TERMS, penalty: float = L.NEGATIVE_TERM_PENALTY,
-                    entity_columns: Sequence[tuple[str, str]] = L.ENTITY_COLUMNS) -> DataFrame:
+                    entity_columns: Sequence[tuple[str, str]] = L.ENTITY_COLUMNS, carry: Mapping[str, Column] | None = None) -> DataFrame:
     """N2 + N3 + N5 + N9 in one pass: one explode of the blank-split tokens, one left join to the
     combined lexicon (word -> polarity score, valence, entity label; broadcast after a row check),
     one group by document with conditional aggregates. Same results as the separate operators.
 
-    Lexicons: polarity (word, score), valence (word, score), gazetteer (term, label).
+    Lexicons: polarity (word, score), valence (word, score), gazetteer (term, label), each reduced to
+    one row per word. ``carry`` are further columns, computed on the document row.
     """
     parts = []
     if polarity is not None:
-        parts.append(polarity.select(F.col("word"), F.col("score").alias("_pol")))
+        parts.append(one_per_word(polarity.select(F.col("word"), F.col("score").alias("_pol"))))
     if valence is not None:
-        parts.append(valence.select(F.col("word"), F.col("score").alias("_val")))
+        parts.append(one_per_word(valence.select(F.col("word"), F.col("score").alias("_val"))))
     if gazetteer is not None:
-        parts.append(gazetteer.select(F.col("term").alias("word"), F.col("label").alias("_lab")))
+        parts.append(one_per_word(gazetteer.select(F.col("term").alias("word"), F.col("label").alias("_lab"))))
     if not parts:
         raise ValueError("give at least one lexicon")
     lex = parts[0]
@@ -194,7 +192,7 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataF
     if "_lab" in cols:
         aggs.append(F.min_by(F.struct(F.col("token").alias("t"), F.col("_lab").alias("l")),
                              F.when(F.col("_lab").isNotNull(), F.col("pos"))).alias("_first"))
-    carry = {"_negterms": TX.term_occurrences(text_col, negative_terms)}
+    carry = {**(carry or {}), "_negterms": TX.term_occurrences(text_col, negative_terms)}
     out = per_document(docs, id_col, TX.blank_tokens(text_col), lex, aggs, "word", carry)
     if "_pol" in cols:
         pp, k = F.col("_pp"), F.col("_negterms")

@@ -352,12 +352,15 @@ def new_links(links: DataFrame, store: DataFrame, key: str = "url", max_broadcas
 # ---------------------------------------------------------------- readings text
 
 def weather_fields(col: Column | str, metrics: Sequence[str] = L.WEATHER_METRICS) -> Column:
-    """Per metric ``Name: <value> <unit>`` -> array<struct<metric, value, unit>> (unit may be '')."""
+    """Per metric ``Name: <value> <unit>`` -> array<struct<metric, value, unit>> (unit may be '').
+
+    A metric that the text does not name has a NULL value.
+    """
     t = F.col(col) if isinstance(col, str) else col
     items = []
     for m in metrics:
         rx = m + r":\s*(\d+\.?\d*)\s*([a-z%][a-z/%]*)?"
-        items.append(F.struct(F.lit(m).alias("metric"), F.regexp_extract(t, rx, 1).cast("double").alias("value"),
+        items.append(F.struct(F.lit(m).alias("metric"), F.regexp_extract(t, rx, 1).try_cast("double").alias("value"),
                               F.regexp_extract(t, rx, 2).alias("unit")))
     return F.array(*items)
 

@@ -198,13 +198,22 @@ def trend_seasonal_blocks(n_changepoints: int = 25, weekly_order: int = 3, yearl
     return {"trend": (0, t_hi), "weekly": (t_hi, w_hi), "yearly": (w_hi, y_hi), "extra_regressors": (y_hi, y_hi + n_regressors)}
 
 
+NO_FIT = "no fit: too few rows or singular"
+
+
+def with_status(ids: DataFrame, fitted: DataFrame, mark: str) -> DataFrame:
+    """Every series of ``ids``: its rows of ``fitted``, or one row of NULLs with the reason."""
+    return ids.join(fitted, SERIES, "left").withColumn("status", F.when(F.col(mark).isNotNull(), F.lit("ok")).otherwise(F.lit(NO_FIT)))
+
+
 def forecast_trend_seasonal(split: DataFrame, periods: int = 16, regressors: DataFrame | None = None,
                             regressor_cols: Sequence[str] = (), changepoint_penalty: float = 1.0,
                             seasonal_penalty: float = 0.01, n_changepoints: int = 25, components: bool = False) -> DataFrame:
     """Fit on the train rows, predict history + ``periods`` days.
 
     ``regressors`` (series_id, ds, cols...) are outer-joined to the future frame and forward filled
-    (A7 + A8). Output: series_id, ds, yhat, yhat_lower, yhat_upper (+ component columns).
+    (A7 + A8). Output: series_id, ds, yhat, yhat_lower, yhat_upper (+ component columns), status; a
+    series that cannot be fitted keeps its days with NULL forecasts and the reason.
     """
     spine = X.date_spine(split.where(F.col("set") == "train").select(SERIES, "ds").distinct(), periods)
     if regressors is not None:
@@ -219,6 +228,7 @@ def forecast_trend_seasonal(split: DataFrame, periods: int = 16, regressors: Dat
     stats = gram(design.where(F.col("set") == "train"), [SERIES], "x", "y_scaled", k)
     fits = solve(stats, [SERIES], k, penalty=pen).where("ok").select(SERIES, "coef", "sigma2")
     scored = attach(design, fits)
+    unfitted = spine.select(SERIES, "ds").join(fits, SERIES, "left_anti").withColumn("status", F.lit(NO_FIT))
     yhat = dot("coef", "x") * F.col("scale")
     half = F.lit(Z80) * F.sqrt("sigma2") * F.col("scale")
     cols = [SERIES, "ds", yhat.alias("yhat"), (yhat - half).alias("yhat_lower"), (yhat + half).alias("yhat_upper")]
@@ -227,14 +237,15 @@ def forecast_trend_seasonal(split: DataFrame, periods: int = 16, regressors: Dat
             if hi > lo:
                 part = dot(F.slice("coef", lo + 1, hi - lo), F.slice("x", lo + 1, hi - lo)) * F.col("scale")
                 cols.append(part.alias(name))
-    return scored.select(*cols)
+    return scored.select(*cols, F.lit("ok").alias("status")).unionByName(unfitted, allowMissingColumns=True)
 
 
 # ------------------------------------------------------------------ F5: unit-root statistic
 
 def adf_statistic(df: DataFrame, lags: int = 3, y: str = "y") -> DataFrame:
     """t statistic of b in  dy_t = a + b*y_{t-1} + sum_i c_i dy_{t-i}  per series; d = 0 if it
-    rejects a unit root at 5 % (``adf < -2.86``) else 1."""
+    rejects a unit root at 5 % (``adf < -2.86``) else 1. A series too short for the statistic has a NULL
+    one, d = 1 and the reason in ``status``."""
     w = X._w()
     dy = F.col(y) - F.lag(y, 1).over(w)
     d = df.withColumn("_dy", dy).withColumn("_ylag", F.lag(y, 1).over(w))
@@ -244,7 +255,8 @@ def adf_statistic(df: DataFrame, lags: int = 3, y: str = "y") -> DataFrame:
     fit = solve(gram(rows, [SERIES], "x", "_t", k), [SERIES], k)
     sigma2 = F.col("rss") / (F.col("n") - F.lit(k))
     stat = F.element_at("coef", 2) / F.sqrt(sigma2 * F.element_at("inv_diag", 2))
-    return fit.select(SERIES, stat.alias("adf"), F.col("n").cast("long").alias("n")).withColumn(
+    found = fit.select(SERIES, stat.alias("adf"), F.col("n").cast("long").alias("n"))
+    return with_status(df.select(SERIES).distinct(), found, "adf").withColumn(
         "d", F.when(F.col("adf") < ADF_CRITICAL_5PCT, F.lit(0)).otherwise(F.lit(1)))
 
 
@@ -285,7 +297,7 @@ def arma_order_search(df: DataFrame, max_p: int = 3, max_q: int = 3, d: DataFram
     """orders p, q in 0..max (d per series from F5 unless given); lowest AIC per series.
 
     All 16 orders use one common sample (rows where every candidate lag exists) and one Gram matrix.
-    Output: series_id, p, d, q, aic.
+    Output: series_id, p, d, q, aic, status (a series without a fit has NULL orders and the reason).
     """
     dd = d if d is not None else adf_statistic(df).select(SERIES, "d")
     base = _differenced(df.join(dd, SERIES), F.col("d"))
@@ -296,8 +308,8 @@ def arma_order_search(df: DataFrame, max_p: int = 3, max_q: int = 3, d: DataFram
     subsets = {f"{p},{q}": [0] + list(range(1, p + 1)) + list(range(1 + max_p, 1 + max_p + q)) for p in range(max_p + 1) for q in range(max_q + 1)}
     fits = solve(gram(design, [SERIES], "_x2", "_w", k), [SERIES], k, subsets).where("ok")
     fits = fits.withColumn("p", F.split("model", ",")[0].cast("int")).withColumn("q", F.split("model", ",")[1].cast("int"))
-    best = X.best_by_score(fits, "aic", ["p", "q"])
-    return best.join(dd, SERIES).select(SERIES, "p", "d", "q", "aic")
+    best = X.best_by_score(fits, "aic", ["p", "q"]).join(dd, SERIES).select(SERIES, "p", "d", "q", "aic")
+    return with_status(df.select(SERIES).distinct(), best, "aic")
 
 
 def _tail(df: DataFrame, cols: Sequence[str], n_last: int) -> DataFrame:
@@ -329,6 +341,7 @@ def _recursion(fits: DataFrame, steps_col: str, ar_lags: Sequence[int], ma_lags:
                 es = [float(r["_e"]) if r["_e"] is not None else 0.0 for r in tail]
                 d = int(rec["d"]) if rec.get("d") is not None else 1
                 exo = rec.get("_xf")
+                steps = [b - a for a, b in zip(ys[:-1], ys[1:])] if seasonal_diff else []
                 for h in range(1, int(rec[steps_col]) + 1):
                     feats = [1.0] + [ws[-l] if l <= len(ws) else 0.0 for l in ar_lags] + [es[-l] if l <= len(es) else 0.0 for l in ma_lags]
                     if n_exog:
@@ -338,9 +351,8 @@ def _recursion(fits: DataFrame, steps_col: str, ar_lags: Sequence[int], ma_lags:
                     es.append(0.0)
                     if seasonal_diff:
                         # undo the seasonal difference first (on the once-differenced scale), then the first difference
-                        prev_dy = [ys[i] - ys[i - 1] for i in range(1, len(ys))]
-                        dyh = wh + (prev_dy[-seasonal_diff] if len(prev_dy) >= seasonal_diff else 0.0)
-                        ys.append(ys[-1] + dyh)
+                        steps.append(wh + (steps[-seasonal_diff] if len(steps) >= seasonal_diff else 0.0))
+                        ys.append(ys[-1] + steps[-1])
                     elif d == 1:
                         ys.append(ys[-1] + wh)
                     else:
@@ -355,7 +367,8 @@ def _recursion(fits: DataFrame, steps_col: str, ar_lags: Sequence[int], ma_lags:
 def arima_forecast(split: DataFrame, steps_extra: int = 2, orders: DataFrame | None = None, long_ar: int = 8) -> DataFrame:
     """fit the chosen (p, d, q) on the train rows, forecast test size + ``steps_extra`` steps.
 
-    Output: series_id, step, yhat, p, d, q (coefficient summary in ``coef``).
+    Step 1 is the first day after training. Output: series_id, step, yhat, p, d, q (coefficient summary
+    in ``coef``), status; a series without a fit has one row with a NULL step.
     """
     train = split.where(F.col("set") == "train").select(SERIES, "ds", "y")
     n_test = split.where(F.col("set") == "test").groupBy(SERIES).agg(F.count(F.lit(1)).alias("_m"))
@@ -371,7 +384,24 @@ def arima_forecast(split: DataFrame, steps_extra: int = 2, orders: DataFrame | N
     tail = _tail(base, ["y", "_w", "_e"], max(max_p, max_q) + 1)
     rec_in = chosen.join(tail, SERIES).join(n_test, SERIES).withColumn("_steps", F.col("_m") + steps_extra)
     fc = _recursion(rec_in.select(SERIES, "coef", "d", "_tail", "_steps"), "_steps", ar, ma)
-    return fc.join(chosen.select(SERIES, "p", "d", "q", "coef"), SERIES)
+    done = fc.join(chosen.select(SERIES, "p", "d", "q", "coef"), SERIES)
+    return with_status(split.select(SERIES).distinct(), done, "yhat")
+
+
+def after_training(split: DataFrame, align: str = "date") -> DataFrame:
+    """The test rows with the ``step`` of the forecast that they are compared with.
+
+    The ordered split repeats the last training row as the first test row. ``align="date"`` numbers the
+    rows from the first one after training, where step 1 belongs; ``align="position"`` numbers all test
+    rows, so that every forecast stands one row early.
+    """
+    if align not in ("date", "position"):
+        raise ValueError("align must be 'date' or 'position'")
+    test = split.where(F.col("set") == "test")
+    if align == "date":
+        last = split.where(F.col("set") == "train").groupBy(SERIES).agg(F.max("ds").alias("_last"))
+        test = test.join(last, SERIES).where(F.col("ds") > F.col("_last")).drop("_last")
+    return test.withColumn("step", F.row_number().over(Window.partitionBy(SERIES).orderBy("ds")))
 
 
 SARIMAX_AR = (1, 2, 7, 14)
@@ -417,14 +447,15 @@ def sarimax_grid_search(train: DataFrame, exog: Sequence[str] = (), long_ar: int
     # every series gets a row: a series too short (or singular) for all 81 orders gets a status instead
     ids = train.select(SERIES).distinct()
     return ids.join(best, SERIES, "left").withColumn(
-        "status", F.when(F.col("order").isNotNull(), F.lit("ok")).otherwise(F.lit("no fit: too few rows or singular")))
+        "status", F.when(F.col("order").isNotNull(), F.lit("ok")).otherwise(F.lit(NO_FIT)))
 
 
-def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int = 21) -> DataFrame:
+def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int = 21, align: str = "date") -> DataFrame:
     """best order from F8 on the train rows, dynamic forecast over the test rows with their
-    (known) exogenous values. Output: series_id, ds, y, yhat, order."""
+    (known) exogenous values. Output: series_id, ds, y, yhat, order, status; ``align`` as in
+    ``after_training``; the rows of a series without a fit have a NULL yhat."""
     train = split.where(F.col("set") == "train")
-    test = split.where(F.col("set") == "test")
+    test = after_training(split, align)
     design = checkpoint(_sarimax_design(train, exog, long_ar))
     best = sarimax_grid_search(train, exog, long_ar, design=design)
     tail = _tail(design, ["y", "_w", "_e"], 15)
@@ -445,5 +476,4 @@ def sarimax_forecast(split: DataFrame, exog: Sequence[str] = (), long_ar: int =
         rec = rec.withColumn("_xf", F.lit(None).cast("array<array<double>>"))
     fc = _recursion(rec.select(SERIES, "coef", F.lit(1).alias("d"), "_tail", "_m", "_xf"), "_m", SARIMAX_AR, SARIMAX_MA,
                     seasonal_diff=7, exog_future=exog_frame)
-    numbered = test.withColumn("step", F.row_number().over(Window.partitionBy(SERIES).orderBy("ds")))
-    return numbered.join(fc, [SERIES, "step"]).join(best.select(SERIES, "order"), SERIES).select(SERIES, "ds", "y", "yhat", "order")
+    return test.join(fc, [SERIES, "step"], "left").join(best.select(SERIES, "order", "status"), SERIES).select(SERIES, "ds", "y", "yhat", "order", "status")

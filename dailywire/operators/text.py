@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.operators.tokens import by_id, lookup, token_table
+from dailywire.operators.tokens import lookup, one_per_word, token_table
 from dailywire.session import broadcast_if_small
 
 
@@ -50,7 +50,7 @@ def resolve_lexicon(lexicon: DataFrame, noun_mode: str = "lemma") -> DataFrame:
         .when(shared_letters(w, lem) >= F.length(F.col("word")) - 1, lem)
         .otherwise(w)
     )
-    return lexicon.select(F.lower(F.col("word")).alias("word"), out.alias("_out"), F.lit(True).alias("_hit"))
+    return one_per_word(lexicon.select(F.lower(F.col("word")).alias("word"), out.alias("_out"), F.lit(True).alias("_hit")))
 
 
 def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out: str = "normalized",
@@ -59,11 +59,10 @@ def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
 
     Output (id, *carry, out): ``" " + result`` per kept token in token order ('' when nothing is
     kept); tokens not in the lexicon are kept lower-cased. The lexicon decision is evaluated once
-    per entry; the lookup is a size-checked broadcast left join. The documents are hash-partitioned
-    by id first (the one shuffle, of the compact text), so regrouping the tokens needs no exchange;
-    measured faster than shuffling per-document token lists.
+    per entry; the lookup is a size-checked broadcast left join. A document's tokens stay in the task
+    that read it, where the partial ``collect_list`` combines them, so only kept tokens move.
     """
-    pre = by_id(docs, id_col).select(F.col(id_col), *[F.col(c) for c in carry],
+    pre = docs.select(F.col(id_col), *[F.col(c) for c in carry],
                       F.transform(F.split(F.col(text_col), r"(?U)\s+", -1), lambda t: F.lower(t)).alias("_toks"))
     toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
     res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
@@ -76,8 +75,8 @@ def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
     return per.withColumn(out, F.coalesce(joined, F.lit(""))).drop("_parts")
 
 
-def preprocess(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame | None = None,
-               stopwords: Sequence[str] | DataFrame = L.STOPWORDS_FIRST_100, out: str = "processed_text",
+def preprocess(docs: DataFrame, id_col: str, text_col: str, stopwords: Sequence[str] | DataFrame,
+               lexicon: DataFrame | None = None, out: str = "processed_text",
                noun_mode: str = "lemma") -> DataFrame:
     """T1 -> T2 -> T3 -> T4. Without a lexicon T3 is skipped and the plan stays map-only.
 
@@ -111,21 +110,17 @@ def remove_stopwords_table(docs: DataFrame, id_col: str, text_col: str, words: D
     """T4 / T5 for word lists too large for a literal set: the same rule as
     ``functions.text.remove_stopwords`` (split on one blank, empties kept, short result -> input).
 
-    Tokens are exploded with their positions, removed by a left anti join against the word table
-    (broadcast after a row check, else a shuffle join), and regrouped in order per document; the
-    documents are hash-partitioned by id first, so the regroup needs no second exchange.
+    Tokens are exploded with their positions (id and token only, never the text), removed by a left
+    anti join against the word table (broadcast after a row check, else a shuffle join), regrouped in
+    order per document and joined back to the texts once.
     Output: (id, out).
     """
-    d = by_id(docs, id_col).select(F.col(id_col), F.col(text_col).alias("_src"))
+    d = docs.select(F.col(id_col), F.col(text_col).alias("_src"))
     base = F.lower(F.col("_src")) if lower else F.col("_src")
-    toks = d.select(F.col(id_col), F.col("_src"), F.posexplode_outer(F.split(base, " ", -1)).alias("pos", "token"))
-    kept = toks.join(broadcast_if_small(words.select(F.col(word_col).alias("token"))), on="token", how="left_anti")
-    per = kept.groupBy(id_col).agg(
-        F.first("_src").alias("_src"),
-        F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token")))).alias("_k"),
-    )
+    toks = d.select(F.col(id_col), F.posexplode_outer(F.split(base, " ", -1)).alias("pos", "token"))
+    kept = toks.join(broadcast_if_small(words.select(F.col(word_col).alias("token")).distinct()), on="token", how="left_anti")
+    per = kept.groupBy(id_col).agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token")))).alias("_k"))
     new = F.array_join(F.transform("_k", lambda s: s["token"]), " ")
-    # documents whose every token was removed have no row left: they get the empty text, i.e. the input back
-    result = per.select(id_col, F.when(F.length(new) > min_length, new).otherwise(F.col("_src")).alias(out))
-    all_ids = d.select(id_col, "_src")
-    return all_ids.join(result, id_col, "left").select(id_col, F.coalesce(F.col(out), F.col("_src")).alias(out))
+    result = per.select(id_col, F.when(F.length(new) > min_length, new).alias(out))
+    # documents whose every token was removed have no row left: they keep the input
+    return d.join(result, id_col, "left").select(id_col, F.coalesce(F.col(out), F.col("_src")).alias(out))

@@ -23,11 +23,6 @@ from pyspark.sql import functions as F
 from dailywire.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 
-def by_id(df: DataFrame, id_col: str) -> DataFrame:
-    """Hash-partition by the document id (AQE may coalesce the partitions)."""
-    return df.repartition(id_col)
-
-
 def token_table(df: DataFrame, id_col: str, tokens: Column, keep_empty: bool = False, outer: bool = False,
                 carry: Sequence[str] = ()) -> DataFrame:
     """(id, *carry, pos, token) rows; ``pos`` is the token's index in the document.
@@ -40,10 +35,19 @@ def token_table(df: DataFrame, id_col: str, tokens: Column, keep_empty: bool = F
     return df.select(F.col(id_col), *[F.col(c) for c in carry], gen.alias("pos", "token"))
 
 
+def one_per_word(lexicon: DataFrame, word_col: str = "word") -> DataFrame:
+    """One row per word: of repeated entries the smallest, compared column by column (NULL first), so
+    that a word listed twice neither repeats a token nor counts twice."""
+    others = [c for c in lexicon.columns if c != word_col]
+    if not others:
+        return lexicon.distinct()
+    return lexicon.groupBy(word_col).agg(F.min(F.struct(*others)).alias("_entry")).select(word_col, "_entry.*")
+
+
 def lookup(tokens: DataFrame, lexicon: DataFrame, word_col: str = "word", how: str = "inner",
            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join tokens to a lexicon keyed by ``word_col`` (broadcast only behind a row check)."""
-    lex = broadcast_if_small(lexicon, max_broadcast_rows)
+    """Join tokens to a lexicon, one entry per ``word_col`` (broadcast only behind a row check)."""
+    lex = broadcast_if_small(one_per_word(lexicon, word_col), max_broadcast_rows)
     return tokens.join(lex, tokens["token"] == lex[word_col], how).drop(lex[word_col])
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import text as TX
 from dailywire.operators import daily as D
-from dailywire.operators.enrich import negative_flag_col, polarity_parts
+from dailywire.operators.enrich import score_documents
 from dailywire.plans import sqltext as S
+from dailywire.plans.driver_words import STOPWORDS
 from dailywire.plans.registry import query, rounded
 from dailywire.sources.readers import table, text_table
 from dailywire.sources.views import index_readings, news_from_documents, weather_readings
@@ -22,15 +23,14 @@ START_DATE = "2024-01-02"
 
 
 def article_features(news: DataFrame, key_terms=DRIVER_KEY_TERMS, negative_terms=DRIVER_NEGATIVE_TERMS,
-                     polarity=DRIVER_POLARITY) -> DataFrame:
-    """T1 -> T2 -> T4 -> N1, N2, N3 as map-side column expressions (no shuffle, no Python worker)."""
-    with_text = news.withColumn("processed_text", TX.preprocess_text("text"))
-    pol = polarity_parts("processed_text", polarity)
-    return with_text.select(
-        "url", "date",
-        TX.keyterm_flag("processed_text", key_terms).alias("covid_flag"),
-        negative_flag_col(pol, "processed_text", negative_terms).alias("negative_flag"),
-    )
+                     polarity=DRIVER_POLARITY, stopwords=STOPWORDS) -> DataFrame:
+    """T1 -> T2 -> T4 -> N1, N2, N3: the cleaned text is exploded once and joined to the polarity table
+    (of any size); one small row per article leaves its task."""
+    with_text = news.withColumn("processed_text", TX.preprocess_text("text", stopwords))
+    lexicon = news.sparkSession.createDataFrame(list(polarity.items()), "word string, score double") if isinstance(polarity, dict) else polarity
+    scored = score_documents(with_text, "url", "processed_text", polarity=lexicon, negative_terms=negative_terms,
+                             carry={"date": F.col("date"), "covid_flag": TX.keyterm_flag("processed_text", key_terms)})
+    return scored.select("url", "date", "covid_flag", "negative_flag")
 
 
 def daily_table(spark: SparkSession, sf_dir: str, start: str = START_DATE) -> DataFrame:
@@ -47,7 +47,7 @@ def _features_sql(start: str | None = START_DATE) -> str:
     where = f"WHERE {S.news_day()} >= DATE '{start}'" if start else ""
     p = "p"
     return f"""
-news AS (SELECT doc_id AS url, {S.news_day()} AS date, {S.preprocess_text('text')} AS p FROM documents {where}),
+news AS (SELECT doc_id AS url, {S.news_day()} AS date, {S.preprocess_text('text', STOPWORDS)} AS p FROM documents {where}),
 flags AS (SELECT url, date, {S.keyterm_flag(p, DRIVER_KEY_TERMS)} AS covid_flag,
           {S.negative_flag(p, DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM news),
 counts AS (SELECT date AS datetime, count(url) AS total_number_of_articles, count(covid_flag) AS total_articles_about_covid,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailywire.operators import forecast as FC
@@ -45,7 +45,7 @@ def f6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("F7_arima_forecast")
 def f7(spark: SparkSession, sf_dir: str) -> DataFrame:
     fc = FC.arima_forecast(_split(spark, sf_dir), steps_extra=2)
-    return rounded(fc.select("series_id", "step", "yhat", "p", "d", "q"))
+    return rounded(fc.select("series_id", "step", "yhat", "p", "d", "q", "status"))
 
 
 @query("F8_sarimax_grid_search")
@@ -73,9 +73,8 @@ def f1_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("F7_arima_rmse")
 def f7_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The printed score of the ARIMA forecast: RMSE against the test rows by step number."""
+    """The printed score of the ARIMA forecast: RMSE against the test rows on their days."""
     split = _split(spark, sf_dir)
     fc = FC.arima_forecast(split, steps_extra=2).select("series_id", "step", "yhat")
-    test = split.where(F.col("set") == "test").withColumn(
-        "step", F.row_number().over(Window.partitionBy("series_id").orderBy("ds"))).select("series_id", "step", "y")
+    test = FC.after_training(split).select("series_id", "step", "y")
     return rounded(X.rmse(test.join(fc, ["series_id", "step"])))

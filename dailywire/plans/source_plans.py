@@ -54,8 +54,8 @@ def _dictionary_file(spark: SparkSession, sf_dir: str) -> str:
         F.lit(0).alias("Litigious"), F.lit(0).alias("Constraining"), F.lit(1).alias("Other"),
     )
     path = _folder(spark, "dictionary")
-    # one file in doc_id order: the file order is what "first per word" refers to
-    rows.orderBy("doc_id").drop("doc_id").coalesce(1).write.option("header", True).csv(path)
+    # as many files as the range sort makes, in doc_id order: file path and place are the row order
+    rows.orderBy("doc_id").drop("doc_id").write.option("header", True).csv(path)
     return path
 
 
@@ -88,7 +88,7 @@ def n6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = R.table(spark, sf_dir, "documents").where(F.col("source").isin("src1", "src2"))
     lemmas = docs.select(F.lower(F.concat(F.col("lang"), F.lit("_"), F.col("source"))).alias("word"),
                          F.lower("lang").alias("lemma")).distinct()
-    out = prepare_sentiment_dictionary(raw, lemmas)
+    out = prepare_sentiment_dictionary(raw, lemmas, order=R.file_position())
     return out.select(*L.SENTIMENT_CATEGORIES, "word")
 
 
@@ -99,7 +99,7 @@ def s3(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = docs.select(F.col("source").alias("value")).distinct().unionByName(docs.select(F.col("lang").alias("value")).distinct())
     header = spark.createDataFrame([("#",), ("#  word list",), ("#  generated from documents",)], "value string")
     path = _folder(spark, "words")
-    header.unionByName(words).coalesce(1).write.text(path)
+    header.unionByName(words).write.text(path)
     return R.read_wordlist(spark, path).select("word")
 
 

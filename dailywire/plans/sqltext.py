@@ -48,13 +48,13 @@ def strip_special(x: str) -> str:
     return f"regexp_replace({s}, '\\s+', ' ', 'g')"
 
 
-def remove_stopwords(x: str, words: Iterable[str] = L.STOPWORDS_FIRST_100, lower: bool = True, min_length: int = 5) -> str:
+def remove_stopwords(x: str, words: Iterable[str], lower: bool = True, min_length: int = 5) -> str:
     base = f"lower({x})" if lower else x
     new = f"array_to_string(list_filter(string_split({base}, ' '), lambda w: NOT list_contains({str_list(words)}, w)), ' ')"
     return f"(CASE WHEN length({new}) > {min_length} THEN {new} ELSE {x} END)"
 
 
-def preprocess_text(x: str, words: Iterable[str] = L.STOPWORDS_FIRST_100) -> str:
+def preprocess_text(x: str, words: Iterable[str]) -> str:
     return remove_stopwords(strip_special(expand_contractions(x)), words)
 
 

@@ -10,6 +10,7 @@ from dailywire.operators import enrich as N
 from dailywire.operators import text as TO
 from dailywire.plans import sqltext as S
 from dailywire.plans.daily_plans import DRIVER_KEY_TERMS, DRIVER_NEGATIVE_TERMS, DRIVER_POLARITY
+from dailywire.plans.driver_words import STOPWORDS
 from dailywire.plans.registry import query, rounded
 from dailywire.sources.readers import table, text_table
 
@@ -53,10 +54,10 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", TX.preprocess_text("text").alias("p"))
+    return _docs(spark, sf_dir).select("doc_id", TX.preprocess_text("text", STOPWORDS).alias("p"))
 
 
-_P_SQL = f"p AS (SELECT doc_id, {S.preprocess_text('text')} AS p FROM documents)"
+_P_SQL = f"p AS (SELECT doc_id, {S.preprocess_text('text', STOPWORDS)} AS p FROM documents)"
 
 
 def _lexicon_df(spark: SparkSession, rows, cols) -> DataFrame:
@@ -110,9 +111,9 @@ def t3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TO.tokenize_pos_lemma(staged, "doc_id", "s", lex).select("doc_id", "normalized")
 
 
-@query("T4_remove_stopwords", f"SELECT doc_id, {S.remove_stopwords('text')} AS cleaned FROM documents")
+@query("T4_remove_stopwords", f"SELECT doc_id, {S.remove_stopwords('text', STOPWORDS)} AS cleaned FROM documents")
 def t4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text").alias("cleaned"))
+    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text", STOPWORDS).alias("cleaned"))
 
 
 @query(
@@ -120,20 +121,20 @@ def t4(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"SELECT doc_id, {S.remove_stopwords('text', L.STOPWORDS_FIRST_100[:50], lower=False)} AS cleaned FROM documents",
 )
 def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text", lower=False, limit=50).alias("cleaned"))
+    return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text", L.STOPWORDS_FIRST_100, lower=False, limit=50).alias("cleaned"))
 
 
 def _t6_sql() -> str:
     t3 = _t3_sql()
     head, tail = t3.rsplit("SELECT d.doc_id", 1)
     return f"""{head}, n AS (SELECT d.doc_id, coalesce(g.normalized, '') AS normalized FROM documents d LEFT JOIN g USING (doc_id))
-    SELECT doc_id, {S.remove_stopwords('normalized')} AS processed_text FROM n"""
+    SELECT doc_id, {S.remove_stopwords('normalized', STOPWORDS)} AS processed_text FROM n"""
 
 
 @query("T6_preprocess_text", _t6_sql())
 def t6(spark: SparkSession, sf_dir: str) -> DataFrame:
     lex = _lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
-    return TO.preprocess(_docs(spark, sf_dir), "doc_id", "text", lex).select("doc_id", "processed_text")
+    return TO.preprocess(_docs(spark, sf_dir), "doc_id", "text", STOPWORDS, lex).select("doc_id", "processed_text")
 
 
 def _py_contractions(s: str) -> str:
@@ -176,9 +177,9 @@ def n2(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"WITH {_P_SQL} SELECT doc_id, {S.negative_flag('p', DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
 )
 def n3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _processed(spark, sf_dir)
-    pol = N.polarity_parts("p", DRIVER_POLARITY)
-    return p.select("doc_id", N.negative_flag_col(pol, "p", DRIVER_NEGATIVE_TERMS).alias("negative_flag"))
+    lex = _lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
+    scored = N.score_documents(_processed(spark, sf_dir), "doc_id", "p", polarity=lex, negative_terms=DRIVER_NEGATIVE_TERMS)
+    return scored.select("doc_id", "negative_flag")
 
 
 @query(

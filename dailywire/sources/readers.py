@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,21 +89,22 @@ def read_dictionary(spark: SparkSession, path: str, keep: Sequence[str], word_co
     return lowered.select(*[F.col(c) for c in keep], F.col(word_col))
 
 
+def file_position() -> Column:
+    """A row's place in the files it is read from: path, block start, row within the block."""
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+
+
 def read_wordlist(spark: SparkSession, path: str, comment: str = "#") -> DataFrame:
-    """S3: one term per line; lines starting with ``comment`` are skipped; file order kept in ``pos``."""
-    lines = spark.read.text(path).withColumn("pos", F.monotonically_increasing_id())
+    """S3: one term per line; lines starting with ``comment`` are skipped. ``pos`` is the place in the
+    files: file path, block start, and the row within the block."""
+    lines = spark.read.text(path).select("value", file_position().alias("pos"))
     return lines.where(~F.col("value").startswith(comment)).select(F.col("value").alias("word"), "pos")
 
 
-def wordlist_terms(words: DataFrame, limit: int | None = None, max_terms: int = 200_000) -> list[str]:
-    """Word list as literals for a hash-set membership test; refuses lists above ``max_terms``."""
-    ordered = words.orderBy("pos")
-    if limit is not None:
-        ordered = ordered.limit(limit)
-    rows = ordered.select("word").limit(max_terms + 1).collect()
-    if len(rows) > max_terms:
-        raise ValueError(f"word list has more than {max_terms} entries; use operators.text.remove_stopwords_table")
-    return [r.word for r in rows]
+def wordlist_terms(words: DataFrame, limit: int) -> list[str]:
+    """The first ``limit`` words as literals for a hash-set membership test (T5). A whole list stays a
+    table: ``operators.text.remove_stopwords_table``."""
+    return [r.word for r in words.orderBy("pos").limit(limit).select("word").collect()]
 
 
 def explode_json_records(

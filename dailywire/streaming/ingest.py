@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,8 +17,11 @@ def _store_so_far(spark: SparkSession, store: str, batch_id: int) -> DataFrame |
     """Rows committed by earlier batches only (a retried batch must not see its own partial output)."""
     try:
         prior = spark.read.parquet(store)
-    except Exception:  # noqa: BLE001 - no committed batch yet
-        return None
+    except AnalysisException as e:
+        # no committed batch yet; any other failure must not look like an empty store
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     return prior.where(F.col("_batch") < batch_id)
 
 
@@ -63,32 +67,30 @@ def dedupe_within_watermark(spark: SparkSession, source_dir: str, sink: str, che
             .trigger(availableNow=True).start())
 
 
-def upsert_daily(table_path: str, keys=("datetime", "event_type")):
-    """foreachBatch body of ST2: the changed (day, type) groups replace their partitions (dynamic overwrite)."""
+def add_daily(table_path: str):
+    """foreachBatch body of ST2: the batch's own counts and sums, in its own ``_batch=<id>`` partition
+    (a retried batch overwrites it)."""
 
-    def run(batch: DataFrame, batch_id: int) -> None:  # noqa: ARG001 - idempotent by content
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*keys).parquet(table_path))
+    def run(batch: DataFrame, batch_id: int) -> None:
+        part = batch.groupBy(F.to_date("ts").alias("datetime"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum"))
+        (part.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_batch").parquet(table_path))
 
     return run
 
 
+def daily_totals(spark: SparkSession, table_path: str) -> DataFrame:
+    """The daily table of ST2: the batches' counts and sums added up."""
+    return spark.read.parquet(table_path).groupBy("datetime", "event_type").agg(F.sum("n").alias("n"), F.sum("value_sum").alias("value_sum"))
+
+
 def streaming_daily_aggregate(spark: SparkSession, source_dir: str, table_path: str, checkpoint: str,
-                              watermark: str = "1 day", files_per_trigger: int = 1) -> StreamingQuery:
+                              files_per_trigger: int = 1) -> StreamingQuery:
     """ST2: per day and type, count and sum of the readings (mean = sum / n), kept current as files arrive.
 
-    Tumbling 1-day windows with a watermark; update mode so a day is revised while it is open, and
-    rows later than the watermark are dropped.
+    Each micro-batch adds its partial sums (one row per day and type it holds), and ``daily_totals``
+    adds these up, so a reading counts however late it arrives and no state is kept.
     """
-    # The readings are wall-clock (timestamp_ntz); watermarks need TIMESTAMP, so the column is read
-    # as TIMESTAMP: its stored micros become UTC instants, independent of the session time zone.
-    stream = (spark.readStream.schema(EVENTS_SCHEMA.replace("ts TIMESTAMP_NTZ", "ts TIMESTAMP"))
-              .option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir))
-    agg = (stream.withWatermark("ts", watermark)
-           .groupBy(F.window("ts", "1 day"), F.col("event_type"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value_sum")))
-    # the window start is UTC midnight of the reading's wall-clock day, whatever the session zone
-    day = F.to_date(F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("window.start").cast("timestamp_ntz")))
-    out = agg.select(day.alias("datetime"), "event_type", "n", "value_sum")
-    return (out.writeStream.outputMode("update").foreachBatch(upsert_daily(table_path))
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    stream = spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(source_dir)
+    return (stream.writeStream.foreachBatch(add_daily(table_path)).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

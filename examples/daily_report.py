@@ -24,6 +24,7 @@ from dailywire.operators import forecast as FC  # noqa: E402
 from dailywire.operators import series as X  # noqa: E402
 from dailywire.operators import text as TO  # noqa: E402
 from dailywire.plans import text_plans as P  # noqa: E402
+from dailywire.plans.driver_words import STOPWORDS  # noqa: E402
 from dailywire.session import get_spark  # noqa: E402
 from dailywire.sources.readers import table, text_table  # noqa: E402
 from dailywire.sources.views import daily_order_series, index_readings, news_from_documents, weather_readings  # noqa: E402
@@ -38,7 +39,7 @@ def main() -> None:
 
     lexicon = spark.createDataFrame(P.DRIVER_TAG_LEXICON, "word string, tag string, pos string, lemma string, plural string")
     docs = text_table(spark, sf, "documents", ["doc_id", "text"])
-    processed = TO.preprocess(docs, "doc_id", "text", lexicon).select("doc_id", "processed_text")
+    processed = TO.preprocess(docs, "doc_id", "text", STOPWORDS, lexicon).select("doc_id", "processed_text")
     scores = N.score_documents(
         processed, "doc_id", "processed_text",
         polarity=spark.createDataFrame(list(P.DRIVER_POLARITY.items()), "word string, score double"),

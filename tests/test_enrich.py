@@ -35,8 +35,8 @@ def test_tag_lemma_decision_table(spark):
 def test_preprocess_with_and_without_lexicon(spark):
     docs = spark.createDataFrame([(1, "The cats aren't running, he said!")], "id int, text string")
     lex = spark.createDataFrame(LEX, LEX_SCHEMA)
-    plain = TO.preprocess(docs, "id", "text").first().processed_text
-    tagged = TO.preprocess(docs, "id", "text", lex).first().processed_text
+    plain = TO.preprocess(docs, "id", "text", L.STOPWORDS_FIRST_100).first().processed_text
+    tagged = TO.preprocess(docs, "id", "text", L.STOPWORDS_FIRST_100, lex).first().processed_text
     assert plain == rules.stopwords(rules.special(rules.contractions("The cats aren't running, he said!")), L.STOPWORDS_FIRST_100)
     assert "cat" in tagged.split(" ") and "he" not in tagged.split(" ")
 
@@ -95,7 +95,7 @@ def test_score_documents_equals_separate_operators(spark):
     from dailywire.functions import text as TX
     from dailywire.plans import text_plans as P
 
-    docs = table(spark, SF_SMALL, "documents").select("doc_id", TX.preprocess_text("text").alias("p"))
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", TX.preprocess_text("text", L.STOPWORDS_FIRST_100).alias("p"))
     pol = spark.createDataFrame(list(P.DRIVER_POLARITY.items()), "word string, score double")
     val = spark.createDataFrame(list(P.DRIVER_VALENCE.items()), "word string, score double")
     gz = spark.createDataFrame(P.DRIVER_GAZETTEER, "term string, label string")
@@ -130,6 +130,21 @@ def test_polarity_decisions_are_exact(spark):
 def test_preprocess_with_stopword_table(spark):
     docs = spark.createDataFrame([(1, "The cats aren't running about, he said!"), (2, "about")], "id int, text string")
     words = spark.createDataFrame([(w,) for w in L.STOPWORDS_FIRST_100], "word string")
-    lst = {r.id: r.processed_text for r in TO.preprocess(docs, "id", "text").collect()}
+    lst = {r.id: r.processed_text for r in TO.preprocess(docs, "id", "text", L.STOPWORDS_FIRST_100).collect()}
     tab = {r.id: r.processed_text for r in TO.preprocess(docs, "id", "text", stopwords=words).collect()}
     assert lst == tab
+
+
+def test_repeated_lexicon_words_count_once(spark):
+    docs = spark.createDataFrame([(1, "apple pie")], "id int, text string")
+    lex = spark.createDataFrame([("apple", "NN", "NOUN", "apple", None), ("Apple", "NN", "NOUN", "apple", None)], "word string, tag string, pos string, lemma string, plural string")
+    assert TO.tokenize_pos_lemma(docs, "id", "text", lex).first().normalized == " apple pie"
+    scores = spark.createDataFrame([("apple", 1.0), ("apple", 1.0), ("pie", -1.0)], "word string, score double")
+    assert N.lexicon_polarity(docs, "id", "text", scores).first().polarity == 0.0
+
+
+def test_more_than_256_lexicon_words(spark):
+    docs = spark.createDataFrame([(1, "w399 x"), (2, "x")], "id int, text string")
+    lex = spark.createDataFrame([(f"w{i}", -1.0) for i in range(400)], "word string, score double")
+    got = {r.id: r.negative_flag for r in N.score_documents(docs, "id", "text", polarity=lex).collect()}
+    assert got == {1: 1, 2: None}

@@ -117,3 +117,23 @@ def test_published_time_twin_on_fixture_pages(spark):
     con.register("pages", pd.DataFrame(PAGES, columns=["page_id", "url", "html"]))
     want = dict(con.execute(X._published_sql()).fetchall())
     assert got == want and sum(v is not None for v in got.values()) == 4
+
+
+def test_weather_metric_that_is_missing_is_null(spark):
+    df = spark.createDataFrame([("Wind: 12 km/h, Humidity: 60 %",), ("nothing here",)], "t string")
+    got = [{m.metric: (m.value, m.unit) for m in r.f} for r in df.select(E.weather_fields("t").alias("f")).collect()]
+    assert got[0]["Wind"] == (12.0, "km/h") and got[0]["Visibility"] == (None, "") and got[1]["Wind"][0] is None
+
+
+def test_naive_text_is_utc(spark):
+    from dailywire.operators import clean as C
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "Asia/Hong_Kong"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            rows = [("2022-11-15 10:00:00",), ("2022-11-15T10:00:00+02:00",), ("2022-11-15T10:00:00Z",), ("2022-11-15",), ("x",)]
+            got = [r.t for r in spark.createDataFrame(rows, "s string").select(C.to_timestamp("s", utc=True).cast("string").alias("t")).collect()]
+            assert got == ["2022-11-15 10:00:00", "2022-11-15 08:00:00", "2022-11-15 10:00:00", "2022-11-15 00:00:00", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -132,7 +132,9 @@ def test_sarimax_grid_and_forecast(spark):
     best = FC.sarimax_grid_search(split.where("set = 'train'"), exog=["x"]).first()
     assert best.order.count(",") == 6 and math.isfinite(best.aic)
     fc = FC.sarimax_forecast(split, exog=["x"])
-    assert fc.count() == split.where("set = 'test'").count()
+    # the first test row repeats the last training row: by date it is no forecast day
+    assert fc.count() == split.where("set = 'test'").count() - 1
+    assert FC.sarimax_forecast(split, exog=["x"], align="position").count() == fc.count() + 1
     assert fc.where(F.col("yhat").isNull() | F.isnan("yhat")).count() == 0
 
 
@@ -164,3 +166,22 @@ def test_sarimax_short_series_gets_status_row(spark):
     out = {r.series_id: r for r in FC.sarimax_grid_search(s).collect()}
     assert out["long"].status == "ok" and out["long"].order is not None
     assert out["short"].order is None and out["short"].status.startswith("no fit")
+
+
+def test_forecast_days_follow_the_training_days(spark):
+    """A series that rises 10 a day (with a weekly wave) is forecast on its days, not one day late."""
+    ys = [100 + 10.0 * i + 3 * math.sin(2 * math.pi * i / 7) + 0.3 * math.sin(i * i) for i in range(160)]
+    df = spark.createDataFrame([("a", d, y, 0.0) for d, y in zip(_days(160), ys)], "series_id string, ds date, y double, x double")
+    rows = FC.sarimax_forecast(X.ordered_split(df, 0.75)).orderBy("ds").collect()
+    assert all(abs(r.y - r.yhat) < 6 for r in rows[:5])
+
+
+def test_series_without_a_fit_keep_a_row(spark):
+    rows = [("long", d, float(i % 9 + i), 0.0) for i, d in enumerate(_days(120))] + [("short", d, 1.0, 0.0) for d in _days(3)]
+    split = X.ordered_split(spark.createDataFrame(rows, "series_id string, ds date, y double, x double"), 0.75)
+    train = split.where("set = 'train'")
+    for out in (FC.arma_order_search(train.select("series_id", "ds", "y")), FC.arima_forecast(split), FC.adf_statistic(train)):
+        status = {r.series_id: r.status for r in out.collect()}
+        assert status["long"] == "ok" and status["short"] == FC.NO_FIT
+    assert {r.status for r in FC.forecast_trend_seasonal(split).where("series_id = 'long'").collect()} == {"ok"}
+    assert {r.series_id for r in FC.forecast_trend_seasonal(split).collect()} == {"long", "short"}

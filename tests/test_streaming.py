@@ -44,23 +44,34 @@ def test_dedupe_within_watermark(spark, tmp_path):
     assert spark.read.parquet(sink).count() == pages.select("url").distinct().count()
 
 
-def test_streaming_daily_drops_rows_later_than_watermark(spark, tmp_path):
+def test_streaming_daily_counts_late_rows(spark, tmp_path):
     import datetime as dt
 
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
     batches = [
         [(1, dt.datetime(2024, 1, 10, 12), 1, "view", 1.0, "{}")],
         [(2, dt.datetime(2024, 1, 10, 13), 1, "view", 2.0, "{}")],
-        [(3, dt.datetime(2024, 1, 1, 12), 1, "view", 5.0, "{}")],  # far behind the watermark
+        [(3, dt.datetime(2024, 1, 1, 12), 1, "view", 5.0, "{}")],  # nine days late
     ]
     src = str(tmp_path / "src")
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(os.path.join(src, f"p={i}"))
     tbl, ck = str(tmp_path / "daily"), str(tmp_path / "ck")
-    q = ST.streaming_daily_aggregate(spark, src + "/*", tbl, ck)
-    q.awaitTermination()
-    got = {str(r.datetime): (r.n, r.value_sum) for r in spark.read.parquet(tbl).collect()}
-    # late events are judged against the previous batch's watermark (Jan 9 12:00 here): the Jan 1 row is dropped
-    assert got == {"2024-01-10": (2, 3.0)}
-    dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress if p["stateOperators"])
-    assert dropped == 1
+    ST.streaming_daily_aggregate(spark, src + "/*", tbl, ck).awaitTermination()
+    got = {str(r.datetime): (r.n, r.value_sum) for r in ST.daily_totals(spark, tbl).collect()}
+    assert got == {"2024-01-10": (2, 3.0), "2024-01-01": (1, 5.0)}
+    # a retried batch replaces its own part
+    again = spark.createDataFrame(batches[2], schema)
+    ST.add_daily(tbl)(again, 2)
+    assert {str(r.datetime): r.n for r in ST.daily_totals(spark, tbl).collect()} == {"2024-01-10": 2, "2024-01-01": 1}
+
+
+def test_a_store_that_cannot_be_read_is_not_an_empty_store(spark, tmp_path):
+    import pytest
+
+    store = tmp_path / "store"
+    assert ST._store_so_far(spark, str(store), 1) is None
+    store.mkdir()
+    (store / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        ST._store_so_far(spark, str(store), 1)

@@ -49,7 +49,7 @@ def test_stopwords_fall_back_to_input_when_short(spark):
 
 
 def test_stopwords_keep_empty_tokens(spark):
-    r = spark.createDataFrame([("alpha  beta about",)], "t string").select(TX.remove_stopwords("t").alias("o")).first()
+    r = spark.createDataFrame([("alpha  beta about",)], "t string").select(TX.remove_stopwords("t", L.STOPWORDS_FIRST_100).alias("o")).first()
     assert r.o == "alpha  beta"
 
 
@@ -60,7 +60,7 @@ def test_html_text_chain(spark):
 
 
 def test_keyterm_and_negative_counts(spark):
-    df = _df(spark).select("text", TX.preprocess_text("text").alias("p"))
+    df = _df(spark).select("text", TX.preprocess_text("text", L.STOPWORDS_FIRST_100).alias("p"))
     out = df.select("p", TX.keyterm_flag("p").alias("k"), TX.term_occurrences("p").alias("n")).collect()
     for r in out:
         assert r.k == rules.keyterm(r.p, L.COVID_TERMS)
@@ -97,5 +97,5 @@ def test_bounded_contractions_only_rewrite_word_ends(spark):
 
 
 def test_five_character_result_falls_back(spark):
-    r = spark.createDataFrame([("abcde about",), ("abcdef about",)], "t string").select(TX.remove_stopwords("t").alias("o")).collect()
+    r = spark.createDataFrame([("abcde about",), ("abcdef about",)], "t string").select(TX.remove_stopwords("t", L.STOPWORDS_FIRST_100).alias("o")).collect()
     assert [x.o for x in r] == ["abcde about", "abcdef"]
