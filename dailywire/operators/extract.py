@@ -1,7 +1,7 @@
 """Article extraction over a raw pages table.
 
 One Python pass per page (stdlib ``html.parser`` inside ``mapInArrow``) turns the HTML into an
-array of element nodes ``(i, tag, cls, href, dt, text, anc)``; every rule after that (link
+array of elements and text runs ``(i, end, tag, cls, href, dt, text)``; every rule after that (link
 filters, headline / body / time cascades, dedupe) is a native column expression over that array.
 The page rows are never shuffled by the parse; one row per page goes in and one comes out.
 """
@@ -17,92 +17,86 @@ from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.session import fits
 
 NODE_FIELDS = [
-    ("i", pa.int32()), ("tag", pa.string()), ("cls", pa.string()), ("href", pa.string()),
-    ("dt", pa.string()), ("text", pa.string()), ("anc", pa.list_(pa.string())),
+    ("i", pa.int32()), ("end", pa.int32()), ("tag", pa.string()), ("cls", pa.string()), ("href", pa.string()),
+    ("dt", pa.string()), ("text", pa.string()),
 ]
-NODES_DDL = "array<struct<i:int,tag:string,cls:string,href:string,dt:string,text:string,anc:array<string>>>"
+NODES_DDL = "array<struct<i:int,end:int,tag:string,cls:string,href:string,dt:string,text:string>>"
+TEXT = "#text"  # the tag of a run of text
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT_TAGS = frozenset(("script", "style"))
-# tags whose text the rules read; other elements keep only tag / attributes / ancestry
-TEXT_TAGS = frozenset("h1 h2 li div p span time a title".split())
 PARSE_SLICE_ROWS = 256  # pages parsed per output batch
 
 
 class _NodeBuilder(HTMLParser):
-    """Element tree as a flat node list; unclosed tags nest (an end tag closes its nearest open match)."""
+    """Elements and text runs in document order; ``end`` is the place after an element's last descendant
+    (unclosed tags nest: an end tag closes its nearest open match). Every text run is held once."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
-        self.parts: list[list[str] | None] = []
         self.stack: list[int] = []
         self.raw_depth = 0
 
-    def _add(self, tag: str, attrs, push: bool) -> None:
-        a = dict(attrs)
-        anc = [f"{self.nodes[k]['tag']}|{self.nodes[k]['cls'] or ''}" for k in self.stack]
-        idx = len(self.nodes)
-        self.nodes.append({"i": idx, "tag": tag, "cls": a.get("class"), "href": a.get("href"), "dt": a.get("datetime"),
-                           "text": None, "anc": anc})
-        self.parts.append([] if tag in TEXT_TAGS else None)
-        if push and tag not in VOID_TAGS:
-            self.stack.append(idx)
-            if tag in RAW_TEXT_TAGS:
-                self.raw_depth += 1
+    def _add(self, tag: str, cls=None, href=None, dt=None, text=None) -> int:
+        i = len(self.nodes)
+        self.nodes.append({"i": i, "end": i + 1, "tag": tag, "cls": cls, "href": href, "dt": dt, "text": text})
+        return i
 
     def handle_starttag(self, tag, attrs):
-        self._add(tag, attrs, push=True)
+        a = dict(attrs)
+        i = self._add(tag, a.get("class"), a.get("href"), a.get("datetime"))
+        if tag not in VOID_TAGS:
+            self.stack.append(i)
+            self.raw_depth += tag in RAW_TEXT_TAGS
 
     def handle_startendtag(self, tag, attrs):
-        self._add(tag, attrs, push=False)
+        a = dict(attrs)
+        self._add(tag, a.get("class"), a.get("href"), a.get("datetime"))
+
+    def _close(self, depth: int) -> None:
+        for i in self.stack[depth:]:
+            self.nodes[i]["end"] = len(self.nodes)
+            self.raw_depth -= self.nodes[i]["tag"] in RAW_TEXT_TAGS
+        del self.stack[depth:]
 
     def handle_endtag(self, tag):
         for k in range(len(self.stack) - 1, -1, -1):
             if self.nodes[self.stack[k]]["tag"] == tag:
-                for j in self.stack[k:]:
-                    if self.nodes[j]["tag"] in RAW_TEXT_TAGS:
-                        self.raw_depth -= 1
-                del self.stack[k:]
+                self._close(k)
                 return
 
     def handle_data(self, data):
-        if self.raw_depth:
-            return
-        for k in self.stack:
-            p = self.parts[k]
-            if p is not None:
-                p.append(data)
+        if not self.raw_depth:
+            self._add(TEXT, text=data)
 
     def result(self) -> list[dict]:
-        for n, p in zip(self.nodes, self.parts):
-            if p is not None:
-                n["text"] = "".join(p)
+        self._close(0)
         return self.nodes
 
 
-def html_nodes(html: str | None) -> list[dict]:
-    """Parse one page into its node list (lenient; a page that cannot be parsed gives [])."""
+def html_nodes(html: str | None) -> tuple[list[dict], str | None]:
+    """(nodes, error) of one page; a page that the parser gives up on has no nodes and the reason."""
     if html is None:
-        return []
+        return [], None
     b = _NodeBuilder()
     try:
         b.feed(html)
         b.close()
-    except Exception:  # noqa: BLE001 - a broken page must not stop the job
-        return []
-    return b.result()
+    except Exception as e:  # noqa: BLE001 - a broken page must not stop the job; it is reported
+        return [], f"{type(e).__name__}: {e}"
+    return b.result(), None
 
 
 def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: Sequence[str] = ("url",)) -> DataFrame:
-    """(id, *keep, nodes): the HTML node pass, Arrow batches in and out."""
+    """(id, *keep, nodes, parse_error): the HTML node pass, Arrow batches in and out. The nodes are linear
+    in the size of the page."""
     keep = [c for c in keep if c in pages.columns and c != id_col]
     src = pages.select(id_col, *keep, html_col)
     fields = {f.name: f for f in src.schema.fields}
     out_ddl = ", ".join([f"{id_col} {fields[id_col].dataType.simpleString()}"]
-                        + [f"{c} {fields[c].dataType.simpleString()}" for c in keep] + [f"nodes {NODES_DDL}"])
+                        + [f"{c} {fields[c].dataType.simpleString()}" for c in keep] + [f"nodes {NODES_DDL}", "parse_error string"])
     node_type = pa.list_(pa.struct(NODE_FIELDS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,9 +104,10 @@ def parse_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "html
             # parse and emit in slices so one output batch stays bounded whatever the input batch size
             for start in range(0, whole.num_rows, PARSE_SLICE_ROWS):
                 b = whole.slice(start, PARSE_SLICE_ROWS)
-                nodes = [html_nodes(h) for h in b.column(html_col).to_pylist()]
-                cols = [b.column(id_col)] + [b.column(c) for c in keep] + [pa.array(nodes, type=node_type)]
-                yield pa.RecordBatch.from_arrays(cols, names=[id_col, *keep, "nodes"])
+                parsed = [html_nodes(h) for h in b.column(html_col).to_pylist()]
+                cols = [b.column(id_col)] + [b.column(c) for c in keep]
+                cols += [pa.array([n for n, _ in parsed], type=node_type), pa.array([e for _, e in parsed], pa.string())]
+                yield pa.RecordBatch.from_arrays(cols, names=[id_col, *keep, "nodes", "parse_error"])
 
     return src.mapInArrow(run, out_ddl)
 
@@ -134,27 +129,28 @@ def nodes_with_tag(nodes: Column | str, tag: str, cls_contains: str | None = Non
     return F.filter(n, keep)
 
 
-def joined_clean_text(selected: Column) -> Column:
+def node_text(nodes: Column, x: Column) -> Column:
+    """All text below a node: the text runs between its place and its ``end``."""
+    below = F.filter(F.slice(nodes, x["i"] + 2, x["end"] - x["i"] - 1), lambda t: t["tag"] == TEXT)
+    return F.array_join(F.transform(below, lambda t: t["text"]), "")
+
+
+def joined_clean_text(nodes: Column, selected: Column) -> Column:
     """``"" + " " + clean(text)`` for each selected node, in document order ('' when none)."""
-    return F.aggregate(selected, F.lit(""), lambda acc, x: F.concat(acc, F.lit(" "), TX.clean_html_text(F.coalesce(x["text"], F.lit("")))))
+    return F.aggregate(selected, F.lit(""), lambda acc, x: F.concat(acc, F.lit(" "), TX.clean_html_text(node_text(nodes, x))))
 
 
-def _in_section(x, tag: str | None, cls: str | None):
-    if tag is None:
-        return F.lit(True)
-    def match(a):
-        t = F.split(a, r"\|", 2)
-        cond = t[0] == tag
-        if cls is not None:
-            cond = cond & F.array_contains(F.split(t[1], r"\s+"), cls)
-        return cond
-    return F.exists(x["anc"], match)
+def _inside(sections: Column, x: Column) -> Column:
+    """Whether the node is below one of the section nodes."""
+    return F.exists(sections, lambda s: (s["i"] < x["i"]) & (x["i"] < s["end"]))
 
 
 def section_links(nodes: Column | str, section_tag: str | None, section_class: str | None) -> Column:
     """E1 raw: hrefs of ``a`` nodes inside the site's section selector (all ``a`` without a selector), doc order."""
     n = F.col(nodes) if isinstance(nodes, str) else nodes
-    anchors = F.filter(n, lambda x: (x["tag"] == "a") & _in_section(x, section_tag, section_class))
+    anchors = nodes_with_tag(n, "a")
+    if section_tag is not None:
+        anchors = TX.let(nodes_with_tag(n, section_tag, cls_token=section_class), lambda sections: F.filter(nodes_with_tag(n, "a"), lambda x: _inside(sections, x)))
     return F.transform(anchors, lambda x: TX.clean_link(F.coalesce(x["href"], F.lit("None"))))
 
 
@@ -195,7 +191,7 @@ def headline(nodes: Column | str) -> Column:
     """All h1 texts (each as ``" " + clean``); if there is no h1, the h2s; NULL when neither exists."""
     n = F.col(nodes) if isinstance(nodes, str) else nodes
     h1, h2 = nodes_with_tag(n, "h1"), nodes_with_tag(n, "h2")
-    return F.when(F.size(h1) > 0, joined_clean_text(h1)).when(F.size(h2) > 0, joined_clean_text(h2))
+    return F.when(F.size(h1) > 0, joined_clean_text(n, h1)).when(F.size(h2) > 0, joined_clean_text(n, h2))
 
 
 def not_archive(headline_col: Column, word: str = "Archive") -> Column:
@@ -210,7 +206,7 @@ def body_text(nodes: Column | str) -> Column:
     div = nodes_with_tag(n, "div", cls_contains="Text")
     p = nodes_with_tag(n, "p")
     nz = lambda c: F.when(c != "", c)
-    return F.coalesce(nz(joined_clean_text(li)), nz(joined_clean_text(div)), nz(joined_clean_text(p)))
+    return F.coalesce(nz(joined_clean_text(n, li)), nz(joined_clean_text(n, div)), nz(joined_clean_text(n, p)))
 
 
 # ---------------------------------------------------------------- fuzzy date parsing
@@ -300,31 +296,33 @@ def published_time(nodes: Column | str) -> Column:
     times = nodes_with_tag(n, "time")
     first_time = F.when(F.size(times) > 0, parse_fuzzy_datetime(F.element_at(times, 1)["dt"]))
     stamps = nodes_with_tag(n, "div", cls_token="timestamp")
-    first_stamp = F.when(F.size(stamps) > 0, parse_fuzzy_datetime(TX.clean_html_text(F.element_at(stamps, 1)["text"])))
+    first_stamp = F.when(F.size(stamps) > 0, parse_fuzzy_datetime(TX.clean_html_text(node_text(n, F.element_at(stamps, 1)))))
 
     def last_parsable(selected: Column) -> Column:
-        parsed = F.filter(F.transform(selected, lambda x: parse_fuzzy_datetime(TX.clean_html_text(x["text"]))), lambda v: v.isNotNull())
+        parsed = F.filter(F.transform(selected, lambda x: parse_fuzzy_datetime(TX.clean_html_text(node_text(n, x)))), lambda v: v.isNotNull())
         return F.when(F.size(parsed) > 0, F.element_at(parsed, -1))
 
     created = last_parsable(nodes_with_tag(n, "div", cls_contains="createddate"))
-    spans = F.filter(n, lambda x: (x["tag"] == "span") & F.exists(x["anc"], lambda a: a.startswith("div|") & a.contains("heading")))
+    headings = nodes_with_tag(n, "div", cls_contains="heading")
+    spans = TX.let(headings, lambda sections: F.filter(nodes_with_tag(n, "span"), lambda x: _inside(sections, x)))
     return F.coalesce(first_time, first_stamp, created, last_parsable(spans))
 
 
 def extract_articles(parsed: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """E7-E10 per article page: (id, url, heading, text, datetime, newssite?, error).
+    """E7-E10 per article page: (id, url, heading, text, datetime, error).
 
     Pages without headline are dropped (E7), 'Archive' headlines are dropped (E8); a page without
-    body text is kept with ``error`` set instead of stopping the job.
+    body text, or one that could not be parsed, is kept with ``error`` set instead of stopping the job.
     """
     out = parsed.select(
         id_col, url_col,
         headline("nodes").alias("heading"),
         body_text("nodes").alias("text"),
         published_time("nodes").alias("datetime"),
+        F.col("parse_error").alias("error"),
     )
-    out = out.where(F.col("heading").isNotNull() & not_archive(F.col("heading")))
-    return out.withColumn("error", F.when(F.col("text").isNull(), F.lit("no text found")))
+    out = out.where(F.col("error").isNotNull() | (F.col("heading").isNotNull() & not_archive(F.col("heading"))))
+    return out.withColumn("error", F.coalesce("error", F.when(F.col("text").isNull(), F.lit("no text found"))))
 
 
 def assemble_articles(articles: DataFrame, key: str = "url", order: str = "page_id") -> DataFrame:
@@ -334,18 +332,9 @@ def assemble_articles(articles: DataFrame, key: str = "url", order: str = "page_
     return best.select(key, "_r.*")
 
 
-def new_links(links: DataFrame, store: DataFrame, key: str = "url", max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Links not in the store of known URLs.
-
-    The store grows without bound while a batch of new links is small: when the batch's distinct
-    keys pass a row check they are broadcast and the store is only scanned (semi join, no shuffle of
-    the store); the anti join then runs against that small set of already-known keys. Otherwise a
-    plain anti join (AQE picks the strategy).
-    """
-    keys = links.select(key).distinct()
-    if fits(keys, max_broadcast_rows):
-        known = store.select(key).join(F.broadcast(keys), on=key, how="left_semi").distinct()
-        return links.join(known, on=key, how="left_anti")
+def new_links(links: DataFrame, store: DataFrame, key: str = "url") -> DataFrame:
+    """Links not in the store of known URLs: one anti join, whose strategy AQE picks from the
+    measured sizes; the links (and the page parse below them) are computed once."""
     return links.join(store.select(key).distinct(), on=key, how="left_anti")
 
 
@@ -376,5 +365,6 @@ def weather_columns(long: DataFrame, id_col: str, metrics: Sequence[str] = L.WEA
 
 def last_text(nodes: Column | str, tag: str, cls_contains: str | None = None) -> Column:
     """Clean text of the last node matching the selector (NULL when none)."""
-    sel = nodes_with_tag(nodes, tag, cls_contains=cls_contains)
-    return F.when(F.size(sel) > 0, TX.clean_html_text(F.element_at(sel, -1)["text"]))
+    n = F.col(nodes) if isinstance(nodes, str) else nodes
+    sel = nodes_with_tag(n, tag, cls_contains=cls_contains)
+    return F.when(F.size(sel) > 0, TX.clean_html_text(node_text(n, F.element_at(sel, -1))))

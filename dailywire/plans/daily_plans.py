@@ -107,18 +107,18 @@ def a4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "A5_merge_daily_sources",
-    """WITH a AS (SELECT CAST(ts AS DATE) AS datetime, count(*) AS n_signup FROM events WHERE event_type = 'signup' AND hour(ts) < 12 GROUP BY 1),
-    b AS (SELECT CAST(ts AS DATE) AS datetime, round(avg(value), 6) AS index_value FROM events WHERE event_type = 'purchase' AND isodow(ts) <= 5 GROUP BY 1),
+    """WITH a AS (SELECT CAST(ts AS DATE) AS datetime, count(*) AS n_signup FROM events WHERE event_type = 'signup' GROUP BY 1),
+    b AS (SELECT CAST(ts AS DATE) AS datetime, round(avg(value), 6) AS index_value FROM events WHERE event_type = 'purchase' GROUP BY 1),
     c AS (SELECT (DATE '2024-01-01' + CAST(doc_id % 45 AS INTEGER)) AS datetime, count(doc_id) AS total_number_of_articles FROM documents GROUP BY 1)
     SELECT * FROM a FULL OUTER JOIN b USING (datetime) FULL OUTER JOIN c USING (datetime) ORDER BY datetime""",
 )
 def a5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three day-keyed tables with different day coverage (morning sign-ups, weekday index, news over
-    45 days), full outer merged."""
+    """Three day-keyed tables with different day coverage (sign-ups, index, news over 45 days), full
+    outer merged."""
     ev = table(spark, sf_dir, "events")
-    a = ev.where((F.col("event_type") == "signup") & (F.hour("ts") < 12)).groupBy(F.to_date("ts").alias("datetime")).agg(
+    a = ev.where(F.col("event_type") == "signup").groupBy(F.to_date("ts").alias("datetime")).agg(
         F.count(F.lit(1)).alias("n_signup"))
-    b = D.daily_index_mean(index_readings(ev.where(F.weekday("ts") <= 4)))  # the index trades on weekdays
+    b = D.daily_index_mean(index_readings(ev))
     docs = table(spark, sf_dir, "documents")
     c = docs.groupBy(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 45).cast("int")).alias("datetime")).agg(
         F.count("doc_id").alias("total_number_of_articles"))

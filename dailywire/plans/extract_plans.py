@@ -191,15 +191,15 @@ def _reading_text() -> F.Column:
 @query(
     "E14_extract_weather_fields",
     """SELECT event_id, metric, round(value, 6) AS value, unit FROM (
-      SELECT event_id, 'Wind' AS metric, value, 'km/h' AS unit FROM events WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, 'Humidity', CAST(json_extract(props, '$.k') AS DOUBLE), '%' FROM events WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, 'Precipitation', value, 'mm' FROM events WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, 'Visibility', 10.0, 'km' FROM events WHERE event_type IN ('view', 'click')
-      UNION ALL SELECT event_id, 'UV index', CAST(json_extract(props, '$.k') AS DOUBLE), '' FROM events WHERE event_type IN ('view', 'click'))""",
+      SELECT event_id, 'Wind' AS metric, value, 'km/h' AS unit FROM events
+      UNION ALL SELECT event_id, 'Humidity', CAST(json_extract(props, '$.k') AS DOUBLE), '%' FROM events
+      UNION ALL SELECT event_id, 'Precipitation', value, 'mm' FROM events
+      UNION ALL SELECT event_id, 'Visibility', 10.0, 'km' FROM events
+      UNION ALL SELECT event_id, 'UV index', CAST(json_extract(props, '$.k') AS DOUBLE), '' FROM events)""",
 )
 def e14(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather readings rendered as page text, then the five metrics read back with value and unit."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
+    ev = table(spark, sf_dir, "events")
     fields = ev.select("event_id", F.explode(E.weather_fields(_reading_text())).alias("f"))
     return rounded(fields.select("event_id", F.col("f.metric").alias("metric"), F.col("f.value").alias("value"), F.col("f.unit").alias("unit")))
 

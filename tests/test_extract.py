@@ -137,3 +137,20 @@ def test_naive_text_is_utc(spark):
             assert got == ["2022-11-15 10:00:00", "2022-11-15 08:00:00", "2022-11-15 10:00:00", "2022-11-15 00:00:00", None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_parse_output_is_linear_in_the_page(spark):
+    html = "<ul>" + "".join(f"<li>item {i}" for i in range(2000))
+    nodes, error = E.html_nodes(html)
+    assert error is None and len(nodes) == 4001 and sum(len(n["text"] or "") for n in nodes) < len(html)
+    assert nodes[0]["end"] == 4001
+
+
+def test_page_that_cannot_be_parsed_is_reported(spark, monkeypatch):
+    def broken(self, data):
+        raise ValueError("bad page")
+
+    monkeypatch.setattr(E._NodeBuilder, "feed", broken)
+    assert E.html_nodes("<p>x") == ([], "ValueError: bad page")
+    parsed = spark.createDataFrame([(1, "u", [], "ValueError: bad page")], f"page_id long, url string, nodes {E.NODES_DDL}, parse_error string")
+    assert [(r.page_id, r.error) for r in E.extract_articles(parsed).collect()] == [(1, "ValueError: bad page")]
