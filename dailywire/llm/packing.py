@@ -30,8 +30,10 @@ from . import texthash
 CONTEXTS = (256, 512, 1024, 2048)
 STEP_TOKENS = 1 << 17
 POOL = 1 << 18
-#: Distinct words whose ids a task remembers.
-WORDS = 1 << 19
+#: Marks that end a word as one more piece (an apostrophe may be part of a piece).
+MARKS = ".,;:!?*&%$#"
+#: Distinct words whose ids a task remembers, and text bytes that it encodes at once.
+WORDS, BLOCK = 1 << 20, 2 << 20
 
 _RESULT = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, context int, step long"
 
@@ -49,36 +51,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end = Tokenizer.from_file(path), end
-        self.known: dict[str, tuple[int, int]] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-
-    def _places(self, words: list[str]) -> np.ndarray:
-        """(start, length) in self.ids of each word's ids."""
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.closes[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """Word number by word; the words' places among the ids follow one another."""
+        self.known: dict[str, int] = {}
+        self.starts, self.ids = [np.zeros(1, np.int64)], []
+        self.used = 0
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode new words, many to a text: a word of letters closes with one token, one of letters and
+        marks after them with two. Where the count differs, and for all other words, one by one."""
+        one = [w for w in words if w.isalpha()]
+        two = [w for w in words if not w.isalpha() and w.rstrip(MARKS).isalpha()]
+        alone = [w for w in words if not w.isalpha() and not w.rstrip(MARKS).isalpha()]
+        order, ids, sizes = [], [], []
+        for closing, plain in ((1, one), (2, two)):
+            texts = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+            for part, e in zip(texts, self.tokenizer.encode_batch_fast([" ".join(t) for t in texts], add_special_tokens=False), strict=True):
+                own = np.array(e.ids, np.uint32)
+                ends = np.flatnonzero(self.closes[own]) + 1
+                if len(ends) == closing * len(part) and ends[-1] == len(own):
+                    order += part
+                    ids.append(own)
+                    sizes.append(np.diff(ends[closing - 1 :: closing], prepend=0))
+                else:
+                    alone += part
+        for i in range(0, len(alone), 4096):
+            part = alone[i : i + 4096]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            order += part
+            ids.append(np.array([x for f in found for x in f], np.uint32))
+            sizes.append(np.array([len(f) for f in found], np.int64))
+        self.known.update(zip(order, range(len(self.known), len(self.known) + len(order)), strict=True))
+        self.ids += ids
+        for n in sizes:
+            self.starts.append(self.used + np.cumsum(n))
+            self.used += int(n.sum())
+
+    def _places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(start, length) in the ids learnt of each word's ids."""
         if len(self.known) > WORDS:
-            self.known, self.used = {}, 0
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                ids = e.ids
-                end = self.used + len(ids)
-                if end > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(end, len(self.ids)), np.uint32)])
-                self.ids[self.used : end] = ids
-                self.known[w] = (self.used, len(ids))
-                self.used = end
-        return np.array([self.known[w] for w in words], np.int64).reshape(-1, 2)
+            self._forget()
+        known = self.known
+        if new := [w for w in words if w not in known]:
+            self._learn(new)
+            self.starts, self.ids = [np.concatenate(self.starts)], [np.concatenate(self.ids)]
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return self.starts[0][at], self.starts[0][at + 1] - self.starts[0][at]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with the end id after it; offsets)"""
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, "").cast(pa.large_string()), "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        place = self._places(words.dictionary.to_pylist())[np.asarray(words.indices)]
-        sizes = place[:, 1]
+        starts, sizes = self._places(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        number = np.asarray(words.indices)
+        starts, sizes = starts[number], sizes[number]
         until = np.concatenate([[0], np.cumsum(sizes)])
         cut = until[np.asarray(lists.offsets) - lists.offsets[0].as_py()]
         total = int(until[-1])
-        flat = self.ids[np.arange(total) + np.repeat(place[:, 0] - until[:-1], sizes)]
+        place = np.repeat((starts - until[:-1]).astype(np.int32), sizes)
+        place += np.arange(total, dtype=np.int32)
+        flat = self.ids[0][place] if total else np.zeros(0, np.uint32)
         n = len(texts)
         offsets = cut + np.arange(n + 1)
         out = np.full(total + n, self.end, np.uint32)
@@ -204,7 +242,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end: int = 1, contexts: Sequ
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             _, offsets = texthash.text_bytes(texts)
-            for a, b in texthash.blocks(offsets):
+            for a, b in texthash.blocks(offsets, BLOCK):
                 tokens, cuts = encoder.encode(texts.slice(a, b - a))
                 for d in range(b - a):
                     packer.add(ids[a + d], tokens[cuts[d] : cuts[d + 1]])
