@@ -30,29 +30,72 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.parse_pages(text_table(spark, sf_dir, "pages", ["page_id", "url", "html"]))
 
 
-_NAV_LINKS_SQL = f"""nl AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS links FROM pages),
+# Pages with what the link and time rules look for, derived from ``pages`` by the page number: story links
+# inside and outside the section, links that the rules drop, and the four kinds of publish times.
+_DAY = "lpad(cast(page_id % 28 + 1 as string), 2, '0')"
+_STORY_LINKS = """case when page_id % 3 = 0 then concat('<nav><a href="/news/', cast(page_id as string), '">a</a><a href="/news/video/', cast(page_id as string), '">b</a>') else '<nav>' end"""
+_STORY_TAIL = f"""concat('<a href="/2024/Story/', cast(page_id as string), '">c</a><a href="/photo/2024/', cast(page_id as string), '">d</a>',
+    case page_id % 5
+      when 0 then concat('<time datetime="2024-01-', {_DAY}, 'T04:05:30+08:00">today</time>')
+      when 1 then concat('<div class="a timestamp">', {_DAY}, ' Jan 2024, 4:05PM</div>')
+      when 2 then concat('<div class="createddate">Created</div><div class="x createddate y">Jan ', {_DAY}, ', 2024 10:30</div><div class="createddate">no date</div>')
+      when 3 then concat('<div class="the heading"><span>Mar ', {_DAY}, ', 2024 1:02am</span><span>none</span></div>')
+      else '' end)"""
+_STORY_SQL = f"stories AS (SELECT page_id, url, concat(replace(html, '<nav>', {_STORY_LINKS}), {_STORY_TAIL}) AS html FROM pages)"
+
+
+def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    html = F.expr(f"concat(replace(html, '<nav>', {_STORY_LINKS}), {_STORY_TAIL})")
+    return E.parse_pages(pages.withColumn("html", html))
+
+
+_NAV_LINKS_SQL = f"""{_STORY_SQL}, nl AS (SELECT page_id, url, regexp_extract_all(regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]*)"', 1) AS links FROM stories),
     nx AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, CAST(generate_subscripts(links, 1) - 1 AS INTEGER) AS pos FROM nl)"""
 
 
-@query("E1_extract_links", f"WITH {_NAV_LINKS_SQL} SELECT page_id, pos, link FROM nx")
+def _any_sql(x: str, words) -> str:
+    return "(" + " OR ".join(f"contains({x}, {S.q(w)})" for w in words) + ")"
+
+
+_PRIMARY_SQL = f"{_NAV_LINKS_SQL}, pr AS (SELECT * FROM nx WHERE {_any_sql('link', L.LINK_KEEP_ANY)} AND NOT {_any_sql('link', L.LINK_DROP_ANY)})"
+
+
+@query("E1_extract_links", f"WITH {_PRIMARY_SQL} SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY pos) - 1 AS INTEGER) AS pos, link FROM pr")
 def e1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of the section selector; the keep rule is disabled (``keep_any=()``) so every section href is listed."""
-    p = _parsed(spark, sf_dir)
-    links = E.primary_links(E.section_links("nodes", SECTION_TAG, SECTION_CLASS), keep_any=(), drop_any=L.LINK_DROP_ANY)
-    return p.select("page_id", F.posexplode(links).alias("pos", "link"))
+    """Links of the section selector that the keep and drop rules leave."""
+    links = E.primary_links(E.section_links("nodes", SECTION_TAG, SECTION_CLASS))
+    return _stories(spark, sf_dir).select("page_id", F.posexplode(links).alias("pos", "link"))
 
 
 _ALL_LINKS_SQL = f"""al AS (SELECT page_id, url, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages),
     ax AS (SELECT page_id, url, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, generate_subscripts(links, 1) AS pos FROM al)"""
 
 
+_FALLBACK_CTES = f"""sl AS (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM stories),
+    sx AS (SELECT page_id, lower({S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)}) AS link, generate_subscripts(links, 1) AS pos FROM sl),
+    fb AS (SELECT * FROM sx WHERE regexp_matches(link, '[0-9]{{4}}') AND NOT {_any_sql('link', L.FALLBACK_LINK_DROP_ANY)})"""
+
+
 @query(
     "E2_extract_links_fallback",
-    f"""WITH {_ALL_LINKS_SQL} SELECT page_id, lower(link) AS link FROM ax WHERE regexp_matches(lower(link), '[0-9]{{4}}')
-    AND NOT ({' OR '.join(f"contains(lower(link), {S.q(w)})" for w in L.FALLBACK_LINK_DROP_ANY)})""",
+    f"WITH {_STORY_SQL}, {_FALLBACK_CTES} SELECT page_id, link FROM fb",
 )
 def e2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(spark, sf_dir).select("page_id", F.explode(E.fallback_links("nodes")).alias("link"))
+    return _stories(spark, sf_dir).select("page_id", F.explode(E.fallback_links("nodes")).alias("link"))
+
+
+@query(
+    "E2_page_links",
+    f"""WITH {_PRIMARY_SQL}, {_FALLBACK_CTES},
+    ch AS (SELECT page_id, link, pos FROM pr UNION ALL SELECT page_id, link, pos FROM fb WHERE page_id NOT IN (SELECT page_id FROM pr)),
+    fs AS (SELECT page_id, link, min(pos) AS first_pos FROM ch GROUP BY page_id, link)
+    SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY first_pos) - 1 AS INTEGER) AS pos, link FROM fs""",
+)
+def e2_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composed rule: section links, the fallback only where there are none, each link once."""
+    links = E.page_links("nodes", SECTION_TAG, SECTION_CLASS)
+    return _stories(spark, sf_dir).select("page_id", F.posexplode(links).alias("pos", "link"))
 
 
 _DISTINCT_SQL = _ALL_LINKS_SQL + """,
@@ -140,7 +183,7 @@ def e9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return body.withColumn("error", F.when(F.col("text").isNull(), F.lit("no text found")))
 
 
-def _published_sql() -> str:
+def _published_sql(pages: str = "pages") -> str:
     """E10 twin: first time[datetime]; first div.timestamp; last parsable div ~createddate; last
     parsable span inside a div ~heading (lazy regexes: no nested div inside those divs)."""
     clean = lambda x: S.clean_html_text(_unescape(f"regexp_replace({x}, '<[^>]*>', '', 'g')"))
@@ -156,12 +199,12 @@ def _published_sql() -> str:
     created = last_of(f"regexp_extract_all(html, {S.q(created_rx)}, 1)")
     heading_rx = f"(?s)<div[^>]*class={q}[^{chr(34)}'']*heading[^{chr(34)}'']*{q}[^>]*>(.*?)</div>"
     spans = f"flatten(list_transform(regexp_extract_all(html, {S.q(heading_rx)}, 1), lambda h: regexp_extract_all(h, '(?s)<span[^>]*>(.*?)</span>', 1)))"
-    return f"SELECT page_id, coalesce({first_time}, {first_stamp}, {created}, {last_of(spans)}) AS datetime FROM pages"
+    return f"SELECT page_id, coalesce({first_time}, {first_stamp}, {created}, {last_of(spans)}) AS datetime FROM {pages}"
 
 
-@query("E10_extract_published", _published_sql())
+@query("E10_extract_published", f"WITH {_STORY_SQL} {_published_sql('stories')}")
 def e10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _parsed(spark, sf_dir).select("page_id", E.published_time("nodes").alias("datetime"))
+    return _stories(spark, sf_dir).select("page_id", E.published_time("nodes").alias("datetime"))
 
 
 @query("E12_parse_fuzzy_datetime", "SELECT event_id, date_trunc('minute', ts) AS parsed FROM events")
