@@ -212,7 +212,9 @@ def body_text(nodes: Column | str) -> Column:
 # ---------------------------------------------------------------- fuzzy date parsing
 
 _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-_MON = "(" + "|".join(_MONTHS) + ")[a-z]*\\.?"
+_MONTH_ENDS = "uary ruary ch il  e y ust (?:t|tember) ober ember ember".split(" ")
+# a month's short or whole name, not the start of another word
+_MON = r"\b(" + "|".join(_MONTHS) + r")(?:" + "|".join(sorted({e for e in _MONTH_ENDS if e})) + r")?\b\.?"
 
 
 def _month_number(m: Column) -> Column:
@@ -223,11 +225,13 @@ def _month_number(m: Column) -> Column:
 
 
 def _clock(t: Column) -> tuple[Column, Column]:
-    """hour, minute from the first ``h:mm`` (with optional am/pm) in ``t``; 0:00 when absent."""
-    rx = r"(\d{1,2}):(\d{2})(?::\d{2})?\s*(am|pm|a\.m\.|p\.m\.)?"
-    h = F.regexp_extract(t, rx, 1)
-    mi = F.regexp_extract(t, rx, 2)
-    ampm = F.regexp_extract(t, rx, 3)
+    """hour, minute from the first ``h:mm`` (with optional am/pm) in ``t``, else a bare hour with am/pm
+    or a compact ``thhmm``; 0:00 when absent."""
+    rx, bare, compact = r"(\d{1,2}):(\d{2})(?::\d{2})?\s*(am|pm|a\.m\.|p\.m\.)?", r"\b(\d{1,2})\s*(am|pm|a\.m\.|p\.m\.)", r"\bt(\d{2})(\d{2})(?:\d{2})?\b"
+    has, has_bare = t.rlike(rx), t.rlike(bare)
+    h = F.when(has, F.regexp_extract(t, rx, 1)).when(has_bare, F.regexp_extract(t, bare, 1)).otherwise(F.regexp_extract(t, compact, 1))
+    mi = F.when(has, F.regexp_extract(t, rx, 2)).when(has_bare, F.lit("")).otherwise(F.regexp_extract(t, compact, 2))
+    ampm = F.when(has, F.regexp_extract(t, rx, 3)).when(has_bare, F.regexp_extract(t, bare, 2)).otherwise(F.lit(""))
     hour = F.when(h == "", F.lit(0)).otherwise(h.try_cast("int"))
     hour = F.when(ampm.startswith("p") & (hour < 12), hour + 12).when(ampm.startswith("a") & (hour == 12), F.lit(0)).otherwise(hour)
     minute = F.when(mi == "", F.lit(0)).otherwise(mi.try_cast("int"))
@@ -243,7 +247,8 @@ def normalise_date_text(col: Column | str) -> Column:
 
 
 def parse_fuzzy_datetime(col: Column | str) -> Column:
-    """Find a date (ISO, ``d Mon yyyy`` or ``Mon d, yyyy``) and a clock time anywhere in the text.
+    """Find a date (ISO, ``d Mon yyyy``, ``Mon d, yyyy``, ``m/d/yyyy``, ``d.m.yyyy`` or compact
+    ``yyyymmdd``) and a clock time anywhere in the text.
 
     Seconds are zeroed; an explicit UTC offset is applied (result in UTC); failure -> NULL.
     The normalised text, the kind of date found and the text after removing the date are each
@@ -253,21 +258,23 @@ def parse_fuzzy_datetime(col: Column | str) -> Column:
     iso = r"(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})"
     dmy = r"(\d{1,2})(?:st|nd|rd|th)?\s+" + _MON + r",?\s+(\d{4})"
     mdy = _MON + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})"
-    patterns = {1: (iso, (1, 2, 3)), 2: (dmy, (3, 2, 1)), 3: (mdy, (3, 1, 2))}  # kind -> (regex, year/month/day groups)
+    slashes, dots, compact = r"\b(\d{1,2})/(\d{1,2})/(\d{4})", r"\b(\d{1,2})\.(\d{1,2})\.(\d{4})", r"\b(\d{4})(\d{2})(\d{2})(?=t\d|\b)"
+    # kind -> (regex, year/month/day groups)
+    patterns = {1: (iso, (1, 2, 3)), 2: (dmy, (3, 2, 1)), 3: (mdy, (3, 1, 2)), 4: (slashes, (3, 1, 2)), 5: (dots, (3, 2, 1)), 6: (compact, (1, 2, 3))}
 
     def pick(kind: Column, fn) -> Column:
         out = F.lit(None)
-        for k in (3, 2, 1):
+        for k in sorted(patterns, reverse=True):
             out = F.when(kind == k, fn(*patterns[k])).otherwise(out)
         return out
 
     def on_text(t: Column) -> Column:
-        kind = F.when(t.rlike(iso), 1).when(t.rlike(dmy), 2).when(t.rlike(mdy), 3)
+        kind = F.when(t.rlike(iso), 1).when(t.rlike(dmy), 2).when(t.rlike(mdy), 3).when(t.rlike(slashes), 4).when(t.rlike(dots), 5).when(t.rlike(compact), 6)
 
         def on_kind(k: Column) -> Column:
             year = pick(k, lambda rx, g: F.regexp_extract(t, rx, g[0]).try_cast("int"))
-            month = F.when(k == 1, F.regexp_extract(t, iso, 2).try_cast("int")).when(
-                k == 2, _month_number(F.regexp_extract(t, dmy, 2))).when(k == 3, _month_number(F.regexp_extract(t, mdy, 1)))
+            named = F.when(k == 2, _month_number(F.regexp_extract(t, dmy, 2))).otherwise(_month_number(F.regexp_extract(t, mdy, 1)))
+            month = F.when(k.isin(2, 3), named).otherwise(pick(k, lambda rx, g: F.regexp_extract(t, rx, g[1]).try_cast("int")))
             day = pick(k, lambda rx, g: F.regexp_extract(t, rx, g[2]).try_cast("int"))
 
             def on_rest(rest: Column) -> Column:

@@ -115,7 +115,7 @@ def values_table(rows, cols, alias: str = "t") -> str:
 
 
 _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
-_MON = "(" + "|".join(_MONTHS) + ")[a-z]*\\.?"
+_MON = "\\b(" + "|".join(_MONTHS) + ")(?:uary|ruary|ch|il|e|y|ust|tember|t|ober|ember)?\\b\\.?"
 
 
 def fuzzy_datetime(x: str) -> str:

@@ -65,7 +65,9 @@ def test_assemble_latest_wins_and_new_links(spark):
 def test_fuzzy_dates(spark):
     rows = [("(Published 2 Nov 2022, 7:45pm)", "2022-11-02 19:45:00"), ("2022-11-02T19:45:59+08:00", "2022-11-02 11:45:00"),
             ("2022-11-03 HKT 12:10", "2022-11-03 12:10:00"), ("Updated local Nov 3rd, 2022 12:05 am", "2022-11-03 00:05:00"),
-            ("junk", None), ("2022-02-30 10:00", None)]
+            ("junk", None), ("2022-02-30 10:00", None), ("11/15/2022 10:30", "2022-11-15 10:30:00"), ("15.11.2022", "2022-11-15 00:00:00"),
+            ("20221115T1030", "2022-11-15 10:30:00"), ("Nov 15, 2022 4PM", "2022-11-15 16:00:00"), ("market 12, 2022", None),
+            ("Sept 5, 2022 1:00", "2022-09-05 01:00:00"), ("September 5, 2022", "2022-09-05 00:00:00"), ("5 december 2022", "2022-12-05 00:00:00")]
     df = spark.createDataFrame(rows, "s string, want string")
     for r in df.select("want", E.parse_fuzzy_datetime("s").alias("got")).collect():
         assert (str(r.got) if r.got else None) == r.want
