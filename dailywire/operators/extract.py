@@ -187,6 +187,22 @@ def resolve_url(link: Column, homepage: Column) -> Column:
     return F.when(link.rlike(r"^https?://"), link).otherwise(F.concat(homepage, link))
 
 
+def site_links(parsed: DataFrame, sites: DataFrame, site: str = "site", id_col: str = "page_id") -> DataFrame:
+    """E1 -> E2 -> E3 -> E5 with each site's own rules: (id, newssite, pos, url).
+
+    ``sites`` has a row per site: (site, newssite, homepage, section_tag, section_class); a NULL tag takes
+    the whole page, a NULL class any element of the tag. Pages of a site that is not listed give no links.
+    """
+    j = parsed.join(sites, site)
+    n, tag, cls = F.col("nodes"), F.col("section_tag"), F.col("section_class")
+    sections = F.filter(n, lambda x: (x["tag"] == tag) & (cls.isNull() | F.coalesce(F.array_contains(F.split(x["cls"], r"\s+"), cls), F.lit(False))))
+    inside = TX.let(sections, lambda s: F.filter(nodes_with_tag(n, "a"), lambda x: tag.isNull() | _inside(s, x)))
+    primary = primary_links(F.transform(inside, lambda x: TX.clean_link(F.coalesce(x["href"], F.lit("None")))))
+    chosen = TX.let(primary, lambda p: F.array_distinct(F.when(F.size(p) > 0, p).otherwise(fallback_links(n))))
+    links = j.select(id_col, "newssite", "homepage", F.posexplode(chosen).alias("pos", "link"))
+    return links.select(id_col, "newssite", "pos", resolve_url(F.col("link"), F.col("homepage")).alias("url"))
+
+
 def headline(nodes: Column | str) -> Column:
     """All h1 texts (each as ``" " + clean``); if there is no h1, the h2s; NULL when neither exists."""
     n = F.col(nodes) if isinstance(nodes, str) else nodes
@@ -316,7 +332,8 @@ def published_time(nodes: Column | str) -> Column:
 
 
 def extract_articles(parsed: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """E7-E10 per article page: (id, url, heading, text, datetime, error).
+    """E7-E10 per article page: (id, url, heading, text, datetime, error), and ``newssite`` if the pages
+    have one (joined from the sites table).
 
     Pages without headline are dropped (E7), 'Archive' headlines are dropped (E8); a page without
     body text, or one that could not be parsed, is kept with ``error`` set instead of stopping the job.
@@ -327,6 +344,7 @@ def extract_articles(parsed: DataFrame, id_col: str = "page_id", url_col: str =
         body_text("nodes").alias("text"),
         published_time("nodes").alias("datetime"),
         F.col("parse_error").alias("error"),
+        *[c for c in ("newssite",) if c in parsed.columns],
     )
     out = out.where(F.col("error").isNotNull() | (F.col("heading").isNotNull() & not_archive(F.col("heading"))))
     return out.withColumn("error", F.coalesce("error", F.when(F.col("text").isNull(), F.lit("no text found"))))

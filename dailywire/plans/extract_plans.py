@@ -133,6 +133,35 @@ def e4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.new_links(_resolved(spark, sf_dir), store, "url").select("page_id", "pos", "url")
 
 
+_HOST = "regexp_extract(url, '^https?://([^/?#]+)', 1)"
+
+
+@query(
+    "E5_site_links",
+    f"""WITH {_STORY_SQL},
+    sc AS (SELECT page_id, {_HOST} AS host, CASE WHEN page_id % 2 = 0 THEN regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1) ELSE html END AS part, html FROM stories),
+    l1 AS (SELECT page_id, host, regexp_extract_all(part, 'href="([^"]*)"', 1) AS links FROM sc),
+    l2 AS (SELECT page_id, host, {S.replace_chain(_unescape('unnest(links)'), L.LINK_REPLACEMENTS)} AS link, generate_subscripts(links, 1) AS n FROM l1),
+    pr AS (SELECT * FROM l2 WHERE {_any_sql('link', L.LINK_KEEP_ANY)} AND NOT {_any_sql('link', L.LINK_DROP_ANY)}),
+    {_FALLBACK_CTES},
+    ch AS (SELECT page_id, link, n FROM pr UNION ALL SELECT page_id, link, pos FROM fb WHERE page_id NOT IN (SELECT page_id FROM pr)),
+    fs AS (SELECT page_id, link, min(n) AS first_n FROM ch GROUP BY page_id, link)
+    SELECT fs.page_id, 'site ' || sc.host AS newssite, CAST(row_number() OVER (PARTITION BY fs.page_id ORDER BY first_n) - 1 AS INTEGER) AS pos,
+      CASE WHEN regexp_matches(link, '^https?://') THEN link ELSE 'https://' || sc.host || link END AS url
+    FROM fs JOIN sc USING (page_id) WHERE sc.host <> ''""",
+)
+def e5_site_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links by each site's selector and homepage. The sites table is derived from ``pages``: one entry per
+    host and parity of the page number, the even ones with the section selector."""
+    pages = table(spark, sf_dir, "pages").select(F.expr(_HOST).alias("host"), (F.col("page_id") % 2).alias("odd")).where("host <> ''").distinct()
+    sites = pages.select(
+        F.concat_ws("#", "host", F.col("odd").cast("string")).alias("site"), F.concat(F.lit("site "), "host").alias("newssite"),
+        F.concat(F.lit("https://"), "host").alias("homepage"), F.when(F.col("odd") == 0, F.lit(SECTION_TAG)).alias("section_tag"), F.lit(None).cast("string").alias("section_class"),
+    )
+    site = F.concat_ws("#", F.expr(_HOST), (F.col("page_id") % 2).cast("string"))
+    return E.site_links(_stories(spark, sf_dir).withColumn("site", site), sites)
+
+
 def _headline_sql(tag: str) -> str:
     parts = f"regexp_extract_all(html, '(?s)<{tag}[^>]*>(.*?)</{tag}>', 1)"
     piece = S.clean_html_text(_unescape("regexp_replace(h, '<[^>]*>', '', 'g')"))

@@ -156,3 +156,12 @@ def test_page_that_cannot_be_parsed_is_reported(spark, monkeypatch):
     assert E.html_nodes("<p>x") == ([], "ValueError: bad page")
     parsed = spark.createDataFrame([(1, "u", [], "ValueError: bad page")], f"page_id long, url string, nodes {E.NODES_DDL}, parse_error string")
     assert [(r.page_id, r.error) for r in E.extract_articles(parsed).collect()] == [(1, "ValueError: bad page")]
+
+
+def test_links_by_site(spark):
+    html = "<div class='x main'><a href='/news/1'>a</a><a href='/news/video'>v</a></div><a href='/news/2'>b</a>"
+    plain = "<a href='/2024/x'>c</a><a href='/photo/2024'>d</a>"
+    pages = spark.createDataFrame([(1, "s1", html), (2, "s2", html), (3, "s1", plain), (4, "other", html)], "page_id long, site string, html string")
+    sites = spark.createDataFrame([("s1", "One", "https://one", "div", "main"), ("s2", "Two", "https://two", None, None)], "site string, newssite string, homepage string, section_tag string, section_class string")
+    got = {(r.page_id, r.newssite, r.pos, r.url) for r in E.site_links(E.parse_pages(pages, keep=["site"]), sites).collect()}
+    assert got == {(1, "One", 0, "https://one/news/1"), (2, "Two", 0, "https://two/news/1"), (2, "Two", 1, "https://two/news/2"), (3, "One", 0, "https://one/2024/x")}
