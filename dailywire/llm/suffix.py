@@ -338,12 +338,12 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_
             r = np.frombuffer(head.as_buffer(), _RANGE)
             np.add.at(edge, offsets[r["row"]] + r["start"], 1)
             np.add.at(edge, offsets[r["row"]] + r["end"] + match - 1, -1)
-        gone = np.cumsum(edge)[:-1] > 0
+        gone = np.cumsum(edge, dtype=np.int32)[:-1] > 0
         rise = gone.copy()
         rise[1:] &= ~gone[:-1]
         first = offsets[:-1][offsets[:-1] < len(gone)]
         rise[first] = gone[first]
-        removed, spans = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(rise)]
+        removed, spans = (np.concatenate([np.zeros(1, np.int32), np.cumsum(v, dtype=np.int32)]) for v in (gone, rise))
         kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
         out = {
             "doc_id": table["doc_id"],
