@@ -17,8 +17,10 @@ bytes) are sorted bucket by bucket:
    Neighbours in that order are compared on all ``match`` bytes; of each class the earliest stays.
 4. The ranges found return to their chunks, which cut the bytes.
 
-A minimizer reported by more than ``hot`` chunks (a short phrase in very many contexts) would fill
-one bucket: its windows travel one by one, as 128-bit hashes dealt by the hash itself.
+A minimizer with more than ``hot`` different super-windows in all chunks together (a short phrase in
+very many contexts) would fill one bucket: its windows travel one by one, as 128-bit hashes dealt by
+the hash itself. The chunks report how many super-windows each minimizer would send; by default
+``hot`` is the number that makes an eighth of a bucket's bytes, whatever the size of the input.
 
 Defined cases: null text is empty; null doc_id comes before all others; rows that repeat a doc_id
 are ordered by text, and each counts as a document; an empty table gives an empty result. ``text`` is
@@ -47,7 +49,8 @@ COVER = (1, 5, 11, 24, 25, 27)
 #: Minimizer hashes of one bucket of step 1, and super-window bytes of one suffix bucket, about.
 HASHES = 1 << 19
 SUFFIXES = 16 << 20
-HOT = 4096
+#: Minimizers of this part of a bucket's bytes are split.
+HOT_PART = 8
 
 _NO_ID = -(1 << 63)
 _PLACE = np.dtype([("doc", "<i8"), ("row", "<i4"), ("start", "<i8"), ("size", "<i8")])
@@ -193,7 +196,7 @@ def _ranges(row: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
-def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_bytes: int = common.CHUNK_BYTES, suffixes: int = SUFFIXES, hot: int = HOT, carry: Sequence[str] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_bytes: int = common.CHUNK_BYTES, suffixes: int = SUFFIXES, hot: int | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, text, *carry)"""
     if match < max(PERIOD + 8, kmer):
         raise ValueError("match must be at least the cover's period + 8 bytes and the k-mer")
@@ -202,6 +205,7 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_
     # a minimizer for every width / 2 positions, about; a super-window repeats match bytes
     n_hashes = common.parts(2 * total // (match - kmer + 2), HASHES, 16)
     n_buckets = common.parts(total + 2 * match * total // (match - kmer + 2), suffixes, 16)
+    hot = max(1, suffixes // (HOT_PART * (2 * match - kmer))) if hot is None else hot
     base = common.chunked(docs, n_chunks)
     x = base
     if carry:
@@ -226,25 +230,38 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_
 
     def minimizers(table: pa.Table) -> pa.Table:
         chunk, (_, _, data, offsets) = table["chunk"][0].as_py(), opened(table)
-        found = [h for *_, h in runs(data, offsets)]
-        values, counts = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+        found = list(runs(data, offsets))
+        values, counts = np.unique(np.concatenate([h for *_, h in found]) if found else np.zeros(0, np.uint64), return_counts=True)
+        # only the first of equal super-windows is sent; below the floor all chunks together stay under hot
+        many = values[counts > max(1, hot // n_chunks)]
+        if len(many):
+            mins, hashes = [], []
+            for _, part, start, size, h in found:
+                chosen = np.flatnonzero(many[np.minimum(np.searchsorted(many, h), len(many) - 1)] == h)
+                if len(chosen):
+                    p = texthash.prefix(texthash.byte_values(part), texthash.BASE_A)
+                    mins.append(h[chosen])
+                    hashes.append(texthash.span_hash(p, texthash.BASE_A, start[chosen], (start + size)[chosen] + match - 1))
+            _, first = np.unique(np.concatenate(hashes), return_index=True)
+            which, different = np.unique(np.concatenate(mins)[first], return_counts=True)
+            # a minimizer seen twice stays known as such
+            counts[np.searchsorted(values, which)] = np.maximum(different, 2)
         rows = []
         for bucket, at in _sliced((values % np.uint64(n_hashes)).astype(np.int64)):
-            rows.append(_row(bucket, chunk, 0, values[at], (counts[at] > 1).tobytes()))
+            rows.append(_row(bucket, chunk, 0, values[at], counts[at].astype(np.uint32).tobytes()))
         return _sent(rows)
 
     def recurring(table: pa.Table) -> pa.Table:
         blobs = [np.frombuffer(v.as_buffer(), np.uint64) for v in table["head"]]
         values = np.concatenate(blobs)
         chunks = np.repeat(np.array(table["chunk"]), [len(v) for v in blobs])
-        twice = np.concatenate([np.frombuffer(v.as_buffer(), bool) for v in table["body"]])
-        unique, group, counts = np.unique(values, return_inverse=True, return_counts=True)
-        often = np.bincount(group, weights=twice, minlength=len(unique)) > 0
-        keep = (often | (counts > 1))[group]
-        rows = []
+        counts = np.concatenate([np.frombuffer(v.as_buffer(), np.uint32) for v in table["body"]])
+        _, group = np.unique(values, return_inverse=True)
+        total = np.bincount(group, weights=counts)[group]
+        keep = total > 1
+        values, is_hot, rows = values[keep], total[keep] > hot, []
         for chunk, at in _sliced(chunks[keep]):
-            h = values[keep][at]
-            rows.append(_row(0, chunk, 0, h, (counts[group[keep][at]] > hot).tobytes()))
+            rows.append(_row(0, chunk, 0, values[at], is_hot[at].tobytes()))
         return _sent(rows)
 
     def to_buckets(table: pa.Table, back: pa.Table) -> pa.Table:

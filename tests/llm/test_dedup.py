@@ -70,6 +70,32 @@ def test_repeated_bytes(docs, rows, options):
     assert all(r.chunk == "c" and r.lang == rows[r.doc_id][2] for r in out)
 
 
+def test_phrase_larger_than_a_bucket_is_split(spark, monkeypatch, tmp_path):
+    """A short phrase in ever new contexts, 110,000 times: with the defaults its super-windows make more
+    than a bucket, and no bucket may get them all. Planted copies are still cut, and nothing else is."""
+    import hashlib
+
+    def body(i):
+        return hashlib.sha512(str(i).encode()).hexdigest()
+
+    phrase = "Licensed under the terms that the file beside this one states."
+    rows = [(i, f"{body(i)} {phrase} {body(-i - 1)}") for i in range(110_000)]
+    rows += [(200_000 + i, f"{i:06d}#{rows[i][1][60:230]}#") for i in range(0, 110_000, 1000)]
+    inner, seen = suffix._from_bytes, str(tmp_path / "bytes")
+
+    def measured(place, chunk, data, match):
+        with open(seen, "a") as f:
+            print(len(data), file=f)
+        return inner(place, chunk, data, match)
+
+    monkeypatch.setattr(suffix, "_from_bytes", measured)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix.remove_repeats(docs).where("n_removed > 0").select("doc_id", "n_removed").collect()
+    assert {tuple(r) for r in got} == {(200_000 + i, 170) for i in range(0, 110_000, 1000)}
+    with open(seen) as f:
+        assert max(map(int, f)) < suffix.SUFFIXES // 2
+
+
 def test_repeated_bytes_null_ids_and_repeats(spark):
     text = "".join(chr(97 + i * i % 23) + str(i) for i in range(60))
     x = spark.createDataFrame([(3, text), (3, text), (None, text), (5, text[:99])], "doc_id long, text string")
