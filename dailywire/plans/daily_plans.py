@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dailywire.functions import text as TX
 from dailywire.operators import daily as D
 from dailywire.operators.enrich import score_documents
+from dailywire.operators.text import preprocess
 from dailywire.plans import sqltext as S
 from dailywire.plans.driver_words import STOPWORDS
 from dailywire.plans.registry import query, rounded
@@ -23,10 +24,16 @@ START_DATE = "2024-01-02"
 
 
 def article_features(news: DataFrame, key_terms=DRIVER_KEY_TERMS, negative_terms=DRIVER_NEGATIVE_TERMS,
-                     polarity=DRIVER_POLARITY, stopwords=STOPWORDS) -> DataFrame:
-    """T1 -> T2 -> T4 -> N1, N2, N3: the cleaned text is exploded once and joined to the polarity table
-    (of any size); one small row per article leaves its task."""
-    with_text = news.withColumn("processed_text", TX.preprocess_text("text", stopwords))
+                     polarity=DRIVER_POLARITY, stopwords=STOPWORDS, tags: DataFrame | None = None) -> DataFrame:
+    """T1 -> T2 -> T3 -> T4 -> N1, N2, N3: the cleaned text is exploded once and joined to the polarity table
+    (of any size); one small row per article leaves its task.
+
+    T3 needs ``tags``, a (word, tag, pos, lemma, plural) table. The registered queries pass none: their SQL
+    has no T3 (README, "Re-aimed")."""
+    if tags is None:
+        with_text = news.withColumn("processed_text", TX.preprocess_text("text", stopwords))
+    else:
+        with_text = preprocess(news, "url", "text", stopwords, tags)
     lexicon = news.sparkSession.createDataFrame(list(polarity.items()), "word string, score double") if isinstance(polarity, dict) else polarity
     scored = score_documents(with_text, "url", "processed_text", polarity=lexicon, negative_terms=negative_terms,
                              carry={"date": F.col("date"), "covid_flag": TX.keyterm_flag("processed_text", key_terms)})
