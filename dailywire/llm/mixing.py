@@ -22,7 +22,8 @@ A token is a word here, a run of characters other than ASCII blanks; the countin
 parameter.
 
 Defined cases: null text has no tokens and is never taken; null domain, language or source is the
-child named ''; a null doc_id is ordered as ''; rows that repeat a doc_id are ordered by their tokens
+child named ''; a null doc_id is ordered as ``row``, a column that names the row by its content and is
+handed through, or as '' without one (then no digits split such ids); rows that repeat a doc_id are ordered by their tokens
 and count each; a weight of 0 or less gives a child nothing before its siblings are used up; an empty
 table or a budget of 0 gives no rows; a budget beyond the supply takes all of it. Other columns are
 ignored.
@@ -107,16 +108,17 @@ def leaf_budgets(tokens: DataFrame, budget: Column, weights: DataFrame | None, e
     return nodes.drop("root")
 
 
-def mixed(docs: DataFrame, domain: Column, share_of_tokens: Column, weights: DataFrame | None = None, epochs: int = 1, seed: int = SEED, tokens: Column | None = None) -> DataFrame:
-    """(doc_id, domain, lang, source, epoch, tokens, take): a row for each time a document is read."""
+def mixed(docs: DataFrame, domain: Column, share_of_tokens: Column, weights: DataFrame | None = None, epochs: int = 1, seed: int = SEED, tokens: Column | None = None, row: Column | None = None) -> DataFrame:
+    """(doc_id, domain, lang, source, epoch, tokens, take, and row if given): a row for each time a document is read."""
     text = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(domain, F.lit("")).alias("domain"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"), (word_count(F.col("text")) if tokens is None else tokens).alias("tokens"),
+        *([] if row is None else [row.cast("string").alias("row")]),
     )
     counted = checkpoint(text.where("tokens > 0"))
     leaves = leaf_budgets(counted, share_of_tokens, weights, epochs).where("budget > 0").withColumn("whole", F.expr("budget div tokens")).withColumn("part", F.expr("budget % tokens"))
     leaves = checkpoint(leaves.select(*LEVELS, "whole", "part"))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("") if row is None else F.col("row"))).cast("binary"))
     ordered = checkpoint(counted.join(leaves, list(LEVELS)).withColumn("key", key).withColumn("a", F.substring("key", 1, 2)).withColumn("b", F.substring("key", 3, 2)))
 
     def last(rows: DataFrame, keys: Sequence[str], digit: str) -> DataFrame:
@@ -137,5 +139,5 @@ def mixed(docs: DataFrame, domain: Column, share_of_tokens: Column, weights: Dat
     w = Window.partitionBy(*LEVELS).orderBy("key", F.col("doc_id").asc_nulls_first(), "tokens").rowsBetween(Window.unboundedPreceding, -1)
     at_end = x.where("part > 0 and a = end_a and b = end_b").withColumn("start", F.col("before_b") + F.coalesce(F.sum("tokens").over(w), F.lit(0)))
     at_end = at_end.where("start < part").withColumn("epoch", F.col("whole")).withColumn("take", F.least(F.col("tokens"), F.col("part") - F.col("start")))
-    out = ["doc_id", *LEVELS, "epoch", "tokens", "take"]
+    out = ["doc_id", *LEVELS, "epoch", "tokens", "take", *([] if row is None else ["row"])]
     return full.select(out).union(early.select(out)).union(at_end.select(out))

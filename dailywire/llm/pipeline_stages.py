@@ -1,7 +1,9 @@
 """Stages of the corpus pipeline: each calls one operator and lets its decisions take effect.
 
 A stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. Rows with a
-null doc_id or text pass through every stage; an empty table stays empty.
+null doc_id or text pass the stages up to the mix. The mix chooses among the rows that have a word, so null
+and blank texts end there; a row with a null doc_id is chosen by its content, each of its copies for
+itself. Rows with one doc_id and equal columns are one document. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -39,9 +41,14 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the registered weights choose, whole; those without a word are not chosen."""
-    docs = docs.select(COLUMNS)
-    chosen = queries.mix(docs, epochs=1, part=KEPT).select(F.col("doc_id").alias("chosen")).distinct()
-    return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["chosen"]), "left_semi")
+    docs = docs.select(*COLUMNS, F.concat_ws(":", F.xxhash64("text").cast("string"), F.xxhash64(F.lit(1), *COLUMNS[1:]).cast("string")).alias("row"))
+    chosen = queries.mix(docs, epochs=1, part=KEPT, row=F.col("row"))
+    chosen = chosen.groupBy(F.col("doc_id").alias("chosen"), F.col("row").alias("chosen_row")).agg(F.count("*").cast("int").alias("times"))
+    # copies without an id are told apart by their number only
+    docs = docs.where("doc_id is not null").union(docs.where("doc_id is null").distinct())
+    whole = docs.join(chosen, (docs["row"] == chosen["chosen_row"]) & docs["doc_id"].eqNullSafe(chosen["chosen"]))
+    times = F.when(F.col("doc_id").isNull(), F.col("times")).otherwise(1)
+    return whole.select(*COLUMNS, F.explode(F.sequence(F.lit(1), times)).alias("time")).select(COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

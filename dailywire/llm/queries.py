@@ -6,7 +6,7 @@ import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailywire.session import ensure_checkpoint_dir
@@ -59,10 +59,10 @@ WEIGHTS = [("domain", "domain0", 4), ("domain", "domain1", 3), ("domain", "domai
 EPOCHS = 2
 
 
-def mix(docs: DataFrame, epochs: int = EPOCHS, part: str = "total div 2") -> DataFrame:
+def mix(docs: DataFrame, epochs: int = EPOCHS, part: str = "total div 2", row: Column | None = None) -> DataFrame:
     rows = ", ".join(f"('{level}', '{path}', {weight}L)" for level, path, weight in WEIGHTS)
     weights = docs.sparkSession.sql(f"select * from values {rows} as w(level, path, weight)")
-    return mixing.mixed(docs, mixing.domain_of(F.col("source")), F.expr(part), weights, epochs)
+    return mixing.mixed(docs, mixing.domain_of(F.col("source")), F.expr(part), weights, epochs, row=row)
 
 
 @registered("op3_source_mixing", mixing_sql.mix(WEIGHTS, EPOCHS, "total // 2"))

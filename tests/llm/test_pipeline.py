@@ -54,6 +54,16 @@ def test_mixing_stage_keeps_whole_documents(spark, tables):
     assert 0 < len(got) < len(docs) and all(r.text == of[r.doc_id] for r in got)
 
 
+def test_mixing_stage_takes_rows_without_an_id_one_by_one(spark, tables):
+    """150 rows of one leaf have no id, 50 of them are equal: four fifths of the tokens, to the row."""
+    rows = [(None, f"w{i} a b c", "en", "src0", 0) for i in range(100)] + [(None, "the same four words", "en", "src0", 0)] * 50
+    rows += [(None, None, "en", "src0", 0), (7, " ", "en", "src0", 0)]
+    docs = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    got = [tuple(r) for r in pipeline_stages.mix_sources(spark, docs, tables[0]).collect()]
+    assert len(got) == 120 and set(got) <= set(rows)
+    assert all(got.count(r) <= rows.count(r) for r in got) and (None, None, "en", "src0", 0) not in got
+
+
 def test_pipeline(spark, tables):
     folder, docs = tables
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "suffix_dedup", "mixing", "packing"]
