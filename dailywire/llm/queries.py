@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import ensure_checkpoint_dir
 
-from . import chat, hnsw, minhash, mixing, mixing_sql, packing, substring, suffix, topk, toxicity, warc
+from . import audit, audit_sql, chat, hnsw, minhash, mixing, mixing_sql, packing, substring, suffix, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -129,3 +129,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op10_nearest_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.approximate_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@registered("op11_filter_audit", audit_sql.AUDIT)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
