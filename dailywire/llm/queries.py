@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import ensure_checkpoint_dir
 
-from . import audit, audit_sql, chat, hnsw, minhash, mixing, mixing_sql, packing, substring, suffix, topk, toxicity, warc
+from . import audit, audit_sql, chat, hnsw, manifest, manifest_sql, minhash, mixing, mixing_sql, packing, substring, suffix, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -134,3 +134,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("op11_filter_audit", audit_sql.AUDIT)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered("op13_merkle_manifest", manifest_sql.MANIFEST)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = manifest.proofs(table(spark, sf_dir, "documents"), F.when(third, F.translate("text", letters, letters.lower())))
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
