@@ -7,17 +7,17 @@ documents are linked if 100 * intersection >= ``percent`` * union.
 1. One sketch per document: the shingle hashes fall into 128 buckets by their top 7 bits; a register
    keeps the leading-zero count of its smallest hash and the 10 bits after its leading one.
 2. Documents with equal sets collapse to the smallest doc_id (partial aggregation by a 128-bit
-   signature of the set); all later steps see one representative per set.
+   signature of the set, whose shingle hashes come from the words' BLAKE2b digests); all later steps see one representative per set.
 3. Bands of 4 registers (empty ones borrow from the next filled one) are the candidate keys. Sets of
    at most 50 shingles use their prefix instead, the smallest n - ceil(n * t) + 1 hashes, of which
-   two linked sets always share one; sets of at least 40 have bands, so any pair of sizes that could
+   two linked sets always share one; sets from 50 * t on have bands, so any pair of sizes that could
    be linked meets under one of the two.
 4. Within a key, representatives whose sizes and collision-corrected estimate allow a link (five
    standard errors below the threshold) are joined by a search that emits a spanning tree, never all
    pairs. A key with more than ``block`` members is split, and each two of its blocks are searched
    together, so nothing is capped.
-5. Trees join to clusters; each cluster's texts are gathered, their full sets compared, and the
-   links found (again a spanning tree) give the components. A pair is compared on the full sets
+5. Trees join to clusters; each cluster's texts are gathered, their full sets compared word for word
+   (shingles are numbered, not hashed), and the links found (again a spanning tree) give the components. A pair is compared on the full sets
    unless the two are joined already, or the triangle inequality of the Jaccard distance to the
    first text of the search rules the link out. Large clusters are split by blocks as in 4.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import checkpoint
 
-from . import groups, texthash
+from . import groups, texthash, verify
 from .graph import components
 
 SHINGLE = 5
@@ -45,8 +45,8 @@ PERCENT = 80
 BUCKETS = 128
 MANTISSA = 10
 ROWS = 4
-#: Sets up to SMALL have prefix keys, sets from LARGE on have bands; LARGE <= 0.8 * SMALL.
-SMALL, LARGE = 50, 40
+#: Sets up to SMALL have prefix keys; those from ``percent`` of SMALL on have bands.
+SMALL = 50
 #: Members of a key, and shingles of a cluster, that one search holds.
 BLOCK = 4096
 BLOCK_SHINGLES = 2_000_000
@@ -55,20 +55,28 @@ ERRORS = 5.0
 _SKETCH = "doc_id long, n long, signature binary, registers binary, keys array<long>"
 
 
+def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(document, hash) of every run of ``k`` words; of a shorter document the run of all its words."""
+    count = np.diff(first)
+    doc = np.repeat(np.arange(len(count)), count)
+    at = np.arange(len(words))
+    at = at[at + k <= first[1:][doc]]
+    docs, hashes = [doc[at]], [texthash.run_hashes(words, k)[at]]
+    for size in range(1, k):
+        short = np.flatnonzero(count == size)
+        docs.append(short)
+        hashes.append(texthash.run_hashes(words, size)[first[short]] if len(short) else np.zeros(0, np.uint64))
+    return np.concatenate(docs), np.concatenate(hashes)
+
+
 def shingle_sets(column, k: int, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first document, shingle hashes sorted within each document without repeats, bounds) per block."""
     data, offsets = texthash.text_bytes(column)
     for a, b in texthash.blocks(offsets, limit):
         part = data[offsets[a] : offsets[b]]
         starts, ends, first = texthash.words(part, offsets[a : b + 1] - offsets[a])
-        hashes = texthash.word_hashes(part, starts, ends, lower=True)
-        count = np.diff(first)
-        doc = np.repeat(np.arange(b - a), count)
-        at = np.arange(len(doc))
-        until = np.minimum(at + k, first[1:][doc])
-        keep = (at + k <= first[1:][doc]) | (at == first[:-1][doc])
-        at, until, doc = at[keep], until[keep], doc[keep]
-        h = texthash.span_hash(texthash.prefix(hashes, texthash.BASE_B), texthash.BASE_B, at, until)
+        codes, digests = texthash.word_digests(part, starts, ends, lower=True)
+        doc, h = shingles(digests[codes, 0], first, k)
         order = np.lexsort((h, doc))
         h, doc = h[order], doc[order]
         new = np.ones(len(h), bool)
@@ -110,6 +118,8 @@ def band_keys(r: np.ndarray) -> np.ndarray:
 
 
 def _sketches(k: int, percent: int):
+    large = SMALL * percent // 100
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, h, bounds in shingle_sets(batch.column("text"), k):
@@ -122,7 +132,7 @@ def _sketches(k: int, percent: int):
                 name = np.stack([one[bounds[1:]] - one[bounds[:-1]], two[bounds[1:]] - two[bounds[:-1]], size.astype(np.uint64)], axis=1)
                 bands, keys = band_keys(r), []
                 for d in range(n):
-                    own = [bands[d].view(np.int64)] if size[d] >= LARGE else []
+                    own = [bands[d].view(np.int64)] if size[d] >= large else []
                     if 0 < size[d] <= SMALL:
                         prefix = size[d] - -(-size[d] * percent // 100) + 1
                         own.append(texthash.mix(h[bounds[d] : bounds[d] + prefix]).view(np.int64))
@@ -151,20 +161,6 @@ def estimate(r: np.ndarray, n: np.ndarray, s: np.ndarray, m: int) -> tuple[np.nd
     return np.clip((equal - chance) / np.maximum(filled, 1), 0, 1), filled
 
 
-def _search(order: np.ndarray, linked) -> list[tuple[int, int]]:
-    """Spanning-tree edges of the graph that ``linked(i, others) -> mask`` describes."""
-    left, edges = order, []
-    while len(left):
-        front, left = [left[0]], left[1:]
-        root = front[0]
-        while front and len(left):
-            hit = linked(front.pop(), left)
-            found, left = left[hit], left[~hit]
-            edges += [(int(x), int(root)) for x in found]
-            front += found.tolist()
-    return edges
-
-
 def _candidates(percent: int):
     t = percent / 100
 
@@ -180,77 +176,18 @@ def _candidates(percent: int):
                 fits = 100 * np.minimum(size[i], size[others]) >= percent * np.maximum(size[i], size[others])
                 return fits & (j >= t - ERRORS * np.sqrt(t * (1 - t) / np.maximum(filled, 1)))
 
-            edges += _search(order, linked)
-        if not edges:
-            return None
-        e = np.array(edges)
-        return pa.table({"a": ids[e[:, 0]], "b": ids[e[:, 1]]})
-
-    return lambda batches: groups.whole_groups(batches, ["key", "i", "j"], handle)
-
-
-def _confirmed(k: int, percent: int):
-    def handle(table: pa.Table, bounds: np.ndarray) -> pa.Table | None:
-        ids, sets = np.array(table["id"]), []
-        for _, h, cuts in shingle_sets(table["text"], k):
-            sets += [h[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-        size = np.array([len(x) for x in sets])
-        pairs = []
-        for lo, hi in zip(bounds, [*bounds[1:], len(ids)], strict=True):
-            order = lo + np.argsort(ids[lo:hi], kind="stable")
-            order = order[size[order] > 0]
-
-            def compared(i, others):
-                """(intersection, union) sizes of set i with each other set."""
-                both = np.concatenate([sets[x] for x in others])
-                at = np.minimum(np.searchsorted(sets[i], both), len(sets[i]) - 1)
-                same = np.add.reduceat((sets[i][at] == both).astype(np.int64), np.r_[0, np.cumsum(size[others])[:-1]])
-                return same, size[others] + size[i] - same
-
-            def sliced(i, others, each=256):
-                found = [compared(i, others[c : c + each]) for c in range(0, len(others), each)]
-                return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
-
-            far = np.zeros(len(ids))
-            if len(order) > 64:
-                same, union = sliced(order[0], order)
-                far[order] = 1 - same / union
-
-            def linked(i, others):
-                near = 100 * np.minimum(size[i], size[others]) >= percent * np.maximum(size[i], size[others])
-                near &= np.abs(far[others] - far[i]) <= 1 - percent / 100 + 1e-9
-                if near.any():
-                    same, union = sliced(i, others[near])
-                    near[near] = 100 * same >= percent * union
-                return near
-
-            pairs += _search(order, linked)
-        if not pairs:
-            return None
-        e = np.array(pairs)
-        return pa.table({"a": ids[e[:, 0]], "b": ids[e[:, 1]]})
+            edges += verify.spanning_tree(order, linked)
+        return verify.edge_table(ids, edges)
 
     return lambda batches: groups.whole_groups(batches, ["key", "i", "j"], handle)
 
 
-def _in_blocks(rows: DataFrame, blocks) -> DataFrame:
-    """Each row once for every two blocks of its key that it belongs to (once if the key has one)."""
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    return (
-        rows.withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))))
-        .where("blocks = 1 or own <> other")
-        .withColumn("i", F.least("own", "other"))
-        .withColumn("j", F.greatest("own", "other"))
-        .drop("own", "other", "blocks")
-    )
-
-
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): the smallest doc_id of a component is kept."""
-    spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """(doc_id, n_shingles, component_id, kept): the smallest doc_id of a component is kept.
+
+    ``percent`` is 80 to 100: bands of ROWS registers find few pairs below."""
+    if not PERCENT <= percent <= 100:
+        raise ValueError("percent must be from 80 to 100")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = checkpoint(texts.mapInArrow(_sketches(shingle, percent), _SKETCH))
     live = sketches.where("n > 0 and doc_id is not null")
@@ -261,19 +198,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     size = member.groupBy("key").agg(F.count("*").alias("count"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.sum(F.xxhash64(F.col("id"), F.lit(1)).cast("decimal(20,0)")).alias("t"))
     size = size.where("count > 1").groupBy("count", "s", "t").agg(F.min("key").alias("key")).select("key", "count")
     member = member.join(size, "key").join(sets.select("id", "n", "registers"), "id")
-    member = _in_blocks(member, F.ceil(F.col("count") / block)).select("key", "i", "j", "id", "n", "registers")
-    member = member.repartition(width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+    member = verify.grouped(verify.in_blocks(member, F.ceil(F.col("count") / block)).select("key", "i", "j", "id", "n", "registers"))
     cluster = components(member.mapInArrow(_candidates(percent), "a long, b long"))
 
     inside = cluster.select(F.col("a").alias("id"), F.col("b").alias("key")).union(cluster.select(F.col("b").alias("id"), F.col("b").alias("key")).distinct())
     inside = inside.join(sets.select("id", "n"), "id")
-    total = inside.groupBy("key").agg(F.sum("n").alias("total"))
-    inside = inside.join(total, "key").select("id", "key", F.ceil(F.col("total") / block_shingles).alias("size")).distinct()
-    # the same join at every size: the members grow with the input, so they are never broadcast
-    unit = texts.withColumnRenamed("doc_id", "id").join(checkpoint(inside).hint("merge"), "id")
-    unit = _in_blocks(unit, F.col("size")).select("key", "i", "j", "id", "text")
-    unit = unit.repartition(width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    linked = components(unit.mapInArrow(_confirmed(shingle, percent), "a long, b long"))
+    linked = components(verify.confirmed_links(inside, texts.withColumnRenamed("doc_id", "id"), shingle, percent, block_shingles))
 
     of_set = sets.select("signature", "id").join(linked.select(F.col("a").alias("id"), "b"), "id", "left").select("signature", F.coalesce("b", "id").alias("component"))
     out = sketches.select("doc_id", "n", F.when(F.expr("n > 0 and doc_id is not null"), F.col("signature")).alias("signature")).join(of_set, "signature", "left")

@@ -13,7 +13,9 @@ hold a repeated anchor are then extended to all their words and compared by a 96
    chunk (or in another document of the same one)
 2. the chunk gets back its recurring anchors, forms the windows around them and sends each distinct
    window with the smallest doc_id it has there -> smallest doc_id of all
-3. the chunk gets back the windows that start in a smaller document elsewhere, and marks words
+3. the chunk gets back the windows that start in a smaller document elsewhere, each with a tag of the
+   anchor it was found by; it forms the windows around these anchors and around those that recur in
+   itself, and marks words
 
 A chunk sends each hash at most once, so a passage that a third of all documents holds costs one
 entry per chunk, not one per document. The text is shuffled once; the three steps read the same
@@ -58,36 +60,38 @@ class _Chunk:
         self.size, self.period, self.cover = size, period, cover
 
     def blocks(self):
-        """(first document, words' starts, ends, first word of each document, word hashes, document of each word)"""
+        """(first document, bytes, words' starts, ends, first word of each document, word digests, document of each word)"""
         for a, b in texthash.blocks(self.offsets):
             data = self.data[self.offsets[a] : self.offsets[b]]
             starts, ends, first = texthash.words(data, self.offsets[a : b + 1] - self.offsets[a])
-            hashes = texthash.word_hashes(data, starts, ends)
-            yield a, data, starts, ends, first, hashes, np.repeat(np.arange(b - a), np.diff(first))
+            codes, digests = texthash.word_digests(data, starts, ends)
+            yield a, data, starts, ends, first, digests[codes], np.repeat(np.arange(b - a), np.diff(first))
 
     def anchors(self, first: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, hash) of every anchor: words at cover positions, counted from the document's start."""
         long = self.size - self.period + 1
         at = np.flatnonzero(np.isin((np.arange(len(doc)) - first[doc]) % self.period, self.cover))
         at = at[at + long <= first[1:][doc[at]]]
-        return at, texthash.span_hash(texthash.prefix(hashes, texthash.BASE_B), texthash.BASE_B, at, at + long)
+        return at, texthash.run_hashes(hashes[:, 0], long)[at]
 
-    def windows(self, at: np.ndarray, first: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, 96-bit hash) of the windows that hold one of the anchors ``at`` within a period of their start."""
+    def windows(self, at: np.ndarray, anchor: np.ndarray, first: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, entry without its document) of the windows that hold one of the anchors ``at`` within a
+        period of their start; the tag is of the first such anchor."""
         some = np.zeros(len(doc) + 1, bool)
         for s in range(self.period):
             some[at[at >= s] - s] = True
         starts = np.flatnonzero(some[:-1])
         starts = starts[starts + self.size <= first[1:][doc[starts]]]
-        out = np.empty(len(starts), _HASH)
-        for name, base in (("a", texthash.BASE_A), ("b", texthash.BASE_B)):
-            h = texthash.span_hash(texthash.prefix(hashes, base), base, starts, starts + self.size)
-            out[name] = h if name == "a" else (h >> np.uint64(32)).astype(np.uint32)
+        out = np.zeros(len(starts), _ENTRY)
+        if len(starts):
+            out["a"] = texthash.run_hashes(hashes[:, 0], self.size)[starts]
+            out["b"] = texthash.run_hashes(hashes[:, 1], self.size)[starts] >> np.uint64(32)
+            out["tag"] = anchor[np.searchsorted(at, starts)] & np.uint64(0xFFFFFFFF)
         return starts, out
 
 
-_HASH = np.dtype([("a", "<u8"), ("b", "<u4")])
-_ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("doc", "<i8")])
+_HASH = np.dtype([("a", "<u8"), ("b", "<u4"), ("tag", "<u4")])
+_ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("tag", "<u4"), ("doc", "<i8")])
 
 
 def _first_of(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,9 +176,9 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, period: int = P
         known, found = np.sort(_set_of(back, np.uint64)), []
         for a, _, _, _, first, hashes, doc in c.blocks():
             at, h = c.anchors(first, hashes, doc)
-            starts, w = c.windows(at[_within(h, known)], first, hashes, doc)
-            e = np.empty(len(w), _ENTRY)
-            e["a"], e["b"], e["doc"] = w["a"], w["b"], c.ids[a + doc[starts]]
+            again = _within(h, known)
+            starts, e = c.windows(at[again], h[again], first, hashes, doc)
+            e["doc"] = c.ids[a + doc[starts]]
             order, new = _first_of(e)
             found.append(e[order][new])
         e = np.concatenate(found) if found else np.zeros(0, _ENTRY)
@@ -188,18 +192,24 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, period: int = P
         e, chunks = e[order], chunks[order]
         least = e["doc"][np.flatnonzero(new)][np.cumsum(new) - 1] if len(e) else e["doc"]
         later = e["doc"] > least
-        return _back(chunks[later], np.ascontiguousarray(np.rec.fromarrays([e["a"][later], e["b"][later]], dtype=_HASH)))
+        return _back(chunks[later], np.ascontiguousarray(np.rec.fromarrays([e[c][later] for c in _HASH.names], dtype=_HASH)))
 
     def remove(table: pa.Table, back: pa.Table) -> pa.Table:
         if not len(table):
             return pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("text", pa.string())]).empty_table()
         _, c = opened(table)
         every = np.sort(_set_of(back, _HASH), order=["a", "b"])
-        whole = []  # windows of the chunk, to find those that an earlier document of the chunk has
+        tags = np.unique(every["tag"])
+        mine = [h for _, _, _, _, first, hashes, doc in c.blocks() for h in [c.anchors(first, hashes, doc)[1]]]
+        mine, counts = np.unique(np.concatenate(mine) if mine else np.zeros(0, np.uint64), return_counts=True)
+        mine = mine[counts > 1]
+        places, whole = [], []  # windows around anchors that recur, here or elsewhere
         for a, _, _, _, first, hashes, doc in c.blocks():
-            starts, w = c.windows(np.arange(len(doc)), first, hashes, doc)
-            e = np.empty(len(w), _ENTRY)
-            e["a"], e["b"], e["doc"] = w["a"], w["b"], c.ids[a + doc[starts]]
+            at, h = c.anchors(first, hashes, doc)
+            again = _within(h, mine) | _within((h & np.uint64(0xFFFFFFFF)).astype(np.uint32), tags)
+            starts, e = c.windows(at[again], h[again], first, hashes, doc)
+            e["doc"] = c.ids[a + doc[starts]]
+            places.append(starts)
             whole.append(e)
         e = np.concatenate(whole) if whole else np.zeros(0, _ENTRY)
         order, new = _first_of(e)
@@ -208,8 +218,7 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, period: int = P
             later[order] = sorted_["doc"] > sorted_["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
             later |= _within_pairs(e, every)
         kept, counts, removed, done = [], [], [], 0
-        for a, data, starts, ends, first, hashes, doc in c.blocks():
-            at, _ = c.windows(np.arange(len(doc)), first, hashes, doc)
+        for (a, data, starts, ends, first, hashes, doc), at in zip(c.blocks(), places, strict=True):
             hit, done = at[later[done : done + len(at)]], done + len(at)
             edge = np.zeros(len(doc) + size + 1, np.int64)
             np.add.at(edge, hit, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -106,5 +108,38 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False, base: int = BASE_A) -> np.ndarray:
-    return span_hash(prefix(byte_values(data, lower), base), base, starts, ends)
+def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> tuple[np.ndarray, pa.Array]:
+    """(number of each word among the block's distinct words, the distinct words). ``starts`` and ``ends``
+    are all the words of ``data``."""
+    letters = (_LOWER[data] if lower else data)[_IS_WORD[data]]
+    cuts = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=cuts[1:])
+    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(letters))])
+    coded = column.dictionary_encode()
+    return np.asarray(coded.indices).astype(np.int64), coded.dictionary
+
+
+def word_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each word, two 64-bit halves of each distinct word's BLAKE2b digest)."""
+    codes, distinct = word_codes(data, starts, ends, lower)
+    digests = b"".join([hashlib.blake2b(w, digest_size=16).digest() for w in distinct.to_pylist()])
+    return codes, np.frombuffer(digests, "<u8").reshape(-1, 2)
+
+
+def run_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` values from each place on (for the places where so many are left).
+
+    Halves are joined by a mixing step each, so that no sum over the run can cancel.
+    """
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    piece, length, at, out = values, 1, 0, None
+    while True:
+        if size & length:
+            out = piece[:n] if out is None else mix(out * np.uint64(BASE_A) + piece[at : at + n])
+            at += length
+        if 2 * length > size:
+            return mix(out + np.uint64(size))
+        piece = mix(piece[:-length] * np.uint64(BASE_B) + piece[length:])
+        length *= 2
