@@ -61,8 +61,8 @@ counts AS (SELECT date AS datetime, count(url) AS total_number_of_articles, coun
            count(negative_flag) AS total_negative_articles FROM flags GROUP BY 1)"""
 
 
-def _daily_sql(start: str = START_DATE) -> str:
-    ts = f"ts >= TIMESTAMP '{start}'"
+def _daily_sql(start: str | None = START_DATE) -> str:
+    ts = f"ts >= TIMESTAMP '{start}'" if start else "true"
     return f"""WITH {_features_sql(start)},
 c2 AS (SELECT *, round(total_articles_about_covid::DOUBLE / total_number_of_articles, 6) AS ratio_articles_about_covid,
        round(total_negative_articles::DOUBLE / total_number_of_articles, 6) AS ratio_negative_articles FROM counts),
@@ -73,6 +73,11 @@ idx AS (SELECT CAST(ts AS DATE) AS datetime, round(avg(value), 6) AS index_value
 SELECT * FROM c2 FULL OUTER JOIN wea USING (datetime) FULL OUTER JOIN idx USING (datetime) ORDER BY datetime"""
 
 
+def all_days_sql() -> str:
+    """A5 over A1 / A2, A4 and A3 of all rows."""
+    return _daily_sql(None)
+
+
 query("daily_news_readings", _daily_sql())(daily_table)
 
 

@@ -2,46 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from dailywire.operators import extract as E
+from dailywire.streaming.daily import bucket_of, earlier_batches, in_buckets
 
 PAGES_SCHEMA = "page_id BIGINT, url STRING, html STRING"
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
-def _store_so_far(spark: SparkSession, store: str, batch_id: int) -> DataFrame | None:
-    """Rows committed by earlier batches only (a retried batch must not see its own partial output)."""
-    try:
-        prior = spark.read.parquet(store)
-    except AnalysisException as e:
-        # no committed batch yet; any other failure must not look like an empty store
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-    return prior.where(F.col("_batch") < batch_id)
-
-
 def ingest_batch(store: str):
-    """foreachBatch body of ST1: parse + extract the new pages, skip URLs already stored, write the
-    batch into its own ``_batch=<id>`` partition with overwrite, so a retried batch is idempotent."""
+    """foreachBatch body of ST1: drop the pages whose URL is stored, then parse and extract the others.
+
+    The store lies in hash buckets of the URL: a batch reads the URLs of its own buckets only, and a page
+    that is already stored is dropped on its raw row, before the parse. The batch goes into its own
+    ``_batch=<id>`` folder of each bucket with overwrite, so a retried batch is idempotent.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        arts = E.extract_articles(E.parse_pages(batch))
-        # one row per URL within the batch; kept for the call so the page parse runs once
-        arts = E.assemble_articles(arts, "url", "page_id").persist()
-        try:
-            prior = _store_so_far(spark, store, batch_id)
-            new = E.new_links(arts, prior.select("url"), "url") if prior is not None else arts
-            (new.withColumn("_batch", F.lit(batch_id))
-                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy("_batch").parquet(store))
-        finally:
-            arts.unpersist()
+        pages = batch.withColumn("_bucket", bucket_of("url"))
+        prior = earlier_batches(spark, store, batch_id)
+        if prior is not None:
+            pages = E.new_links(pages, in_buckets(prior, pages).select("url"), "url")
+        arts = E.extract_articles(E.parse_pages(pages))
+        # one row per URL within the batch
+        arts = E.assemble_articles(arts, "url", "page_id").withColumn("_bucket", bucket_of("url")).withColumn("_batch", F.lit(batch_id))
+        # one file a bucket
+        arts.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket", "_batch").parquet(store)
 
     return run
 
