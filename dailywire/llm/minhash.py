@@ -7,7 +7,7 @@ documents are linked if 100 * intersection >= ``percent`` * union.
 1. One sketch per document: the shingle hashes fall into 128 buckets by their top 7 bits; a register
    keeps the leading-zero count of its smallest hash and the 10 bits after its leading one.
 2. Documents with equal sets collapse to the smallest doc_id (partial aggregation by a 128-bit
-   signature of the set, whose shingle hashes come from the words' BLAKE2b digests); all later steps see one representative per set.
+   signature of the set, whose hashes have no structure in common with the words); all later steps see one representative per set.
 3. Bands of 4 registers (empty ones borrow from the next filled one) are the candidate keys. Sets of
    at most 50 shingles use their prefix instead, the smallest n - ceil(n * t) + 1 hashes, of which
    two linked sets always share one; sets from 50 * t on have bands, so any pair of sizes that could
@@ -55,34 +55,33 @@ ERRORS = 5.0
 _SKETCH = "doc_id long, n long, signature binary, registers binary, keys array<long>"
 
 
-def shingles(words: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(document, hash) of every run of ``k`` words; of a shorter document the run of all its words."""
-    count = np.diff(first)
-    doc = np.repeat(np.arange(len(count)), count)
-    at = np.arange(len(words))
-    at = at[at + k <= first[1:][doc]]
-    docs, hashes = [doc[at]], [texthash.run_hashes(words, k)[at]]
-    for size in range(1, k):
-        short = np.flatnonzero(count == size)
-        docs.append(short)
-        hashes.append(texthash.run_hashes(words, size)[first[short]] if len(short) else np.zeros(0, np.uint64))
-    return np.concatenate(docs), np.concatenate(hashes)
-
-
 def shingle_sets(column, k: int, limit: int = 1 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first document, shingle hashes sorted within each document without repeats, bounds) per block."""
     data, offsets = texthash.text_bytes(column)
     for a, b in texthash.blocks(offsets, limit):
         part = data[offsets[a] : offsets[b]]
         starts, ends, first = texthash.words(part, offsets[a : b + 1] - offsets[a])
-        codes, digests = texthash.word_digests(part, starts, ends, lower=True)
-        doc, h = shingles(digests[codes, 0], first, k)
-        order = np.lexsort((h, doc))
-        h, doc = h[order], doc[order]
+        words = np.ascontiguousarray(texthash.word_digests(part, starts, ends, lower=True)[:, 0])
+        count = np.diff(first)
+        bounds = np.zeros(len(count) + 1, np.int64)
+        np.cumsum(np.where(count >= k, count - k + 1, np.minimum(count, 1)), out=bounds[1:])
+        h = np.zeros(bounds[-1], np.uint64)
+        long = count >= k
+        if long.any():
+            size = (count - k + 1)[long]
+            step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            h[np.repeat(bounds[:-1][long], size) + step] = texthash.run_hashes(words, k)[np.repeat(first[:-1][long], size) + step]
+        for size in range(1, k):
+            short = np.flatnonzero(count == size)
+            if len(short):
+                h[bounds[short]] = texthash.run_hashes(words, size)[first[short]]
+        cuts = bounds.tolist()
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            h[x:y].sort()
         new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
-        h, doc = h[new], doc[new]
-        yield a, h, np.searchsorted(doc, np.arange(b - a + 1))
+        new[1:] = h[1:] != h[:-1]
+        new[bounds[:-1][bounds[:-1] < len(h)]] = True
+        yield a, h[new], np.r_[0, np.cumsum(new)][bounds]
 
 
 def registers(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:

@@ -15,7 +15,8 @@ documents are linked if 100 * intersection >= ``percent`` * union.
    the same groups one is enough). A pair of groups is left out if its sizes rule a link out, or if the
    prefixes, as far as both reach in the order, differ in more shingles than linked sets of these
    sizes can. A search under each shingle emits a spanning tree of the pairs that stay, never all
-   pairs; a shingle with more than ``block`` groups is searched block against block.
+   pairs; a shingle with more than ``block`` groups is searched block against block. A cell's count
+   bounds the groups of its shingles: those that may have more than ``HOT`` are dealt over several tasks.
 4. Expansion: trees join to clusters of groups, these expand to their member sets (one document for
    each distinct set), and the members are verified on their full sets, word for word; the links
    found, spanning trees again, give the components.
@@ -27,6 +28,7 @@ gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +48,11 @@ CELLS, SLICE = 1 << 20, 1 << 14
 #: Groups under a shingle, and shingles of a cluster, that one search holds.
 BLOCK = 4096
 BLOCK_SHINGLES = 2_000_000
+#: Groups of one shingle that one task gets, at most.
+HOT = 1 << 17
+LEVELS = 8
 
-_SETS = "doc_id long, n long, signature binary, prefix binary"
+_SETS = "doc_id long, n long, signature binary, same binary, prefix binary"
 
 
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
@@ -87,13 +92,13 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequency_levels(texts: DataFrame, k: int) -> np.ndarray:
-    """Level of each cell: eighths of the binary logarithm of the shingles counted there (one byte each)."""
+    """Level of each cell: eighths of the binary logarithm of the shingles counted there, rounded up (one byte each)."""
     counted = texts.mapInArrow(_count(k), "slice long, counts binary")
     added = counted.repartition(CELLS // SLICE, "slice").mapInArrow(_added, "slice long, counts binary")
     cells = np.zeros((CELLS // SLICE, SLICE), np.int64)
     for row in added.collect():  # CELLS numbers in all, at every size
         cells[row["slice"]] = np.frombuffer(row["counts"], np.int64)
-    return np.minimum(8 * np.log2(cells.ravel() + 1), 255).astype(np.uint8)
+    return np.minimum(np.ceil(LEVELS * np.log2(cells.ravel() + 1)), 255).astype(np.uint8)
 
 
 def _prefixed(k: int, percent: int, levels):
@@ -103,28 +108,58 @@ def _prefixed(k: int, percent: int, levels):
             for a, h, bounds in minhash.shingle_sets(batch.column("text"), k):
                 n = len(bounds) - 1
                 size = np.diff(bounds)
-                doc = np.repeat(np.arange(n), size)
                 rank = level[_cell(h)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8)
-                rank = rank[np.lexsort((rank, doc))]
+                for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+                    rank[x:y].sort()
                 one, two = (np.concatenate([[0], np.cumsum(texthash.mix(h + np.uint64(s)))]).astype(np.uint64) for s in (1, 2))
                 name = np.stack([one[bounds[1:]] - one[bounds[:-1]], two[bounds[1:]] - two[bounds[:-1]], size.astype(np.uint64)], axis=1)
                 until = bounds[:-1] + np.where(size > 0, prefix_length(size, percent), 0)
+                prefix = [rank[x:y].tobytes() for x, y in zip(bounds.tolist(), until.tolist(), strict=False)]
+                same = [hashlib.blake2b(x, digest_size=16, key=m.to_bytes(8)).digest() for x, m in zip(prefix, size.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, n), pa.array(size, pa.int64()), pa.array([x.tobytes() for x in name], pa.binary()), pa.array([rank[x:y].tobytes() for x, y in zip(bounds, until, strict=False)], pa.binary())],
-                    names=["doc_id", "n", "signature", "prefix"],
+                    [batch.column("doc_id").slice(a, n), pa.array(size, pa.int64()), pa.array([x.tobytes() for x in name], pa.binary()), pa.array(same, pa.binary()), pa.array(prefix, pa.binary())],
+                    names=["doc_id", "n", "signature", "same", "prefix"],
                 )
 
     return run
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, id): a row for each shingle of a group's prefix."""
+    """(key, part, id): a row for each shingle of a group's prefix; ``part`` deals frequent shingles."""
     for batch in batches:
         blobs = batch.column("prefix").to_pylist()
-        keys = np.frombuffer(b"".join(blobs), np.int64)
+        keys = np.frombuffer(b"".join(blobs), np.uint64)
         ids = np.repeat(np.asarray(batch.column("id")), [len(x) // 8 for x in blobs])
+        parts = (_parts(keys) * (texthash.mix(ids.astype(np.uint64)) >> np.uint64(40)).astype(np.int64)) >> 24
         for at in range(0, len(keys), 1 << 18):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 18)]), pa.array(ids[at : at + (1 << 18)])], names=["key", "id"])
+            piece = slice(at, at + (1 << 18))
+            yield pa.RecordBatch.from_arrays([pa.array(keys[piece].view(np.int64)), pa.array(parts[piece]), pa.array(ids[piece])], names=["key", "part", "id"])
+
+
+def _parts(keys: np.ndarray) -> np.ndarray:
+    """Tasks over which the groups of each shingle are dealt, by the count of its cell."""
+    most = 2.0 ** ((keys >> np.uint64(56)).astype(np.float64) / LEVELS)
+    return np.maximum(1, np.ceil(most / HOT)).astype(np.int64)
+
+
+def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id) of the shingles with two groups at least. Those with the same groups become one key, the
+    hash of their ids; of a shingle that is dealt over several tasks all rows go on."""
+
+    def handle(table: pa.Table, bounds: np.ndarray) -> pa.Table | None:
+        keys, ids = np.array(table["key"]), np.array(table["id"])
+        size = np.diff(np.r_[bounds, len(keys)])
+        dealt = _parts(keys[bounds].view(np.uint64)) > 1
+        hashes = texthash.mix(ids.astype(np.uint64) * np.uint64(texthash.BASE_A))
+        of = texthash.mix(np.add.reduceat(hashes, bounds) + size.astype(np.uint64))
+        of = np.where(dealt, keys[bounds], of.view(np.int64))
+        _, first = np.unique(np.where(dealt, np.arange(len(of)), of), return_index=True)
+        once = np.zeros(len(of), bool)
+        once[first] = True
+        keep = np.repeat(dealt | (once & (size > 1)), size)
+        return pa.table({"key": np.repeat(of, size)[keep], "id": ids[keep]}) if keep.any() else None
+
+    return groups.whole_groups(batches, ["key", "part"], handle)
 
 
 def differing(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
@@ -168,21 +203,22 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     levels = spark.sparkContext.broadcast(frequency_levels(texts, shingle))
     rows = checkpoint(texts.mapInArrow(_prefixed(shingle, percent, levels), _SETS))
     live = rows.where("n > 0 and doc_id is not null")
-    sets = checkpoint(live.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first(F.sha2("prefix", 256)).alias("prefix_hash")))
-    groups_ = live.select(F.col("doc_id").alias("id"), "n", "prefix").groupBy(F.sha2("prefix", 256).alias("prefix_hash"), "n").agg(F.min("id").alias("id"), F.first("prefix").alias("prefix"))
-    groups_ = checkpoint(groups_)
+    sets = checkpoint(live.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("same").alias("same")))
+    first = sets.groupBy("same").agg(F.min("id").alias("doc_id"))
+    heads = checkpoint(live.join(first, ["doc_id", "same"]).select(F.col("doc_id").alias("id"), "n", "same", "prefix"))
 
     # shingles with two groups at least; of those with the same groups one is enough
-    member = groups_.select("id", "prefix").mapInArrow(_tokens, "key long, id long")
-    size = member.groupBy("key").agg(F.count("*").alias("count"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64(F.col("id"), F.lit(1))).alias("t"))
-    size = size.where("count > 1").groupBy("count", "s", "t").agg(F.min("key").alias("key")).select("key", "count")
-    member = member.join(size, "key").join(groups_.select("id", "n", "prefix"), "id")
+    token = heads.select("id", "prefix").mapInArrow(_tokens, "key long, part long, id long")
+    token = token.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key", "part").sortWithinPartitions("key", "part")
+    member = checkpoint(token.mapInArrow(_recurring, "key long, id long")).distinct()
+    size = member.groupBy("key").agg(F.count("*").alias("count")).where("count > 1")
+    member = member.join(size, "key").join(heads.select("id", "n", "prefix"), "id")
     member = verify.grouped(verify.in_blocks(member, F.ceil(F.col("count") / block)).select("key", "i", "j", "id", "n", "prefix"))
     cluster = components(member.mapInArrow(_candidates(percent), "a long, b long"))
 
     # a group stands for its sets: those of a cluster, or those of one group alone
-    of_group = groups_.select("id", "n", "prefix_hash").join(cluster.select(F.col("a").alias("id"), "b"), "id", "left")
-    inside = sets.join(of_group.select("n", "prefix_hash", F.coalesce("b", "id").alias("key")), ["n", "prefix_hash"]).select("key", "id", "n")
+    of_group = heads.select("id", "same").distinct().join(cluster.select(F.col("a").alias("id"), "b"), "id", "left")
+    inside = sets.join(of_group.select("same", F.coalesce("b", "id").alias("key")), "same").select("key", "id", "n")
     several = inside.groupBy("key").agg(F.count("*").alias("sets")).where("sets > 1").select("key")
     inside = inside.join(several, "key", "left_semi")
     one_text = texts.withColumnRenamed("doc_id", "id")

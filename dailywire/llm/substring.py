@@ -64,15 +64,15 @@ class _Chunk:
         for a, b in texthash.blocks(self.offsets):
             data = self.data[self.offsets[a] : self.offsets[b]]
             starts, ends, first = texthash.words(data, self.offsets[a : b + 1] - self.offsets[a])
-            codes, digests = texthash.word_digests(data, starts, ends)
-            yield a, data, starts, ends, first, digests[codes], np.repeat(np.arange(b - a), np.diff(first))
+            digests = texthash.word_digests(data, starts, ends)
+            yield a, data, starts, ends, first, digests, np.repeat(np.arange(b - a), np.diff(first))
 
     def anchors(self, first: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(position, hash) of every anchor: words at cover positions, counted from the document's start."""
         long = self.size - self.period + 1
         at = np.flatnonzero(np.isin((np.arange(len(doc)) - first[doc]) % self.period, self.cover))
         at = at[at + long <= first[1:][doc[at]]]
-        return at, texthash.run_hashes(hashes[:, 0], long)[at]
+        return at, texthash.run_hashes(np.ascontiguousarray(hashes[:, 0]), long)[at]
 
     def windows(self, at: np.ndarray, anchor: np.ndarray, first: np.ndarray, hashes: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, entry without its document) of the windows that hold one of the anchors ``at`` within a
