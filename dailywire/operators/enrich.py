@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
 from dailywire.operators.clean import drop_duplicates_first
-from dailywire.operators.tokens import one_per_word, per_document
+from dailywire.operators.tokens import ROW, one_per_word, per_document, row_key
 from dailywire.session import broadcast_if_small
 
 def _nonempty_blank_tokens(col: Column | str) -> Column:
@@ -147,17 +147,31 @@ def category_word_counts(docs: DataFrame, id_col: str, text_col: str, dictionary
 def first_entity(docs: DataFrame, id_col: str, text_col: str, gazetteer: DataFrame,
                  columns: Sequence[tuple[str, str]] = L.ENTITY_COLUMNS,
                  term_col: str = "term", label_col: str = "label") -> DataFrame:
-    """The document's first entity (by token position); its text fills the column of its label.
-
-    At most one of the output columns is non-null per document. Output: (id, company, country, ...).
+    """The document's first entity (by token position, the longest of those that start there); its
+    text fills the column of its label. Entities may have several words.
+
+    Matching follows the phrases word by word only where one can start: a token is looked up among the
+    first words, which tell how far their phrases reach; only hits form the runs of tokens up to that
+    length, and these are looked up among the phrases. Both lookups are size-checked broadcasts, else shuffle
+    joins, so the gazetteer may be of any size. At most one of the output columns is non-null per document.
+    Output: (id, company, country, ...), a row for each input row.
     """
-    gz = gazetteer.select(F.col(term_col).alias("word"), F.col(label_col).alias("_label"))
-    first = per_document(docs, id_col, TX.blank_tokens(text_col), gz, [
-        F.min_by(F.struct(F.col("token").alias("t"), F.col("_label").alias("l")),
-                 F.when(F.col("_label").isNotNull(), F.col("pos"))).alias("_first")
-    ])
+    words = F.filter(F.split(F.col(term_col), " "), lambda w: w != "")
+    gz = gazetteer.where(F.col(term_col).isNotNull()).select(words.alias("_w"), F.col(label_col).alias("_label")).where(F.size("_w") > 0)
+    gz = one_per_word(gz.select(F.array_join("_w", " ").alias("_phrase"), "_w", "_label"), "_phrase")
+    starts = gz.groupBy(F.col("_w")[0].alias("_start")).agg(F.max(F.size("_w")).alias("_reach"))
+    longest = gz.agg(F.max(F.size("_w"))).first()[0] or 1
+    pre = docs.select(row_key().alias(ROW), F.col(id_col), _nonempty_blank_tokens(text_col).alias("_toks"))
+    toks = pre.select(ROW, id_col, "_toks", F.posexplode_outer("_toks").alias("pos", "token"))
+    toks = toks.select(ROW, id_col, "pos", "token", F.slice("_toks", F.coalesce(F.col("pos"), F.lit(0)) + 1, longest).alias("_next"))
+    hit = toks.join(broadcast_if_small(starts), F.col("token") == F.col("_start"), "left")
+    runs = F.transform(F.sequence(F.lit(1), F.least(F.col("_reach"), F.size("_next"))), lambda n: F.array_join(F.slice("_next", F.lit(1), n), " "))
+    hit = hit.select(ROW, id_col, "pos", F.posexplode_outer(F.when(F.col("_reach").isNotNull(), runs)).alias("_length", "_run"))
+    found = hit.join(broadcast_if_small(gz.select("_phrase", "_label")), F.col("_run") == F.col("_phrase"), "left")
+    place = F.when(F.col("_label").isNotNull(), F.struct("pos", -F.col("_length")))
+    first = found.groupBy(ROW).agg(F.first(id_col).alias(id_col), F.min_by(F.struct(F.col("_run").alias("t"), F.col("_label").alias("l")), place).alias("_first"))
     out = first.withColumns({col: F.when(F.col("_first.l") == lab, F.col("_first.t")) for lab, col in columns})
-    return out.drop("_first")
+    return out.drop(ROW, "_first")
 
 
 def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataFrame | None = None,
@@ -168,8 +182,8 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataF
     combined lexicon (word -> polarity score, valence, entity label; broadcast after a row check),
     one group by document with conditional aggregates. Same results as the separate operators.
 
-    Lexicons: polarity (word, score), valence (word, score), gazetteer (term, label), each reduced to
-    one row per word. ``carry`` are further columns, computed on the document row.
+    Lexicons: polarity (word, score), valence (word, score), gazetteer (term, label) of single words (phrases
+    need ``first_entity``), each reduced to one row per word. ``carry`` are further columns, computed on the document row.
     """
     parts = []
     if polarity is not None:
@@ -177,6 +191,8 @@ def score_documents(docs: DataFrame, id_col: str, text_col: str, polarity: DataF
     if valence is not None:
         parts.append(one_per_word(valence.select(F.col("word"), F.col("score").alias("_val"))))
     if gazetteer is not None:
+        if not gazetteer.where("term like '% %'").isEmpty():
+            raise ValueError("entities of several words: use first_entity")
         parts.append(one_per_word(gazetteer.select(F.col("term").alias("word"), F.col("label").alias("_lab"))))
     if not parts:
         raise ValueError("give at least one lexicon")

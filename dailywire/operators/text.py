@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
-from dailywire.operators.tokens import lookup, one_per_word, token_table
+from dailywire.operators.tokens import ROW, lookup, one_per_word, row_key, token_table
 from dailywire.session import broadcast_if_small
 
 
@@ -62,17 +62,17 @@ def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: Dat
     per entry; the lookup is a size-checked broadcast left join. A document's tokens stay in the task
     that read it, where the partial ``collect_list`` combines them, so only kept tokens move.
     """
-    pre = docs.select(F.col(id_col), *[F.col(c) for c in carry],
+    pre = docs.select(row_key().alias(ROW), F.col(id_col), *[F.col(c) for c in carry],
                       F.transform(F.split(F.col(text_col), r"(?U)\s+", -1), lambda t: F.lower(t)).alias("_toks"))
-    toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
+    toks = token_table(pre, ROW, F.col("_toks"), outer=True, carry=[id_col, *carry])
     res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
     piece = F.when(F.col("_hit").isNull(), F.col("token")).otherwise(F.col("_out"))
-    per = res.groupBy(id_col).agg(
-        *[F.first(c).alias(c) for c in carry],
+    per = res.groupBy(ROW).agg(
+        *[F.first(c).alias(c) for c in (id_col, *carry)],
         F.collect_list(F.when(piece.isNotNull(), F.struct(F.col("pos"), piece.alias("t")))).alias("_parts"),
     )
     joined = F.array_join(F.transform(F.array_sort("_parts"), lambda s: F.concat(F.lit(" "), s["t"])), "")
-    return per.withColumn(out, F.coalesce(joined, F.lit(""))).drop("_parts")
+    return per.withColumn(out, F.coalesce(joined, F.lit(""))).drop(ROW, "_parts")
 
 
 def preprocess(docs: DataFrame, id_col: str, text_col: str, stopwords: Sequence[str] | DataFrame,
@@ -110,17 +110,19 @@ def remove_stopwords_table(docs: DataFrame, id_col: str, text_col: str, words: D
     """T4 / T5 for word lists too large for a literal set: the same rule as
     ``functions.text.remove_stopwords`` (split on one blank, empties kept, short result -> input).
 
-    Tokens are exploded with their positions (id and token only, never the text), removed by a left
-    anti join against the word table (broadcast after a row check, else a shuffle join), regrouped in
-    order per document and joined back to the texts once.
-    Output: (id, out).
+    Tokens are exploded with their positions, marked by a left join to the word table (broadcast after a
+    row check, else a shuffle join) and regrouped by row; the input, for results that are too short,
+    is put together from the same tokens, so the texts are read once and nothing is joined back.
+    Output: (id, out), a row for each input row.
     """
-    d = docs.select(F.col(id_col), F.col(text_col).alias("_src"))
-    base = F.lower(F.col("_src")) if lower else F.col("_src")
-    toks = d.select(F.col(id_col), F.posexplode_outer(F.split(base, " ", -1)).alias("pos", "token"))
-    kept = toks.join(broadcast_if_small(words.select(F.col(word_col).alias("token")).distinct()), on="token", how="left_anti")
-    per = kept.groupBy(id_col).agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "token")))).alias("_k"))
-    new = F.array_join(F.transform("_k", lambda s: s["token"]), " ")
-    result = per.select(id_col, F.when(F.length(new) > min_length, new).alias(out))
-    # documents whose every token was removed have no row left: they keep the input
-    return d.join(result, id_col, "left").select(id_col, F.coalesce(F.col(out), F.col("_src")).alias(out))
+    pre = docs.select(row_key().alias(ROW), F.col(id_col), F.split(F.col(text_col), " ", -1).alias("_toks"))
+    toks = pre.select(ROW, id_col, F.posexplode_outer("_toks").alias("pos", "source"))
+    toks = toks.withColumn("token", F.lower("source") if lower else F.col("source"))
+    listed = words.select(F.col(word_col).alias("token")).distinct().withColumn("_listed", F.lit(True))
+    marked = toks.join(broadcast_if_small(listed), "token", "left")
+    part = F.struct("pos", "source", "token", F.col("_listed").isNotNull().alias("listed"))
+    per = marked.groupBy(ROW).agg(F.first(id_col).alias(id_col), F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), part))).alias("_p"))
+    new = F.array_join(F.transform(F.filter("_p", lambda x: ~x["listed"]), lambda x: x["token"]), " ")
+    whole = F.when(F.size("_p") > 0, F.array_join(F.transform("_p", lambda x: x["source"]), " "))
+    per = per.withColumn("_new", new)
+    return per.select(id_col, F.when(F.length("_new") > min_length, F.col("_new")).otherwise(whole).alias(out))

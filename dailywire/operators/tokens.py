@@ -6,9 +6,12 @@ Pattern used by the lexicon-driven operators (N2, N5, N7, N9):
    task that read the document, and a document without tokens keeps one row);
 2. left-join the lexicon - broadcast behind a row-count check, otherwise a shuffle join whose hot
    tokens AQE splits;
-3. ``groupBy(id)``: partial aggregation collapses every document to one row inside its map task,
+3. group by the input row: partial aggregation collapses every row to one inside its map task,
    so the shuffle carries one small row per document - never the text, never the tokens.
 
+A row's key is its number in its partition (``row_key``), not its id: rows that share an id, or have
+none, keep a result each, and null ids don't meet in one group.
+
 Per-document columns that are not aggregated (counts computed from the text, other small
 columns) ride along with ``first``.
 """
@@ -23,6 +26,14 @@ from pyspark.sql import functions as F
 from dailywire.session import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 
+ROW = "_row"
+
+
+def row_key() -> Column:
+    """Number of an input row: its partition and place there. Used only to bring a row's tokens together."""
+    return F.monotonically_increasing_id()
+
+
 def token_table(df: DataFrame, id_col: str, tokens: Column, keep_empty: bool = False, outer: bool = False,
                 carry: Sequence[str] = ()) -> DataFrame:
     """(id, *carry, pos, token) rows; ``pos`` is the token's index in the document.
@@ -54,13 +65,13 @@ def lookup(tokens: DataFrame, lexicon: DataFrame, word_col: str = "word", how: s
 def per_document(docs: DataFrame, id_col: str, tokens: Column, lexicon: DataFrame, aggs: Sequence[Column],
                  word_col: str = "word", carry: dict[str, Column] | None = None,
                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """(id, *carry, *aggs) for every document: explode_outer -> lexicon left join -> group by id.
+    """(id, *carry, *aggs) for every input row: explode_outer -> lexicon left join -> group by row.
 
     ``carry`` are per-document expressions evaluated on the document row before the explode
     (e.g. a token count) and passed through with ``first``.
     """
     carry = carry or {}
-    pre = docs.select(F.col(id_col), tokens.alias("_toks"), *[c.alias(n) for n, c in carry.items()])
-    toks = token_table(pre, id_col, F.col("_toks"), outer=True, carry=list(carry))
+    pre = docs.select(row_key().alias(ROW), F.col(id_col), tokens.alias("_toks"), *[c.alias(n) for n, c in carry.items()])
+    toks = token_table(pre, ROW, F.col("_toks"), outer=True, carry=[id_col, *carry])
     hit = lookup(toks, lexicon, word_col, how="left", max_broadcast_rows=max_broadcast_rows)
-    return hit.groupBy(id_col).agg(*[F.first(n).alias(n) for n in carry], *aggs)
+    return hit.groupBy(ROW).agg(*[F.first(n).alias(n) for n in (id_col, *carry)], *aggs).drop(ROW)

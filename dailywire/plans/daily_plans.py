@@ -12,6 +12,8 @@ from dailywire.operators.text import preprocess
 from dailywire.plans import sqltext as S
 from dailywire.plans.driver_words import STOPWORDS
 from dailywire.plans.registry import query, rounded
+from dailywire.plans.text_chain import PROCESSED_CTES
+from dailywire.plans.text_chain import tags as driver_tags
 from dailywire.sources.readers import table, text_table
 from dailywire.sources.views import index_readings, news_from_documents, weather_readings
 
@@ -26,14 +28,9 @@ START_DATE = "2024-01-02"
 def article_features(news: DataFrame, key_terms=DRIVER_KEY_TERMS, negative_terms=DRIVER_NEGATIVE_TERMS,
                      polarity=DRIVER_POLARITY, stopwords=STOPWORDS, tags: DataFrame | None = None) -> DataFrame:
     """T1 -> T2 -> T3 -> T4 -> N1, N2, N3: the cleaned text is exploded once and joined to the polarity table
-    (of any size); one small row per article leaves its task.
-
-    T3 needs ``tags``, a (word, tag, pos, lemma, plural) table. The registered queries pass none: their SQL
-    has no T3 (README, "Re-aimed")."""
-    if tags is None:
-        with_text = news.withColumn("processed_text", TX.preprocess_text("text", stopwords))
-    else:
-        with_text = preprocess(news, "url", "text", stopwords, tags)
+    (of any size); one small row per article leaves its task. ``tags`` is T3's (word, tag, pos, lemma, plural)
+    table, by default that of the registered runs."""
+    with_text = preprocess(news, "url", "text", stopwords, driver_tags(news.sparkSession) if tags is None else tags)
     lexicon = news.sparkSession.createDataFrame(list(polarity.items()), "word string, score double") if isinstance(polarity, dict) else polarity
     scored = score_documents(with_text, "url", "processed_text", polarity=lexicon, negative_terms=negative_terms,
                              carry={"date": F.col("date"), "covid_flag": TX.keyterm_flag("processed_text", key_terms)})
@@ -54,7 +51,8 @@ def _features_sql(start: str | None = START_DATE) -> str:
     where = f"WHERE {S.news_day()} >= DATE '{start}'" if start else ""
     p = "p"
     return f"""
-news AS (SELECT doc_id AS url, {S.news_day()} AS date, {S.preprocess_text('text', STOPWORDS)} AS p FROM documents {where}),
+{PROCESSED_CTES},
+news AS (SELECT doc_id AS url, {S.news_day()} AS date, p FROM p {where}),
 flags AS (SELECT url, date, {S.keyterm_flag(p, DRIVER_KEY_TERMS)} AS covid_flag,
           {S.negative_flag(p, DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM news),
 counts AS (SELECT date AS datetime, count(url) AS total_number_of_articles, count(covid_flag) AS total_articles_about_covid,

@@ -12,28 +12,10 @@ from dailywire.plans import sqltext as S
 from dailywire.plans.daily_plans import DRIVER_KEY_TERMS, DRIVER_NEGATIVE_TERMS, DRIVER_POLARITY
 from dailywire.plans.driver_words import STOPWORDS
 from dailywire.plans.registry import query, rounded
+from dailywire.plans.text_chain import DRIVER_TAG_LEXICON, LEXICON_COLS, PROCESSED_CTES, T3_CTES, lexicon_df, processed
 from dailywire.sources.readers import table, text_table
 
 # Lexicon tables for the registered runs (words that occur in the synthetic prose).
-DRIVER_TAG_LEXICON = [
-    # word, tag, pos, lemma, plural
-    ("the", "DT", "DET", "the", None),
-    ("of", "IN", "ADP", "of", None),
-    ("and", "CC", "CCONJ", "and", None),
-    ("it", "PRP", "PRON", "it", None),
-    ("was", "VBD", "AUX", "be", None),
-    ("is", "VBZ", "AUX", "be", None),
-    ("ing", "VBG", "VERB", "in", None),
-    ("thatin", "NN", "NOUN", "thatin", None),
-    ("rewh", "NNS", "NOUN", "rewh", None),
-    ("ononst", "NN", "NOUN", "ononst", "ononsts"),
-    ("orantion", "NN", "NOUN", "orant", None),
-    ("hehely", "RB", "ADV", "hehe", None),
-    ("les", "DT", "DET", "le", None),
-    ("der", "ART", "DET", "der", None),
-    ("que", "CS", "SCONJ", "que", None),
-]
-LEXICON_COLS = ["word", "tag", "pos", "lemma", "plural"]
 DRIVER_VALENCE = {"the": 0.0, "rewh": -1.5, "thatin": 2.0, "orre": 1.2, "hehely": -0.8, "le": 0.5, "der": -2.1, "que": 0.0}
 DRIVER_CATEGORIES = [
     # word, negative, positive, uncertainty, litigious, constraining
@@ -47,26 +29,15 @@ DRIVER_CATEGORIES = [
     ("que", False, True, False, False, False),
 ]
 DRIVER_GAZETTEER = [("rewh", "ORG"), ("thon", "GPE"), ("thth", "DATE"), ("orre", "EVENT"), ("hehely", "PERSON"), ("der", "ORG"), ("que", "GPE")]
+# phrases that overlap: the first position decides, then the longest phrase
+DRIVER_PHRASES = [*DRIVER_GAZETTEER, ("anea", "ORG"), ("anea eriner", "GPE"), ("anea eriner thanea", "EVENT"), ("eriner thanea", "PERSON"),
+                  ("thanedble anea eriner", "ORG"), ("thanedble", "DATE"), ("attion thanedble", "GPE"), ("onbleea anon", "EVENT"), ("ntre onbleea rewh", "GPE")]
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
-def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir).select("doc_id", TX.preprocess_text("text", STOPWORDS).alias("p"))
-
-
-_P_SQL = f"p AS (SELECT doc_id, {S.preprocess_text('text', STOPWORDS)} AS p FROM documents)"
-
-
-def _lexicon_df(spark: SparkSession, rows, cols) -> DataFrame:
-    types = {"word": "string", "tag": "string", "pos": "string", "lemma": "string", "plural": "string", "term": "string",
-             "label": "string", "score": "double"}
-    schema = ", ".join(f"{c} {types.get(c, 'boolean')}" for c in cols)
-    return spark.createDataFrame(rows, schema)
-
-
 @query("E11_clean_html_text", f"SELECT doc_id, {S.clean_html_text('text')} AS cleaned FROM documents")
 def e11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", TX.clean_html_text("text").alias("cleaned"))
@@ -87,27 +58,10 @@ def t2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", TX.strip_special("text").alias("stripped"))
 
 
-def _t3_sql(noun_mode: str = "lemma") -> str:
-    lex = S.values_table(DRIVER_TAG_LEXICON, LEXICON_COLS, "lx")
-    shared = ("list_sum(list_transform(list_distinct(list_filter(string_split(lower(word), ''), lambda c: c <> '')), "
-              "lambda c: least(length(lower(word)) - length(replace(lower(word), c, '')), "
-              "length(lower(coalesce(lemma, word))) - length(replace(lower(coalesce(lemma, word)), c, '')))))")
-    noun = "lower(coalesce(lemma, word))" if noun_mode == "lemma" else "CASE WHEN plural IS NULL THEN lower(word) ELSE lower(plural) END"
-    return f"""WITH lex AS (SELECT lower(word) AS word, CASE WHEN tag IN ('NN', 'NE') THEN {noun}
-          WHEN pos IN ('DET', 'ADP', 'CONJ', 'PRON') THEN NULL
-          WHEN {shared} >= length(word) - 1 THEN lower(coalesce(lemma, word)) ELSE lower(word) END AS out FROM {lex}),
-    s AS (SELECT doc_id, {S.strip_special(S.expand_contractions('text'))} AS s FROM documents),
-    tk AS (SELECT doc_id, list_filter(regexp_split_to_array(s, '\\s+'), lambda w: w <> '') AS tk FROM s),
-    tt AS (SELECT doc_id, lower(unnest(tk)) AS token, generate_subscripts(tk, 1) AS pos FROM tk),
-    r AS (SELECT doc_id, pos, CASE WHEN lex.word IS NULL THEN token ELSE lex.out END AS piece FROM tt LEFT JOIN lex ON tt.token = lex.word),
-    g AS (SELECT doc_id, string_agg(' ' || piece, '' ORDER BY pos) AS normalized FROM r WHERE piece IS NOT NULL GROUP BY doc_id)
-    SELECT d.doc_id, coalesce(g.normalized, '') AS normalized FROM documents d LEFT JOIN g USING (doc_id)"""
-
-
-@query("T3_tokenize_pos_lemma", _t3_sql())
+@query("T3_tokenize_pos_lemma", f"WITH {T3_CTES} SELECT doc_id, normalized FROM c_n")
 def t3(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = _docs(spark, sf_dir).select("doc_id", TX.strip_special(TX.expand_contractions("text")).alias("s"))
-    lex = _lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
+    lex = lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
     return TO.tokenize_pos_lemma(staged, "doc_id", "s", lex).select("doc_id", "normalized")
 
 
@@ -124,16 +78,9 @@ def t5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", TX.remove_stopwords("text", L.STOPWORDS_FIRST_100, lower=False, limit=50).alias("cleaned"))
 
 
-def _t6_sql() -> str:
-    t3 = _t3_sql()
-    head, tail = t3.rsplit("SELECT d.doc_id", 1)
-    return f"""{head}, n AS (SELECT d.doc_id, coalesce(g.normalized, '') AS normalized FROM documents d LEFT JOIN g USING (doc_id))
-    SELECT doc_id, {S.remove_stopwords('normalized', STOPWORDS)} AS processed_text FROM n"""
-
-
-@query("T6_preprocess_text", _t6_sql())
+@query("T6_preprocess_text", f"WITH {PROCESSED_CTES} SELECT doc_id, p AS processed_text FROM p")
 def t6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lex = _lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
+    lex = lexicon_df(spark, DRIVER_TAG_LEXICON, LEXICON_COLS)
     return TO.preprocess(_docs(spark, sf_dir), "doc_id", "text", STOPWORDS, lex).select("doc_id", "processed_text")
 
 
@@ -149,22 +96,22 @@ def t7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", TO.map_text("text", _py_contractions).alias("mapped"))
 
 
-@query("N1_keyterm_flag", f"WITH {_P_SQL} SELECT doc_id, {S.keyterm_flag('p', DRIVER_KEY_TERMS)} AS covid_flag FROM p")
+@query("N1_keyterm_flag", f"WITH {PROCESSED_CTES} SELECT doc_id, {S.keyterm_flag('p', DRIVER_KEY_TERMS)} AS covid_flag FROM p")
 def n1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _processed(spark, sf_dir).select("doc_id", TX.keyterm_flag("p", DRIVER_KEY_TERMS).alias("covid_flag"))
+    return processed(spark, sf_dir).select("doc_id", TX.keyterm_flag("p", DRIVER_KEY_TERMS).alias("covid_flag"))
 
 
 def _polarity_sql(out: str = "polarity") -> str:
     lex = S.values_table(list(DRIVER_POLARITY.items()), ["word", "score"], "lx")
-    return f"""WITH {_P_SQL},
+    return f"""WITH {PROCESSED_CTES},
     t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
     s AS (SELECT doc_id, CAST(sum(CAST(score AS DECIMAL(18, 6))) AS DOUBLE) / count(score) AS pol FROM t JOIN {lex} ON t.w = lx.word GROUP BY doc_id),
     r AS (SELECT p.doc_id, p.p, coalesce(s.pol, 0.0) AS {out} FROM p LEFT JOIN s USING (doc_id))"""
 
 
 def _polarity_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lex = _lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
-    return N.lexicon_polarity(_processed(spark, sf_dir), "doc_id", "p", lex)
+    lex = lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
+    return N.lexicon_polarity(processed(spark, sf_dir), "doc_id", "p", lex)
 
 
 @query("N2_lexicon_polarity", _polarity_sql() + " SELECT doc_id, round(polarity, 6) AS polarity FROM r")
@@ -174,11 +121,11 @@ def n2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "N3_negative_flag",
-    f"WITH {_P_SQL} SELECT doc_id, {S.negative_flag('p', DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
+    f"WITH {PROCESSED_CTES} SELECT doc_id, {S.negative_flag('p', DRIVER_POLARITY, DRIVER_NEGATIVE_TERMS)} AS negative_flag FROM p",
 )
 def n3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lex = _lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
-    scored = N.score_documents(_processed(spark, sf_dir), "doc_id", "p", polarity=lex, negative_terms=DRIVER_NEGATIVE_TERMS)
+    lex = lexicon_df(spark, list(DRIVER_POLARITY.items()), ["word", "score"])
+    scored = N.score_documents(processed(spark, sf_dir), "doc_id", "p", polarity=lex, negative_terms=DRIVER_NEGATIVE_TERMS)
     return scored.select("doc_id", "negative_flag")
 
 
@@ -193,7 +140,7 @@ def n4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _valence_sql() -> str:
     lex = S.values_table(list(DRIVER_VALENCE.items()), ["word", "score"], "lx")
-    return f"""WITH {_P_SQL},
+    return f"""WITH {PROCESSED_CTES},
     t AS (SELECT doc_id, unnest(string_split(p, ' ')) AS w FROM p),
     s AS (SELECT doc_id, sum(CASE WHEN sc > 0 THEN sc + 1 END) AS pos_s, sum(CASE WHEN sc < 0 THEN abs(sc) + 1 END) AS neg_s,
           count(CASE WHEN sc <> 0 THEN 1 END) AS nz FROM (SELECT t.doc_id, CAST(score AS DECIMAL(18, 6)) AS sc FROM t JOIN {lex} ON t.w = lx.word) GROUP BY doc_id),
@@ -211,8 +158,8 @@ def _valence_sql() -> str:
 
 @query("N5_valence_class", _valence_sql())
 def n5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lex = _lexicon_df(spark, list(DRIVER_VALENCE.items()), ["word", "score"])
-    out = N.valence_class(_processed(spark, sf_dir), "doc_id", "p", lex)
+    lex = lexicon_df(spark, list(DRIVER_VALENCE.items()), ["word", "score"])
+    out = N.valence_class(processed(spark, sf_dir), "doc_id", "p", lex)
     return rounded(out.select("doc_id", "valence_neg", "valence_neu", "valence_pos", "polarity_vader"))
 
 
@@ -222,7 +169,7 @@ def _categories_sql(jaccard: bool) -> str:
     counts = ", ".join(f"count(CASE WHEN {c} THEN 1 END) AS {c}_count" for c in cats)
     sizes = ", ".join(f"count(CASE WHEN {c} THEN 1 END) AS {c}_size" for c in cats)
     cols = ", ".join(f"coalesce(s.{c}_count, 0) AS {c}_count" for c in cats)
-    base = f"""WITH {_P_SQL}, dic AS (SELECT * FROM {dic}),
+    base = f"""WITH {PROCESSED_CTES}, dic AS (SELECT * FROM {dic}),
     t AS (SELECT doc_id, unnest({S.word_tokens('p')}) AS w FROM p),
     s AS (SELECT doc_id, {counts} FROM t JOIN dic ON t.w = dic.word GROUP BY doc_id),
     z AS (SELECT {sizes} FROM dic),
@@ -237,8 +184,8 @@ def _categories_sql(jaccard: bool) -> str:
 
 
 def _categories_df(spark: SparkSession, sf_dir: str, jaccard: bool) -> DataFrame:
-    dic = _lexicon_df(spark, DRIVER_CATEGORIES, ["word", *L.SENTIMENT_CATEGORIES])
-    return N.category_word_counts(_processed(spark, sf_dir), "doc_id", "p", dic, with_jaccard=jaccard)
+    dic = lexicon_df(spark, DRIVER_CATEGORIES, ["word", *L.SENTIMENT_CATEGORIES])
+    return N.category_word_counts(processed(spark, sf_dir), "doc_id", "p", dic, with_jaccard=jaccard)
 
 
 @query("N7_category_word_counts", _categories_sql(False))
@@ -252,17 +199,20 @@ def n8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _entity_sql() -> str:
-    gz = S.values_table(DRIVER_GAZETTEER, ["term", "label"], "t2")
+    gz = S.values_table(DRIVER_PHRASES, ["term", "label"], "t2")
     cols = ", ".join(f"CASE WHEN f.label = '{lab}' THEN f.term END AS {col}" for lab, col in L.ENTITY_COLUMNS)
-    return f"""WITH {_P_SQL},
-    tk AS (SELECT doc_id, string_split(p, ' ') AS tk FROM p),
-    t AS (SELECT doc_id, unnest(tk) AS w, generate_subscripts(tk, 1) AS pos FROM tk),
-    m AS (SELECT doc_id, arg_min(t2.term, pos) AS term, arg_min(t2.label, pos) AS label FROM t JOIN {gz} ON t.w = t2.term GROUP BY doc_id)
+    longest = max(len(t.split()) for t, _ in DRIVER_PHRASES)
+    runs = " UNION ALL ".join(f"SELECT doc_id, pos, {n} AS n, array_to_string(tk[pos:pos + {n - 1}], ' ') AS w FROM t WHERE pos + {n - 1} <= len(tk)" for n in range(1, longest + 1))
+    return f"""WITH {PROCESSED_CTES},
+    tl AS (SELECT doc_id, list_filter(string_split(p, ' '), lambda w: w <> '') AS tk FROM p),
+    t AS (SELECT doc_id, tk, unnest(range(1, len(tk) + 1)) AS pos FROM tl),
+    r AS ({runs}),
+    m AS (SELECT doc_id, arg_min(t2.term, pos * {longest + 1} - n) AS term, arg_min(t2.label, pos * {longest + 1} - n) AS label FROM r JOIN {gz} ON r.w = t2.term GROUP BY doc_id)
     SELECT p.doc_id, {cols} FROM p LEFT JOIN m f USING (doc_id)"""
 
 
 @query("N9_first_entity", _entity_sql())
 def n9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gz = _lexicon_df(spark, DRIVER_GAZETTEER, ["term", "label"])
-    out = N.first_entity(_processed(spark, sf_dir), "doc_id", "p", gz)
+    gz = lexicon_df(spark, DRIVER_PHRASES, ["term", "label"])
+    out = N.first_entity(processed(spark, sf_dir), "doc_id", "p", gz)
     return out.select("doc_id", *[c for _, c in L.ENTITY_COLUMNS])

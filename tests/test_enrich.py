@@ -1,5 +1,6 @@
 
 from dailywire.functions import lexicons as L
+from dailywire.functions import text as TX
 from dailywire.operators import enrich as N
 from dailywire.operators import text as TO
 from dailywire.sources import readers as R
@@ -148,3 +149,37 @@ def test_more_than_256_lexicon_words(spark):
     lex = spark.createDataFrame([(f"w{i}", -1.0) for i in range(400)], "word string, score double")
     got = {r.id: r.negative_flag for r in N.score_documents(docs, "id", "text", polarity=lex).collect()}
     assert got == {1: 1, 2: None}
+
+
+def test_rows_that_share_an_id_keep_a_result_each(spark):
+    rows = [(1, "alpha beta gamma"), (1, "delta bad zeta"), (None, "bad alpha"), (None, "bad bad gamma"), (2, None)]
+    docs = spark.createDataFrame(rows, "id int, p string").repartition(3)
+    lex = spark.createDataFrame([("beta", "NN", "NOUN", "bet", None)], "word string, tag string, pos string, lemma string, plural string")
+
+    def of(df):
+        return sorted((tuple(r) for r in df.collect()), key=repr)
+
+    t3 = of(TO.tokenize_pos_lemma(docs, "id", "p", lex))
+    assert t3 == sorted([(1, " alpha bet gamma"), (1, " delta bad zeta"), (None, " bad alpha"), (None, " bad bad gamma"), (2, "")], key=repr)
+    words = spark.createDataFrame([("alpha",), ("bad",)], "word string")
+    t4 = of(TO.remove_stopwords_table(docs, "id", "p", words))
+    assert t4 == sorted([(1, "beta gamma"), (1, "delta zeta"), (None, "bad alpha"), (None, "bad bad gamma"), (2, None)], key=repr)
+    assert t4 == of(docs.select("id", TX.remove_stopwords("p", ["alpha", "bad"])))
+    score = spark.createDataFrame([("bad", -1.0), ("alpha", 0.5)], "word string, score double")
+    assert of(N.lexicon_polarity(docs, "id", "p", score)) == sorted([(1, 0.5), (1, -1.0), (None, -0.25), (None, -1.0), (2, 0.0)], key=repr)
+    assert sorted(r.polarity_vader for r in N.valence_class(docs, "id", "p", score).collect() if r.id is None) == ["negative", "negative"]
+    flags = of(N.score_documents(docs, "id", "p", polarity=score, negative_terms=["gamma"], penalty=0.1).select("id", "negative_flag"))
+    assert flags == sorted([(1, None), (1, 1), (None, 1), (None, 1), (2, None)], key=repr)
+    dic = spark.createDataFrame([("bad", True)], "word string, negative boolean")
+    assert of(N.category_word_counts(docs, "id", "p", dic, ["negative"], with_jaccard=False)) == sorted([(1, 0), (1, 1), (None, 1), (None, 2), (2, 0)], key=repr)
+    ents = spark.createDataFrame([("alpha", "ORG"), ("zeta", "ORG")], "term string, label string")
+    assert of(N.first_entity(docs, "id", "p", ents).select("id", "company")) == sorted([(1, "alpha"), (1, "zeta"), (None, "alpha"), (None, None), (2, None)], key=repr)
+
+
+def test_entities_of_several_words(spark):
+    texts = ["the new york times said", "in new york and paris", "new paris", "york new", "", "times of new york times", "paris new york times"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, p string")
+    gz = spark.createDataFrame([("new york times", "ORG"), ("new york", "GPE"), ("paris", "GPE"), ("york  times", "EVENT"), ("", "ORG"), (None, "ORG"), ("new york", "GPE")], "term string, label string")
+    got = {r.id: (r.company, r.country) for r in N.first_entity(docs, "id", "p", gz).collect()}
+    assert got == {0: ("new york times", None), 1: (None, "new york"), 2: (None, "paris"), 3: (None, None), 4: (None, None), 5: ("new york times", None), 6: (None, "paris")}
+    assert len(N.first_entity(docs, "id", "p", gz.limit(0)).collect()) == len(texts)
