@@ -1,11 +1,15 @@
 """WARC archives as a Spark data source, and the deduplicating export of pages.
 
-The archives are ``.warc.gz``: one gzip member per record, with the record's compressed length in the
-header's extra field, so that a reader steps over a record without inflating it. ``write`` rolls to a
-new file every ``roll`` bytes; committed files are listed in a manifest, so files of failed task
-attempts are not read. The reader plans one partition per file, takes predicates on the record
-type and on headers, inflates only the head of a record to judge them, and inflates the payload only
-of records that pass, unless the option ``payload`` is ``false``.
+Reading takes any ``*.warc`` and ``*.warc.gz`` in a folder: records are stepped over by their Content-Length,
+in plain files and in gzip files with a member per record or fewer. The archives written here have
+one gzip member per record with the record's compressed length in the header's extra field, a hint by
+which a reader steps over a record without inflating it. The reader plans one partition per file, takes
+predicates on the record type and on headers, reads the head of a record first to judge it, and keeps
+the payload only of records that pass, unless the option ``payload`` is ``false``.
+
+``write`` rolls to a new file every ``roll`` bytes. Each commit lists its files in a manifest of its own, so
+appends add up and files of failed task attempts are not read; ``overwrite`` removes the archives and
+manifests that were there. Files that were not written here need no manifest.
 
     spark.dataSource.register(WarcSource)
     spark.read.format("warc").load(folder).where("record_type = 'response'")
@@ -15,11 +19,14 @@ a response record, the others are revisit records that refer to it and carry no
 
 Defined cases: null html is an empty payload; a page without id is a response, and none refers to it;
 rows that repeat a page_id with the same payload are all responses if it is the smallest; null url
-gives no target header; an empty table gives an empty archive. Other columns are ignored.
+gives no target header; an empty table gives an empty archive. Other columns are ignored. Of foreign records,
+page_id and refers_to are null, payload_bytes is the payload's length (null while an HTTP payload is not
+read), and the payload of an ``application/http`` block is what follows its HTTP head.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import struct
 import uuid
@@ -37,12 +44,14 @@ HEAD = 4096
 #: Records of one batch, and payload bytes after which it is handed on.
 BATCH, BATCH_BYTES = 512, 8 << 20
 
-SCHEMA = "record_type string, page_id long, target_uri string, payload_digest string, payload_bytes long, refers_to long, payload binary"
+SCHEMA = "record_type string, page_id long, target_uri string, payload_digest string, payload_bytes long, refers_to long, record_id string, warc_date string, payload binary"
 _COLUMNS = [x.split()[0] for x in SCHEMA.split(", ")]
-_KINDS = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+_KINDS = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.binary()]
 #: Column -> header that holds it.
-_HEADERS = {"record_type": "WARC-Type", "page_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "payload_bytes": "X-Payload-Length", "refers_to": "WARC-Refers-To"}
-_MANIFEST = "_files.json"
+_HEADERS = {"record_type": "WARC-Type", "page_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "payload_bytes": "X-Payload-Length", "refers_to": "WARC-Refers-To", "record_id": "WARC-Record-ID", "warc_date": "WARC-Date"}
+_MANIFEST, _OWN = "_files-", "part-"
+#: Bytes of a record's head, at most.
+LONGEST_HEAD = 1 << 20
 
 
 def _filesystem(path: str):
@@ -67,9 +76,9 @@ def _unquoted(text: str) -> str:
 def encode_record(row: dict) -> bytes:
     """One gzip member: the record, its compressed and full length in the extra field 'sl'."""
     body = row["payload"] if row["record_type"] == "response" and row["payload"] is not None else b""
-    lines = ["WARC/1.1", f"WARC-Type: {row['record_type']}"]
-    if row["page_id"] is not None:
-        lines.append(f"WARC-Record-ID: {_urn(row['page_id'])}")
+    now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
+    name = f"<urn:uuid:{uuid.uuid4()}>" if row["page_id"] is None else _urn(row["page_id"])
+    lines = ["WARC/1.1", f"WARC-Type: {row['record_type']}", f"WARC-Record-ID: {name}", f"WARC-Date: {row.get('warc_date') or now}"]
     if row["target_uri"] is not None:
         lines.append(f"WARC-Target-URI: {_quoted(row['target_uri'])}")
     lines += [f"WARC-Payload-Digest: sha256:{row['payload_digest']}", f"X-Payload-Length: {row['payload_bytes']}"]
@@ -84,51 +93,173 @@ def encode_record(row: dict) -> bytes:
     return b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", len(extra)) + extra + packed + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
 
-def _parse_head(head: bytes) -> dict | None:
-    """The typed header columns, or None while the blank line is not yet in ``head``."""
-    end = head.find(b"\r\n\r\n")
-    if end < 0:
-        return None
-    fields = dict(line.split(": ", 1) for line in head[:end].decode().split("\r\n")[1:])
-    get = fields.get
-    number = lambda x: None if x is None else int(x.strip("<>").rpartition(":")[2])
-    uri, digest = get("WARC-Target-URI"), get("WARC-Payload-Digest")
-    return {
-        "record_type": get("WARC-Type"), "page_id": number(get("WARC-Record-ID")), "target_uri": None if uri is None else _unquoted(uri),
-        "payload_digest": None if digest is None else digest.removeprefix("sha256:"), "payload_bytes": number(get("X-Payload-Length")),
-        "refers_to": number(get("WARC-Refers-To")), "length": int(fields["Content-Length"]), "at": end + 4,
+def _parse_head(head: bytes) -> dict:
+    """The typed header columns, ``length`` (of the block) and ``http`` (the block is an HTTP message)."""
+    fields: dict[str, str] = {}
+    last = None
+    for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+        if line[:1] in (" ", "\t") and last:
+            fields[last] += " " + line.strip()
+            continue
+        name, colon, value = line.partition(":")
+        if colon:
+            last = name.strip().lower()
+            fields[last] = value.strip()
+    get = {column: fields.get(header.lower()) for column, header in _HEADERS.items()}
+
+    def page(name: str | None) -> int | None:
+        number = (name or "").removeprefix("<urn:page:").removesuffix(">")
+        return int(number) if name and name.startswith("<urn:page:") and number.lstrip("-").isdigit() else None
+
+    length, digest, own = int(fields.get("content-length", 0)), get["payload_digest"], get["payload_bytes"]
+    http = fields.get("content-type", "").lower().startswith("application/http")
+    return get | {
+        "page_id": page(get["page_id"]), "refers_to": page(get["refers_to"]), "target_uri": None if get["target_uri"] is None else _unquoted(get["target_uri"]) if own else get["target_uri"],
+        "payload_digest": None if digest is None else digest.removeprefix("sha256:"), "payload_bytes": int(own) if own else None if http else length,
+        "length": length, "http": http,
     }
 
 
-def read_records(stream, tests: dict[str, tuple], payload: bool) -> Iterator[dict]:
+class _Plain:
+    """The bytes of a plain archive."""
+
+    def __init__(self, stream):
+        self.stream, self.held = stream, b""
+
+    def _more(self) -> bytes:
+        return self.stream.read(HEAD)
+
+    def read(self, n: int) -> bytes:
+        while len(self.held) < n and (more := self._more()):
+            self.held += more
+        out, self.held = self.held[:n], self.held[n:]
+        return out
+
+    def skip(self, n: int) -> None:
+        if n > len(self.held):
+            self.stream.seek(self.stream.tell() + n - len(self.held))
+        self.held = self.held[n:]
+
+    def head(self) -> bytes:
+        """The record's head up to its blank line; empty at the end."""
+        while True:
+            self.held = self.held.lstrip(b"\r\n")
+            end = self.held.find(b"\r\n\r\n")
+            if end >= 0:
+                out, self.held = self.held[:end], self.held[end + 4 :]
+                return out
+            if len(self.held) > LONGEST_HEAD:
+                raise ValueError("not a WARC record: no end of its head")
+            if not (more := self._more()):
+                return b""
+            self.held += more
+
+    def next_record(self) -> None:
+        """Called before a record's head."""
+
+    def leave(self, n: int) -> None:
+        """Step over what is left of the record, ``n`` bytes of its block."""
+        self.skip(n)
+
+
+class _Gzip(_Plain):
+    """The bytes of a gzip archive, member after member."""
+
+    def __init__(self, stream):
+        super().__init__(stream)
+        #: bytes read and not yet inflated, place in the file after them, and the hinted end of the member
+        self.raw, self.at, self.inflate, self.end = b"", 0, None, None
+
+    def _more(self) -> bytes:
+        while True:
+            if not self.raw:
+                self.raw = self.stream.read(HEAD)
+                self.at += len(self.raw)
+                if not self.raw:
+                    return b""
+            if self.inflate is None:
+                self.inflate = zlib.decompressobj(31)
+            out = self.inflate.decompress(self.raw, 1 << 20)
+            self.raw = self.inflate.unconsumed_tail
+            if self.inflate.eof:
+                self.raw, self.inflate = self.inflate.unused_data, None
+            if out:
+                return out
+
+    def read(self, n: int) -> bytes:
+        parts, have = [self.held], len(self.held)
+        while have < n and (more := self._more()):
+            parts.append(more)
+            have += len(more)
+        whole = b"".join(parts)
+        self.held = whole[n:]
+        return whole[:n]
+
+    def skip(self, n: int) -> None:
+        while n > len(self.held):
+            n -= len(self.held)
+            self.held = self._more()
+            if not self.held:
+                return
+        self.held = self.held[n:]
+
+    def next_record(self) -> None:
+        """Note where the next member begins, if this one has the length hint."""
+        self.end = None
+        if self.held.strip(b"\r\n") or self.inflate is not None:
+            return
+        while len(self.raw) < 32 and (more := self.stream.read(HEAD)):
+            self.raw += more
+            self.at += len(more)
+        if self.raw[3:4] == b"\x04" and self.raw[10:16] == b"\x14\0sl\x10\0":
+            self.end = self.at - len(self.raw) + struct.unpack("<Q", self.raw[16:24])[0]
+
+    def leave(self, n: int) -> None:
+        if self.end is None:
+            self.skip(n)
+            return
+        self.stream.seek(self.end)
+        self.raw, self.at, self.held, self.inflate = b"", self.end, b"", None
+
+
+def read_records(stream, tests: dict[str, tuple], payload: bool, packed: bool = True) -> Iterator[dict]:
     """The records of one archive whose header columns pass ``tests`` (column -> allowed values)."""
-    at = 0
+    reader = _Gzip(stream) if packed else _Plain(stream)
     while True:
-        stream.seek(at)
-        prefix = stream.read(HEAD)
-        if not prefix:
+        reader.next_record()
+        head = reader.head()
+        if not head:
             return
-        size, full = struct.unpack("<QQ", prefix[16:32])
-        inflate = zlib.decompressobj(-15)
-        head = inflate.decompress(prefix[32 : min(len(prefix), size - 8)], HEAD)
-        have = min(len(prefix), size - 8)
-        while (row := _parse_head(head)) is None:
-            more = inflate.unconsumed_tail
-            if not more:
-                more = stream.read(min(HEAD, size - 8 - have))
-                have += len(more)
-            head += inflate.decompress(more, HEAD)
-        at += size
+        row = _parse_head(head)
+        row["payload"] = None
         if any(row[c] not in allowed for c, allowed in tests.items()):
+            reader.leave(row["length"])
             continue
-        row["payload"] = None
-        if payload and row["record_type"] == "response":
-            rest = inflate.unconsumed_tail + (stream.read(size - 8 - have) if have < size - 8 else b"")
-            body = head + inflate.decompress(rest) + inflate.flush()
-            row["payload"] = body[row["at"] : row["at"] + row["length"]]
+        if payload and row["record_type"] != "revisit":
+            body = reader.read(row["length"])
+            if row["http"]:
+                body = body.partition(b"\r\n\r\n")[2]
+                row["payload_bytes"] = len(body)
+            row["payload"] = body
+            reader.leave(0)
+        else:
+            reader.leave(row["length"])
         yield row
 
 
+def _listing(fs, base: str) -> tuple[list[str], set[str]]:
+    """(archives in the folder, those that a manifest lists)."""
+    from pyarrow import fs as pfs
+
+    names = [f.base_name for f in fs.get_file_info(pfs.FileSelector(base)) if f.type == pfs.FileType.File]
+    listed: set[str] = set()
+    for name in names:
+        if name.startswith(_MANIFEST):
+            with fs.open_input_stream(f"{base}/{name}") as f:
+                listed.update(json.loads(f.read()))
+    return [n for n in names if n.endswith((".warc", ".warc.gz"))], listed
+
+
 class _File(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -151,8 +282,8 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         fs, base = _filesystem(self.path)
-        with fs.open_input_stream(f"{base}/{_MANIFEST}") as f:
-            return [_File(f"{base}/{name}") for name in json.loads(f.read())] or [_File("")]
+        names, listed = _listing(fs, base)
+        return [_File(f"{base}/{n}") for n in sorted(names) if not n.startswith(_OWN) or n in listed] or [_File("")]
 
     def read(self, partition):
         if not partition.path:
@@ -160,7 +291,7 @@ class _Reader(DataSourceReader):
         fs, _ = _filesystem(self.path)
         rows, held = [], 0
         with fs.open_input_file(partition.path) as stream:
-            for row in read_records(stream, self.tests, self.payload):
+            for row in read_records(stream, self.tests, self.payload, partition.path.endswith(".gz")):
                 rows.append(row)
                 held += len(row["payload"] or b"")
                 if len(rows) >= BATCH or held >= BATCH_BYTES:
@@ -180,8 +311,8 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, roll: int):
-        self.path, self.roll = path, roll
+    def __init__(self, path: str, roll: int, overwrite: bool):
+        self.path, self.roll, self.overwrite = path, roll, overwrite
 
     def write(self, iterator):
         fs, base = _filesystem(self.path)
@@ -190,7 +321,7 @@ class _Writer(DataSourceArrowWriter):
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
-                    names.append(f"part-{uuid.uuid4().hex}.warc.gz")
+                    names.append(f"{_OWN}{uuid.uuid4().hex}.warc.gz")
                     out, size = fs.open_output_stream(f"{base}/{names[-1]}", compression=None), 0
                 record = encode_record(row)
                 out.write(record)
@@ -203,10 +334,19 @@ class _Writer(DataSourceArrowWriter):
         return _Written(names)
 
     def commit(self, messages):
+        from pyarrow import fs as pfs
+
         fs, base = _filesystem(self.path)
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{_MANIFEST}", compression=None) as f:
-            f.write(json.dumps(sorted(n for m in messages if m is not None for n in m.names)).encode())
+        mine = sorted(n for m in messages if m is not None for n in m.names)
+        former = [f.base_name for f in fs.get_file_info(pfs.FileSelector(base)) if f.type == pfs.FileType.File and f.base_name not in mine]
+        with fs.open_output_stream(f"{base}/{_MANIFEST}{uuid.uuid4().hex}.json", compression=None) as f:
+            f.write(json.dumps(mine).encode())
+        if self.overwrite:
+            # manifests first, so that no listed file is missing
+            for name in sorted(former, key=lambda n: not n.startswith(_MANIFEST)):
+                if name.startswith(_MANIFEST) or name.endswith((".warc", ".warc.gz")):
+                    fs.delete_file(f"{base}/{name}")
 
     def abort(self, messages):
         """Nothing to undo: files that no manifest lists are not read."""
@@ -224,7 +364,7 @@ class WarcSource(DataSource):
         return _Reader(self.options["path"], self.options.get("payload", "true") != "false")
 
     def writer(self, schema, overwrite):
-        return _Writer(self.options["path"], int(self.options.get("roll", ROLL)))
+        return _Writer(self.options["path"], int(self.options.get("roll", ROLL)), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -243,7 +383,7 @@ def export_pages(pages: DataFrame, path: str, least: int = LEAST) -> None:
     later = narrow.join(first, "payload_digest").where("page_id > refers_to").distinct()
     rows = x.join(later, ["page_id", "payload_digest"], "left").withColumn("record_type", F.when(F.col("refers_to").isNull(), "response").otherwise("revisit"))
     rows = rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
-    rows.select(*_COLUMNS).write.format("warc").mode("append").save(path)
+    rows.select(*[c for c in _COLUMNS if c in rows.columns]).write.format("warc").mode("append").save(path)
 
 
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:

@@ -1,5 +1,6 @@
 """Mixing against its SQL, WARC round trips, and toxicity on planted texts."""
 
+import gzip
 import random
 from collections import Counter
 
@@ -89,7 +90,6 @@ def test_warc_reader_skips_without_inflating(tmp_path):
     with fs.LocalFileSystem().open_input_file(str(tmp_path / "x.warc.gz")) as f:
         got = list(warc.read_records(f, {"page_id": (3,)}, True))
     assert [(r["page_id"], len(r["payload"]), r["target_uri"]) for r in got] == [(3, 50_000, "u" * 6000)]
-    import gzip
 
     assert gzip.decompress((tmp_path / "x.warc.gz").read_bytes()).count(b"WARC/1.1\r\n") == 5
 
@@ -97,12 +97,55 @@ def test_warc_reader_skips_without_inflating(tmp_path):
 def test_warc_rolls_and_lists_committed_files_only(spark, tmp_path):
     path = f"file://{tmp_path}/archive"
     warc.register(spark)
-    rows = spark.createDataFrame([("response", i, "u", "d", 5, None, bytearray(b"abcde")) for i in range(20)], warc.SCHEMA).coalesce(1)
+    rows = spark.createDataFrame([("response", i, "u", "d", 5, None, None, None, bytearray(b"abcde")) for i in range(20)], warc.SCHEMA).coalesce(1)
     rows.write.format("warc").option("roll", "600").mode("append").save(path)
     (tmp_path / "archive" / "part-left-by-a-failed-task.warc.gz").write_bytes(b"junk")
     assert len(list((tmp_path / "archive").glob("part-*.warc.gz"))) > 3 and warc.read(spark, path).count() == 20
 
 
+def test_warc_appends_add_up_and_overwrite_replaces(spark, tmp_path):
+    path, schema = str(tmp_path / "archive"), "page_id long, url string, html string"
+    warc.export_pages(spark.createDataFrame([(1, "u", "one")], schema), path)
+    warc.export_pages(spark.createDataFrame([(2, "v", "two")], schema), path)
+    assert sorted(r.page_id for r in warc.read(spark, path).collect()) == [1, 2]
+    (tmp_path / "archive" / "other.warc").write_bytes(FOREIGN[0])
+    assert warc.read(spark, path).count() == 3
+    rows = spark.createDataFrame([("response", 9, "u", "d", 1, None, None, None, bytearray(b"x"))], warc.SCHEMA)
+    rows.write.format("warc").mode("overwrite").save(path)
+    assert [r.page_id for r in warc.read(spark, path).collect()] == [9]
+
+
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>h\xc3\xa9</p>"
+FOREIGN = [
+    b"WARC/1.0\r\nwarc-type:warcinfo\r\nWARC-Date: 2020-01-01T00:00:00Z\r\nWARC-Record-ID: <urn:uuid:1>\r\nContent-Length: 9\r\n\r\nsoft: one\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://a/%0Ab\r\nWARC-Record-ID: <urn:uuid:2>\r\nX-Folded: a\r\n  b\r\nno colon\r\n"
+    b"Content-Type: application/http;msgtype=response\r\nContent-Length: " + str(len(HTTP)).encode() + b"\r\n\r\n" + HTTP + b"\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Target-URI: http://b\r\nWARC-Record-ID: <urn:uuid:3>\r\nContent-Length: 20000\r\n\r\n" + b"x\r\n\r\n" * 4000 + b"\r\n\r\n",
+    b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://c\r\nWARC-Record-ID: <urn:uuid:4>\r\nContent-Length: 0\r\n\r\n\r\n\r\n",
+]
+
+
+@pytest.mark.parametrize("kind", ["plain", "members", "whole"])
+def test_warc_reads_foreign_archives(spark, tmp_path, kind):
+    data = {"plain": b"".join(FOREIGN), "members": b"".join(gzip.compress(r) for r in FOREIGN), "whole": gzip.compress(b"".join(FOREIGN))}[kind]
+    (tmp_path / ("a.warc" if kind == "plain" else "a.warc.gz")).write_bytes(data)
+    (tmp_path / "notes.txt").write_text("not an archive")
+    back = warc.read(spark, str(tmp_path))
+    got = {r.record_id: (r.record_type, r.target_uri, r.payload_bytes, r.page_id, None if r.payload is None else bytes(r.payload)) for r in back.collect()}
+    assert got == {
+        "<urn:uuid:1>": ("warcinfo", None, 9, None, b"soft: one"), "<urn:uuid:2>": ("response", "http://a/%0Ab", 10, None, "<p>hé</p>".encode()),
+        "<urn:uuid:3>": ("resource", "http://b", 20000, None, b"x\r\n\r\n" * 4000), "<urn:uuid:4>": ("response", "http://c", 0, None, b"")}
+    assert back.where("record_type = 'response' and target_uri = 'http://c'").count() == 1
+    assert sorted(r.record_id for r in warc.read(spark, str(tmp_path), payload=False).where("record_type in ('resource', 'warcinfo')").collect()) == ["<urn:uuid:1>", "<urn:uuid:3>"]
+
+
+def test_warc_records_have_the_mandatory_headers():
+    for page in (5, None):
+        record = gzip.decompress(warc.encode_record({"record_type": "response", "page_id": page, "target_uri": None, "payload": b"", "payload_digest": "d", "payload_bytes": 0, "refers_to": None}))
+        for name in (b"WARC-Type", b"WARC-Record-ID", b"WARC-Date", b"Content-Length"):
+            assert b"\r\n" + name + b": " in record
+
+
 def test_warc_empty(spark, tmp_path):
     path = f"file://{tmp_path}/archive"
     warc.export_pages(spark.createDataFrame([], "page_id long, url string, html string"), path)
