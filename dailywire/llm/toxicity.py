@@ -2,7 +2,8 @@
 
 1. Voters. One holds a list of common insults; the others hold patterns (whole words, and word starts
    of 3 to 7 bytes) that are far more frequent in toxic than in clean texts of a labelled sample
-   (at most ``sample`` rows of each label, texts of at most ``longest`` bytes); the last one fires if a
+   (``sample`` rows of each label, drawn among texts of at most ``longest`` bytes; of each kind the
+   ``patterns`` that tell most); the last one fires if a
    hundredth of the words match. Each votes toxic on a text or abstains.
 2. Label model. The votes on all documents, counted by vote pattern, are explained by a hidden label:
    expectation maximisation estimates each voter's rates on both labels and, from what the labels leave
@@ -27,6 +28,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -298,14 +300,18 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
 
     marked = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("double").alias("target"))
     marked = marked.where(~held_out(F.col("doc_id")))
-    chosen = smallest(marked.where("target > 0")).union(smallest(marked.where("target = 0")))
+    # the length is tested before the draw, so that texts beyond it take no places
+    short = texts.where(F.octet_length("text") <= longest).select("doc_id")
+    drawn = checkpoint(marked.join(short, "doc_id", "left_semi"))
+    chosen = smallest(drawn.where("target > 0")).union(smallest(drawn.where("target = 0")))
     voters = Voters([tuple(r) for r in in_one_task(chosen, _mine(patterns), "voter int, hash long")])
 
     def vote(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(voters.votes(batch.column("text")))], names=["doc_id", "votes"])
+            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(voters.votes(batch.column("text"))), size], names=["doc_id", "votes", "size"])
 
-    votes = checkpoint(texts.mapInArrow(vote, "doc_id long, votes long"))
+    votes = checkpoint(texts.mapInArrow(vote, "doc_id long, votes long, size long"))
     # a row per vote pattern and label: at most 3 * 2 ** voters
     seen = votes.join(marked, "doc_id", "left").groupBy("votes", "target").count().collect()
     if not seen:
@@ -315,7 +321,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
 
     # the sample as pattern by pattern: the posterior is looked up by the pattern
     table = F.create_map(*[F.lit(x) for item in sorted(of_pattern.items()) for x in item])
-    soft = votes.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("votes").alias("votes")).select("doc_id", table[F.col("votes")].alias("target"))
+    soft = votes.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & (F.col("size") <= longest)).groupBy("doc_id").agg(F.max("votes").alias("votes")).select("doc_id", table[F.col("votes")].alias("target"))
     chosen = smallest(soft.where("target >= 0.5")).union(smallest(soft.where("target < 0.5")))
     (trained,) = in_one_task(chosen, _train(bits), "weights binary") or [(np.concatenate([np.zeros(1 << bits), [-2.0]]).astype(np.float32).tobytes(),)]
     weights = np.frombuffer(trained[0], np.float32).astype(float)
