@@ -30,48 +30,160 @@ def shared_letters(a: Column, b: Column) -> Column:
     )
 
 
-def resolve_lexicon(lexicon: DataFrame, noun_mode: str = "lemma") -> DataFrame:
-    """Per lexicon entry, the T3 output for a token equal to ``word`` (NULL = dropped).
+def token_output(word: Column, tag: Column, pos: Column, lemma: Column, plural: Column, noun_mode: str = "lemma") -> Column:
+    """The T3 output of a token with these readings (NULL = dropped).
 
-    The decision depends only on the entry, so it is evaluated once per entry, not per token:
     * tag NN / NE: ``noun_mode="lemma"`` -> lower lemma; ``"reference"`` -> lower word when singular
       (``plural`` NULL), else lower ``plural``;
     * pos DET / ADP / CONJ / PRON: dropped;
     * otherwise lower lemma when it shares at least ``len(word) - 1`` letters with the word, else lower word.
     """
-    w, lem = F.lower(F.col("word")), F.lower(F.coalesce(F.col("lemma"), F.col("word")))
+    w, lem = F.lower(word), F.lower(F.coalesce(lemma, word))
     if noun_mode == "reference":
-        noun = F.when(F.col("plural").isNull(), w).otherwise(F.lower(F.col("plural")))
+        noun = F.when(plural.isNull(), w).otherwise(F.lower(plural))
     else:
         noun = lem
-    out = (
-        F.when(F.col("tag").isin(*L.NOUN_TAGS), noun)
-        .when(F.col("pos").isin(*L.DROPPED_POS), F.lit(None).cast("string"))
-        .when(shared_letters(w, lem) >= F.length(F.col("word")) - 1, lem)
+    return (
+        F.when(tag.isin(*L.NOUN_TAGS), noun)
+        .when(pos.isin(*L.DROPPED_POS), F.lit(None).cast("string"))
+        .when(shared_letters(w, lem) >= F.length(word) - 1, lem)
         .otherwise(w)
     )
+
+
+def resolve_lexicon(lexicon: DataFrame, noun_mode: str = "lemma") -> DataFrame:
+    """(word, _out, _hit) per lexicon word: ``token_output`` of its entry, of several the smallest.
+
+    The decision depends only on the entry, so it is evaluated once per entry, not per token.
+    """
+    out = token_output(*(F.col(c) for c in ("word", "tag", "pos", "lemma", "plural")), noun_mode)
     return one_per_word(lexicon.select(F.lower(F.col("word")).alias("word"), out.alias("_out"), F.lit(True).alias("_hit")))
 
 
+def by_ending(tokens: DataFrame, endings: DataFrame, noun_mode: str = "lemma") -> DataFrame:
+    """``tokens`` with ``_rule``, whether a rule for word endings holds, and ``_by_rule``, the T3 output by the
+    longest that does.
+
+    ``endings`` has (ending, lemma_ending, tag, pos, min_stem): a word with this ending and at least
+    ``min_stem`` letters before it has the reading, its lemma ends in ``lemma_ending`` instead. An ending of
+    several rules has the smallest. Words of the lexicon are the exceptions: their own entry comes first.
+    """
+    rules = one_per_word(endings.select(F.lower("ending").alias("ending"), F.coalesce(F.lower("lemma_ending"), F.lit("")).alias("lemma_ending"), "tag", "pos", F.coalesce("min_stem", F.lit(1)).alias("min_stem")), "ending")
+    lengths = sorted((r[0] for r in rules.select(F.length("ending")).distinct().collect()), reverse=True)  # lengths of word endings: a few numbers
+    word = F.col("token")
+    found = []
+    for n in lengths:
+        own = broadcast_if_small(rules.where(F.length("ending") == n).select(F.col("ending").alias(f"_e{n}"), F.struct("lemma_ending", "tag", "pos", "min_stem").alias(f"_r{n}")))
+        tokens = tokens.join(own, F.when(F.length(word) >= n, F.right(word, F.lit(n))) == F.col(f"_e{n}"), "left")
+        rule = F.col(f"_r{n}")
+        found.append(F.when(F.length(word) - n >= rule["min_stem"], F.struct(F.concat(F.left(word, F.length(word) - n), rule["lemma_ending"]).alias("lemma"), rule["tag"].alias("tag"), rule["pos"].alias("pos"))))
+    rule = F.coalesce(*found) if found else F.lit(None).cast("struct<lemma:string,tag:string,pos:string>")
+    tokens = tokens.withColumn("_best", rule).drop(*[c for n in lengths for c in (f"_e{n}", f"_r{n}")])
+    best = F.col("_best")
+    out = token_output(word, best["tag"], best["pos"], best["lemma"], F.lit(None).cast("string"), noun_mode)
+    return tokens.withColumns({"_rule": best.isNotNull(), "_by_rule": out}).drop("_best")
+
+
+#: Transition scores that are inlined into the plan, at most.
+MAX_TRANSITIONS = 4096
+
+
+def best_readings(tokens: Column, transitions: dict[tuple[str, str], float], unseen: float) -> Column:
+    """The outputs of the best sequence of readings: a bigram Viterbi pass.
+
+    ``tokens`` is an array with an array of readings (score, tag, out) for each token. The score of a sequence is
+    the sum of its readings' scores and of the transition scores between neighbours (``unseen`` if not given); of
+    equal sequences the one with the smaller outputs wins. A token with one reading separates what is before
+    it from what follows, so the array is cut there, every token starting a piece that ends with the next
+    such token, and only the runs of ambiguous tokens between two of them are folded.
+    """
+    steps = F.create_map(*[F.lit(x) for (a, b), v in transitions.items() for x in (f"{a}>{b}", float(v))]) if transitions else None
+    score_type = "struct<score:double,path:array<string>,tag:string>"
+
+    def move(a: Column, b: Column) -> Column:
+        return F.lit(float(unseen)) if steps is None else F.coalesce(F.try_element_at(steps, F.concat(a, F.lit(">"), b)), F.lit(float(unseen)))
+
+    def step(states: Column, token: Column) -> Column:
+        def reading(r: Column) -> Column:
+            def after(s: Column) -> Column:
+                return F.struct((-(s["score"] + move(s["tag"], r["tag"]) + r["score"])).alias("score"), F.concat(s["path"], F.array(r["out"])).alias("path"), r["tag"].alias("tag"))
+
+            best = F.array_min(F.transform(states, after))
+            more = F.struct((-best["score"]).alias("score"), best["path"].alias("path"), best["tag"].alias("tag"))
+            first = F.struct(r["score"].alias("score"), F.array(r["out"]).alias("path"), r["tag"].alias("tag"))
+            return F.when(F.size(states) > 0, more).otherwise(first)
+
+        return F.transform(token, reading)
+
+    def folded(piece: Column) -> Column:
+        states = F.aggregate(piece, F.array().cast(f"array<{score_type}>"), step)
+        return F.array_min(F.transform(states, lambda s: F.struct((-s["score"]).alias("score"), s["path"].alias("path"))))["path"]
+
+    def cut(tokens: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1), lambda i: (i == 0) | (F.size(F.get(tokens, i)) == 1))
+
+        def pieces(at: Column) -> Column:
+            def piece(start: Column, n: Column) -> Column:
+                following = F.get(at, n + 1)
+                # the piece ends with the next single reading, which is the first of the piece after it
+                size = F.coalesce(following - start + 1, F.size(tokens) - start)
+                keep = F.coalesce(following - start, F.size(tokens) - start)
+                simple = F.transform(F.slice(tokens, start + 1, keep), lambda t: t[0]["out"])
+                alone = (keep == 1) & (F.size(F.get(tokens, start)) == 1)
+                return F.when(alone, simple).otherwise(F.slice(folded(F.slice(tokens, start + 1, size)), F.lit(1), keep))
+
+            return F.flatten(F.transform(at, piece))
+
+        return TX.let(at, pieces)
+
+    return F.when(F.size(tokens) > 0, cut(tokens)).otherwise(F.array().cast("array<string>"))
+
+
 def tokenize_pos_lemma(docs: DataFrame, id_col: str, text_col: str, lexicon: DataFrame, out: str = "normalized",
-                       noun_mode: str = "lemma", carry: Sequence[str] = ()) -> DataFrame:
+                       noun_mode: str = "lemma", carry: Sequence[str] = (), endings: DataFrame | None = None,
+                       transitions: DataFrame | None = None, unseen: float = 0.0) -> DataFrame:
     """Blank-separated tokens looked up (lower-cased) in a (word, tag, pos, lemma, plural) lexicon.
 
     Output (id, *carry, out): ``" " + result`` per kept token in token order ('' when nothing is
-    kept); tokens not in the lexicon are kept lower-cased. The lexicon decision is evaluated once
-    per entry; the lookup is a size-checked broadcast left join. A document's tokens stay in the task
-    that read it, where the partial ``collect_list`` combines them, so only kept tokens move.
+    kept). A token that is not in the lexicon is read by its ending if ``endings`` are given (``by_ending``), else
+    kept lower-cased. Without ``transitions`` a word has one entry, decided once; with them (prev_tag, tag,
+    score) a word may have several entries, which then also have a ``score``, and a document's readings are
+    the best sequence (``best_readings``; tokens without an entry have the tag '' and score 0).
+
+    The lookup is a size-checked broadcast left join. A document's tokens stay in the task that read it,
+    where the partial ``collect_list`` combines them, so only kept tokens move.
     """
     pre = docs.select(row_key().alias(ROW), F.col(id_col), *[F.col(c) for c in carry],
                       F.transform(F.split(F.col(text_col), r"(?U)\s+", -1), lambda t: F.lower(t)).alias("_toks"))
     toks = token_table(pre, ROW, F.col("_toks"), outer=True, carry=[id_col, *carry])
-    res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
-    piece = F.when(F.col("_hit").isNull(), F.col("token")).otherwise(F.col("_out"))
+    if endings is not None:
+        toks = by_ending(toks, endings, noun_mode)
+        unknown = F.when(F.col("_rule"), F.col("_by_rule")).otherwise(F.col("token"))
+    else:
+        unknown = F.col("token")
+    if transitions is None:
+        res = lookup(toks, resolve_lexicon(lexicon, noun_mode), "word", how="left")
+        piece = F.when(F.col("_hit").isNull(), unknown).otherwise(F.col("_out"))
+        part = F.when(piece.isNotNull(), F.struct(F.col("pos"), piece.alias("t")))
+    else:
+        decided = token_output(*(F.col(c) for c in ("word", "tag", "pos", "lemma", "plural")), noun_mode)
+        reading = F.struct(F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), F.coalesce("tag", F.lit("")).alias("tag"), decided.alias("out"))
+        readings = lexicon.select(F.lower("word").alias("word"), reading.alias("r")).groupBy("word").agg(F.array_sort(F.collect_set("r")).alias("_readings"))
+        res = lookup(toks, readings, "word", how="left")
+        single = F.array(F.struct(F.lit(0.0).alias("score"), F.lit("").alias("tag"), unknown.alias("out")))
+        part = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), F.coalesce("_readings", single).alias("r")))
     per = res.groupBy(ROW).agg(
         *[F.first(c).alias(c) for c in (id_col, *carry)],
-        F.collect_list(F.when(piece.isNotNull(), F.struct(F.col("pos"), piece.alias("t")))).alias("_parts"),
+        F.array_sort(F.collect_list(part)).alias("_parts"),
     )
-    joined = F.array_join(F.transform(F.array_sort("_parts"), lambda s: F.concat(F.lit(" "), s["t"])), "")
+    if transitions is None:
+        kept = F.transform("_parts", lambda s: s["t"])
+    else:
+        if transitions.count() > MAX_TRANSITIONS:
+            raise ValueError(f"at most {MAX_TRANSITIONS} transitions")
+        table = {(r[0], r[1]): r[2] for r in transitions.select("prev_tag", "tag", "score").collect()}
+        kept = F.filter(best_readings(F.transform("_parts", lambda s: s["r"]), table, unseen), lambda t: t.isNotNull())
+    joined = F.array_join(F.transform(kept, lambda t: F.concat(F.lit(" "), t)), "")
     return per.withColumn(out, F.coalesce(joined, F.lit(""))).drop(ROW, "_parts")
 
 

@@ -183,3 +183,41 @@ def test_entities_of_several_words(spark):
     got = {r.id: (r.company, r.country) for r in N.first_entity(docs, "id", "p", gz).collect()}
     assert got == {0: ("new york times", None), 1: (None, "new york"), 2: (None, "paris"), 3: (None, None), 4: (None, None), 5: ("new york times", None), 6: (None, "paris")}
     assert len(N.first_entity(docs, "id", "p", gz.limit(0)).collect()) == len(texts)
+
+
+def test_ambiguous_words_are_resolved_in_context(spark):
+    import itertools
+    import random
+
+    entries = [("run", "NN", "NOUN", "runs", None, -0.5), ("run", "VB", "VERB", "rune", None, -0.4), ("the", "DT", "DET", "the", None, 0.0), ("we", "PRP", "PRON", "we", None, 0.0),
+               ("saw", "NN", "NOUN", "sawn", None, -0.2), ("saw", "VB", "VERB", "see", None, -0.2), ("saw", "DT", "DET", "saw", None, -1.5), ("cats", "NN", "NOUN", "cat", None, 0.0)]
+    moves = {("DT", "NN"): 1.0, ("DT", "VB"): -1.0, ("", "VB"): 0.5, ("NN", "VB"): 0.3, ("VB", "DT"): 0.7, ("VB", "VB"): -2.0, ("NN", "NN"): -0.6}
+    out = {("run", "NN"): "runs", ("run", "VB"): "rune", ("the", "DT"): None, ("we", "PRP"): None, ("saw", "NN"): "sawn", ("saw", "VB"): "saw", ("saw", "DT"): None, ("cats", "NN"): "cat"}
+    rng = random.Random(3)
+    texts = ["", None, "run", "the run", "we saw the run", "saw saw saw saw run"] + [" ".join(rng.choice(["run", "the", "we", "saw", "cats", "stone"]) for _ in range(rng.randint(1, 9))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    lex = spark.createDataFrame(entries, "word string, tag string, pos string, lemma string, plural string, score double")
+    table = spark.createDataFrame([(*k, v) for k, v in moves.items()], "prev_tag string, tag string, score double")
+    got = {r.id: r.o for r in TO.tokenize_pos_lemma(docs, "id", "t", lex, out="o", transitions=table, unseen=-0.1).collect()}
+    for i, t in enumerate(texts):
+        words = (t or "").split()
+        options = [[(tag, score, out[w, tag]) for w2, tag, _, _, _, score in entries if w2 == w] or [("", 0.0, w)] for w in words]
+
+        def value(seq):
+            return sum(s for _, s, _ in seq) + sum(moves.get((a[0], b[0]), -0.1) for a, b in itertools.pairwise(seq))
+
+        best = max((value(seq) for seq in itertools.product(*options)), default=0.0)
+        fine = {"".join(f" {o}" for *_, o in seq if o is not None) for seq in itertools.product(*options) if abs(value(seq) - best) < 1e-9}
+        assert got[i] in fine, (t, got[i], fine)
+
+
+def test_words_outside_the_lexicon_by_their_ending(spark):
+    endings = spark.createDataFrame(
+        [("ies", "y", "NN", "NOUN", 2), ("s", "", "NN", "NOUN", 3), ("ss", "ss", "NN", "NOUN", 1), ("ing", "", "VB", "VERB", 3), ("wards", "", "IN", "ADP", 2), ("ization", "ize", "VB", "VERB", 2)],
+        "ending string, lemma_ending string, tag string, pos string, min_stem int")
+    lex = spark.createDataFrame([("news", "NN", "NOUN", "news", None), ("walking", "VB", "VERB", "walk", None)], "word string, tag string, pos string, lemma string, plural string")
+    docs = spark.createDataFrame([(1, "Stories cats glass news gas"), (2, "eating walking sing towards"), (3, "realization plain"), (4, None)], "id int, t string")
+    got = {r.id: r.o for r in TO.tokenize_pos_lemma(docs, "id", "t", lex, out="o", endings=endings).collect()}
+    # plural and singular, an ending that keeps the word, exceptions by the lexicon, too short a stem;
+    # the lemma of a verb only where it shares all letters but one; adpositions are dropped
+    assert got == {1: " story cat glass news gas", 2: " eating walking sing", 3: " realization plain", 4: ""}
