@@ -82,7 +82,9 @@ SENTIMENT_CATEGORIES = ("negative", "positive", "uncertainty", "litigious", "con
 # Entity labels reported by N9, with their output column names.
 ENTITY_COLUMNS = (("ORG", "company"), ("GPE", "country"), ("DATE", "date_event"), ("EVENT", "event"))
 
-# Weather metrics read from a reading text (E14), in page order.
+# Markers of the reading section and the metrics read from it (E14), in page order.
+READING_START = r"Current condition and temperature\s*Hong Kong, Hong Kong"
+READING_END = r"UV index: \d*\s*\w"
 WEATHER_METRICS = ("Wind", "Humidity", "Precipitation", "Visibility", "UV index")
 
 # ---------------------------------------------------------------------------

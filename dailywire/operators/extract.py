@@ -8,7 +8,7 @@ The page rows are never shuffled by the parse; one row per page goes in and one
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -379,15 +379,66 @@ def weather_fields(col: Column | str, metrics: Sequence[str] = L.WEATHER_METRICS
     return F.array(*items)
 
 
+#: Units a metric may have in the wide row; '' is a value without a unit.
+METRIC_UNITS = {"Wind": ("km/h", "mph"), "Humidity": ("%",), "Precipitation": ("mm", "in"), "Visibility": ("km", "mi"), "UV index": ("", "h")}
+
+
 def weather_columns(long: DataFrame, id_col: str, metrics: Sequence[str] = L.WEATHER_METRICS) -> DataFrame:
     """E14 wide form: one column per metric named ``"<metric> in <unit>"`` (just ``<metric>`` without a
     unit). The pivot values are the (small) distinct metric/unit names found, so one extra job
-    lists them; the metric list bounds their number."""
+    lists them; the metric list bounds their number. ``reading_card`` has a given list of units and no such job."""
     named = long.where(F.col("metric").isin(*metrics)).withColumn(
         "_name", F.when(F.col("unit") != "", F.concat(F.col("metric"), F.lit(" in "), F.col("unit"))).otherwise(F.col("metric")))
     return named.groupBy(id_col).pivot("_name").agg(F.first("value"))
 
 
+def reading_card(text: Column | str, day: Column | str, start: str = L.READING_START, end: str = L.READING_END, zone: str = "HKT",
+                 units: Mapping[str, Sequence[str]] = METRIC_UNITS) -> list[Column]:
+    """The columns of a reading card: section, time, condition, and ``"<metric> in <unit>"`` (``<metric>``
+    without a unit) for the metrics and units listed, so that no job has to list what occurs.
+
+    A cursor goes from marker to marker: the section begins after ``start`` and ends with ``end``; its first
+    clock before ``zone`` gives the time on ``day``; the text from there to the first digit is the
+    condition; a metric's value and unit are between its name and the next capital letter. What is
+    missing is NULL, also where the section itself is; ``other_units`` has the metrics whose unit is not listed.
+    """
+    t, d = (F.col(c) if isinstance(c, str) else c for c in (text, day))
+
+    def first(c: Column, rx: str, g: int = 1) -> Column:
+        return F.when(c.rlike(rx), F.regexp_extract(c, rx, g))
+
+    clock = r"(\d{1,2}:\d{2})\s*" + zone
+
+    def card(section: Column) -> Column:
+        rest = first(section, rf"(?s){clock}(.*)$", 2)
+
+        def fields(rest: Column) -> Column:
+            pieces = {m: F.regexp_extract(rest, rf"{m}:\s*([^A-Z]*)", 1) for m in units}
+            value = {m: F.regexp_extract(p, r"\d+\.?\d*", 0).try_cast("double") for m, p in pieces.items()}
+            unit = {m: F.regexp_extract(p, r"[a-z%][a-z/%]*", 0) for m, p in pieces.items()}
+            listed = [F.when(unit[m] == u, value[m]).alias(f"{m} in {u}" if u else m) for m, us in units.items() for u in us]
+            others = F.filter(F.array(*[F.when(value[m].isNotNull() & ~unit[m].isin(*us), F.lit(m)) for m, us in units.items()]), lambda m: m.isNotNull())
+            time = F.try_to_timestamp(F.concat_ws(" ", F.date_format(d, "yyyy-MM-dd"), first(section, clock)), F.lit("yyyy-MM-dd H:mm")).cast("timestamp_ntz")
+            return F.struct(section.alias("section"), time.alias("time"), first(rest, r"(?s)^(\D*)\d").alias("condition"), *listed, others.alias("other_units"))
+
+        return TX.let(rest, fields)
+
+    whole = TX.let(first(t, rf"(?s){start}(.*?{end})"), card)
+    names = ["section", "time", "condition", *[f"{m} in {u}" if u else m for m, us in units.items() for u in us], "other_units"]
+    return [whole.getField(n).alias(n) for n in names]
+
+
+def index_quote(nodes: Column | str, name: tuple[str, str], value: tuple[str, str], read_at: Column | str) -> list[Column]:
+    """(datetime, index_name, index_value) of a quote page: the last texts of the (tag, class) selectors,
+    the value with its thousands separators read, and the time of the reading."""
+    n, at = (F.col(c) if isinstance(c, str) else c for c in (nodes, read_at))
+
+    def last(tag: str, cls: str) -> Column:
+        return TX.let(nodes_with_tag(n, tag, cls_token=cls), lambda found: F.when(F.size(found) > 0, TX.clean_html_text(node_text(n, F.element_at(found, -1)))))
+
+    return [at.alias("datetime"), last(*name).alias("index_name"), TX.parse_grouped_number(last(*value)).alias("index_value")]
+
+
 def last_text(nodes: Column | str, tag: str, cls_contains: str | None = None) -> Column:
     """Clean text of the last node matching the selector (NULL when none)."""
     n = F.col(nodes) if isinstance(nodes, str) else nodes

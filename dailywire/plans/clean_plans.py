@@ -136,14 +136,29 @@ def s4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "S4_append_records",
-    """SELECT event_id, event_type, round(value, 6) AS value, NULL::VARCHAR AS props FROM events WHERE event_type = 'view'
-       UNION ALL SELECT event_id, event_type, NULL::DOUBLE AS value, props FROM events WHERE event_type = 'click'""",
+    """SELECT event_id, event_type, round(value, 6) AS value, NULL::VARCHAR AS props FROM events WHERE event_id % 3 = 0
+       UNION ALL SELECT event_id, event_type, NULL::DOUBLE AS value, props FROM events WHERE event_id % 3 = 1
+       UNION ALL SELECT event_id, NULL::VARCHAR, round(value, 6), props FROM events WHERE event_id % 3 = 2 OR event_id IS NULL""",
 )
 def s4_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
-    a = ev.where(F.col("event_type") == "view").select("event_id", "event_type", "value")
-    b = ev.where(F.col("event_type") == "click").select("event_id", "event_type", "props")
-    return rounded(append_records([a, b]))
+    """Three parts with different columns, together every event, appended by name."""
+    ev, part = table(spark, sf_dir, "events"), F.coalesce(F.col("event_id") % 3, F.lit(2))
+    a = ev.where(part == 0).select("event_id", "event_type", "value")
+    b = ev.where(part == 1).select("event_id", "event_type", "props")
+    c = ev.where(part == 2).select("event_id", "value", "props")
+    return rounded(append_records([a, b, c])).select("event_id", "event_type", "value", "props")
+
+
+@query("S4_array_replies", "SELECT CAST(ts AS DATE) AS day, event_id, event_type, round(value, 6) AS value FROM events")
+def s4_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies that hold an array of records, one reply for each day and hour, exploded; the replies of two spans
+    of days are appended."""
+    day = F.to_date("ts").alias("day")
+    reply = F.to_json(F.struct(F.collect_list(F.struct("event_id", "event_type", "value")).alias("records"))).alias("reply")
+    replies = table(spark, sf_dir, "events").groupBy(day, F.hour("ts").alias("hour")).agg(reply).drop("hour")
+    early = F.col("day") < F.lit("2024-01-15").cast("date")
+    parts = [explode_json_records(r, "reply", "struct<event_id:bigint,event_type:string,value:double>", "records") for r in (replies.where(early), replies.where(~early))]
+    return rounded(append_records(parts))
 
 
 def _scratch(spark: SparkSession, name: str) -> str:

@@ -246,11 +246,18 @@ def e12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "E13_assemble_articles",
-    f"WITH {_HEADLINE_SQL} SELECT url, arg_max(page_id, page_id) AS page_id, arg_max(heading, page_id) AS heading FROM hd WHERE heading IS NOT NULL GROUP BY url",
+    f"""WITH {_STORY_SQL}, {_HEADLINE_SQL}, tm AS ({_published_sql('stories')}), bd AS ({_body_sql()}),
+    a AS (SELECT hd.url, page_id, heading, text, datetime, error, 'site ' || regexp_extract(hd.url, '^https?://([^/?#]+)', 1) AS newssite
+      FROM hd JOIN tm USING (page_id) JOIN bd USING (page_id) WHERE heading IS NOT NULL AND NOT contains(heading, 'Archive'))
+    SELECT url, max(page_id) AS page_id, arg_max(heading, page_id) AS heading, arg_max(coalesce(text, ''), page_id) AS text,
+      max(CASE WHEN page_id = m THEN datetime END) AS datetime, max(CASE WHEN page_id = m THEN error END) AS error, arg_max(newssite, page_id) AS newssite
+    FROM (SELECT *, max(page_id) OVER (PARTITION BY url) AS m FROM a) GROUP BY url""",
 )
 def e13(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arts = _parsed(spark, sf_dir).select("page_id", "url", E.headline("nodes").alias("heading")).where(F.col("heading").isNotNull())
-    return E.assemble_articles(arts, "url", "page_id").select("url", "page_id", "heading")
+    """The whole article of every URL, from its latest page: heading, text, publish time, site, and why text is missing."""
+    pages = _stories(spark, sf_dir).withColumn("newssite", F.concat(F.lit("site "), F.expr(_HOST)))
+    arts = E.assemble_articles(E.extract_articles(pages), "url", "page_id")
+    return arts.select("url", "page_id", "heading", F.coalesce("text", F.lit("")).alias("text"), "datetime", "error", "newssite")
 
 
 def _reading_text() -> F.Column:
@@ -290,3 +297,50 @@ def e15(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Last matching name / value text of a page (here: the last ``li`` and the ``h1``)."""
     p = _parsed(spark, sf_dir)
     return p.select("page_id", E.last_text("nodes", "h1").alias("index_name"), E.last_text("nodes", "li").alias("index_value"))
+
+
+_QUOTES = """concat(html, '<span class="x priceText__06f600fa3e">', cast(page_id as string), '</span><div class="companyName__1af0080d26 y">Index &amp; ', cast(page_id % 7 as string),
+    '</div><span class="priceText">7</span>', case when page_id % 3 > 0 then concat('<span class="priceText__06f600fa3e"> ', cast(page_id % 9 + 1 as string), ',', lpad(cast(page_id % 1000 as string), 3, '0'), '.25 </span>') else '' end)"""
+_QUOTE_CLASSES = ("div", "companyName__1af0080d26"), ("span", "priceText__06f600fa3e")
+
+
+@query(
+    "E15_index_quote",
+    f"""WITH q AS (SELECT page_id, {_QUOTES} AS html FROM pages),
+    v AS (SELECT page_id, trim(regexp_extract_all(html, '<span class="(?:[^"]* )?priceText__06f600fa3e(?: [^"]*)?">([^<]*)</span>', 1)[-1]) AS v,
+      regexp_extract_all(html, '<div class="(?:[^"]* )?companyName__1af0080d26(?: [^"]*)?">([^<]*)</div>', 1)[-1] AS n FROM q)
+    SELECT page_id, TIMESTAMP '2024-01-01 09:30:00' + to_minutes(CAST(page_id % 600 AS BIGINT)) AS datetime, replace(n, '&amp;', '&') AS index_name,
+      CAST(replace(v, ',', '') AS DOUBLE) AS index_value FROM v""",
+)
+def e15_quote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes by class, with the reading time: pages with one or two prices, of which the last counts."""
+    pages = text_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    parsed = E.parse_pages(pages.withColumn("html", F.expr(_QUOTES)))
+    at = F.expr("timestamp_ntz'2024-01-01 09:30:00' + make_dt_interval(0, 0, cast(page_id % 600 as int))")
+    return rounded(parsed.select("page_id", *E.index_quote("nodes", *_QUOTE_CLASSES, at)))
+
+
+def _card_text() -> F.Column:
+    """A card among other text: markers also before and after it, units that vary, every tenth one cut short."""
+    v, k = F.col("value").cast("string"), F.get_json_object("props", "$.k")
+    head = F.concat(F.lit("Wind: 1 km/h UV index: 3 x Current condition and temperature \n Hong Kong, Hong Kong as of "), F.date_format("ts", "H:mm"), F.lit(" HKT "), F.col("event_type"))
+    rest = F.concat(F.lit(" 21° Wind: "), v, F.when(F.col("event_id") % 2 == 0, " km/h").otherwise(" mph"), F.lit(" Humidity: "), k, F.lit("% Precipitation: "), v,
+                    F.when(F.col("event_id") % 3 == 0, " in").otherwise(" mm"), F.lit(" Visibility: 10 furlongs UV index: "), k, F.lit(" h Wind: 99 km/h 11:11 HKT"))
+    return F.when(F.col("event_id") % 10 < 9, F.concat(head, rest)).otherwise(head)
+
+
+@query(
+    "E14_reading_card",
+    """SELECT event_id, CASE WHEN ok THEN date_trunc('minute', ts) END AS time, CASE WHEN ok THEN ' ' || event_type || ' ' END AS condition,
+      CASE WHEN ok AND event_id % 2 = 0 THEN round(value, 6) END AS wind_kmh, CASE WHEN ok AND event_id % 2 = 1 THEN round(value, 6) END AS wind_mph,
+      CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS humidity,
+      CASE WHEN ok AND event_id % 3 <> 0 THEN round(value, 6) END AS rain_mm, CASE WHEN ok AND event_id % 3 = 0 THEN round(value, 6) END AS rain_in,
+      CASE WHEN ok THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS uv, CASE WHEN ok THEN 'Visibility' END AS other_units
+    FROM (SELECT *, event_id % 10 < 9 AS ok FROM events)""",
+)
+def e14_card(spark: SparkSession, sf_dir: str) -> DataFrame:
+    card = table(spark, sf_dir, "events").select("event_id", *E.reading_card(_card_text(), F.to_date("ts")))
+    return rounded(card.select(
+        "event_id", "time", "condition", F.col("`Wind in km/h`").alias("wind_kmh"), F.col("`Wind in mph`").alias("wind_mph"), F.col("`Humidity in %`").alias("humidity"),
+        F.col("`Precipitation in mm`").alias("rain_mm"), F.col("`Precipitation in in`").alias("rain_in"), F.col("`UV index in h`").alias("uv"),
+        F.when(F.size("other_units") > 0, F.array_join("other_units", ",")).alias("other_units")))

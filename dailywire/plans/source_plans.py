@@ -75,19 +75,21 @@ def s2(spark: SparkSession, sf_dir: str) -> DataFrame:
     f AS (SELECT doc_id, lower("Word") AS w, "Negative" <> 0 AS negative, "Positive" <> 0 AS positive, "Uncertainty" <> 0 AS uncertainty,
           "Litigious" <> 0 AS litigious, "Constraining" <> 0 AS constraining FROM r),
     k AS (SELECT * FROM f WHERE negative OR positive OR uncertainty OR litigious OR constraining),
-    m AS (SELECT k.*, CASE WHEN w LIKE '%\\_src1' ESCAPE '\\' OR w LIKE '%\\_src2' ESCAPE '\\' THEN split_part(w, '_', 1) ELSE w END AS word FROM k),
+    m AS (SELECT k.*, CASE WHEN ends_with(w, '0') THEN w ELSE coalesce(t.lemma, w) END AS word FROM k
+      LEFT JOIN (SELECT DISTINCT lower(lang || '_' || source) AS sw, lower(lang) || '_' || right(lower(source), 1) AS lemma FROM documents) t ON t.sw = k.w),
     o AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY doc_id) AS rn FROM m)
     SELECT negative, positive, uncertainty, litigious, constraining, word FROM o WHERE rn = 1""",
 )
 def n6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dictionary file -> lower-case, verb lemma from a (word, lemma) table, keep flagged, first per word.
 
-    The lemma table maps the words of two sources to their language part (derived from the data).
+    The lemma table, derived from the data, has the words of all sources whose names do not end in 0.
     """
     raw = R.read_dictionary(spark, _dictionary_file(spark, sf_dir), list(L.SENTIMENT_CATEGORIES))
-    docs = R.table(spark, sf_dir, "documents").where(F.col("source").isin("src1", "src2"))
-    lemmas = docs.select(F.lower(F.concat(F.col("lang"), F.lit("_"), F.col("source"))).alias("word"),
-                         F.lower("lang").alias("lemma")).distinct()
+    word = F.lower(F.concat(F.col("lang"), F.lit("_"), F.col("source")))
+    lemma = F.concat(F.lower("lang"), F.lit("_"), F.right(F.lower("source"), F.lit(1)))
+    docs = R.table(spark, sf_dir, "documents").where(~F.col("source").endswith("0"))
+    lemmas = docs.select(word.alias("word"), lemma.alias("lemma")).where("word is not null").distinct()
     out = prepare_sentiment_dictionary(raw, lemmas, order=R.file_position())
     return out.select(*L.SENTIMENT_CATEGORIES, "word")
 

@@ -165,3 +165,29 @@ def test_links_by_site(spark):
     sites = spark.createDataFrame([("s1", "One", "https://one", "div", "main"), ("s2", "Two", "https://two", None, None)], "site string, newssite string, homepage string, section_tag string, section_class string")
     got = {(r.page_id, r.newssite, r.pos, r.url) for r in E.site_links(E.parse_pages(pages, keep=["site"]), sites).collect()}
     assert got == {(1, "One", 0, "https://one/news/1"), (2, "Two", 0, "https://two/news/1"), (2, "Two", 1, "https://two/news/2"), (3, "One", 0, "https://one/2024/x")}
+
+
+def test_reading_card(spark):
+    import datetime as dt
+
+    head = "UV index: 9 x Current condition and temperature \n Hong Kong, Hong Kong as of 19:56 HKT Mostly cloudy "
+    whole = head + "27° Wind: 18 km/h Humidity: 80% Precipitation: 1.5 mm Visibility: 6.44 km UV index: 0 Sunny Wind: 99 km/h"
+    rows = [(1, whole), (2, head), (3, whole.replace("18 km/h", "18 knots")), (4, whole.replace("19:56", "25:99")), (5, None), (6, "")]
+    df = spark.createDataFrame([(i, t, dt.date(2024, 2, 3)) for i, t in rows], "id int, t string, day date")
+    got = {r.id: r for r in df.select("id", *E.reading_card("t", "day", units={"Wind": ("km/h",), "Humidity": ("%",), "UV index": ("", "s")})).collect()}
+    assert str(got[1].time) == "2024-02-03 19:56:00" and got[1].condition == " Mostly cloudy " and got[1].section.endswith("UV index: 0 S")
+    assert (got[1]["Wind in km/h"], got[1]["Humidity in %"], got[1]["UV index"], got[1].other_units) == (18.0, 80.0, 0.0, [])
+    assert got[3]["Wind in km/h"] is None and got[3].other_units == ["Wind"]
+    assert got[4].time is None and got[4]["Wind in km/h"] == 18.0
+    for i in (2, 5, 6):
+        assert got[i].section is None and got[i].time is None and got[i].condition is None and got[i]["Wind in km/h"] is None
+
+
+def test_index_quote(spark):
+    import datetime as dt
+
+    html = "<span class='a price'>1</span><span class='price'> 16,914.58 </span><span class='prices'>3</span><div class='name'>Main &amp; Co</div>"
+    at = dt.datetime(2024, 1, 2, 3, 4)
+    p = E.parse_pages(spark.createDataFrame([(1, "u", html), (2, "v", "<p>x</p>")], "page_id long, url string, html string"))
+    rows = {r.page_id: tuple(r)[1:] for r in p.select("page_id", *E.index_quote("nodes", ("div", "name"), ("span", "price"), F.lit(at))).collect()}
+    assert rows == {1: (at, "Main & Co", 16914.58), 2: (at, None, None)}
