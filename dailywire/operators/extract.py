@@ -312,6 +312,73 @@ def parse_fuzzy_datetime(col: Column | str) -> Column:
     return TX.let(normalise_date_text(col), on_text)
 
 
+_LONG_MONTHS = "january february march april may june july august september october november december".split()
+#: Hours east of UTC of zone names; a name that several zones share has its most frequent meaning.
+ZONES = {"z": 0, "utc": 0, "gmt": 0, "wet": 0, "bst": 1, "cet": 1, "cest": 2, "eet": 2, "msk": 3, "ist": 5.5, "sgt": 8, "hkt": 8, "jst": 9, "aest": 10, "est": -5, "edt": -4, "cst": -6, "cdt": -5, "mst": -7, "mdt": -6, "pst": -8, "pdt": -7}
+#: Tokens of a date text: numeric dates, offsets, clocks, half-day marks, words, numbers.
+_DATE_TOKENS = r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}|\d{1,2}[-/.]\d{1,2}[-/.]\d{4}|(?<!\d)\d{8}(?!\d)|(?<=\d|\s|c|t)[+-]\d{2}:?\d{2}(?!\d)|\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?|(?<![a-z])[ap]\.?m\b\.?|[a-z]+|\d+"
+
+
+def scan_datetime(col: Column | str, year: Column | int | None = None) -> Column:
+    """E12 over any text: a scan of its date tokens that keeps what it has found so far.
+
+    Day, month, year, clock, half of the day and zone may come in any order and among other words: numeric
+    dates (y-m-d, m/d/y, d.m.y, yyyymmdd), month names, numbers with or without endings, ``h:mm``, bare hours
+    with am / pm, offsets, and the zone names of ``ZONES``. The first of each kind counts; a number of four
+    digits is a year, one to 31 a day, or the hour if am / pm follows. A missing year is ``year``, a missing
+    clock 0:00; seconds are zeroed, and with an offset or zone the result is in UTC. Weekdays and other words
+    are passed over. NULL without day and month, or for a date that does not exist.
+    """
+    t = normalise_date_text(col)
+    months = F.create_map(*[F.lit(x) for i, name in enumerate(_LONG_MONTHS, 1) for x in (name, i)], *[F.lit(x) for i, n in enumerate(_MONTHS, 1) if n != "may" for x in (n, i)], F.lit("sept"), F.lit(9))
+    zones = F.create_map(*[F.lit(x) for z, h in ZONES.items() for x in (z, int(h * 60))])
+    null = F.lit(None).cast("int")
+    start = F.struct(*[null.alias(n) for n in ("y", "m", "d", "h", "mi", "off", "num")], F.lit("").alias("half"))
+
+    def step(s: Column, w: Column) -> Column:
+        number = w.try_cast("int")
+        parts = F.split(w, r"[-/.]")
+        whole = w.rlike(r"^\d+$")
+        compact = w.rlike(r"^\d{8}$")
+        date = (w.rlike(r"^\d+[-/.]\d+[-/.]\d+$") | compact) & s["m"].isNull()
+        ymd = w.rlike(r"^\d{4}\D")
+        at = lambda i: F.get(parts, F.lit(i)).try_cast("int")
+        pick = lambda c, iso, slash, dot: F.when(compact, c).when(ymd, iso).when(w.contains("/"), slash).otherwise(dot)
+        clock = w.contains(":") & ~w.rlike("^[+-]") & s["h"].isNull()
+        hm = F.split(w, ":")
+        half = w.rlike(r"^[ap]\.?m\.?$")
+        bare = half & s["h"].isNull() & s["num"].isNotNull()
+        offset = w.rlike("^[+-]") & s["h"].isNotNull() & s["off"].isNull()
+        digits = F.regexp_replace(w, "[^0-9]", "")
+        minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+        zone, month = F.try_element_at(zones, w), F.try_element_at(months, w)
+        year_ = whole & (F.length(w) == 4) & s["y"].isNull()
+        day_ = whole & (F.length(w) <= 2) & s["d"].isNull() & number.between(1, 31)
+        sub = lambda a, n: F.substring(w, a, n).try_cast("int")
+        return F.struct(
+            F.when(date, pick(sub(1, 4), at(0), at(2), at(2))).when(year_, number).otherwise(s["y"]).alias("y"),
+            F.when(date, pick(sub(5, 2), at(1), at(0), at(1))).otherwise(F.coalesce(s["m"], month)).alias("m"),
+            # the number before am / pm was the hour, not the day
+            F.when(date, pick(sub(7, 2), at(2), at(1), at(0))).when(day_, number).when(bare & (s["d"] == s["num"]), null).otherwise(s["d"]).alias("d"),
+            F.when(clock, F.get(hm, F.lit(0)).try_cast("int")).when(bare, s["num"]).otherwise(s["h"]).alias("h"),
+            F.when(clock, F.get(hm, F.lit(1)).try_cast("int")).when(bare, 0).otherwise(s["mi"]).alias("mi"),
+            F.when(offset, F.when(w.startswith("-"), -minutes).otherwise(minutes)).otherwise(F.coalesce(s["off"], F.when(s["h"].isNotNull(), zone))).alias("off"),
+            F.when(whole & (F.length(w) <= 2), number).alias("num"),
+            F.when(half & (s["half"] == ""), F.substring(w, 1, 1)).otherwise(s["half"]).alias("half"),
+        )
+
+    def made(s: Column) -> Column:
+        h = F.coalesce(s["h"], F.lit(0))
+        hour = F.when((s["half"] == "p") & (h < 12), h + 12).when((s["half"] == "a") & (h == 12), F.lit(0)).otherwise(h)
+        default = F.lit(year) if not isinstance(year, Column) else year
+        stamp = F.try_make_timestamp_ntz(F.coalesce(s["y"], default.cast("int")), s["m"], s["d"], hour, F.coalesce(s["mi"], F.lit(0)), F.lit(0))
+        return stamp - F.make_dt_interval(F.lit(0), F.lit(0), F.coalesce(s["off"], F.lit(0)))
+
+    # ordinal endings would be words of their own
+    tokens = F.regexp_extract_all(F.regexp_replace(t, r"(?<=\d)(?:st|nd|rd|th)\b", " "), F.lit(_DATE_TOKENS), F.lit(0))
+    return TX.let(F.aggregate(tokens, start, step), made)
+
+
 def published_time(nodes: Column | str) -> Column:
     """E10 cascade: first ``time`` (its datetime attribute), first ``div.timestamp``, the last parsable
     ``div`` with class ~createddate, the last parsable ``span`` inside a ``div`` with class ~heading."""

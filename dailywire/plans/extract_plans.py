@@ -244,6 +244,27 @@ def e12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", E.parse_fuzzy_datetime(txt).alias("parsed"))
 
 
+#: Ways in which a time is written: weekdays, any order, no year, clock first, zones, offsets, ordinals.
+_RENDERED = [
+    "date_format(ts, 'EEEE, d MMMM yyyy, HH:mm')", "date_format(ts, 'MMM d, yyyy h:mm a')", "date_format(ts, 'HH:mm dd.MM.yyyy')", "date_format(ts, 'h:mm a EEE, MMM dd yyyy')",
+    "date_format(ts, \"yyyyMMdd'T'HH:mm:ss'Z'\")", "concat(date_format(ts, 'MM/dd/yyyy'), ' at ', date_format(ts, 'H:mm'))", "date_format(ts, 'EEE d MMM HH:mm')",
+    "concat('Posted on the ', date_format(ts, 'd'), 'th of ', date_format(ts, 'MMMM, HH:mm'), ' hours')", "concat(date_format(ts + interval 8 hours, 'HH:mm'), ' HKT, ', date_format(ts + interval 8 hours, 'MMMM d yyyy'))",
+    "concat(date_format(ts - interval 5 hours, 'yyyy/M/d HH:mm'), ' -0500')", "concat(date_format(ts + interval 330 minutes, \"yyyy-MM-dd'T'HH:mm:ss\"), '+05:30')", "concat('2024, ', date_format(ts, 'd MMM'), ' by staff, ', date_format(ts, 'h:mma'), ' GMT')",
+    "concat(date_format(ts, 'h a'), ', ', date_format(ts, 'MMMM d'))", "concat('no date: ', date_format(ts, 'HH:mm'), ', 40 ', date_format(ts, 'MMMM'))",
+]
+
+
+@query(
+    "E12_scan_datetime",
+    f"""SELECT event_id, CASE event_id % {len(_RENDERED)} WHEN 12 THEN date_trunc('hour', ts) WHEN 13 THEN NULL ELSE date_trunc('minute', ts) END AS parsed FROM events""",
+)
+def e12_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reading times written in fourteen ways, two of them without a year, one without a day."""
+    forms = " ".join(f"when {i} then {form}" for i, form in enumerate(_RENDERED))
+    text = F.expr(f"case event_id % {len(_RENDERED)} {forms} end")
+    return table(spark, sf_dir, "events").select("event_id", E.scan_datetime(text, 2024).alias("parsed"))
+
+
 @query(
     "E13_assemble_articles",
     f"""WITH {_STORY_SQL}, {_HEADLINE_SQL}, tm AS ({_published_sql('stories')}), bd AS ({_body_sql()}),
