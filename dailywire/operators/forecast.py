@@ -260,6 +260,43 @@ def adf_statistic(df: DataFrame, lags: int = 3, y: str = "y") -> DataFrame:
         "d", F.when(F.col("adf") < ADF_CRITICAL_5PCT, F.lit(0)).otherwise(F.lit(1)))
 
 
+#: Response surface of the 5% bound of the unit-root test with a constant, in powers of 1 / n.
+ADF_SURFACE_5PCT = (-2.86154, -2.8903, -4.234, -40.04)
+
+
+def unit_root_order(df: DataFrame, max_d: int = 2, max_lag: int = 3, y: str = "y") -> DataFrame:
+    """F5 repeated: how often a series is to be differenced, from 0 to ``max_d`` times.
+
+    The unit-root test is run on the series and on its differences; d is the first order at which the unit
+    root is rejected, ``max_d`` if none is. Each test has the number of lagged differences, 0 to
+    ``max_lag``, of least AIC on the sample that all of them have, and the 5 % bound for its sample size.
+    All orders and lags of a series come from one table and one Gram matrix an order; the series are scaled by
+    their largest value, which changes no statistic.
+    Output: series_id, d, adf, bound, lags, n (of the test that decided), status; a series that is too short
+    for the first test has NULLs and the reason.
+    """
+    w = X._w()
+    scale = F.max(F.abs(F.col(y))).over(Window.partitionBy(SERIES))
+    v = df.select(SERIES, "ds", F.try_divide(F.col(y).cast("double"), scale).alias("_v0"))
+    for i in range(max_d):
+        v = v.withColumn(f"_v{i + 1}", F.col(f"_v{i}") - F.lag(f"_v{i}", 1).over(w))
+    design = []
+    for i in range(max_d):
+        feats = [F.lit(1.0), F.lag(f"_v{i}", 1).over(w), *[F.lag(f"_v{i + 1}", j).over(w) for j in range(1, max_lag + 1)]]
+        design.append(F.struct(F.lit(i).alias("order"), F.array(*feats).alias("x"), F.col(f"_v{i + 1}").alias("t")))
+    rows = v.withColumn("_r", F.array(*design)).select(SERIES, F.explode("_r").alias("r")).select(SERIES, "r.*")
+    k, keys = 2 + max_lag, [SERIES, "order"]
+    subsets = {str(lags): list(range(2 + lags)) for lags in range(max_lag + 1)}
+    fits = solve(gram(rows, keys, "x", "t", k), keys, k, subsets).where("ok and n > k_used and rss > 0")
+    stat = F.element_at("coef", 2) / F.sqrt(F.col("rss") / (F.col("n") - F.col("k_used")) * F.element_at("inv_diag", 2))
+    best = fits.groupBy(*keys).agg(F.min_by(F.struct(stat.alias("adf"), F.col("model").cast("int").alias("lags"), F.col("n").cast("long").alias("n")), F.struct("aic", "k_used")).alias("f")).select(*keys, "f.*")
+    bound = sum((F.lit(c) / F.pow("n", F.lit(i)) for i, c in enumerate(ADF_SURFACE_5PCT)), F.lit(0.0))
+    best = best.withColumn("bound", bound).withColumn("d", F.when(F.col("adf") < F.col("bound"), F.col("order")).when(F.col("order") == max_d - 1, F.lit(max_d)))
+    # the first test that decides; without one for the series itself there is no answer
+    decided = best.groupBy(SERIES).agg(F.min("order").alias("first"), F.min_by(F.struct("d", "adf", "bound", "lags", "n"), F.when(F.col("d").isNotNull(), F.col("order"))).alias("f"))
+    return with_status(df.select(SERIES).distinct(), decided.where("first = 0").select(SERIES, "f.*"), "d")
+
+
 # ------------------------------------------------------------------ F6 - F9: ARMA family by two-stage least squares
 
 def _differenced(df: DataFrame, d_col: Column | None, y: str = "y", seasonal: int = 0) -> DataFrame:

@@ -191,3 +191,16 @@ def test_index_quote(spark):
     p = E.parse_pages(spark.createDataFrame([(1, "u", html), (2, "v", "<p>x</p>")], "page_id long, url string, html string"))
     rows = {r.page_id: tuple(r)[1:] for r in p.select("page_id", *E.index_quote("nodes", ("div", "name"), ("span", "price"), F.lit(at))).collect()}
     assert rows == {1: (at, "Main & Co", 16914.58), 2: (at, None, None)}
+
+
+def test_scan_datetime(spark):
+    rows = [
+        ("Monday, 5th of September 2022 at 3:04 pm", "2022-09-05 15:04:00"), ("3 pm on Sept 5, 2022", "2022-09-05 15:00:00"), ("12:30 AM 5 Jan", "2024-01-05 00:30:00"),
+        ("Jan 5, 10:30 HKT", "2024-01-05 02:30:00"), ("2022-09-05T10:00:30-05:00", "2022-09-05 15:00:00"), ("20220905", "2022-09-05 00:00:00"), ("9/5/2022 1:00", "2022-09-05 01:00:00"),
+        ("5.9.2022, 13:37 CEST", "2022-09-05 11:37:00"), ("May 2022", None), ("31 February 2022", None), ("nothing here", None), ("", None), (None, None), ("25:00 5 May 2022", None),
+        ("first 3, then 4 May 2022", "2022-05-03 00:00:00"), ("2021-2022 was 5 May", "2021-05-05 00:00:00"),
+    ]
+    df = spark.createDataFrame(rows, "s string, want string")
+    for r in df.select("s", "want", E.scan_datetime("s", 2024).alias("got")).collect():
+        assert (str(r.got) if r.got else None) == r.want, r.s
+    assert spark.range(1).select(E.scan_datetime(F.lit("5 May 10:00")).alias("x")).first().x is None

@@ -185,3 +185,32 @@ def test_series_without_a_fit_keep_a_row(spark):
         assert status["long"] == "ok" and status["short"] == FC.NO_FIT
     assert {r.status for r in FC.forecast_trend_seasonal(split).where("series_id = 'long'").collect()} == {"ok"}
     assert {r.series_id for r in FC.forecast_trend_seasonal(split).collect()} == {"long", "short"}
+
+
+def test_unit_root_order(spark):
+    import datetime as dt
+
+    import numpy as np
+
+    from dailywire.operators import forecast as FC
+
+    rng = np.random.default_rng(6)  # with seed 4 the walk itself is rejected (-2.899), one of the five in a hundred
+    shocks = rng.normal(size=(3, 400))
+    noise = np.zeros(400)
+    for i in range(1, 400):
+        noise[i] = 0.5 * noise[i - 1] + shocks[0, i]
+    series = {"still": 50 + noise, "walk": shocks[1].cumsum(), "sums": shocks[2].cumsum().cumsum(), "flat": np.ones(40), "short": np.arange(3.0)}
+    day = dt.date(2020, 1, 1)
+    rows = [(k, day + dt.timedelta(i), float(v)) for k, y in series.items() for i, v in enumerate(y)]
+    got = {r.series_id: r for r in FC.unit_root_order(spark.createDataFrame(rows, "series_id string, ds date, y double")).collect()}
+    assert {k: r.d for k, r in got.items()} == {"still": 0, "walk": 1, "sums": 2, "flat": None, "short": None}
+    assert got["short"].status != "ok" and got["walk"].status == "ok"
+    # the statistic of the chosen lags by plain least squares
+    y, lags = series["still"], got["still"].lags
+    d = np.diff(y)
+    x = np.column_stack([np.ones(396), y[3:-1], *[d[3 - j : 399 - j] for j in range(1, lags + 1)]])
+    b, rss, *_ = np.linalg.lstsq(x, d[3:], rcond=None)
+    se = np.sqrt(rss[0] / (396 - x.shape[1]) * np.linalg.inv(x.T @ x)[1, 1])
+    assert abs(got["still"].adf - b[1] / se) < 1e-6 and got["still"].n == 396
+    bound = -2.86154 - 2.8903 / 396 - 4.234 / 396**2 - 40.04 / 396**3
+    assert abs(got["still"].bound - bound) < 1e-12
