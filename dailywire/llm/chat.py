@@ -109,11 +109,17 @@ def format_conversations(conversations: DataFrame, tokenizer: str, loss_role: st
         encoder.encode_special_tokens = True  # their strings inside a text are ordinary text
         rows: list[tuple] = []
 
+        load = 0  # characters of the rows that wait
+
         def add(conv, number: int, turns: list[tuple[str, str]]) -> None:
+            nonlocal load
             text, spans = render(turns, number == 0, loss_role)
             rows.append((conv, number, len(turns), text, spans))
+            load += len(text)
 
         def out() -> pa.RecordBatch:
+            nonlocal load
+            load = 0
             encoded = encoder.encode_batch([r[3] for r in rows], add_special_tokens=False)
             masks = [mask(np.array(e.offsets, np.int64).reshape(-1, 2), np.array([s for s in r[4] if s[0] < s[1]], np.int64).reshape(-1, 2)) for e, r in zip(encoded, rows, strict=True)]
             lists = pa.list_(pa.int32())
@@ -135,7 +141,7 @@ def format_conversations(conversations: DataFrame, tokenizer: str, loss_role: st
                     number, turns, held = (number + 1 if c == conv else 0), [], 0
                 conv, held = c, max(held, 0) + len(role) + len(text)
                 turns.append((role, text))
-                if len(rows) >= 256 or sum(len(r[3]) for r in rows[-1:]) > segment:
+                if len(rows) >= 256 or load > segment:
                     yield out()
         if held >= 0:
             add(conv, number, turns)

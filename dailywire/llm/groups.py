@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 
+from . import workers
+
 
 def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     """Where a new group begins (the first row included)."""
@@ -45,3 +47,4 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], handle: Cal
         ready = pa.concat_tables(carry).combine_chunks()
         if (out := handle(ready, _bounds(ready, keys))) is not None:
             yield from out.to_batches()
+    workers.give_back()

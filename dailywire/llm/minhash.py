@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import checkpoint
 
-from . import groups, texthash, verify
+from . import groups, texthash, verify, workers
 from .graph import components
 
 SHINGLE = 5
@@ -49,7 +49,7 @@ ROWS = 4
 SMALL = 50
 #: Members of a key, and shingles of a cluster, that one search holds.
 BLOCK = 4096
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 500_000
 ERRORS = 5.0
 
 _SKETCH = "doc_id long, n long, signature binary, registers binary, keys array<long>"
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     if not PERCENT <= percent <= 100:
         raise ValueError("percent must be from 80 to 100")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = checkpoint(texts.mapInArrow(_sketches(shingle, percent), _SKETCH))
+    sketches = checkpoint(texts.mapInArrow(workers.giving_back(_sketches(shingle, percent)), _SKETCH))
     live = sketches.where("n > 0 and doc_id is not null")
     sets = checkpoint(live.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.first("keys").alias("keys")))
 

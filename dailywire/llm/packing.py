@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from . import texthash
+from . import texthash, workers
 
 CONTEXTS = (256, 512, 1024, 2048)
 STEP_TOKENS = 1 << 17
@@ -253,4 +253,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, end: int = 1, contexts: Sequ
         if packer.rows:
             yield out()
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(run, _RESULT)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(workers.giving_back(run), _RESULT)

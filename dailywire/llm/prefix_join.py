@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 
 from dailywire.session import checkpoint
 
-from . import groups, minhash, texthash, verify
+from . import groups, texthash, verify, workers
 from .graph import components
+from .minhash import shingle_sets
 
 SHINGLE = 5
 PERCENT = 80
@@ -47,7 +48,7 @@ PERCENT = 80
 CELLS, SLICE = 1 << 20, 1 << 14
 #: Groups under a shingle, and shingles of a cluster, that one search holds.
 BLOCK = 4096
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 500_000
 #: Groups of one shingle that one task gets, at most.
 HOT = 1 << 17
 LEVELS = 8
@@ -73,7 +74,7 @@ def _count(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.int64)
         for batch in batches:
-            for _, h, _ in minhash.shingle_sets(batch.column("text"), k):
+            for _, h, _ in shingle_sets(batch.column("text"), k):
                 cells += np.bincount(_cell(h), minlength=CELLS)
         slices = cells.reshape(-1, SLICE)
         some = np.flatnonzero(slices.any(axis=1))
@@ -93,7 +94,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequency_levels(texts: DataFrame, k: int) -> np.ndarray:
     """Level of each cell: eighths of the binary logarithm of the shingles counted there, rounded up (one byte each)."""
-    counted = texts.mapInArrow(_count(k), "slice long, counts binary")
+    counted = texts.mapInArrow(workers.giving_back(_count(k)), "slice long, counts binary")
     added = counted.repartition(CELLS // SLICE, "slice").mapInArrow(_added, "slice long, counts binary")
     cells = np.zeros((CELLS // SLICE, SLICE), np.int64)
     for row in added.collect():  # CELLS numbers in all, at every size
@@ -105,7 +106,7 @@ def _prefixed(k: int, percent: int, levels):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = levels.value
         for batch in batches:
-            for a, h, bounds in minhash.shingle_sets(batch.column("text"), k):
+            for a, h, bounds in shingle_sets(batch.column("text"), k):
                 n = len(bounds) - 1
                 size = np.diff(bounds)
                 rank = level[_cell(h)].astype(np.uint64) << np.uint64(56) | h >> np.uint64(8)
@@ -201,7 +202,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     levels = spark.sparkContext.broadcast(frequency_levels(texts, shingle))
-    rows = checkpoint(texts.mapInArrow(_prefixed(shingle, percent, levels), _SETS))
+    rows = checkpoint(texts.mapInArrow(workers.giving_back(_prefixed(shingle, percent, levels)), _SETS))
     live = rows.where("n > 0 and doc_id is not null")
     sets = checkpoint(live.groupBy("signature").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("same").alias("same")))
     first = sets.groupBy("same").agg(F.min("id").alias("doc_id"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dailywire.session import ensure_checkpoint_dir
 
-from . import audit, audit_sql, chat, hnsw, manifest, manifest_sql, minhash, mixing, mixing_sql, packing, prefix_join, substring, suffix, topk, toxicity, warc
+from . import audit, audit_sql, chat, hnsw, join_sql, manifest, manifest_sql, minhash, mixing, mixing_sql, packing, prefix_join, substring, suffix, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -136,7 +136,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-@registered("op12_ngram_jaccard_join")
+@registered("op12_ngram_jaccard_join", join_sql.similar_documents(5, 80))
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_join.similar_documents(table(spark, sf_dir, "documents"))
 

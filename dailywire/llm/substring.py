@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from . import common, texthash
+from . import common, texthash, workers
 
 WINDOW = 13
 PERIOD = 7
@@ -239,10 +239,10 @@ def remove_repeated_windows(docs: DataFrame, size: int = WINDOW, period: int = P
             "text": pa.array([x.decode() for x in kept], pa.string()),
         })
 
-    known = x.groupBy("chunk").applyInArrow(send_anchors, _SENT).groupBy("bucket").applyInArrow(recurring, _BACK)
-    sent = x.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(send_windows, _SENT)
-    later = sent.groupBy("bucket").applyInArrow(smaller, _BACK)
-    return x.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(remove, _RESULT)
+    known = x.groupBy("chunk").applyInArrow(workers.giving_back(send_anchors), _SENT).groupBy("bucket").applyInArrow(workers.giving_back(recurring), _BACK)
+    sent = x.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(workers.giving_back(send_windows), _SENT)
+    later = sent.groupBy("bucket").applyInArrow(workers.giving_back(smaller), _BACK)
+    return x.groupBy("chunk").cogroup(later.groupBy("chunk")).applyInArrow(workers.giving_back(remove), _RESULT)
 
 
 def _within(values: np.ndarray, known: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from . import common, texthash
+from . import common, texthash, workers
 
 MATCH = 100
 KMER = 32
@@ -372,10 +372,10 @@ def remove_repeats(docs: DataFrame, match: int = MATCH, kmer: int = KMER, chunk_
         }
         return pa.table(out | ({"carry": table["carry"]} if carry else {}))
 
-    known = base.groupBy("chunk").applyInArrow(minimizers, _SENT).groupBy("bucket").applyInArrow(recurring, _SENT)
-    sent = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(to_buckets, _SENT)
-    ranges = sent.groupBy("bucket").applyInArrow(sort_bucket, _SENT)
-    out = x.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(cut, result)
+    known = base.groupBy("chunk").applyInArrow(workers.giving_back(minimizers), _SENT).groupBy("bucket").applyInArrow(workers.giving_back(recurring), _SENT)
+    sent = base.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(workers.giving_back(to_buckets), _SENT)
+    ranges = sent.groupBy("bucket").applyInArrow(workers.giving_back(sort_bucket), _SENT)
+    out = x.groupBy("chunk").cogroup(ranges.groupBy("chunk")).applyInArrow(workers.giving_back(cut), result)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", *(["carry.*"] if carry else []))
 
 

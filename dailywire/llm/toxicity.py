@@ -2,8 +2,8 @@
 
 1. Voters. One holds a list of common insults; the others hold patterns (whole words, and word starts
    of 3 to 7 bytes) that are far more frequent in toxic than in clean texts of a labelled sample
-   (``sample`` rows of each label, drawn among texts of at most ``longest`` bytes; of each kind the
-   ``patterns`` that tell most); the last one fires if a
+   (``sample`` rows of each label with texts of at most ``longest`` bytes, out of an eighth more drawn; of
+   each kind the ``patterns`` that tell most); the last one fires if a
    hundredth of the words match. Each votes toxic on a text or abstains.
 2. Label model. The votes on all documents, counted by vote pattern, are explained by a hidden label:
    expectation maximisation estimates each voter's rates on both labels and, from what the labels leave
@@ -29,13 +29,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from dailywire.session import checkpoint
 
-from . import texthash
+from . import texthash, workers
 
 INSULTS = ("idiot", "moron", "stupid", "dumb", "loser", "pathetic", "worthless", "trash", "scum", "disgusting", "clown", "imbecile", "vermin", "filth", "bastard", "scumbag", "dumbass", "garbage")
 STARTS = (3, 4, 5, 6, 7)
@@ -291,19 +291,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def smallest(rows: DataFrame) -> DataFrame:
-        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        """An eighth more than needed, for those whose texts are too long or missing."""
+        return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample + sample // 8)
 
     def in_one_task(chosen: DataFrame, run, schema: str) -> list:
-        """``run`` on the sampled documents' features: 2 * sample rows at most, so their ids are broadcast."""
+        """``run`` on the sampled documents' features: the ids drawn, 9 / 4 * sample rows at most, are broadcast, and
+        the first ``sample`` of each side that have a text within ``longest`` are used."""
         rows = texts.where((F.octet_length("text") <= longest) & F.col("doc_id").isNotNull()).join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-        return rows.select("text", "target").mapInArrow(_feature_rows, _ROWS).groupBy().applyInArrow(run, schema).collect()
+        turn = Window.partitionBy(F.col("target") >= 0.5).orderBy(F.xxhash64("doc_id"), "doc_id")
+        # dealt out anew: the turns lie in two tasks
+        rows = rows.withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= sample).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+        return rows.select("text", "target").mapInArrow(workers.giving_back(_feature_rows), _ROWS).groupBy().applyInArrow(workers.giving_back(run), schema).collect()
 
     marked = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("double").alias("target"))
     marked = marked.where(~held_out(F.col("doc_id")))
-    # the length is tested before the draw, so that texts beyond it take no places
-    short = texts.where(F.octet_length("text") <= longest).select("doc_id")
-    drawn = checkpoint(marked.join(short, "doc_id", "left_semi"))
-    chosen = smallest(drawn.where("target > 0")).union(smallest(drawn.where("target = 0")))
+    chosen = smallest(marked.where("target > 0")).union(smallest(marked.where("target = 0")))
     voters = Voters([tuple(r) for r in in_one_task(chosen, _mine(patterns), "voter int, hash long")])
 
     def vote(batches):
@@ -311,7 +313,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
             size = pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(voters.votes(batch.column("text"))), size], names=["doc_id", "votes", "size"])
 
-    votes = checkpoint(texts.mapInArrow(vote, "doc_id long, votes long, size long"))
+    votes = checkpoint(texts.mapInArrow(workers.giving_back(vote), "doc_id long, votes long, size long"))
     # a row per vote pattern and label: at most 3 * 2 ** voters
     seen = votes.join(marked, "doc_id", "left").groupBy("votes", "target").count().collect()
     if not seen:
@@ -336,5 +338,5 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, lo
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *extra)
     schema = StructType().add("doc_id", "long").add("score", "double")
     schema = schema.add(rows.schema["carry"]) if carry else schema
-    scored = rows.mapInArrow(score, schema)
+    scored = rows.mapInArrow(workers.giving_back(score), schema)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *(["carry.*"] if carry else []))

@@ -14,8 +14,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailywire.session import checkpoint
-
 from . import groups, texthash
 
 #: Text bytes of the groups that are numbered together.
@@ -41,24 +39,18 @@ def shingle_numbers(column: pa.Array | pa.ChunkedArray, k: int) -> list[np.ndarr
     data, offsets = texthash.text_bytes(column)
     starts, ends, first = texthash.words(data, offsets)
     codes, _ = texthash.word_codes(data, starts, ends, lower=True)
+    del data, starts, ends
     count = np.diff(first)
-    doc = np.repeat(np.arange(len(count)), count)
-    docs, numbers, above = [], [], 0
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(count)
+    above = 0
     for size in range(1, k + 1):
-        at = first[:-1][count == size] if size < k else np.flatnonzero(np.arange(len(codes)) + k <= first[1:][doc])
-        if len(at):
+        own = np.flatnonzero(count == size if size < k else count >= k)
+        if len(own):
             every = _numbered(codes, size)
-            docs.append(doc[at])
-            numbers.append(every[at] + above)
+            for d in own.tolist():
+                out[d] = np.unique(every[first[d] : first[d + 1] - size + 1]) + above
             above += int(every.max()) + 1
-    if not docs:
-        return [np.zeros(0, np.int64) for _ in count]
-    doc, number = np.concatenate(docs), np.concatenate(numbers)
-    order = np.lexsort((number, doc))
-    doc, number = doc[order], number[order]
-    new = np.r_[True, (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])]
-    doc, number = doc[new], number[new]
-    return np.split(number, np.searchsorted(doc, np.arange(1, len(count))))
+    return out
 
 
 def spanning_tree(order: np.ndarray, linked) -> list[tuple[int, int]]:
@@ -158,6 +150,9 @@ def grouped(rows: DataFrame) -> DataFrame:
 def confirmed_links(members: DataFrame, texts: DataFrame, k: int, percent: int, block_shingles: int) -> DataFrame:
     """Spanning trees (a, b) of the links inside clusters. ``members``: key, id, n (shingles), one row for
     each set; ``texts``: id, text. A cluster with more shingles than ``block_shingles`` is searched block against block."""
+    # here, so that the module's functions can travel to executors without the library
+    from dailywire.session import checkpoint
+
     total = members.groupBy("key").agg(F.sum("n").alias("total"))
     inside = members.join(total, "key").select("id", "key", F.ceil(F.col("total") / block_shingles).alias("size")).distinct()
     # the same join at every size: the members grow with the input, so they are never broadcast
