@@ -221,3 +221,15 @@ def test_words_outside_the_lexicon_by_their_ending(spark):
     # plural and singular, an ending that keeps the word, exceptions by the lexicon, too short a stem;
     # the lemma of a verb only where it shares all letters but one; adpositions are dropped
     assert got == {1: " story cat glass news gas", 2: " eating walking sing", 3: " realization plain", 4: ""}
+
+
+def test_a_small_lexicon_is_looked_up_without_a_shuffle(spark, monkeypatch):
+    """T3 regrouped every token by its document through a shuffle; a small lexicon needs none, with the same result."""
+    lex = spark.createDataFrame([("the", "DT", "DET", "the", None), ('a"\\', "NN", "NOUN", "q", None), ("é", "NN", "NOUN", "", None)], "word string, tag string, pos string, lemma string, plural string")
+    docs = spark.createDataFrame([(1, 'The \u2003 Cat a"\\ '), (1, "the the"), (2, ""), (None, None), (3, "É x\u0085Y é")], "id long, t string")
+    fast = TO.tokenize_pos_lemma(docs, "id", "t", lex, out="o")
+    assert "Exchange" not in fast._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(TO, "inline_lookup", lambda table: None)
+    joined = TO.tokenize_pos_lemma(docs, "id", "t", lex, out="o")
+    assert sorted(map(str, fast.collect())) == sorted(map(str, joined.collect()))
+    assert {r.o for r in fast.collect()} == {" cat q", "", "  x y "}
