@@ -233,3 +233,17 @@ def test_a_small_lexicon_is_looked_up_without_a_shuffle(spark, monkeypatch):
     joined = TO.tokenize_pos_lemma(docs, "id", "t", lex, out="o")
     assert sorted(map(str, fast.collect())) == sorted(map(str, joined.collect()))
     assert {r.o for r in fast.collect()} == {" cat q", "", "  x y "}
+
+
+def test_entities_of_a_small_gazetteer_need_no_shuffle(spark, monkeypatch):
+    """N9 sorted every token of every document by its row; a small gazetteer needs none, with the same result."""
+    gaz = spark.createDataFrame([("new", "ORG"), ("new york", "GPE"), ("york city hall", "ORG"), ("x", None)], "term string, label string")
+    docs = spark.createDataFrame([(1, "in new york city hall"), (1, "x york city hall"), (2, "x a  new"), (3, ""), (None, None)], "id long, t string")
+    columns = [("ORG", "company"), ("GPE", "country")]
+    fast = N.first_entity(docs, "id", "t", gaz, columns)
+    assert "Exchange" not in fast._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(N, "inline_lookup", lambda *a: None)
+    rows = lambda df: sorted((str(r.id), str(r.company), str(r.country)) for r in df.collect())
+    got = rows(fast)
+    assert got == rows(N.first_entity(docs, "id", "t", gaz, columns))
+    assert ("1", "None", "new york") in got and ("1", "york city hall", "None") in got and ("2", "new", "None") in got
