@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 
 from dailywire.functions import lexicons as L
 from dailywire.functions import text as TX
@@ -247,3 +248,17 @@ def test_entities_of_a_small_gazetteer_need_no_shuffle(spark, monkeypatch):
     got = rows(fast)
     assert got == rows(N.first_entity(docs, "id", "t", gaz, columns))
     assert ("1", "None", "new york") in got and ("1", "york city hall", "None") in got and ("2", "new", "None") in got
+
+
+def test_lookup_gives_the_other_value_for_unlisted_words(spark, monkeypatch):
+    from dailywire.operators import tokens as TK
+
+    table = spark.createDataFrame([("to\"p", "up"), ("gone", None), (None, "x")], "word string, out string")
+    docs = spark.createDataFrame([(1, "to\"p gone else"), (2, ""), (3, None)], "id int, t string")
+    for set_rows in (1000, 0):  # with and without the words as a set
+        monkeypatch.setattr(TK, "SET_ROWS", set_rows)
+        found = TK.inline_lookup(table)
+        out = docs.select("id", F.transform(F.split("t", " ", -1), lambda t: found(t, lambda e: e["out"], t)).alias("o"))
+        assert {r.id: r.o for r in out.collect()} == {1: ["up", None, "else"], 2: [""], 3: None}
+    none = TK.inline_lookup(table.where("false"))
+    assert docs.where("id = 1").select(none(F.lit("a"), lambda e: e["out"], F.lit("b")).alias("o")).first().o == "b"

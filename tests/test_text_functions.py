@@ -99,3 +99,12 @@ def test_bounded_contractions_only_rewrite_word_ends(spark):
 def test_five_character_result_falls_back(spark):
     r = spark.createDataFrame([("abcde about",), ("abcdef about",)], "t string").select(TX.remove_stopwords("t", L.STOPWORDS_FIRST_100).alias("o")).collect()
     assert [x.o for x in r] == ["abcde about", "abcdef"]
+
+
+def test_strip_special_at_the_edges(spark):
+    texts = ["a b c d", "a", "a\n", "a\nb", " a b", "x&y", "&&", "a. & -b", "ab  cd  ef", "12 ab3٣c", "\U0001d400 bc", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.o for r in df.select("i", TX.strip_special("t").alias("o")).orderBy("i").collect()]
+    assert got == ["b d", "", "", "a b", "b", "x and y", " and and ", "a and b", "ab cd ef", " ab c", "bc", ""]
+    # one pass for the characters that are dropped and the blanks
+    assert df.select(TX.strip_special("t"))._jdf.queryExecution().optimizedPlan().toString().count("{2,}") == 0
